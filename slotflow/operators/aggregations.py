@@ -7,7 +7,7 @@ one row per map task before it is exchanged. Money sums run in DECIMAL (exact, o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from slotflow.functions.columns import count_where, money_sum, percentage, safe_divide
 from slotflow.functions.timeparts import week_start
@@ -97,14 +97,21 @@ def weekly_trend(daily: DataFrame) -> DataFrame:
     )
 
 
+def sorted_fold_mean(c: str) -> Column:
+    """Mean of a double column summed in ascending order (a fixed order, so the result does
+    not depend on partitioning). Only for tables of bounded size, such as one row per channel."""
+    values = F.array_sort(F.collect_list(F.col(c)))
+    total = F.aggregate(values, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+    return F.when(F.size(values) > 0, total / F.size(values))
+
+
 def kpi_summary(attr: DataFrame) -> DataFrame:
-    """One row over the channel attribution table: total bookings, total spend, mean
-    cost per booking over channels that have one, total leads."""
-    cpb = F.col("cost_per_booking")
+    """One row over the channel attribution table (one row per channel): total bookings,
+    total spend, mean cost per booking over channels that have one, total leads."""
     return attr.agg(
         F.sum("total_bookings").alias("total_bookings"),
         money_sum("total_spend").cast("double").alias("total_spend"),
-        (money_sum(cpb).cast("double") / F.count(cpb)).alias("avg_cost_per_booking"),
+        sorted_fold_mean("cost_per_booking").alias("avg_cost_per_booking"),
         F.sum("unique_leads").alias("unique_leads"),
     )
 
@@ -200,9 +207,7 @@ def meeting_load_kpis(m: DataFrame) -> DataFrame:
     return m.agg(
         F.sum("total_meetings").alias("total_meetings"),
         F.max("max_meetings_in_week").alias("max_meetings_in_week"),
-        (money_sum("avg_meetings_per_week").cast("double") / F.count("avg_meetings_per_week")).alias(
-            "avg_meetings_per_week"
-        ),
+        F.avg("avg_meetings_per_week").alias("avg_meetings_per_week"),
     )
 
 
@@ -231,3 +236,24 @@ def batch_outcome(df: DataFrame, error_col: str = "error") -> DataFrame:
 def share_columns(df: DataFrame) -> DataFrame:
     """Helper for A8/W8 consumers: percentage of channel from a total column."""
     return df.withColumn("percentage_of_channel", percentage(F.col("bookings_count"), F.col("total_channel_bookings")))
+
+
+SPEND_RECORD_FIELDS = ["date", "channel", "spend", "ingested_at", "source_file", "ingestion_date"]
+
+
+def nest_spend(s: DataFrame, max_records_per_document: int = 100_000, fields: list[str] | None = None) -> DataFrame:
+    """Group spend rows into ``{records, record_count}`` documents per (date, channel).
+
+    A key with more than ``max_records_per_document`` rows is split over several documents
+    (``chunk``), each a hash slice of the key's rows, so no single array grows with the data.
+    The per-key counts are a partial aggregate; joining them back lets AQE broadcast them when
+    they are small at runtime, and split a hot key's partition when they are not."""
+    fields = fields or [f for f in SPEND_RECORD_FIELDS if f in s.columns]
+    counts = s.groupBy("date", "channel").agg(F.count(F.lit(1)).alias("_n"))
+    with_n = s.join(counts, ["date", "channel"], "inner")
+    n_chunks = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("_n") / F.lit(max_records_per_document)))
+    chunk = F.pmod(F.xxhash64(*[F.col(f) for f in fields]), n_chunks)
+    return with_n.withColumn("chunk", chunk).groupBy("date", "channel", "chunk").agg(
+        F.collect_list(F.struct(*[F.col(f) for f in fields])).alias("records"),
+        F.count(F.lit(1)).alias("record_count"),
+    )

@@ -130,7 +130,7 @@ def default_channel(df: DataFrame, column: str = "marketing_channel") -> DataFra
     return df.withColumn(column, F.coalesce(F.col(column), F.lit(DEFAULT_CHANNEL)))
 
 
-def unwrap_body(df: DataFrame) -> DataFrame:
+def unwrap_body(df: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """A request holds the webhook as JSON text in ``body``, as an object in ``body``
     (already parsed into the top-level fields), or is the webhook itself. Output: event,
     created_at, payload, plus ``raw`` (the body text kept for the audit archive)."""
@@ -143,7 +143,9 @@ def unwrap_body(df: DataFrame) -> DataFrame:
     from_text = F.when(parsed["event"].isNotNull() | parsed["payload"].isNotNull(), parsed)
     body = F.coalesce(from_text, direct)
     raw = F.col("body") if "body" in df.columns else F.lit(None).cast("string")
-    return df.select(body.alias("_b"), raw.alias("raw")).select("_b.event", "_b.created_at", "_b.payload", "raw")
+    return df.select(*keep, body.alias("_b"), raw.alias("raw")).select(
+        *keep, "_b.event", "_b.created_at", "_b.payload", "raw"
+    )
 
 
 def tag_decode_errors(df: DataFrame, data_col: str = "data") -> DataFrame:
@@ -169,12 +171,15 @@ def decode_payload(df: DataFrame, data_col: str = "data") -> tuple[DataFrame, Da
     return good, bad
 
 
-def enrich_webhook(df: DataFrame, channel_col: str = "marketing_channel") -> DataFrame:
+def enrich_webhook(
+    df: DataFrame, channel_col: str = "marketing_channel", keep: list[str] | tuple[str, ...] = ()
+) -> DataFrame:
     """Build the enriched message (three sub-structs + received-at) from an unwrapped
     webhook that already carries its channel."""
     p = F.col("payload")
     se = p["scheduled_event"]
     return df.select(
+        *keep,
         F.col("event").alias("webhook_event"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("webhook_received_at"),
         F.col("created_at"),
@@ -205,7 +210,7 @@ def enrich_webhook(df: DataFrame, channel_col: str = "marketing_channel") -> Dat
     )
 
 
-def flatten_booking(df: DataFrame, msg_col: str = "_msg") -> DataFrame:
+def flatten_booking(df: DataFrame, msg_col: str = "_msg", clock: bool = True) -> DataFrame:
     """Enriched message + its envelope -> the flat bronze booking record.
 
     Date parts come from the event start time; a missing or malformed start time gives null
@@ -219,6 +224,7 @@ def flatten_booking(df: DataFrame, msg_col: str = "_msg") -> DataFrame:
         F.col("sequence_number").alias("kinesis_sequence_number"),
         F.col("partition_key").alias("kinesis_partition_key"),
         F.col("arrival_ts").alias("kinesis_arrival_timestamp"),
+        *([F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("processed_at")] if clock else []),
         m["webhook_event"].alias("webhook_event"),
         m["webhook_received_at"].alias("webhook_received_at"),
         m["created_at"].alias("webhook_created_at"),

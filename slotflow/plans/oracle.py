@@ -154,3 +154,98 @@ SELECT host_email, host_name, avg(meetings) AS avg_meetings_per_week, CAST(sum(m
   count(*) AS weeks_active, max(meetings) AS max_meetings_in_week, min(meetings) AS min_meetings_in_week,
   'employee_meeting_load' AS metric_name
 FROM w GROUP BY host_email, host_name"""
+
+
+def attribution_sql(bookings: str, spend: str) -> str:
+    """Channel attribution as a sub-select (for roll-ups over it)."""
+    return "(" + with_ctes(O_BOOKINGS, O_SPEND) + channel_attribution_sql(bookings, spend) + ")"
+
+
+# Adapter N: webhook documents from events, the allow-list and the poison rows.
+N_MSGS = """
+n_msgs AS (
+  SELECT event_id, ts, user_id, event_type, props,
+         CASE event_type WHEN 'purchase' THEN 'search_ads' WHEN 'signup' THEN 'social_ads'
+                         WHEN 'view' THEN 'video_ads' END AS channel,
+         CASE WHEN event_id % 10 = 0 THEN 'canceled' ELSE 'active' END AS status,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS ts_iso,
+         (event_id % 101 = 0 OR event_id % 211 = 0) AS poison
+  FROM events
+  WHERE event_id % 4 <> 0 AND event_type IN ('purchase', 'signup', 'view'))"""
+
+N_BRONZE = """
+n_bronze AS (
+  SELECT 'event-shard-0-' || lpad(CAST(event_id AS VARCHAR), 20, '0') AS event_id,
+    'shard-0:' || lpad(CAST(event_id AS VARCHAR), 20, '0') AS kinesis_sequence_number,
+    channel AS kinesis_partition_key,
+    CAST(epoch_us(ts) AS DOUBLE) / CAST(1000000 AS DOUBLE) AS kinesis_arrival_timestamp,
+    'invitee.created' AS webhook_event,
+    ts_iso AS webhook_created_at,
+    channel AS marketing_channel,
+    event_type AS event_type_url,
+    'inv-' || CAST(event_id AS VARCHAR) AS invitee_uri,
+    'u' || CAST(user_id AS VARCHAR) || '@example.com' AS invitee_email,
+    'User ' || CAST(user_id AS VARCHAR) AS invitee_name,
+    CAST(NULL AS VARCHAR) AS invitee_first_name,
+    CAST(NULL AS VARCHAR) AS invitee_last_name,
+    ts_iso AS invitee_created_at,
+    status AS invitee_status,
+    'UTC' AS invitee_timezone,
+    CASE WHEN event_id % 3 = 0 THEN '+1-555-' || CAST(event_id AS VARCHAR) END AS invitee_phone,
+    'se-' || CAST(event_id AS VARCHAR) AS scheduled_event_uri,
+    'Intro call' AS scheduled_event_name,
+    CASE WHEN event_id % 97 = 0 THEN 'not-a-time' ELSE ts_iso END AS scheduled_event_start_time,
+    strftime(ts + INTERVAL 30 MINUTE, '%Y-%m-%dT%H:%M:%S.%fZ') AS scheduled_event_end_time,
+    ts_iso AS scheduled_event_created_at,
+    status AS scheduled_event_status,
+    'zoom' AS scheduled_event_location_type,
+    'https://example.com/meet' AS scheduled_event_location,
+    CASE WHEN event_id % 5 = 0 THEN NULL ELSE 'host' || CAST(user_id % 9 AS VARCHAR) || '@example.com' END AS host_email,
+    CASE WHEN event_id % 5 = 0 THEN NULL ELSE 'Host ' || CAST(user_id % 9 AS VARCHAR) END AS host_name,
+    event_type AS utm_source, 'cpc' AS utm_medium, 'camp-' || CAST(user_id % 7 AS VARCHAR) AS utm_campaign,
+    CAST(NULL AS VARCHAR) AS utm_content, CAST(NULL AS VARCHAR) AS utm_term,
+    CASE WHEN event_id % 97 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%d') END AS booking_date,
+    CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(year(ts) AS INTEGER) END AS booking_year,
+    CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(month(ts) AS INTEGER) END AS booking_month,
+    CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(day(ts) AS INTEGER) END AS booking_day,
+    CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(hour(ts) AS INTEGER) END AS booking_hour,
+    CASE WHEN event_id % 97 = 0 THEN NULL ELSE dayname(ts) END AS booking_day_of_week,
+    ts, user_id, event_id AS _eid
+  FROM n_msgs WHERE NOT poison)"""
+
+N_SILVER = """
+n_silver AS (
+  SELECT webhook_event, marketing_channel, event_type_url, invitee_uri, invitee_email, invitee_name,
+    invitee_status, invitee_timezone, invitee_phone,
+    ts AS invitee_created_at, CAST(NULL AS TIMESTAMP) AS invitee_updated_at,
+    scheduled_event_name, scheduled_event_status,
+    CASE WHEN _eid % 97 = 0 THEN NULL ELSE ts END AS scheduled_event_start_time,
+    ts + INTERVAL 30 MINUTE AS scheduled_event_end_time,
+    utm_campaign, utm_source, utm_medium, utm_content, utm_term, host_email, host_name,
+    regexp_extract(invitee_name, '^(\\S+)', 1) AS invitee_first_name,
+    regexp_extract(invitee_name, '\\s+(\\S+)$', 1) AS invitee_last_name,
+    scheduled_event_status AS event_status,
+    lower(invitee_status) = 'canceled' AS invitee_canceled,
+    CASE WHEN _eid % 97 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS booking_date,
+    booking_year, booking_month,
+    CASE WHEN _eid % 97 = 0 THEN NULL ELSE CAST(dayofweek(ts) + 1 AS INTEGER) END AS booking_day_of_week,
+    booking_hour
+  FROM n_bronze)"""
+
+BRONZE_COLUMNS = (
+    "event_id, kinesis_sequence_number, kinesis_partition_key, kinesis_arrival_timestamp, webhook_event, "
+    "webhook_created_at, marketing_channel, event_type_url, invitee_uri, invitee_email, invitee_name, "
+    "invitee_first_name, invitee_last_name, invitee_created_at, invitee_status, invitee_timezone, invitee_phone, "
+    "scheduled_event_uri, scheduled_event_name, scheduled_event_start_time, scheduled_event_end_time, "
+    "scheduled_event_created_at, scheduled_event_status, scheduled_event_location_type, scheduled_event_location, "
+    "host_email, host_name, utm_source, utm_medium, utm_campaign, utm_content, utm_term, booking_date, "
+    "booking_year, booking_month, booking_day, booking_hour, booking_day_of_week"
+)
+
+SILVER_NO_CLOCK = (
+    "webhook_event, marketing_channel, event_type_url, invitee_uri, invitee_email, invitee_name, invitee_status, "
+    "invitee_timezone, invitee_phone, invitee_created_at, invitee_updated_at, scheduled_event_name, "
+    "scheduled_event_status, scheduled_event_start_time, scheduled_event_end_time, utm_campaign, utm_source, "
+    "utm_medium, utm_content, utm_term, host_email, host_name, invitee_first_name, invitee_last_name, "
+    "event_status, invitee_canceled, booking_date, booking_year, booking_month, booking_day_of_week, booking_hour"
+)

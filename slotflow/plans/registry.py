@@ -83,3 +83,294 @@ def q_booking_time_analysis(spark, sf_dir):
 def q_employee_meeting_load(spark, sf_dir):
     """X9 / A9 on adapter O (lineitem x supplier)."""
     return M.employee_meeting_load(meetings_o(spark, sf_dir), clock=False)
+
+
+def _full(sql_body: str, *ctes: str) -> str:
+    return Q.with_ctes(*ctes) + sql_body
+
+
+def _wrap(inner: str, outer: str) -> str:
+    """``outer`` selects from ``gold`` = the result of the full statement ``inner``."""
+    return outer.replace("{gold}", f"({inner}) AS gold")
+
+
+DAILY_E = _full(Q.daily_bookings_sql("e_bookings"), Q.E_BOOKINGS)
+CPB_O = _full(Q.cost_per_booking_sql("o_bookings", "o_spend"), Q.O_BOOKINGS, Q.O_SPEND)
+ATTR_O = _full(Q.channel_attribution_sql("o_bookings", "o_spend"), Q.O_BOOKINGS, Q.O_SPEND)
+TIME_E = _full(Q.booking_time_sql("e_bookings"), Q.E_BOOKINGS)
+LOAD_O = _full(Q.meeting_load_sql("o_meetings"), Q.O_MEETINGS)
+
+
+# ------------------------------------------------------------------ read models, roll-ups
+from slotflow.plans import readmodels as R  # noqa: E402
+from slotflow.operators import aggregations as A  # noqa: E402
+from slotflow.operators import ordering as O  # noqa: E402
+from slotflow.operators.windows import dedup_latest, latest_first  # noqa: E402
+from slotflow.operators.projections import last_n_days, coerce, sanitize_columns  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+def _gold_views(spark, sf_dir):
+    R.register_gold_views(
+        {
+            "daily_bookings_by_source": M.daily_bookings_by_source(silver_e(spark, sf_dir), clock=False),
+            "cost_per_booking": M.cost_per_booking(silver_o(spark, sf_dir), AD.lineitem_spend(spark, sf_dir), clock=False),
+            "channel_attribution": M.channel_attribution(silver_o(spark, sf_dir), AD.lineitem_spend(spark, sf_dir), clock=False),
+            "booking_time_analysis": M.booking_time_analysis(silver_e(spark, sf_dir), clock=False),
+            "employee_meeting_load": M.employee_meeting_load(meetings_o(spark, sf_dir), clock=False),
+        }
+    )
+
+
+@register("v_daily_bookings", _wrap(DAILY_E, "SELECT booking_date AS date, source, total_bookings, active_bookings, cancelled_bookings, cancellation_rate FROM {gold}"))
+def q_v_daily_bookings(spark, sf_dir):
+    """Dashboard read model over gold, through spark.sql on temp views."""
+    _gold_views(spark, sf_dir)
+    return R.read_model(spark, "v_daily_bookings")
+
+
+@register("v_cost_per_booking", _wrap(CPB_O, "SELECT date, channel, total_spend, total_bookings, cost_per_booking, cumulative_spend, cumulative_bookings, cumulative_cpb FROM {gold}"))
+def q_v_cost_per_booking(spark, sf_dir):
+    """P19 / S22 / O1."""
+    _gold_views(spark, sf_dir)
+    return R.read_model(spark, "v_cost_per_booking")
+
+
+@register("v_channel_attribution", _wrap(ATTR_O, "SELECT channel, total_bookings, unique_leads, total_spend, cost_per_booking, cost_per_lead, rank_by_bookings, rank_by_cpb FROM {gold}"))
+def q_v_channel_attribution(spark, sf_dir):
+    """P19 / S22 / O2."""
+    _gold_views(spark, sf_dir)
+    return R.read_model(spark, "v_channel_attribution")
+
+
+@register("v_booking_time", _wrap(TIME_E, "SELECT booking_hour, booking_day_of_week, marketing_channel, bookings_count, percentage_of_channel FROM {gold}"))
+def q_v_booking_time(spark, sf_dir):
+    """P19 / S22."""
+    _gold_views(spark, sf_dir)
+    return R.read_model(spark, "v_booking_time")
+
+
+@register("v_meeting_load", _wrap(LOAD_O, "SELECT host_email, host_name, avg_meetings_per_week, total_meetings, weeks_active, max_meetings_in_week, min_meetings_in_week FROM {gold}"))
+def q_v_meeting_load(spark, sf_dir):
+    """P19 / S22 / O2."""
+    _gold_views(spark, sf_dir)
+    return R.read_model(spark, "v_meeting_load")
+
+
+@register("weekly_trend", _full("""
+, d AS (SELECT booking_date AS date, marketing_channel AS source, count(invitee_uri) AS bookings_count FROM e_bookings GROUP BY ALL)
+SELECT CAST(date_trunc('week', date) AS DATE) AS week_start, source, CAST(sum(bookings_count) AS BIGINT) AS bookings_count,
+       count(*) AS days_with_bookings FROM d GROUP BY ALL""", Q.E_BOOKINGS))
+def q_weekly_trend(spark, sf_dir):
+    """A10: weekly volume by source."""
+    return M.weekly_bookings_trend(silver_e(spark, sf_dir))
+
+
+@register("kpi_summary", _wrap(ATTR_O, """
+SELECT CAST(sum(total_bookings) AS BIGINT) AS total_bookings,
+       CAST(sum(CAST(total_spend AS DECIMAL(38,6))) AS DOUBLE) AS total_spend,
+       list_reduce(list_sort(list(cost_per_booking) FILTER (WHERE cost_per_booking IS NOT NULL)), lambda a, b: a + b)
+         / count(cost_per_booking) AS avg_cost_per_booking,
+       CAST(sum(unique_leads) AS BIGINT) AS unique_leads
+FROM {gold}"""))
+def q_kpi_summary(spark, sf_dir):
+    """A11 over the channel attribution table."""
+    attr = M.channel_attribution(silver_o(spark, sf_dir), AD.lineitem_spend(spark, sf_dir), clock=False)
+    return R.kpi_summary(attr)
+
+
+KPI_AS_OF, KPI_DAYS = "2024-01-30", 7
+
+
+@register("kpi_period_delta", _full(f"""
+, p AS (SELECT DATE '{KPI_AS_OF}' AS e)
+, b AS (SELECT CASE WHEN booking_date > e - {KPI_DAYS} AND booking_date <= e THEN 'current'
+                    WHEN booking_date > e - {2 * KPI_DAYS} AND booking_date <= e - {KPI_DAYS} THEN 'previous' END AS per,
+               invitee_uri, invitee_email FROM e_bookings, p)
+, s AS (SELECT CASE WHEN date > e - {KPI_DAYS} AND date <= e THEN 'current'
+                    WHEN date > e - {2 * KPI_DAYS} AND date <= e - {KPI_DAYS} THEN 'previous' END AS per,
+               spend FROM e_spend, p)
+, k AS (SELECT
+   (SELECT count(invitee_uri) FROM b WHERE per = 'current') AS bookings_current,
+   (SELECT count(invitee_uri) FROM b WHERE per = 'previous') AS bookings_previous,
+   (SELECT CAST(coalesce(sum(CAST(spend AS DECIMAL(38,6))), 0) AS DOUBLE) FROM s WHERE per = 'current') AS spend_current,
+   (SELECT CAST(coalesce(sum(CAST(spend AS DECIMAL(38,6))), 0) AS DOUBLE) FROM s WHERE per = 'previous') AS spend_previous,
+   (SELECT count(DISTINCT invitee_email) FROM b WHERE per = 'current') AS leads_current,
+   (SELECT count(DISTINCT invitee_email) FROM b WHERE per = 'previous') AS leads_previous)
+, c AS (SELECT *, CASE WHEN bookings_current > 0 THEN spend_current / bookings_current END AS cpb_current,
+                  CASE WHEN bookings_previous > 0 THEN spend_previous / bookings_previous END AS cpb_previous FROM k)
+SELECT *,
+  CASE WHEN bookings_previous > 0 THEN CAST(bookings_current - bookings_previous AS DOUBLE) / bookings_previous * 100 END AS bookings_change_pct,
+  CASE WHEN spend_previous > 0 THEN (spend_current - spend_previous) / spend_previous * 100 END AS spend_change_pct,
+  CASE WHEN cpb_previous > 0 THEN (cpb_current - cpb_previous) / cpb_previous * 100 END AS cpb_change_pct,
+  CASE WHEN leads_previous > 0 THEN CAST(leads_current - leads_previous AS DOUBLE) / leads_previous * 100 END AS leads_change_pct
+FROM c""", Q.E_BOOKINGS, Q.E_SPEND))
+def q_kpi_period_delta(spark, sf_dir):
+    """Last 7 days to 2024-01-30 against the 7 days before (events adapter)."""
+    return R.kpi_period_delta(silver_e(spark, sf_dir), AD.events_spend(spark, sf_dir), KPI_AS_OF, KPI_DAYS)
+
+
+@register("overall_cpb", _wrap(CPB_O, """
+SELECT channel, CAST(sum(CAST(total_spend AS DECIMAL(38,6))) AS DOUBLE) AS total_spend, CAST(sum(total_bookings) AS BIGINT) AS total_bookings,
+  CASE WHEN sum(total_bookings) > 0 THEN CAST(sum(CAST(total_spend AS DECIMAL(38,6))) AS DOUBLE) / CAST(sum(total_bookings) AS BIGINT) END AS cpb
+FROM {gold} GROUP BY channel"""))
+def q_overall_cpb(spark, sf_dir):
+    """A13 over the cost-per-booking table."""
+    cpb = M.cost_per_booking(silver_o(spark, sf_dir), AD.lineitem_spend(spark, sf_dir), clock=False)
+    return R.overall_cpb(cpb)
+
+
+_DOW = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
+
+@register("booking_heatmap", _wrap(TIME_E, "SELECT booking_hour, " + ", ".join(
+    f"CAST(coalesce(sum(bookings_count) FILTER (WHERE booking_day_of_week = {d}), 0) AS BIGINT) AS {_DOW[d - 1]}"
+    for d in [2, 3, 4, 5, 6, 7, 1]) + " FROM {gold} GROUP BY booking_hour"))
+def q_booking_heatmap(spark, sf_dir):
+    """Hour x weekday pivot."""
+    return R.booking_heatmap(M.booking_time_analysis(silver_e(spark, sf_dir), clock=False))
+
+
+@register("hourly_bookings", _wrap(TIME_E, "SELECT booking_hour, CAST(sum(bookings_count) AS BIGINT) AS bookings_count FROM {gold} GROUP BY booking_hour"))
+def q_hourly_bookings(spark, sf_dir):
+    """A15."""
+    return R.hourly_bookings(M.booking_time_analysis(silver_e(spark, sf_dir), clock=False))
+
+
+@register("dow_bookings", _wrap(TIME_E, """SELECT booking_day_of_week, CAST(sum(bookings_count) AS BIGINT) AS bookings_count,
+  ['Sunday','Monday','Tuesday','Wednesday','Thursday','Friday','Saturday'][booking_day_of_week] AS day_name
+  FROM {gold} GROUP BY booking_day_of_week"""))
+def q_dow_bookings(spark, sf_dir):
+    """A16 + F7."""
+    return R.dow_bookings(M.booking_time_analysis(silver_e(spark, sf_dir), clock=False))
+
+
+@register("meeting_load_kpis", _wrap(LOAD_O, """SELECT CAST(sum(total_meetings) AS BIGINT) AS total_meetings,
+  max(max_meetings_in_week) AS max_meetings_in_week, avg(avg_meetings_per_week) AS avg_meetings_per_week FROM {gold}"""))
+def q_meeting_load_kpis(spark, sf_dir):
+    """A18."""
+    return R.meeting_load_kpis(M.employee_meeting_load(meetings_o(spark, sf_dir), clock=False))
+
+
+@register("cumulative_bookings", _wrap(DAILY_E, """SELECT booking_date AS date, source, total_bookings,
+  CAST(sum(total_bookings) OVER (PARTITION BY source ORDER BY booking_date ASC NULLS FIRST
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative FROM {gold}"""))
+def q_cumulative_bookings(spark, sf_dir):
+    """W10."""
+    daily = M.daily_bookings_by_source(silver_e(spark, sf_dir), clock=False).select("booking_date", "source", "total_bookings")
+    return R.cumulative_daily_bookings(daily)
+
+
+@register("distinct_sources", _full("SELECT DISTINCT marketing_channel AS source FROM e_bookings", Q.E_BOOKINGS))
+def q_distinct_sources(spark, sf_dir):
+    """A20."""
+    return A.distinct_sources(silver_e(spark, sf_dir))
+
+
+_COUNT_TABLES = ["events", "orders", "lineitem", "customer", "supplier", "part"]
+
+
+@register("row_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _COUNT_TABLES))
+def q_row_counts(spark, sf_dir):
+    """A19."""
+    return A.row_counts({t: AD.read_table(spark, sf_dir, t) for t in _COUNT_TABLES})
+
+
+@register("last_n_days", _wrap(DAILY_E, f"SELECT * FROM {{gold}} WHERE booking_date > DATE '{KPI_AS_OF}' - 7 AND booking_date <= DATE '{KPI_AS_OF}'"))
+def q_last_n_days(spark, sf_dir):
+    """Daily bookings of the 7 days to the as-of date."""
+    return last_n_days(M.daily_bookings_by_source(silver_e(spark, sf_dir), clock=False), "booking_date", 7, KPI_AS_OF)
+
+
+@register("series_by_source", _wrap(DAILY_E, "SELECT * FROM {gold} WHERE source = 'purchase'"))
+def q_series_by_source(spark, sf_dir):
+    """O3: one source's daily rows in date order."""
+    return O.series(M.daily_bookings_by_source(silver_e(spark, sf_dir), clock=False), "source", "purchase", "booking_date")
+
+
+@register("leaderboard_by_cpb", _wrap(ATTR_O, "SELECT channel, total_bookings, total_spend, cost_per_booking FROM {gold}"))
+def q_leaderboard_by_cpb(spark, sf_dir):
+    """O2: channels by cost per booking (ascending, nulls last)."""
+    attr = M.channel_attribution(silver_o(spark, sf_dir), AD.lineitem_spend(spark, sf_dir), clock=False)
+    return O.leaderboard(attr.select("channel", "total_bookings", "total_spend", "cost_per_booking"), "cost_per_booking", True, "channel")
+
+
+@register("coerce_gold_text", _wrap(CPB_O, "SELECT date, channel, total_spend, total_bookings, cost_per_booking, cumulative_spend, cumulative_bookings, cumulative_cpb FROM {gold}"))
+def q_coerce_gold_text(spark, sf_dir):
+    """P20: gold rows as text (as a SQL service returns them), coerced back to types."""
+    cpb = M.cost_per_booking(silver_o(spark, sf_dir), AD.lineitem_spend(spark, sf_dir), clock=False)
+    cols = ["date", "channel", "total_spend", "total_bookings", "cost_per_booking", "cumulative_spend", "cumulative_bookings", "cumulative_cpb"]
+    text = cpb.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    return coerce(text, {"date": "date", "total_spend": "double", "total_bookings": "bigint", "cost_per_booking": "double",
+                         "cumulative_spend": "double", "cumulative_bookings": "bigint", "cumulative_cpb": "double"})
+
+
+# ------------------------------------------------------------------ dedup, spend normalizer
+@register("dedup_latest", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST,
+    l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST, l_quantity DESC NULLS LAST, l_extendedprice DESC NULLS LAST,
+    l_discount DESC NULLS LAST, l_tax DESC NULLS LAST, l_returnflag DESC NULLS LAST, l_linestatus DESC NULLS LAST) AS rn
+  FROM lineitem) WHERE rn = 1""")
+def q_dedup_latest(spark, sf_dir):
+    """Latest line item per (l_orderkey, l_linenumber), every other column as tie-break."""
+    li = AD.read_table(spark, sf_dir, "lineitem")
+    rest = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+    return dedup_latest(li, ["l_orderkey", "l_linenumber"], latest_first("l_shipdate", rest))
+
+
+@register("clean_spend", _full("""
+SELECT date, channel, spend, ingested_at, source_file, ingestion_date,
+  CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day
+FROM (SELECT *, row_number() OVER (PARTITION BY date, channel ORDER BY ingested_at DESC NULLS LAST, spend DESC NULLS LAST,
+        source_file DESC NULLS LAST, ingestion_date DESC NULLS LAST) AS rn
+      FROM o_spend WHERE date IS NOT NULL AND channel IS NOT NULL AND spend IS NOT NULL AND spend >= 0)
+WHERE rn = 1""", Q.O_SPEND))
+def q_clean_spend(spark, sf_dir):
+    """X2 / P5 / P6 / P8 / W9 on adapter O spend records."""
+    from slotflow.plans.normalize import clean_spend
+
+    return clean_spend(AD.lineitem_spend(spark, sf_dir), clock=False)
+
+
+@register("clean_bookings", _full("""
+SELECT 'invitee.created' AS webhook_event, invitee_uri, invitee_email, marketing_channel, event_status AS invitee_status,
+  event_status AS scheduled_event_status, start_time AS scheduled_event_start_time, event_status, invitee_canceled,
+  booking_date, booking_year, booking_month, booking_day_of_week, booking_hour
+FROM o_bookings""", Q.O_BOOKINGS))
+def q_clean_bookings(spark, sf_dir):
+    """X1 / P2 / P7 / F3-F8 on adapter O (columns the adapter fills)."""
+    s = silver_o(spark, sf_dir)
+    return s.select("webhook_event", "invitee_uri", "invitee_email", "marketing_channel", "invitee_status",
+                    "scheduled_event_status", "scheduled_event_start_time", "event_status", "invitee_canceled",
+                    "booking_date", "booking_year", "booking_month", "booking_day_of_week", "booking_hour")
+
+
+@register("nest_spend", _full("""
+SELECT date, channel, CAST(0 AS BIGINT) AS chunk, count(*) AS record_count, CAST(count(*) AS INTEGER) AS n_records,
+  min(spend) AS min_spend, max(spend) AS max_spend
+FROM o_spend GROUP BY date, channel""", Q.O_SPEND))
+def q_nest_spend(spark, sf_dir):
+    """Spend documents per (date, channel); record arrays summarized for comparison."""
+    docs = A.nest_spend(AD.lineitem_spend(spark, sf_dir))
+    return docs.select(
+        "date", "channel", "chunk", "record_count", F.size("records").alias("n_records"),
+        F.array_min(F.transform("records", lambda r: r["spend"])).alias("min_spend"),
+        F.array_max(F.transform("records", lambda r: r["spend"])).alias("max_spend"),
+    )
+
+
+@register("flatten_records", _full("SELECT date, channel, spend, ingested_at, source_file, ingestion_date FROM o_spend", Q.O_SPEND))
+def q_flatten_records(spark, sf_dir):
+    """Nested spend documents back to rows (round trip of A17)."""
+    from slotflow.operators.projections import flatten_records
+
+    return flatten_records(A.nest_spend(AD.lineitem_spend(spark, sf_dir)).select("records"))
+
+
+@register("union_spend", Q.with_ctes(Q.E_SPEND, Q.O_SPEND) + """
+SELECT date, channel, spend, ingested_at, source_file, ingestion_date FROM e_spend
+UNION ALL SELECT date, channel, spend, ingested_at, source_file, ingestion_date FROM o_spend""")
+def q_union_spend(spark, sf_dir):
+    """Bag union of two spend sources by column name."""
+    return O.union_all([AD.events_spend(spark, sf_dir), AD.lineitem_spend(spark, sf_dir)])

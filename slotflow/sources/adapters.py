@@ -168,8 +168,10 @@ def events_webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("scheduled_event"),
     )
     event = F.when(eid % 4 == 0, F.lit("invitee.canceled")).otherwise(F.lit("invitee.created"))
+    arrival = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)
     return ev.select(
         eid.alias("event_id"),
+        arrival.alias("_ts"),
         F.struct(event.alias("event"), _iso(F.col("ts")).alias("created_at"), payload.alias("payload")).alias("webhook"),
     )
 
@@ -177,7 +179,7 @@ def events_webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HTTP-style requests: ``body`` holds the webhook as JSON text (P14's main shape)."""
     w = events_webhooks(spark, sf_dir)
-    return w.select("event_id", F.to_json("webhook").alias("body"))
+    return w.select("event_id", "_ts", F.to_json("webhook").alias("body"))
 
 
 def enriched_envelopes(enriched: DataFrame) -> DataFrame:
@@ -191,7 +193,7 @@ def enriched_envelopes(enriched: DataFrame) -> DataFrame:
     return enriched.withColumn("_text", text).select(
         eid,
         data.alias("data"),
-        F.format_string("4960%016d", eid).alias("sequence_number"),
+        F.format_string("shard-0:%020d", eid).alias("sequence_number"),
         F.col("marketing_channel").alias("partition_key"),
         F.col("_ts").alias("arrival_ts"),
     )
