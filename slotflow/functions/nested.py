@@ -19,8 +19,7 @@ def phone_answer(questions_and_answers: Column) -> Column:
         questions_and_answers,
         lambda qa: F.coalesce(F.lower(qa["question"]).contains(PHONE_QUESTION_MARKER), F.lit(False)),
     )
-    first = F.get(matches, 0)
-    return F.when(first.isNotNull(), F.coalesce(first["answer"], F.lit("")))
+    return F.get(F.transform(matches, lambda qa: F.coalesce(qa["answer"], F.lit(""))), 0)
 
 
 def first_member_field(memberships: Column, field: str) -> Column:

@@ -134,7 +134,13 @@ def unwrap_body(df: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFr
     """A request holds the webhook as JSON text in ``body``, as an object in ``body``
     (already parsed into the top-level fields), or is the webhook itself. Output: event,
     created_at, payload, plus ``raw`` (the body text kept for the audit archive)."""
-    parsed = parse_json(F.col("body"), schemas.WEBHOOK) if "body" in df.columns else F.lit(None).cast(schemas.WEBHOOK)
+    # The parsed body is materialized once as a column and referenced by name below; embedding
+    # the from_json expression in each consumer would make Catalyst evaluate it per reference.
+    if "body" in df.columns:
+        df = df.withColumn("_parsed", parse_json(F.col("body"), schemas.WEBHOOK))
+    else:
+        df = df.withColumn("_parsed", F.lit(None).cast(schemas.WEBHOOK))
+    parsed = F.col("_parsed")
     direct = F.struct(
         safe_col(df, "event").alias("event"),
         safe_col(df, "created_at").alias("created_at"),
@@ -151,14 +157,15 @@ def unwrap_body(df: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFr
 def tag_decode_errors(df: DataFrame, data_col: str = "data") -> DataFrame:
     """P15 without the split: every row gets ``_msg`` (the parsed message) and ``error``
     (null when the row decoded)."""
-    text = decode_base64_text(F.col(data_col))
-    msg = parse_json(text, schemas.ENRICHED)
+    # Each step is its own column so the base64 decode and the JSON parse run once per row.
+    tagged = df.withColumn("_text", decode_base64_text(F.col(data_col)))
+    tagged = tagged.withColumn("_msg", parse_json(F.col("_text"), schemas.ENRICHED))
     error = (
         F.when(F.col(data_col).isNull(), F.lit("missing data"))
-        .when(text.isNull(), F.lit("invalid base64"))
-        .when(msg.isNull() | msg["_corrupt_record"].isNotNull(), F.lit("invalid json"))
+        .when(F.col("_text").isNull(), F.lit("invalid base64"))
+        .when(F.col("_msg").isNull() | F.col("_msg._corrupt_record").isNotNull(), F.lit("invalid json"))
     )
-    return df.withColumn("_msg", msg).withColumn("error", error)
+    return tagged.withColumn("error", error).drop("_text")
 
 
 def decode_payload(df: DataFrame, data_col: str = "data") -> tuple[DataFrame, DataFrame]:
@@ -218,7 +225,8 @@ def flatten_booking(df: DataFrame, msg_col: str = "_msg", clock: bool = True) ->
     m = F.col(msg_col)
     inv, se, tr = m["invitee_data"], m["scheduled_event_data"], m["tracking_data"]
     start_text = se["start_time"]
-    start = parse_timestamp(start_text)
+    df = df.withColumn("_start", parse_timestamp(start_text))
+    start = F.col("_start")
     return df.select(
         safe_event_id(F.col("sequence_number")).alias("event_id"),
         F.col("sequence_number").alias("kinesis_sequence_number"),

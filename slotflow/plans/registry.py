@@ -374,3 +374,244 @@ UNION ALL SELECT date, channel, spend, ingested_at, source_file, ingestion_date
 def q_union_spend(spark, sf_dir):
     """Bag union of two spend sources by column name."""
     return O.union_all([AD.events_spend(spark, sf_dir), AD.lineitem_spend(spark, sf_dir)])
+
+
+# ------------------------------------------------------------------ webhooks and stream records (adapter N)
+from slotflow.plans import webhooks as WH  # noqa: E402
+from slotflow.operators.projections import tag_decode_errors  # noqa: E402
+
+_BRONZE_NO_CLOCK = [c.strip() for c in Q.BRONZE_COLUMNS.split(",")]
+_SILVER_NO_CLOCK = [c.strip() for c in Q.SILVER_NO_CLOCK.split(",")]
+
+
+def _envelopes(spark, sf_dir):
+    """T1 output as it would sit on the booking stream: staged in the checkpoint folder,
+    so the decode job (T2) reads records, as it does in production."""
+    from slotflow.sources.staging import stage
+
+    enriched = WH.process_webhooks(AD.events_requests(spark, sf_dir), AD.FIXTURE_EVENT_TYPE_CHANNELS, keep=["event_id", "_ts"])
+    return stage(AD.enriched_envelopes(enriched), "booking-stream")
+
+
+def _bronze_n(spark, sf_dir):
+    good, _bad = WH.decode_to_bronze(_envelopes(spark, sf_dir), clock=False)
+    return good
+
+
+@register("flatten_booking", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE) + f"SELECT {Q.BRONZE_COLUMNS} FROM n_bronze")
+def q_flatten_booking(spark, sf_dir):
+    """T1 + T2 in batch form: P14 unwrap, P9 event filter, P10/J3/F24 allow-list, P11 enrich,
+    S16 message JSON, base64 envelope, P15/F21/F22 decode, P12 flatten with F17-F20, F10, F23."""
+    return _bronze_n(spark, sf_dir).select(*_BRONZE_NO_CLOCK)
+
+
+@register("clean_bookings_nested", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE, Q.N_SILVER) + f"SELECT {Q.SILVER_NO_CLOCK} FROM n_silver")
+def q_clean_bookings_nested(spark, sf_dir):
+    """X1 on flattened webhook records: ISO text timestamps parsed, malformed start -> null
+    parts, first/last name, cancel flag from the invitee status."""
+    return clean_bookings(_bronze_n(spark, sf_dir)).select(*_SILVER_NO_CLOCK)
+
+
+@register("batch_outcome", Q.with_ctes(Q.N_MSGS) + """
+SELECT count(*) FILTER (WHERE NOT poison) AS processed, count(*) FILTER (WHERE poison) AS failed FROM n_msgs""")
+def q_batch_outcome(spark, sf_dir):
+    """Decoded vs failed records; poison rows are counted, not fatal."""
+    return A.batch_outcome(tag_decode_errors(_envelopes(spark, sf_dir)))
+
+
+@register("dead_letters", Q.with_ctes(Q.N_MSGS) + """
+SELECT 'shard-0:' || lpad(CAST(event_id AS VARCHAR), 20, '0') AS sequence_number, channel AS partition_key,
+  CASE WHEN event_id % 211 = 0 THEN 'invalid base64' ELSE 'invalid json' END AS error
+FROM n_msgs WHERE poison""")
+def q_dead_letters(spark, sf_dir):
+    """The dead-letter rows with their error."""
+    _good, bad = WH.decode_to_bronze(_envelopes(spark, sf_dir), clock=False)
+    return bad.select("sequence_number", "partition_key", "error")
+
+
+@register("stream_messages", Q.with_ctes(Q.N_MSGS) + """
+SELECT channel AS key, 'inv-' || CAST(event_id AS VARCHAR) AS invitee_uri, event_type AS event_type_url,
+  'invitee.created' AS webhook_event FROM n_msgs""")
+def q_stream_messages(spark, sf_dir):
+    """Keyed messages (key = channel); the value JSON is parsed back to check it."""
+    from slotflow import schemas
+    from slotflow.functions.nested import parse_json
+
+    enriched = WH.process_webhooks(AD.events_requests(spark, sf_dir), AD.FIXTURE_EVENT_TYPE_CHANNELS)
+    msgs = WH.enriched_to_message(enriched)
+    back = msgs.select("key", parse_json(F.col("value"), schemas.ENRICHED).alias("m"))
+    return back.select("key", F.col("m.invitee_data.uri").alias("invitee_uri"), F.col("m.event_type_url").alias("event_type_url"),
+                       F.col("m.webhook_event").alias("webhook_event"))
+
+
+# ------------------------------------------------------------------ scalar functions
+@register("person_names", """
+SELECT 'part' AS src, CAST(p_partkey AS VARCHAR) AS id, p_name AS full_name,
+  regexp_extract(p_name, '^(\\S+)', 1) AS first_name, regexp_extract(p_name, '\\s+(\\S+)$', 1) AS last_name FROM part
+UNION ALL
+SELECT 'supplier', CAST(s_suppkey AS VARCHAR), s_name, regexp_extract(s_name, '^(\\S+)', 1),
+  regexp_extract(s_name, '\\s+(\\S+)$', 1) FROM supplier""")
+def q_person_names(spark, sf_dir):
+    """F1 / F2 on two-word (part names) and one-word (supplier names) values."""
+    from slotflow.functions.text import first_name, last_name
+
+    p = AD.read_table(spark, sf_dir, "part").select(F.lit("part").alias("src"), F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("full_name"))
+    s = AD.read_table(spark, sf_dir, "supplier").select(F.lit("supplier").alias("src"), F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("full_name"))
+    both = p.unionByName(s)
+    return both.select("src", "id", "full_name", first_name(F.col("full_name")).alias("first_name"), last_name(F.col("full_name")).alias("last_name"))
+
+
+@register("date_parts", """
+SELECT event_id, CAST(ts AS DATE) AS day, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+  CAST(day(ts) AS INTEGER) AS dom, CAST(dayofweek(ts) + 1 AS INTEGER) AS dow, dayname(ts) AS day_name,
+  CAST(hour(ts) AS INTEGER) AS hour, CAST(weekofyear(ts) AS INTEGER) AS iso_week,
+  CAST(date_trunc('week', ts) AS DATE) AS week_start,
+  strftime(ts, '%Y-%m-%d') AS ymd, strftime(ts, '%Y/%m/%d') AS ymd_path,
+  CAST(ts AS DATE) - 1 AS execution_date,
+  substr(strftime(ts, '%Y-%m-%d'), 1, 4) AS year_text, substr(strftime(ts, '%Y-%m-%d'), 6, 2) AS month_text
+FROM events""")
+def q_date_parts(spark, sf_dir):
+    """F3-F9, F11, F23 and the F5 substring form on every event timestamp."""
+    from slotflow.functions import timeparts as TP
+
+    ev = AD.read_table(spark, sf_dir, "events")
+    ts = F.col("ts").cast("timestamp")
+    day = TP.to_day(ts)
+    return ev.select(
+        "event_id", day.alias("day"), TP.year_of(ts).alias("year"), TP.month_of(ts).alias("month"),
+        TP.day_of(ts).alias("dom"), TP.day_of_week(ts).alias("dow"), TP.day_name(ts).alias("day_name"),
+        TP.hour_of(ts).alias("hour"), TP.iso_week(ts).alias("iso_week"), TP.week_start(ts).alias("week_start"),
+        TP.format_day(ts).alias("ymd"), TP.format_day_path(ts).alias("ymd_path"),
+        F.date_sub(day, 1).alias("execution_date"),
+        F.substring(TP.format_day(ts), 1, 4).alias("year_text"), F.substring(TP.format_day(ts), 6, 2).alias("month_text"),
+    )
+
+
+@register("parse_timestamps", Q.with_ctes(Q.N_MSGS) + """
+SELECT event_id, CASE WHEN event_id % 97 = 0 THEN NULL ELSE ts END AS start_time,
+  CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(hour(ts) AS INTEGER) END AS start_hour FROM n_msgs""")
+def q_parse_timestamps(spark, sf_dir):
+    """ISO-8601 'Z' text to timestamps, malformed values to null (no job failure)."""
+    from slotflow.functions.timeparts import parse_timestamp
+
+    w = AD.events_webhooks(spark, sf_dir)
+    w = w.filter((F.col("webhook.event") == "invitee.created") & F.col("webhook.payload.scheduled_event.event_type").isin(*AD.FIXTURE_EVENT_TYPE_CHANNELS))
+    start = parse_timestamp(F.col("webhook.payload.scheduled_event.start_time"))
+    return w.select("event_id", start.alias("start_time"), F.hour(start).alias("start_hour"))
+
+
+@register("channel_lookup", """
+SELECT event_id, event_type, CASE event_type WHEN 'purchase' THEN 'search_ads' WHEN 'signup' THEN 'social_ads'
+  WHEN 'view' THEN 'video_ads' END AS channel FROM events""")
+def q_channel_lookup(spark, sf_dir):
+    """map lookup (null for event types off the allow-list)."""
+    from slotflow.functions.nested import lookup_channel
+
+    ev = AD.read_table(spark, sf_dir, "events")
+    return ev.select("event_id", "event_type", lookup_channel(F.col("event_type"), AD.FIXTURE_EVENT_TYPE_CHANNELS).alias("channel"))
+
+
+@register("attribute_channel_join", """
+SELECT event_id, event_type AS event_type_url, CASE event_type WHEN 'purchase' THEN 'search_ads' WHEN 'signup' THEN 'social_ads'
+  WHEN 'view' THEN 'video_ads' END AS marketing_channel FROM events WHERE event_type IN ('purchase', 'signup', 'view')""")
+def q_attribute_channel_join(spark, sf_dir):
+    """Allow-list as a dimension table, inner equi-join (Spark broadcasts it by size)."""
+    from slotflow.operators.joins import attribute_channel_join, channel_dimension
+
+    ev = AD.read_table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("event_type_url"))
+    return attribute_channel_join(ev, channel_dimension(spark, AD.FIXTURE_EVENT_TYPE_CHANNELS))
+
+
+@register("sanitize_columns", """
+SELECT event_id AS event_id, ts AS ts, user_id AS user_id, event_type AS event_type, value AS value_usd_, props AS props FROM events""")
+def q_sanitize_columns(spark, sf_dir):
+    """Column names cleaned (non [A-Za-z0-9_] -> '_', runs collapsed, lower case)."""
+    ev = AD.read_table(spark, sf_dir, "events").toDF("Event ID", "TS", "user-id", "Event__Type", "Value (USD)", "props")
+    return sanitize_columns(ev)
+
+
+# ------------------------------------------------------------------ source files, spines
+from slotflow.sources import files as FL  # noqa: E402
+
+
+def _spend_file_names(spark, sf_dir):
+    li = AD.read_table(spark, sf_dir, "lineitem")
+    day = F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd")
+    names = li.select(F.concat(F.lit("spend_data_"), day, F.lit(".json")).alias("file_name"))
+    other = AD.read_table(spark, sf_dir, "orders").select(F.concat(F.lit("notes_"), F.col("o_orderkey").cast("string"), F.lit(".txt")).alias("file_name"))
+    return names.unionByName(other)
+
+
+@register("source_file_dates", """
+SELECT DISTINCT 'spend_data_' || strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') || '.json' AS file_name,
+  CAST(l_shipdate AS DATE) AS file_date FROM lineitem""")
+def q_source_file_dates(spark, sf_dir):
+    """Keep ``spend_data_*.json`` names, parse their dates (one row per file)."""
+    return FL.source_dates(_spend_file_names(spark, sf_dir).distinct())
+
+
+@register("latest_sources", """
+SELECT * FROM (SELECT DISTINCT 'spend_data_' || strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') || '.json' AS file_name,
+  CAST(l_shipdate AS DATE) AS file_date FROM lineitem) ORDER BY file_date DESC LIMIT 30""")
+def q_latest_sources(spark, sf_dir):
+    """The 30 newest source files (a top-k report)."""
+    return O.latest_sources(FL.source_dates(_spend_file_names(spark, sf_dir).distinct()), 30)
+
+
+@register("date_spine", Q.with_ctes(Q.E_BOOKINGS) + """
+, a AS (SELECT marketing_channel, max(booking_date) AS as_of FROM e_bookings GROUP BY marketing_channel)
+SELECT marketing_channel, as_of, CAST(unnest(generate_series(as_of - INTERVAL 29 DAY, as_of, INTERVAL 1 DAY)) AS DATE) AS spine_date FROM a""")
+def q_date_spine(spark, sf_dir):
+    """30-day date spine ending at each channel's last booking date."""
+    anchors = silver_e(spark, sf_dir).groupBy("marketing_channel").agg(F.max("booking_date").alias("as_of"))
+    return O.date_spine(anchors, "as_of", 30)
+
+
+# ------------------------------------------------------------------ keyed upserts (relational form)
+from slotflow.operators.upsert import merge_upsert  # noqa: E402
+
+
+@register("upsert_bookings", Q.with_ctes(Q.O_BOOKINGS) + """
+, src AS (SELECT CAST(l_orderkey AS VARCHAR) AS invitee_uri, CAST(l_shipdate AS DATE) AS booking_date,
+                 'rebooked' AS event_status, l_linenumber, l_shipdate, l_suppkey, l_partkey FROM lineitem)
+, dedup AS (SELECT invitee_uri, booking_date, event_status FROM (
+     SELECT *, row_number() OVER (PARTITION BY invitee_uri ORDER BY l_shipdate DESC NULLS LAST, l_linenumber DESC NULLS LAST,
+       l_suppkey DESC NULLS LAST, l_partkey DESC NULLS LAST) AS rn FROM src) WHERE rn = 1)
+SELECT t.invitee_uri, t.booking_date, t.event_status, t.marketing_channel FROM o_bookings t
+WHERE NOT EXISTS (SELECT 1 FROM dedup d WHERE d.invitee_uri = t.invitee_uri)
+UNION ALL SELECT invitee_uri, booking_date, event_status, CAST(NULL AS VARCHAR) FROM dedup""")
+def q_upsert_bookings(spark, sf_dir):
+    """Booking updates keyed by invitee_uri replace whole rows, new keys are
+    inserted; the update batch is deduplicated latest-first; a column missing in the batch
+    (marketing_channel) is null on updated rows (additive schema)."""
+    target = silver_o(spark, sf_dir).select("invitee_uri", "booking_date", "event_status", "marketing_channel")
+    li = AD.read_table(spark, sf_dir, "lineitem")
+    src = li.select(F.col("l_orderkey").cast("string").alias("invitee_uri"), F.to_date("l_shipdate").alias("booking_date"),
+                    F.lit("rebooked").alias("event_status"), "l_linenumber", "l_shipdate", "l_suppkey", "l_partkey")
+    order = latest_first("l_shipdate", ["l_linenumber", "l_suppkey", "l_partkey"])
+    merged = merge_upsert(target, src, ["invitee_uri"], order)
+    return merged.select("invitee_uri", "booking_date", "event_status", "marketing_channel")
+
+
+@register("upsert_spend", Q.with_ctes(Q.O_SPEND) + """
+, tgt AS (SELECT date, channel, spend, ingested_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY date, channel ORDER BY ingested_at DESC NULLS LAST, spend DESC NULLS LAST,
+      source_file DESC NULLS LAST, ingestion_date DESC NULLS LAST) AS rn FROM o_spend) WHERE rn = 1)
+, src AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS channel, o_totalprice * 0.01 AS spend,
+                 o_orderdate AS ingested_at, o_orderkey FROM orders)
+, dedup AS (SELECT date, channel, spend, ingested_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY date, channel ORDER BY ingested_at DESC NULLS LAST, spend DESC NULLS LAST,
+      o_orderkey DESC NULLS LAST) AS rn FROM src) WHERE rn = 1)
+SELECT t.* FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM dedup d WHERE d.date = t.date AND d.channel = t.channel)
+UNION ALL SELECT * FROM dedup""")
+def q_upsert_spend(spark, sf_dir):
+    """Spend keyed by (date, channel): silver spend from line items, updated by a
+    batch derived from orders (latest per key wins)."""
+    from slotflow.plans.normalize import clean_spend
+
+    target = clean_spend(AD.lineitem_spend(spark, sf_dir), clock=False).select("date", "channel", "spend", "ingested_at")
+    o = AD.read_table(spark, sf_dir, "orders")
+    src = o.select(F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("channel"),
+                   (F.col("o_totalprice") * F.lit(0.01)).alias("spend"), F.col("o_orderdate").cast("timestamp").alias("ingested_at"), "o_orderkey")
+    merged = merge_upsert(target, src, ["date", "channel"], latest_first("ingested_at", ["spend", "o_orderkey"]))
+    return merged.select("date", "channel", "spend", "ingested_at")
