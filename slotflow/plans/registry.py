@@ -615,3 +615,94 @@ def q_upsert_spend(spark, sf_dir):
                    (F.col("o_totalprice") * F.lit(0.01)).alias("spend"), F.col("o_orderdate").cast("timestamp").alias("ingested_at"), "o_orderkey")
     merged = merge_upsert(target, src, ["date", "channel"], latest_first("ingested_at", ["spend", "o_orderkey"]))
     return merged.select("date", "channel", "spend", "ingested_at")
+
+
+# ------------------------------------------------------------------ jobs over files: streams and pipelines
+from slotflow import schemas as SC  # noqa: E402
+from slotflow.session import scratch_path  # noqa: E402
+
+
+def _t2_bronze_dir(spark, sf_dir) -> str:
+    """Run the T2 stream (availableNow) over staged envelopes plus a redelivered slice
+    (every 7th record delivered twice, in a later file); returns the bronze folder."""
+    from slotflow.streaming import jobs as J
+
+    base = scratch_path(spark, "t2")
+    env = _envelopes(spark, sf_dir).drop("event_id")
+    env.write.mode("append").json(f"{base}/in")
+    env.filter(F.substring("sequence_number", -2, 2).cast("int") % 7 == 0).write.mode("append").json(f"{base}/in")
+    q = J.bronze_writer(spark, f"{base}/in", f"{base}/bronze", f"{base}/dead", f"{base}/ckpt", trigger={"availableNow": True})
+    J.run_to_end(q)
+    return f"{base}/bronze"
+
+
+def _read_bronze(spark, path):
+    return spark.read.schema(SC.BRONZE_BOOKING).option("recursiveFileLookup", "true").json(path)
+
+
+@register("stream_bronze_bookings", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE) + f"SELECT {Q.BRONZE_COLUMNS} FROM n_bronze")
+def q_stream_bronze_bookings(spark, sf_dir):
+    """Streamed decode to bronze JSON; redeliveries dropped by the
+    watermark dedup, poison rows diverted; the bronze files read back (S1)."""
+    return _read_bronze(spark, _t2_bronze_dir(spark, sf_dir)).select(*_BRONZE_NO_CLOCK)
+
+
+@register("stream_daily_counts", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE) + """
+SELECT CAST(ts AS DATE) AS date, marketing_channel AS channel, count(*) AS total_bookings
+FROM n_bronze WHERE _eid % 97 <> 0 GROUP BY ALL""")
+def q_stream_daily_counts(spark, sf_dir):
+    """Live bookings per (day, channel) from the bronze stream, update mode into a keyed
+    table; the table read back."""
+    from slotflow.streaming import jobs as J
+
+    bronze = _t2_bronze_dir(spark, sf_dir)
+    base = scratch_path(spark, "t7")
+    J.run_to_end(J.live_daily_counts(spark, bronze, f"{base}/counts", f"{base}/ckpt", trigger={"availableNow": True}))
+    return spark.read.parquet(f"{base}/counts").select("date", "channel", "total_bookings")
+
+
+def _job_config(spark, name):
+    from slotflow.config import PipelineConfig
+
+    base = scratch_path(spark, name)
+    return PipelineConfig(f"{base}/bronze", f"{base}/silver", f"{base}/gold", "slotflow_check", AD.FIXTURE_EVENT_TYPE_CHANNELS)
+
+
+@register("bronze_to_silver_job", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE, Q.N_SILVER) + f"SELECT {Q.SILVER_NO_CLOCK} FROM n_silver")
+def q_bronze_to_silver_job(spark, sf_dir):
+    """X3 end to end: bronze booking JSON (written by T2) and bronze spend documents (S18, one
+    per day and channel from the events adapter)
+    -> silver tables (create, then a second run that upserts the same rows: idempotent)
+    -> silver bookings read back (S3)."""
+    from slotflow.plans.pipelines import bronze_to_silver
+    from slotflow.plans.webhooks import decode_to_bronze
+    from slotflow.sources import tables as TB
+
+    cfg = _job_config(spark, "x3")
+    good, _bad = decode_to_bronze(_envelopes(spark, sf_dir))
+    good.withColumns({"channel": F.col("marketing_channel"), "date": F.coalesce("booking_date", F.lit("unknown"))}) \
+        .write.partitionBy("channel", "date").json(cfg.bronze_bookings)
+    TB.write_bronze_spend(A.nest_spend(AD.events_spend(spark, sf_dir)), cfg.bronze_spend, "2024-01-31")
+    bronze_to_silver(spark, cfg, multiline=False)
+    bronze_to_silver(spark, cfg, multiline=False)
+    return spark.read.parquet(cfg.silver_bookings).select(*_SILVER_NO_CLOCK)
+
+
+@register("silver_to_gold_job", CPB_O)
+def q_silver_to_gold_job(spark, sf_dir):
+    """X10 end to end: silver tables written partitioned (S4, S5) -> all gold metrics in one
+    job (one pruned scan of each silver table, S21 counters) -> gold table read back (S10)."""
+    from slotflow.plans.normalize import clean_spend
+    from slotflow.plans.pipelines import silver_to_gold
+    from slotflow.sources import tables as TB
+
+    cfg = _job_config(spark, "x10")
+    TB.write_silver_bookings(silver_o(spark, sf_dir), cfg.silver_bookings)
+    # silver spend as loaded by an append-only loader: every record kept (no dedup here)
+    spend = AD.lineitem_spend(spark, sf_dir).withColumns({"year": F.year("date"), "month": F.month("date")})
+    TB.write_silver_spend(spend, cfg.silver_spend)
+    errors: list[str] = []
+    silver_to_gold(spark, cfg, errors=errors)
+    if errors:
+        raise RuntimeError(f"gold metrics failed: {errors}")
+    return spark.read.parquet(f"{cfg.gold_metrics}/cost_per_booking").drop("calculated_at")

@@ -142,10 +142,10 @@ BRONZE_BOOKING_FIELDS: list[tuple[str, T.DataType]] = [
     ("utm_content", S),
     ("utm_term", S),
     ("booking_date", S),
-    ("booking_year", L),
-    ("booking_month", L),
-    ("booking_day", L),
-    ("booking_hour", L),
+    ("booking_year", I),
+    ("booking_month", I),
+    ("booking_day", I),
+    ("booking_hour", I),
     ("booking_day_of_week", S),
 ]
 BRONZE_BOOKING = _struct(*BRONZE_BOOKING_FIELDS)

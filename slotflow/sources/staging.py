@@ -16,3 +16,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files behind a staged DataFrame once nothing reads it any more."""
+    spark = df.sparkSession
+    for path in df.inputFiles()[:1]:
+        root = path.rsplit("/", 1)[0]
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(root)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if "slotflow-stage" in root and fs.exists(p):
+            fs.delete(p, True)
