@@ -202,12 +202,19 @@ def dow_bookings(t: DataFrame) -> DataFrame:
     return agg.withColumn("day_name", F.try_element_at(names, F.col("booking_day_of_week")))
 
 
+# Fixed-point scale for means of per-host averages: each average is an exact integer of
+# 1e-9 units, so the sum (and the mean) does not depend on how rows are partitioned.
+MEAN_SCALE = 1_000_000_000
+
+
 def meeting_load_kpis(m: DataFrame) -> DataFrame:
-    """Total meetings, busiest week of any host, mean of the hosts' weekly averages."""
+    """Total meetings, busiest week of any host, mean of the hosts' weekly averages
+    (fixed-point, 1e-9 resolution, identical however the hosts are partitioned)."""
+    per_host = F.expr(f"(total_meetings * {MEAN_SCALE}) div weeks_active").cast("decimal(38,0)")
     return m.agg(
         F.sum("total_meetings").alias("total_meetings"),
         F.max("max_meetings_in_week").alias("max_meetings_in_week"),
-        F.avg("avg_meetings_per_week").alias("avg_meetings_per_week"),
+        (F.sum(per_host).cast("double") / F.lit(float(MEAN_SCALE)) / F.count(F.lit(1))).alias("avg_meetings_per_week"),
     )
 
 

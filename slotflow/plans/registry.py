@@ -246,7 +246,9 @@ def q_dow_bookings(spark, sf_dir):
 
 
 @register("meeting_load_kpis", _wrap(LOAD_O, """SELECT CAST(sum(total_meetings) AS BIGINT) AS total_meetings,
-  max(max_meetings_in_week) AS max_meetings_in_week, avg(avg_meetings_per_week) AS avg_meetings_per_week FROM {gold}"""))
+  max(max_meetings_in_week) AS max_meetings_in_week,
+  CAST(sum(CAST((total_meetings * 1000000000) // weeks_active AS DECIMAL(38,0))) AS DOUBLE) / CAST(1000000000 AS DOUBLE)
+    / count(*) AS avg_meetings_per_week FROM {gold}"""))
 def q_meeting_load_kpis(spark, sf_dir):
     """A18."""
     return R.meeting_load_kpis(M.employee_meeting_load(meetings_o(spark, sf_dir), clock=False))

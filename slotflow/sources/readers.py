@@ -81,6 +81,7 @@ def read_spend_files(
         .option("multiLine", "true")
         .option("ignoreMissingFiles", "true")
         .option("ignoreCorruptFiles", "true")
+        .option("mode", "DROPMALFORMED")
         .json(paths)
     )
     return df.withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
