@@ -141,6 +141,9 @@ def unwrap_body(df: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFr
     else:
         df = df.withColumn("_parsed", F.lit(None).cast(schemas.WEBHOOK))
     parsed = F.col("_parsed")
+    if "body" in df.columns and not any(c in df.columns for c in ("event", "created_at", "payload")):
+        # Only the text shape can occur: the parsed body is the webhook.
+        return df.select(*keep, "_parsed.event", "_parsed.created_at", "_parsed.payload", F.col("body").alias("raw"))
     direct = F.struct(
         safe_col(df, "event").alias("event"),
         safe_col(df, "created_at").alias("created_at"),

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from slotflow import schemas
-from slotflow.operators.projections import unwrap_body
+from slotflow.operators.projections import flatten_booking, tag_decode_errors, unwrap_body
 from slotflow.plans.normalize import clean_bookings
-from slotflow.plans.webhooks import decode_to_bronze, enriched_to_message, process_webhooks
+from slotflow.plans.webhooks import enriched_to_message, process_webhooks
 from slotflow.sources import readers, tables
 
 PROCESSING_WINDOW = {"processingTime": "10 seconds"}
@@ -73,18 +73,18 @@ def dedup_redeliveries(envelopes: DataFrame, delay: str = DEDUP_DELAY) -> DataFr
 
 def write_bronze_batch(batch: DataFrame, bronze_dir: str, dead_letter_dir: str) -> None:
     """One micro-batch of T2: decode, flatten, write good rows to bronze partitioned
-    ``channel=/date=`` (S14) and bad rows to the dead-letter folder (T3). The batch is
-    persisted so the decode runs once for both outputs."""
-    batch = batch.persist()
+    ``channel=/date=`` (S14) and bad rows to the dead-letter folder (T3). The decoded batch is
+    persisted, so base64 and JSON are decoded once for both outputs."""
+    tagged = tag_decode_errors(batch).persist()
     try:
-        good, bad = decode_to_bronze(batch)
+        good = flatten_booking(tagged.filter(F.col("error").isNull()))
         out = good.withColumns(
             {"channel": F.col("marketing_channel"), "date": F.coalesce(F.col("booking_date"), F.lit("unknown"))}
         )
-        out.repartition("channel", "date").write.mode("append").partitionBy("channel", "date").json(bronze_dir)
-        bad.write.mode("append").json(dead_letter_dir)
+        out.hint("rebalance", "channel", "date").write.mode("append").partitionBy("channel", "date").json(bronze_dir)
+        tagged.filter(F.col("error").isNotNull()).drop("_msg").write.mode("append").json(dead_letter_dir)
     finally:
-        batch.unpersist()
+        tagged.unpersist()
 
 
 def bronze_writer(
