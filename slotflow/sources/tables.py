@@ -108,7 +108,7 @@ def upsert_table(
     target = spark.read.schema(_merged_schema(spark, path, src)).parquet(path)
     old_homes = target.select(*keys, *partition_cols).join(src.select(*keys), keys, "left_semi").select(*partition_cols)
     touched = stage(src.select(*partition_cols).unionByName(old_homes).distinct(), "upsert-touched")
-    old = target.join(touched, _null_safe_on(target, touched, partition_cols), "left_semi")
+    old = _rows_in_partitions(target, touched, partition_cols)
     merged = stage(merge_upsert(old, src, keys), "upsert-merged")
     (
         spread(merged, partition_cols)
@@ -128,6 +128,27 @@ def upsert_table(
     return result
 
 
+# Up to this many touched partitions, the list becomes a static partition filter on the
+# scan (the list is partition metadata, one row per folder, never data rows).
+MAX_STATIC_PARTITION_FILTER = 2000
+
+
+def _rows_in_partitions(target: DataFrame, touched: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """Rows of ``target`` inside the ``touched`` partitions. A bounded list is pushed to the
+    scan as a partition filter, so untouched folders are never listed or read; a longer list
+    falls back to a semi-join on the partition columns (correct, without pruning)."""
+    values = touched.limit(MAX_STATIC_PARTITION_FILTER + 1).collect()
+    if len(values) > MAX_STATIC_PARTITION_FILTER:
+        return target.join(touched, _null_safe_on(target, touched, partition_cols), "left_semi")
+    cond = F.lit(False)
+    for row in values:
+        one = F.lit(True)
+        for c in partition_cols:
+            one = one & F.col(c).eqNullSafe(F.lit(row[c]))
+        cond = cond | one
+    return target.filter(cond)
+
+
 def _not_null(keys: list[str]) -> Column:
     cond = F.lit(True)
     for k in keys:
