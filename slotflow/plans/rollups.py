@@ -1,0 +1,165 @@
+"""Gold metrics from shared roll-ups: the silver_to_gold job (X10) at scale.
+
+Computing each metric from silver scans silver bookings six times. Here silver bookings are
+scanned three times, each scan pruned to a few columns and reduced by a partial aggregate
+before its shuffle:
+
+* ``slots``: bookings, active and cancelled counts per (date, channel, hour, weekday);
+  its size is days x channels x 24, whatever the number of bookings;
+* ``email_days``: distinct (date, channel, email), the only input of the distinct counts;
+* ``host_weeks``: meetings per (host, week).
+
+Every metric is then a small aggregate over these tables. The results equal the per-metric
+plans of ``slotflow.plans.metrics`` exactly (counts are sums of counts; distinct counts are
+counts over a distinct set; money stays DECIMAL until output); ``tests/test_rollups.py``
+checks the equality.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, functions as F
+
+from slotflow.functions.columns import count_where, percentage, safe_divide
+from slotflow.operators import aggregations as A
+from slotflow.operators.joins import join_channel_totals, join_spend_bookings
+from slotflow.operators.projections import with_metric_metadata
+from slotflow.operators.windows import cumulative_cpb, rank_channels, rolling_avg, share_of_channel
+from slotflow.plans.metrics import METRIC_NAMES
+
+
+@dataclass
+class BookingRollups:
+    slots: DataFrame
+    email_days: DataFrame
+    host_weeks: DataFrame
+
+    def persist(self) -> "BookingRollups":
+        for df in (self.slots, self.email_days):
+            df.persist(StorageLevel.MEMORY_AND_DISK)
+        return self
+
+    def unpersist(self) -> None:
+        for df in (self.slots, self.email_days):
+            df.unpersist()
+
+
+def booking_rollups(bookings: DataFrame) -> BookingRollups:
+    slots = bookings.groupBy("booking_date", "marketing_channel", "booking_hour", "booking_day_of_week").agg(
+        F.count("invitee_uri").alias("n"),
+        count_where(F.col("event_status") == F.lit("active")).alias("n_active"),
+        count_where(F.col("invitee_canceled") == F.lit(True)).alias("n_cancelled"),
+    )
+    email_days = bookings.select("booking_date", "marketing_channel", "invitee_email").distinct()
+    return BookingRollups(slots, email_days, A.weekly_meetings(bookings))
+
+
+def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[k])
+    return cond
+
+
+def daily_bookings_by_source(r: BookingRollups, clock: bool = True) -> DataFrame:
+    keys = ["booking_date", "marketing_channel"]
+    counts = r.slots.groupBy(*keys).agg(
+        F.sum("n").alias("total_bookings"),
+        F.sum("n_active").alias("active_bookings"),
+        F.sum("n_cancelled").alias("cancelled_bookings"),
+    )
+    emails = r.email_days.groupBy(*keys).agg(F.count("invitee_email").alias("unique_emails"))
+    # Both sides have one row per (date, channel) group, nulls included: a null-safe key join.
+    m = counts.join(emails, _same_keys(counts, emails, keys), "inner").select(
+        counts["booking_date"],
+        counts["marketing_channel"].alias("source"),
+        "total_bookings",
+        "unique_emails",
+        "active_bookings",
+        "cancelled_bookings",
+    )
+    d = F.col("booking_date")
+    m = m.withColumn("cancellation_rate", percentage(F.col("cancelled_bookings"), F.col("total_bookings")))
+    m = m.withColumns({"year": F.year(d), "month": F.month(d), "day": F.dayofmonth(d), "day_of_week": F.dayofweek(d)})
+    return with_metric_metadata(m, METRIC_NAMES["daily_bookings_by_source"], clock)
+
+
+def _daily(r: BookingRollups, date_alias: str, channel_alias: str, count_alias: str) -> DataFrame:
+    return r.slots.groupBy(F.col("booking_date").alias(date_alias), F.col("marketing_channel").alias(channel_alias)).agg(
+        F.sum("n").alias(count_alias)
+    )
+
+
+def spend_daily(spend: DataFrame) -> DataFrame:
+    """Spend roll-up: exact DECIMAL spend per (date, channel) (A4); A7 is its sum by channel."""
+    return A.spend_by_date_channel(spend)
+
+
+def cost_per_booking(r: BookingRollups, daily_spend: DataFrame, clock: bool = True) -> DataFrame:
+    joined = join_spend_bookings(daily_spend, _daily(r, "date", "channel", "total_bookings"))
+    joined = joined.fillna(0, subset=["total_bookings", "total_spend"])
+    m = cumulative_cpb(joined)
+    m = m.withColumn("total_spend", F.col("total_spend").cast("double"))
+    m = m.withColumn("cost_per_booking", safe_divide(F.col("total_spend"), F.col("total_bookings")))
+    m = m.select(
+        "date", "channel", "total_spend", "total_bookings", "cost_per_booking",
+        "cumulative_spend", "cumulative_bookings", "cumulative_cpb",
+    )
+    d = F.col("date")
+    m = m.withColumns({"year": F.year(d), "month": F.month(d), "day": F.dayofmonth(d)})
+    return with_metric_metadata(m, METRIC_NAMES["cost_per_booking"], clock)
+
+
+def bookings_trend(r: BookingRollups, clock: bool = True) -> DataFrame:
+    m = rolling_avg(rolling_avg(_daily(r, "date", "source", "bookings_count"), 7), 30)
+    d = F.col("date")
+    m = m.withColumns({"week_of_year": F.weekofyear(d), "year": F.year(d)})
+    return with_metric_metadata(m, METRIC_NAMES["bookings_trend"], clock)
+
+
+def channel_attribution(r: BookingRollups, daily_spend: DataFrame, clock: bool = True) -> DataFrame:
+    totals = r.slots.groupBy("marketing_channel").agg(F.sum("n").alias("total_bookings"))
+    leads = (
+        r.email_days.select("marketing_channel", "invitee_email").distinct()
+        .groupBy("marketing_channel").agg(F.count("invitee_email").alias("unique_leads"))
+    )
+    bookings = totals.join(leads, _same_keys(totals, leads, ["marketing_channel"]), "inner").select(
+        totals["marketing_channel"], "total_bookings", "unique_leads"
+    )
+    by_channel = daily_spend.groupBy("channel").agg(F.sum("total_spend").alias("total_spend"))
+    m = join_channel_totals(by_channel, bookings)
+    m = m.withColumns(
+        {
+            "cost_per_booking": safe_divide(F.col("total_spend"), F.col("total_bookings")),
+            "cost_per_lead": safe_divide(F.col("total_spend"), F.col("unique_leads")),
+        }
+    )
+    return with_metric_metadata(rank_channels(m), METRIC_NAMES["channel_attribution"], clock)
+
+
+def booking_time_analysis(r: BookingRollups, clock: bool = True) -> DataFrame:
+    t = r.slots.groupBy("booking_hour", "booking_day_of_week", "marketing_channel").agg(F.sum("n").alias("bookings_count"))
+    return with_metric_metadata(share_of_channel(t), METRIC_NAMES["booking_time_analysis"], clock)
+
+
+def employee_meeting_load(r: BookingRollups, clock: bool = True) -> DataFrame:
+    m = r.host_weeks.groupBy("host_email", "host_name").agg(
+        F.avg("meetings").alias("avg_meetings_per_week"),
+        F.sum("meetings").alias("total_meetings"),
+        F.count(F.lit(1)).alias("weeks_active"),
+        F.max("meetings").alias("max_meetings_in_week"),
+        F.min("meetings").alias("min_meetings_in_week"),
+    )
+    return with_metric_metadata(m, METRIC_NAMES["employee_meeting_load"], clock)
+
+
+GOLD_FROM_ROLLUPS = {
+    "daily_bookings_by_source": lambda r, s, clock=True: daily_bookings_by_source(r, clock),
+    "cost_per_booking": lambda r, s, clock=True: cost_per_booking(r, s, clock),
+    "bookings_trend": lambda r, s, clock=True: bookings_trend(r, clock),
+    "channel_attribution": lambda r, s, clock=True: channel_attribution(r, s, clock),
+    "booking_time_analysis": lambda r, s, clock=True: booking_time_analysis(r, clock),
+    "employee_meeting_load": lambda r, s, clock=True: employee_meeting_load(r, clock),
+}
