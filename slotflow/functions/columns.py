@@ -28,15 +28,34 @@ def column_type(df: DataFrame, name: str) -> T.DataType | None:
     return dtype
 
 
+def conform(c: Column, actual: T.DataType, target: T.DataType) -> Column:
+    """``c`` (of type ``actual``) reshaped to ``target``: struct fields matched by name
+    (missing ones become typed nulls, extra ones are dropped), arrays element-wise, scalars
+    with ``try_cast`` (bad values become null). Incompatible shapes give null."""
+    if actual == target:
+        return c
+    if isinstance(target, T.StructType) and isinstance(actual, T.StructType):
+        have = {f.name: f.dataType for f in actual.fields}
+        fields = [
+            (conform(c[f.name], have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in target.fields
+        ]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(target, T.ArrayType) and isinstance(actual, T.ArrayType):
+        return F.transform(c, lambda x: conform(x, actual.elementType, target.elementType))
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    if isinstance(actual, nested) or isinstance(target, nested):
+        return F.lit(None).cast(target)
+    return c.try_cast(target)
+
+
 def safe_col(df: DataFrame, name: str, dtype: T.DataType = T.StringType()) -> Column:
-    """The column as ``dtype`` when present (``try_cast``: bad values become null),
-    a typed null when absent. Works for nested paths."""
+    """The column as ``dtype`` when present (conformed: bad values become null, nested
+    values are matched field by field), a typed null when absent. Works for nested paths."""
     current = column_type(df, name)
     if current is None:
         return F.lit(None).cast(dtype)
-    if current == dtype:
-        return F.col(name)
-    return F.col(name).try_cast(dtype)
+    return conform(F.col(name), current, dtype)
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:

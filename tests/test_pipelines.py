@@ -94,3 +94,12 @@ def test_ingest_spend_and_run_log(spark, tmp_dir):
     assert len(runs) == 1 and runs[0]["status"] == "completed" and runs[0]["records_processed"] == 3
     ingest_spend(spark, src, cfg, as_of="2024-01-04")  # same key: last write wins, still one row
     assert tables.read_runs(spark, cfg.run_log).count() == 1
+
+
+def test_config_requires_every_location():
+    import pytest
+
+    with pytest.raises(ValueError):
+        PipelineConfig("", "s", "g", "db")
+    with pytest.raises(ValueError):
+        PipelineConfig("b", "s", "g", "  ")

@@ -61,3 +61,39 @@ def test_redelivery_dedup_and_dead_letters(spark, tmp_dir):
     n_dead = dead.count() if dead is not None else 0
     assert bronze.count() + n_dead == env.count()
     assert bronze.select("event_id").distinct().count() == bronze.count()
+
+
+def test_daily_counts_drop_rows_beyond_watermark(spark, tmp_dir):
+    """A row older than the 24 h watermark arriving in a later micro-batch is not counted
+    live (the batch metric still sees it in bronze)."""
+    bronze = f"{tmp_dir}/bronze"
+    os.makedirs(bronze)
+
+    def put(name, rows):
+        with open(f"{bronze}/{name}.json", "w") as f:
+            for uri, start in rows:
+                f.write(json.dumps({"invitee_uri": uri, "marketing_channel": "fb", "scheduled_event_start_time": start}) + "\n")
+
+    put("a", [("u1", "2024-01-01T10:00:00Z"), ("u2", "2024-01-05T10:00:00Z")])
+    q = J.live_daily_counts(spark, bronze, f"{tmp_dir}/counts", f"{tmp_dir}/ckpt", trigger={"availableNow": True})
+    J.run_to_end(q)
+    put("b", [("u3", "2024-01-01T12:00:00Z"), ("u4", "2024-01-05T12:00:00Z")])  # u3 is 4 days late
+    q = J.live_daily_counts(spark, bronze, f"{tmp_dir}/counts", f"{tmp_dir}/ckpt", trigger={"availableNow": True})
+    J.run_to_end(q)
+    got = {(r["date"].isoformat(), r["channel"]): r["total_bookings"] for r in spark.read.parquet(f"{tmp_dir}/counts").collect()}
+    assert got == {("2024-01-01", "fb"): 1, ("2024-01-05", "fb"): 2}
+
+
+def test_unwrap_body_shapes(spark):
+    """Body as JSON text, or the request itself is the webhook (object form)."""
+    from slotflow.operators.projections import unwrap_body
+
+    text = spark.createDataFrame([('{"event": "invitee.created", "payload": {"uri": "u1"}}',)], "body string")
+    assert unwrap_body(text).select("event", "payload.uri").first() == ("invitee.created", "u1")
+    direct = spark.createDataFrame([("invitee.created", "2024-01-01T00:00:00Z", ("u2",))],
+                                   "event string, created_at string, payload struct<uri:string>")
+    assert unwrap_body(direct).select("event", "payload.uri").first() == ("invitee.created", "u2")
+    mixed = spark.createDataFrame([('{"event": "invitee.created", "payload": {"uri": "u3"}}', None), (None, "invitee.canceled")],
+                                  "body string, event string")
+    rows = sorted((r[0], r[1]) for r in unwrap_body(mixed).select("event", "payload.uri").collect())
+    assert rows == [("invitee.canceled", None), ("invitee.created", "u3")]
