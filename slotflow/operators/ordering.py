@@ -40,3 +40,13 @@ def date_spine(anchors: DataFrame, as_of_col: str, days: int) -> DataFrame:
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """Bag union by column name; columns missing on one side become null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread rows over the cluster's cores before CPU-heavy row work (JSON, base64) when the
+    input has fewer partitions than ``defaultParallelism`` (a few large files, or one row
+    group). At scale the input already has more splits than cores and this is a no-op."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from slotflow.functions.nested import encode_base64_text
+from slotflow.operators.ordering import ensure_parallelism
 
 # Fixture values of adapter N: the event types on the allow-list and their channels.
 FIXTURE_EVENT_TYPE_CHANNELS = {"purchase": "search_ads", "signup": "social_ads", "view": "video_ads"}
@@ -125,7 +126,7 @@ def events_webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     event = 'invitee.created' unless event_id % 4 = 0 ('invitee.canceled'); a phone question
     when event_id % 3 = 0; no host when event_id % 5 = 0; malformed start when event_id % 97 = 0."""
-    ev = read_table(spark, sf_dir, "events")
+    ev = ensure_parallelism(read_table(spark, sf_dir, "events"))
     eid = F.col("event_id")
     start = F.when(eid % 97 == 0, F.lit("not-a-time")).otherwise(_iso(F.col("ts")))
     second_q = F.when(eid % 3 == 0, F.lit("Phone number")).otherwise(F.lit("Role"))
