@@ -49,7 +49,9 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, multiline: bool =
         latest_first("webhook_received_at", BOOKING_TIE_BREAKS),
     )
     spend = clean_spend(readers.read_bronze_spend(spark, cfg.bronze_spend, multiline))
-    s = tables.upsert_table(spark, cfg.silver_spend, spend, ["date", "channel"], tables.SPEND_PARTITIONS)
+    s = tables.upsert_table(
+        spark, cfg.silver_spend, spend, ["date", "channel"], tables.SPEND_PARTITIONS, partitions_follow_keys=True
+    )
     tables.register_table(spark, cfg.database, "bookings_silver", cfg.silver_bookings)
     tables.register_table(spark, cfg.database, "marketing_spend_silver", cfg.silver_spend)
     return {"bookings": b["rows"], "spend": s["rows"]}

@@ -83,6 +83,7 @@ def upsert_table(
     keys: list[str],
     partition_cols: list[str],
     order: list[Column] | None = None,
+    partitions_follow_keys: bool = False,
 ) -> dict[str, int]:
     """Keyed upsert into a partitioned Parquet table; creates it when absent.
 
@@ -91,7 +92,11 @@ def upsert_table(
     moves). Those partitions are read (dynamic partition pruning on the touched list),
     merged with J4, staged in the checkpoint folder (a path being read cannot be overwritten)
     and written back with dynamic partition overwrite. Touched partitions left without rows
-    are removed. Returns counts for the run log."""
+    are removed. Returns counts for the run log.
+
+    ``partitions_follow_keys``: the partition values are a function of the key (spend:
+    (date, channel) -> (year, month, channel)), so an old version always lives in the new
+    row's partition and the scan of the table's keys that finds moved rows is skipped."""
     from pyspark.sql import Observation
 
     obs = Observation("upsert_source")
@@ -106,8 +111,13 @@ def upsert_table(
         return {"rows": int(obs.get["rows"]), "partitions_rewritten": -1}
 
     target = spark.read.schema(_merged_schema(spark, path, src)).parquet(path)
-    old_homes = target.select(*keys, *partition_cols).join(src.select(*keys), keys, "left_semi").select(*partition_cols)
-    touched = stage(src.select(*partition_cols).unionByName(old_homes).distinct(), "upsert-touched")
+    new_homes = src.select(*partition_cols)
+    if not partitions_follow_keys:
+        # Partitions holding old versions of the batch's keys (a row whose date changed
+        # moves): a scan of the key and partition columns only, semi-joined to the batch keys.
+        old_homes = target.select(*keys, *partition_cols).join(src.select(*keys), keys, "left_semi")
+        new_homes = new_homes.unionByName(old_homes.select(*partition_cols))
+    touched = stage(new_homes.distinct(), "upsert-touched")
     old = _rows_in_partitions(target, touched, partition_cols)
     merged = stage(merge_upsert(old, src, keys), "upsert-merged")
     (
@@ -263,7 +273,7 @@ def record_run(
         [(pipeline_id, execution_date, None, records_processed, files_processed, status, error_message)],
         schemas.RUN_LOG,
     ).withColumn("timestamp", F.current_timestamp())
-    upsert_table(spark, path, row, ["pipeline_id", "execution_date"], ["pipeline_id"])
+    upsert_table(spark, path, row, ["pipeline_id", "execution_date"], ["pipeline_id"], partitions_follow_keys=True)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

@@ -61,13 +61,15 @@ def webhook_intake(
 
 # ---------------------------------------------------------------- T2, T3, T4, T5, S14
 def dedup_redeliveries(envelopes: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
-    """T4: a redelivered record (same sequence number) within ``delay`` of the first is dropped;
-    the state is bounded by the watermark."""
+    """T4: a record delivered again (same sequence number) within ``delay`` of its first
+    delivery is dropped. The state is keyed by sequence number and expires ``delay`` after a
+    record was first seen (a processing-time watermark: the micro-batch timestamp), so no
+    record is ever discarded as late, however its own timestamps are ordered."""
     return (
-        envelopes.withColumn("_arrival", F.timestamp_seconds(F.col("arrival_ts")))
-        .withWatermark("_arrival", delay)
+        envelopes.withColumn("_seen", F.current_timestamp())
+        .withWatermark("_seen", delay)
         .dropDuplicatesWithinWatermark(["sequence_number"])
-        .drop("_arrival")
+        .drop("_seen")
     )
 
 
@@ -166,7 +168,10 @@ def live_daily_counts(
     counts = daily_counts(bronze)
 
     def upsert(batch: DataFrame, _id: int) -> None:
-        tables.upsert_table(spark, counts_path, batch.withColumn("year", F.year("date")), ["date", "channel"], ["year"])
+        tables.upsert_table(
+            spark, counts_path, batch.withColumn("year", F.year("date")), ["date", "channel"], ["year"],
+            partitions_follow_keys=True,
+        )
 
     return _start(
         counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(upsert),

@@ -47,3 +47,13 @@ def test_cost_per_booking_exchanges(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # two aggregates on (date, channel) feed the full outer join without re-shuffling it
     assert "SortMergeJoin" in plan and "FullOuter" in plan
+
+
+@pytest.mark.parametrize("name", ["daily_bookings_by_source", "cost_per_booking", "channel_attribution",
+                                  "booking_time_analysis", "employee_meeting_load", "bookings_trend", "clean_spend"])
+def test_aggregates_combine_before_the_shuffle(spark, name):
+    """A hot key (a third of all rows) must be reduced map-side: every aggregation has a
+    partial stage (or, for the dedup, a partial group limit) below its exchange."""
+    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    assert "partial_" in plan or "WindowGroupLimit" in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
