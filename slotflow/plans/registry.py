@@ -6,13 +6,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from slotflow import schemas as SC
+from slotflow.operators import aggregations as A
+from slotflow.operators import ordering as O
+from slotflow.operators.projections import coerce, last_n_days, sanitize_columns, tag_decode_errors
+from slotflow.operators.upsert import merge_upsert
+from slotflow.operators.windows import dedup_latest, latest_first
 from slotflow.plans import metrics as M
 from slotflow.plans import oracle as Q
+from slotflow.plans import readmodels as R
+from slotflow.plans import webhooks as WH
 from slotflow.plans.normalize import clean_bookings
-from slotflow.session import configure
+from slotflow.session import configure, scratch_path
 from slotflow.sources import adapters as AD
+from slotflow.sources import files as FL
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -102,12 +111,6 @@ LOAD_O = _full(Q.meeting_load_sql("o_meetings"), Q.O_MEETINGS)
 
 
 # ------------------------------------------------------------------ read models, roll-ups
-from slotflow.plans import readmodels as R  # noqa: E402
-from slotflow.operators import aggregations as A  # noqa: E402
-from slotflow.operators import ordering as O  # noqa: E402
-from slotflow.operators.windows import dedup_latest, latest_first  # noqa: E402
-from slotflow.operators.projections import last_n_days, coerce, sanitize_columns  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 
 def _gold_views(spark, sf_dir):
@@ -379,8 +382,6 @@ def q_union_spend(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ webhooks and stream records (adapter N)
-from slotflow.plans import webhooks as WH  # noqa: E402
-from slotflow.operators.projections import tag_decode_errors  # noqa: E402
 
 _BRONZE_NO_CLOCK = [c.strip() for c in Q.BRONZE_COLUMNS.split(",")]
 _SILVER_NO_CLOCK = [c.strip() for c in Q.SILVER_NO_CLOCK.split(",")]
@@ -533,7 +534,6 @@ def q_sanitize_columns(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ source files, spines
-from slotflow.sources import files as FL  # noqa: E402
 
 
 def _spend_file_names(spark, sf_dir):
@@ -570,7 +570,6 @@ def q_date_spine(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ keyed upserts (relational form)
-from slotflow.operators.upsert import merge_upsert  # noqa: E402
 
 
 @register("upsert_bookings", Q.with_ctes(Q.O_BOOKINGS) + """
@@ -620,8 +619,6 @@ def q_upsert_spend(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ jobs over files: streams and pipelines
-from slotflow import schemas as SC  # noqa: E402
-from slotflow.session import scratch_path  # noqa: E402
 
 
 def _t2_bronze_dir(spark, sf_dir) -> str:
