@@ -57,6 +57,24 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, multiline: bool =
     return {"bookings": b["rows"], "spend": s["rows"]}
 
 
+def bronze_to_silver_incremental(spark: SparkSession, cfg: PipelineConfig, multiline: bool = True) -> None:
+    """X3 on new bronze files only (decision Q14): both silver tables are fed by
+    ``availableNow`` file streams whose checkpoints (next to the silver tables) are the
+    bookmark; each micro-batch is cleaned and upserted, so a rerun after a failure is safe."""
+    from slotflow.streaming import jobs
+
+    configure(spark)
+    ckpt = f"{cfg.silver_root.rstrip('/')}/_checkpoints"
+    jobs.run_to_end(
+        [
+            jobs.bronze_to_silver_incremental(spark, cfg.bronze_bookings, cfg.silver_bookings, f"{ckpt}/bookings", multiline=multiline),
+            jobs.spend_to_silver_incremental(spark, cfg.bronze_spend, cfg.silver_spend, f"{ckpt}/spend", multiline=multiline),
+        ]
+    )
+    tables.register_table(spark, cfg.database, "bookings_silver", cfg.silver_bookings)
+    tables.register_table(spark, cfg.database, "marketing_spend_silver", cfg.silver_spend)
+
+
 def silver_to_gold(
     spark: SparkSession, cfg: PipelineConfig, metrics: list[str] | None = None, errors: list[str] | None = None
 ) -> dict[str, int]:

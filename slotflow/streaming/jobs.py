@@ -119,13 +119,19 @@ def bronze_to_silver_incremental(
     silver_path: str,
     checkpoint: str,
     trigger: dict | None = None,
+    multiline: bool = False,
 ) -> StreamingQuery:
     """Only new bronze files are processed (the stream's checkpoint is the bookmark);
     each micro-batch is cleaned (X1) and upserted (S6), which is idempotent."""
     from slotflow.operators.windows import latest_first
     from slotflow.plans.pipelines import BOOKING_TIE_BREAKS
 
-    bronze = spark.readStream.schema(schemas.BRONZE_BOOKING).option("recursiveFileLookup", "true").json(bronze_dir)
+    bronze = (
+        spark.readStream.schema(schemas.BRONZE_BOOKING)
+        .option("recursiveFileLookup", "true")
+        .option("multiLine", multiline)
+        .json(bronze_dir)
+    )
 
     def upsert(batch: DataFrame, _id: int) -> None:
         tables.upsert_table(
@@ -136,6 +142,37 @@ def bronze_to_silver_incremental(
     return _start(bronze.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert), trigger or {"availableNow": True})
 
 
+def spend_to_silver_incremental(
+    spark: SparkSession,
+    bronze_dir: str,
+    silver_path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    multiline: bool = True,
+) -> StreamingQuery:
+    """T6 for spend: new bronze spend documents -> X2 -> upsert on (date, channel)."""
+    from slotflow.plans.normalize import clean_spend
+
+    bronze = (
+        spark.readStream.schema(schemas.BRONZE_SPEND)
+        .option("recursiveFileLookup", "true")
+        .option("multiLine", multiline)
+        .json(bronze_dir)
+    )
+
+    def upsert(batch: DataFrame, _id: int) -> None:
+        docs = batch.filter(F.col("records").isNotNull()).select(F.explode("records").alias("_r")).select("_r.*")
+        bare = batch.filter(F.col("records").isNull() & F.col("date").isNotNull()).select(
+            *[f.name for f in schemas.SPEND_RECORD.fields]
+        )
+        tables.upsert_table(
+            spark, silver_path, clean_spend(docs.unionByName(bare)), ["date", "channel"], tables.SPEND_PARTITIONS,
+            partitions_follow_keys=True,
+        )
+
+    return _start(bronze.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert), trigger or {"availableNow": True})
+
+
 # ---------------------------------------------------------------- T7
 def daily_counts(bronze: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
     """Bookings per (day, channel) over a stream of bronze records; state is bounded by a

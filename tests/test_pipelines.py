@@ -103,3 +103,26 @@ def test_config_requires_every_location():
         PipelineConfig("", "s", "g", "db")
     with pytest.raises(ValueError):
         PipelineConfig("b", "s", "g", "  ")
+
+
+def test_incremental_bronze_to_silver_reads_new_files_only(spark, tmp_dir):
+    from slotflow.plans.pipelines import bronze_to_silver_incremental
+
+    cfg = PipelineConfig(f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/gold", "slotflow_test3")
+    base = {"webhook_event": "invitee.created", "scheduled_event_status": "active", "marketing_channel": "fb"}
+    _write_bronze_booking(cfg.bronze_root, "fb", "2024-01-01", "e1", dict(base, invitee_uri="u1",
+                          webhook_received_at="2024-01-01T00:00:00Z", scheduled_event_start_time="2024-01-01T10:00:00Z"))
+    os.makedirs(f"{cfg.bronze_spend}/channel=fb/date=2024-01-01", exist_ok=True)
+    with open(f"{cfg.bronze_spend}/channel=fb/date=2024-01-01/spend_data.json", "w") as f:
+        json.dump({"records": [{"date": "2024-01-01", "channel": "fb", "spend": 3.0, "ingested_at": "2024-01-02T00:00:00Z"}]}, f)
+    bronze_to_silver_incremental(spark, cfg)
+    assert spark.read.parquet(cfg.silver_bookings).count() == 1 and spark.read.parquet(cfg.silver_spend).count() == 1
+    _write_bronze_booking(cfg.bronze_root, "fb", "2024-01-03", "e2", dict(base, invitee_uri="u2",
+                          webhook_received_at="2024-01-03T00:00:00Z", scheduled_event_start_time="2024-01-03T10:00:00Z"))
+    os.makedirs(f"{cfg.bronze_spend}/channel=fb/date=2024-01-03", exist_ok=True)
+    with open(f"{cfg.bronze_spend}/channel=fb/date=2024-01-03/spend_data.json", "w") as f:
+        json.dump({"records": [{"date": "2024-01-01", "channel": "fb", "spend": 4.0, "ingested_at": "2024-01-04T00:00:00Z"}]}, f)
+    bronze_to_silver_incremental(spark, cfg)
+    assert {r["invitee_uri"] for r in spark.read.parquet(cfg.silver_bookings).collect()} == {"u1", "u2"}
+    spend = spark.read.parquet(cfg.silver_spend).collect()
+    assert len(spend) == 1 and spend[0]["spend"] == 4.0  # the later version of (2024-01-01, fb)
