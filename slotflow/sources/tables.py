@@ -59,6 +59,7 @@ def write_partitioned(
     (
         spread(df, partition_cols, key_cols or [], fanout)
         .write.mode(mode)
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(*partition_cols)
         .format(fmt)

@@ -77,6 +77,8 @@ def write_bronze_batch(batch: DataFrame, bronze_dir: str, dead_letter_dir: str)
     """One micro-batch of T2: decode, flatten, write good rows to bronze partitioned
     ``channel=/date=`` (S14) and bad rows to the dead-letter folder (T3). The decoded batch is
     persisted, so base64 and JSON are decoded once for both outputs."""
+    if batch.isEmpty():  # no-data batches (watermark advances) have nothing to write
+        return
     tagged = tag_decode_errors(batch).persist()
     try:
         good = flatten_booking(tagged.filter(F.col("error").isNull()))
@@ -134,6 +136,8 @@ def bronze_to_silver_incremental(
     )
 
     def upsert(batch: DataFrame, _id: int) -> None:
+        if batch.isEmpty():
+            return
         tables.upsert_table(
             spark, silver_path, clean_bookings(batch), ["invitee_uri"], tables.BOOKING_PARTITIONS,
             latest_first("webhook_received_at", BOOKING_TIE_BREAKS),
@@ -161,6 +165,8 @@ def spend_to_silver_incremental(
     )
 
     def upsert(batch: DataFrame, _id: int) -> None:
+        if batch.isEmpty():
+            return
         docs = batch.filter(F.col("records").isNotNull()).select(F.explode("records").alias("_r")).select("_r.*")
         bare = batch.filter(F.col("records").isNull() & F.col("date").isNotNull()).select(
             *[f.name for f in schemas.SPEND_RECORD.fields]
@@ -205,6 +211,8 @@ def live_daily_counts(
     counts = daily_counts(bronze)
 
     def upsert(batch: DataFrame, _id: int) -> None:
+        if batch.isEmpty():
+            return
         tables.upsert_table(
             spark, counts_path, batch.withColumn("year", F.year("date")), ["date", "channel"], ["year"],
             partitions_follow_keys=True,
