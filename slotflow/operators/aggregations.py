@@ -97,21 +97,25 @@ def weekly_trend(daily: DataFrame) -> DataFrame:
     )
 
 
-def sorted_fold_mean(c: str) -> Column:
-    """Mean of a double column summed in ascending order (a fixed order, so the result does
-    not depend on partitioning). Only for tables of bounded size, such as one row per channel."""
-    values = F.array_sort(F.collect_list(F.col(c)))
-    total = F.aggregate(values, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-    return F.when(F.size(values) > 0, total / F.size(values))
+# Fixed-point resolution of means of derived doubles (cost per booking): each value is cut to
+# whole micro-units with one multiply and a floor, then summed exactly as DECIMAL, so the mean
+# does not depend on partitioning or summation order.
+MICRO = 1_000_000
+
+
+def fixed_point_mean(c: str, scale: int = MICRO) -> Column:
+    """Mean of a double column at ``1/scale`` resolution (truncated), order-independent."""
+    units = F.floor(F.col(c) * F.lit(float(scale))).cast("decimal(38,0)")
+    return F.sum(units).cast("double") / F.lit(float(scale)) / F.count(c)
 
 
 def kpi_summary(attr: DataFrame) -> DataFrame:
-    """One row over the channel attribution table (one row per channel): total bookings,
-    total spend, mean cost per booking over channels that have one, total leads."""
+    """One row over the channel attribution table: total bookings, total spend, mean
+    cost per booking over channels that have one (micro-unit resolution), total leads."""
     return attr.agg(
         F.sum("total_bookings").alias("total_bookings"),
         money_sum("total_spend").cast("double").alias("total_spend"),
-        sorted_fold_mean("cost_per_booking").alias("avg_cost_per_booking"),
+        fixed_point_mean("cost_per_booking").alias("avg_cost_per_booking"),
         F.sum("unique_leads").alias("unique_leads"),
     )
 

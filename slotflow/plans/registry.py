@@ -113,50 +113,52 @@ LOAD_O = _full(Q.meeting_load_sql("o_meetings"), Q.O_MEETINGS)
 # ------------------------------------------------------------------ read models, roll-ups
 
 
-def _gold_views(spark, sf_dir):
-    R.register_gold_views(
-        {
-            "daily_bookings_by_source": M.daily_bookings_by_source(silver_e(spark, sf_dir), clock=False),
-            "cost_per_booking": M.cost_per_booking(silver_o(spark, sf_dir), AD.lineitem_spend(spark, sf_dir), clock=False),
-            "channel_attribution": M.channel_attribution(silver_o(spark, sf_dir), AD.lineitem_spend(spark, sf_dir), clock=False),
-            "booking_time_analysis": M.booking_time_analysis(silver_e(spark, sf_dir), clock=False),
-            "employee_meeting_load": M.employee_meeting_load(meetings_o(spark, sf_dir), clock=False),
-        }
-    )
+_GOLD_FOR_VIEWS = {
+    "daily_bookings_by_source": lambda spark, sf_dir: M.daily_bookings_by_source(silver_e(spark, sf_dir), clock=False),
+    "cost_per_booking": lambda spark, sf_dir: M.cost_per_booking(silver_o(spark, sf_dir), AD.lineitem_spend(spark, sf_dir), clock=False),
+    "channel_attribution": lambda spark, sf_dir: M.channel_attribution(silver_o(spark, sf_dir), AD.lineitem_spend(spark, sf_dir), clock=False),
+    "booking_time_analysis": lambda spark, sf_dir: M.booking_time_analysis(silver_e(spark, sf_dir), clock=False),
+    "employee_meeting_load": lambda spark, sf_dir: M.employee_meeting_load(meetings_o(spark, sf_dir), clock=False),
+}
+
+
+def _gold_views(spark, sf_dir, *names):
+    """Expose the named gold tables as temp views (each view is a lazy plan)."""
+    R.register_gold_views({n: _GOLD_FOR_VIEWS[n](spark, sf_dir) for n in names})
 
 
 @register("v_daily_bookings", _wrap(DAILY_E, "SELECT booking_date AS date, source, total_bookings, active_bookings, cancelled_bookings, cancellation_rate FROM {gold}"))
 def q_v_daily_bookings(spark, sf_dir):
     """Dashboard read model over gold, through spark.sql on temp views."""
-    _gold_views(spark, sf_dir)
+    _gold_views(spark, sf_dir, "daily_bookings_by_source")
     return R.read_model(spark, "v_daily_bookings")
 
 
 @register("v_cost_per_booking", _wrap(CPB_O, "SELECT date, channel, total_spend, total_bookings, cost_per_booking, cumulative_spend, cumulative_bookings, cumulative_cpb FROM {gold}"))
 def q_v_cost_per_booking(spark, sf_dir):
     """P19 / S22 / O1."""
-    _gold_views(spark, sf_dir)
+    _gold_views(spark, sf_dir, "cost_per_booking")
     return R.read_model(spark, "v_cost_per_booking")
 
 
 @register("v_channel_attribution", _wrap(ATTR_O, "SELECT channel, total_bookings, unique_leads, total_spend, cost_per_booking, cost_per_lead, rank_by_bookings, rank_by_cpb FROM {gold}"))
 def q_v_channel_attribution(spark, sf_dir):
     """P19 / S22 / O2."""
-    _gold_views(spark, sf_dir)
+    _gold_views(spark, sf_dir, "channel_attribution")
     return R.read_model(spark, "v_channel_attribution")
 
 
 @register("v_booking_time", _wrap(TIME_E, "SELECT booking_hour, booking_day_of_week, marketing_channel, bookings_count, percentage_of_channel FROM {gold}"))
 def q_v_booking_time(spark, sf_dir):
     """P19 / S22."""
-    _gold_views(spark, sf_dir)
+    _gold_views(spark, sf_dir, "booking_time_analysis")
     return R.read_model(spark, "v_booking_time")
 
 
 @register("v_meeting_load", _wrap(LOAD_O, "SELECT host_email, host_name, avg_meetings_per_week, total_meetings, weeks_active, max_meetings_in_week, min_meetings_in_week FROM {gold}"))
 def q_v_meeting_load(spark, sf_dir):
     """P19 / S22 / O2."""
-    _gold_views(spark, sf_dir)
+    _gold_views(spark, sf_dir, "employee_meeting_load")
     return R.read_model(spark, "v_meeting_load")
 
 
@@ -172,8 +174,8 @@ def q_weekly_trend(spark, sf_dir):
 @register("kpi_summary", _wrap(ATTR_O, """
 SELECT CAST(sum(total_bookings) AS BIGINT) AS total_bookings,
        CAST(sum(CAST(total_spend AS DECIMAL(38,6))) AS DOUBLE) AS total_spend,
-       list_reduce(list_sort(list(cost_per_booking) FILTER (WHERE cost_per_booking IS NOT NULL)), lambda a, b: a + b)
-         / count(cost_per_booking) AS avg_cost_per_booking,
+       CAST(sum(CAST(floor(cost_per_booking * CAST(1000000 AS DOUBLE)) AS DECIMAL(38,0))) AS DOUBLE)
+         / CAST(1000000 AS DOUBLE) / count(cost_per_booking) AS avg_cost_per_booking,
        CAST(sum(unique_leads) AS BIGINT) AS unique_leads
 FROM {gold}"""))
 def q_kpi_summary(spark, sf_dir):
@@ -618,7 +620,7 @@ def q_upsert_spend(spark, sf_dir):
     return merged.select("date", "channel", "spend", "ingested_at")
 
 
-# ------------------------------------------------------------------ jobs over files: streams and pipelines
+# ------------------------------------------------------------------ jobs over files: streams and batch jobs
 
 
 def _t2_bronze_dir(spark, sf_dir) -> str:
@@ -673,7 +675,7 @@ def q_bronze_to_silver_job(spark, sf_dir):
     per day and channel from the events adapter)
     -> silver tables (S4-S8, upsert path; a second run is checked for idempotence in the
     tests) -> silver bookings read back (S3)."""
-    from slotflow.plans.pipelines import bronze_to_silver
+    from slotflow.plans.batch_jobs import bronze_to_silver
     from slotflow.plans.webhooks import decode_to_bronze
     from slotflow.sources import tables as TB
 
@@ -691,7 +693,7 @@ def q_silver_to_gold_job(spark, sf_dir):
     """X10 end to end: silver tables written partitioned (S4, S5) -> all gold metrics in one
     job (one pruned scan of each silver table, S21 counters) -> gold table read back (S10)."""
     from slotflow.plans.normalize import clean_spend
-    from slotflow.plans.pipelines import silver_to_gold
+    from slotflow.plans.batch_jobs import silver_to_gold
     from slotflow.sources import tables as TB
 
     cfg = _job_config(spark, "x10")

@@ -126,7 +126,7 @@ def bronze_to_silver_incremental(
     """Only new bronze files are processed (the stream's checkpoint is the bookmark);
     each micro-batch is cleaned (X1) and upserted (S6), which is idempotent."""
     from slotflow.operators.windows import latest_first
-    from slotflow.plans.pipelines import BOOKING_TIE_BREAKS
+    from slotflow.plans.batch_jobs import BOOKING_TIE_BREAKS
 
     bronze = (
         spark.readStream.schema(schemas.BRONZE_BOOKING)

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from slotflow.config import PipelineConfig
-from slotflow.plans.pipelines import bronze_to_silver, ingest_spend, silver_to_gold
+from slotflow.plans.batch_jobs import bronze_to_silver, ingest_spend, silver_to_gold
 from slotflow.sources import tables
 
 D = dt.date
@@ -106,7 +106,7 @@ def test_config_requires_every_location():
 
 
 def test_incremental_bronze_to_silver_reads_new_files_only(spark, tmp_dir):
-    from slotflow.plans.pipelines import bronze_to_silver_incremental
+    from slotflow.plans.batch_jobs import bronze_to_silver_incremental
 
     cfg = PipelineConfig(f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/gold", "slotflow_test3")
     base = {"webhook_event": "invitee.created", "scheduled_event_status": "active", "marketing_channel": "fb"}
