@@ -38,7 +38,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return False
 
 
-def spread(df: DataFrame, partition_cols: list[str], key_cols: list[str] | None = None, fanout: int | None = None) -> DataFrame:
+def spread(df: DataFrame, partition_cols: list[str]) -> DataFrame:
     """Distribution for a partitioned write: a REBALANCE on the partition columns. AQE then
     sizes the write tasks from runtime statistics: a table partition holding a third of the
     data is split across several tasks (``optimizeSkewsInRebalancePartitions``), and small
@@ -50,14 +50,12 @@ def write_partitioned(
     df: DataFrame,
     path: str,
     partition_cols: list[str],
-    key_cols: list[str] | None = None,
     mode: str = "overwrite",
     fmt: str = "parquet",
-    fanout: int | None = None,
 ) -> None:
-    """Partitioned create (full overwrite)."""
+    """Partitioned create (full overwrite: folders not in ``df`` are removed)."""
     (
-        spread(df, partition_cols, key_cols or [], fanout)
+        spread(df, partition_cols)
         .write.mode(mode)
         .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -69,12 +67,12 @@ def write_partitioned(
 
 def write_silver_bookings(df: DataFrame, path: str) -> None:
     """S4."""
-    write_partitioned(df, path, BOOKING_PARTITIONS, ["invitee_uri"])
+    write_partitioned(df, path, BOOKING_PARTITIONS)
 
 
 def write_silver_spend(df: DataFrame, path: str) -> None:
     """S5."""
-    write_partitioned(df, path, SPEND_PARTITIONS, ["date", "channel"])
+    write_partitioned(df, path, SPEND_PARTITIONS)
 
 
 def upsert_table(
@@ -107,7 +105,7 @@ def upsert_table(
     src = src.observe(obs, F.count(F.lit(1)).alias("rows"))
     if not table_exists(spark, path):
         staged = stage(src, "upsert-create")
-        write_partitioned(staged, path, partition_cols, keys)
+        write_partitioned(staged, path, partition_cols)
         drop_staged(staged)
         return {"rows": int(obs.get["rows"]), "partitions_rewritten": -1}
 
