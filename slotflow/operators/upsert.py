@@ -29,7 +29,10 @@ def merge_upsert(
     for k in keys:
         cond = cond & F.col(k).isNotNull()
     src = source.filter(cond)
+    # The anti-join needs only the batch's key set, which the dedup does not change: it reads
+    # the key columns of the raw batch (duplicates are harmless to an anti-join), so the dedup
+    # window runs once, on the union branch.
+    keep = target.join(src.select(*keys), on=keys, how="left_anti")
     if order:
         src = dedup_latest(src, keys, order)
-    keep = target.join(src.select(*keys), on=keys, how="left_anti")
     return keep.unionByName(src, allowMissingColumns=allow_missing_columns)

@@ -102,11 +102,12 @@ def upsert_table(
     src = source.filter(_not_null(keys))
     if order:
         src = dedup_latest(src, keys, order)
-    src = src.observe(obs, F.count(F.lit(1)).alias("rows"))
+    # The deduplicated batch is staged once: every later step (touched partitions, merge)
+    # reads it instead of recomputing the batch's plan, and the lineage is cut.
+    src = stage(src.observe(obs, F.count(F.lit(1)).alias("rows")), "upsert-source")
     if not table_exists(spark, path):
-        staged = stage(src, "upsert-create")
-        write_partitioned(staged, path, partition_cols)
-        drop_staged(staged)
+        write_partitioned(src, path, partition_cols)
+        drop_staged(src)
         return {"rows": int(obs.get["rows"]), "partitions_rewritten": -1}
 
     target = spark.read.schema(_merged_schema(spark, path, src)).parquet(path)
@@ -132,8 +133,8 @@ def upsert_table(
     for row in emptied.collect():
         _delete_partition(spark, path, partition_cols, row)
     result = {"rows": int(obs.get["rows"]), "partitions_rewritten": touched.count()}
-    drop_staged(merged)
-    drop_staged(touched)
+    for staged in (merged, touched, src):
+        drop_staged(staged)
     return result
 
 

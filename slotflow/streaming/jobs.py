@@ -105,7 +105,21 @@ def bronze_writer(
     same sequence number, so the event id is deterministic and T4 plus the silver upsert on
     invitee_uri make the result idempotent."""
     env = readers.read_booking_stream(spark, envelopes_dir, max_files_per_trigger)
-    env = dedup_redeliveries(env)
+    return start_bronze_writer(env, bronze_dir, dead_letter_dir, checkpoint, trigger)
+
+
+def start_bronze_writer(
+    envelopes: DataFrame,
+    bronze_dir: str,
+    dead_letter_dir: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """T2 over any streaming source with the envelope columns ``data, sequence_number,
+    partition_key, arrival_ts`` (for example a Kafka or Kinesis stream where the connector is
+    installed: ``value`` cast to string as ``data``, ``offset``/``sequenceNumber`` as
+    ``sequence_number``, ``key`` as ``partition_key``, ``timestamp`` as ``arrival_ts``)."""
+    env = dedup_redeliveries(envelopes)
     return _start(
         env.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
             lambda df, _id: write_bronze_batch(df, bronze_dir, dead_letter_dir)
