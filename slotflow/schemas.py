@@ -105,7 +105,8 @@ STREAM_RECORD = _struct(
     ("data", S), ("sequence_number", S), ("partition_key", S), ("arrival_ts", DBL)
 )
 
-# Flat bronze booking record (one JSON object per file).
+# Flat bronze booking record (one JSON object per file). These field names are
+# the bronze layout existing bronze files carry (including the stream-envelope fields).
 BRONZE_BOOKING_FIELDS: list[tuple[str, T.DataType]] = [
     ("event_id", S),
     ("kinesis_sequence_number", S),
