@@ -116,14 +116,19 @@ def ingest_spend(
     as_of: str | None = None,
     lookback_days: int = 30,
 ) -> dict[str, object]:
-    """X11: pick the newest ``lookback_days`` spend files (O4; date fallback O5), read them in
+    """X11: pick the newest ``lookback_days`` spend files named by the source's index file
+    (else by a listing of the folder; O4, with the date fallback O5), read them in
     one scan (S17, missing/corrupt files skipped), stamp ingest metadata (P17), nest per
     (date, channel) (A17), write bronze documents (S18), record the run (S20)."""
     configure(spark)
     today = dt.date.fromisoformat(as_of) if as_of else dt.datetime.now(dt.timezone.utc).date()
     execution_date = (today - dt.timedelta(days=1)).isoformat()  # F11
     try:
-        listed = files.list_source_dates(spark, source_dir)
+        index = f"{source_dir.rstrip('/')}/{files.INDEX_FILE}"
+        if tables.path_exists(spark, index):
+            listed = files.source_dates(files.read_file_index(spark, index))
+        else:
+            listed = files.list_source_dates(spark, source_dir)
         # k newest dates only: a bounded list (lookback_days values) on the driver.
         dates = [r["file_date"].isoformat() for r in latest_sources(listed, lookback_days).collect() if r["file_date"]]
         if not dates:

@@ -10,6 +10,7 @@ from slotflow.functions.text import has_prefix_suffix
 SPEND_FILE_PREFIX = "spend_data_"
 SPEND_FILE_SUFFIX = ".json"
 SPEND_FILE_DATE = r"^spend_data_(\d{4}-\d{2}-\d{2})\.json$"
+INDEX_FILE = "file_index.json"
 
 
 def source_dates(names: DataFrame, name_col: str = "file_name") -> DataFrame:
@@ -29,3 +30,19 @@ def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataF
 def list_source_dates(spark: SparkSession, directory: str) -> DataFrame:
     """P18 over a real directory."""
     return source_dates(list_files(spark, directory, "*.json"))
+
+
+def read_file_index(spark: SparkSession, index_path: str) -> DataFrame:
+    """The source's file index document ``{"files": [name, ...]}`` as one row per name. A
+    missing or unreadable index gives no rows (the caller falls back to a date spine)."""
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("files", T.ArrayType(T.StringType()))])
+    idx = (
+        spark.read.schema(schema)
+        .option("multiLine", "true")
+        .option("ignoreMissingFiles", "true")
+        .option("mode", "DROPMALFORMED")
+        .json(index_path)
+    )
+    return idx.select(F.explode("files").alias("file_name"))

@@ -75,7 +75,15 @@ def read_spend_files(
     distributed scan. Files of the requested dates that do not exist are skipped; a corrupt
     file is skipped, the rest are read. Each row gets its source file name (P17)."""
     base = source_dir.rstrip("/")
-    paths = [f"{base}/spend_data_{d}.json" for d in dates] if dates else [f"{base}/spend_data_*.json"]
+    if dates:
+        # A bounded list (the lookback window): named files that do not exist are skipped here,
+        # since a missing input path fails the scan (``ignoreMissingFiles`` only covers files
+        # that vanish after listing).
+        paths = [p for p in (f"{base}/spend_data_{d}.json" for d in dates) if _exists(spark, p)]
+        if not paths:
+            return spark.createDataFrame([], schemas.SPEND_RECORD).withColumn("source_file", F.lit(None).cast("string"))
+    else:
+        paths = [f"{base}/spend_data_*.json"]
     df = (
         spark.read.schema(schemas.SPEND_RECORD)
         .option("multiLine", "true")
@@ -87,6 +95,12 @@ def read_spend_files(
     return df.withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def lookback_dates(as_of: str | dt.date, days: int = 30) -> list[str]:
     """O5 fallback list for S17: the ``days`` dates ending at ``as_of`` (a bounded list of
     file names, not data)."""

@@ -25,6 +25,11 @@ def _fs_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A table exists at ``path`` when its folder holds a commit marker, a part file or a
     partition folder (one listing of the top level, never a recursive walk)."""

@@ -126,3 +126,17 @@ def test_incremental_bronze_to_silver_reads_new_files_only(spark, tmp_dir):
     assert {r["invitee_uri"] for r in spark.read.parquet(cfg.silver_bookings).collect()} == {"u1", "u2"}
     spend = spark.read.parquet(cfg.silver_spend).collect()
     assert len(spend) == 1 and spend[0]["spend"] == 4.0  # the later version of (2024-01-01, fb)
+
+
+def test_ingest_spend_uses_file_index(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    for day in ["2024-01-01", "2024-01-02", "2024-01-03"]:
+        with open(f"{src}/spend_data_{day}.json", "w") as f:
+            json.dump([{"channel": "fb", "date": day, "spend": 1.0}], f)
+    # the index names only two of the three files (and one that does not exist)
+    with open(f"{src}/file_index.json", "w") as f:
+        json.dump({"files": ["spend_data_2024-01-01.json", "spend_data_2024-01-03.json", "spend_data_2023-12-31.json", "readme.txt"]}, f)
+    cfg = PipelineConfig(f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/gold", "slotflow_test4")
+    res = ingest_spend(spark, src, cfg, as_of="2024-01-05", lookback_days=30)
+    assert res["files_processed"] == 3 and res["records_processed"] == 2
