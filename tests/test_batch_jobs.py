@@ -140,3 +140,24 @@ def test_ingest_spend_uses_file_index(spark, tmp_dir):
     cfg = PipelineConfig(f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/gold", "slotflow_test4")
     res = ingest_spend(spark, src, cfg, as_of="2024-01-05", lookback_days=30)
     assert res["files_processed"] == 3 and res["records_processed"] == 2
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_dir):
+    """One channel holds a third of all rows: the REBALANCE before a partitioned write lets
+    AQE split that folder's rows over several tasks (several files) and pack the small
+    folders (the advisory size is lowered so that local data counts as large)."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+    try:
+        df = spark.range(60000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), (F.col("id") % 40).cast("string"))).alias("channel"),
+            F.col("id").alias("invitee_uri"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        path = f"{tmp_dir}/t"
+        tables.write_partitioned(df, path, ["channel"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = lambda d: [f for f in os.listdir(f"{path}/channel={d}") if f.endswith(".parquet")]
+    assert len(files("hot")) > 2
+    assert max(len(files(f"c{i}")) for i in range(1, 40, 3)) <= len(files("hot"))
+    assert spark.read.parquet(path).count() == 60000
