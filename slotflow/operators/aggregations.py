@@ -135,16 +135,15 @@ def kpi_period_delta(b: DataFrame, s: DataFrame, as_of: str, days: int) -> DataF
 
     bp = b.withColumn("_p", period(F.col("booking_date"))).filter(F.col("_p").isNotNull())
     sp = s.withColumn("_p", period(F.col("date"))).filter(F.col("_p").isNotNull())
-    # One global aggregate over the union of both inputs (no join between the two sides).
-    rows = bp.select(
-        "_p", "invitee_uri", "invitee_email", F.lit(None).cast("double").alias("spend")
-    ).unionByName(
-        sp.select(
-            "_p",
-            F.lit(None).cast("string").alias("invitee_uri"),
-            F.lit(None).cast("string").alias("invitee_email"),
-            "spend",
-        )
+    # One global aggregate over the union of the inputs (no join between them). Distinct
+    # leads come from a distinct (period, email) set, reduced map-side before its shuffle,
+    # instead of two distinct aggregates (which Spark would plan as an Expand of every row).
+    leads = bp.select("_p", "invitee_email").distinct()
+    null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("double")
+    rows = (
+        bp.select("_p", F.lit("b").alias("_k"), "invitee_uri", null_s.alias("invitee_email"), null_d.alias("spend"))
+        .unionByName(sp.select("_p", F.lit("s").alias("_k"), null_s.alias("invitee_uri"), null_s.alias("invitee_email"), "spend"))
+        .unionByName(leads.select("_p", F.lit("e").alias("_k"), null_s.alias("invitee_uri"), "invitee_email", null_d.alias("spend")))
     )
     cur, prev = F.col("_p") == "current", F.col("_p") == "previous"
     out = rows.agg(
@@ -152,8 +151,8 @@ def kpi_period_delta(b: DataFrame, s: DataFrame, as_of: str, days: int) -> DataF
         count_where(prev & F.col("invitee_uri").isNotNull()).alias("bookings_previous"),
         F.coalesce(money_sum(F.when(cur, F.col("spend"))), F.lit(0)).cast("double").alias("spend_current"),
         F.coalesce(money_sum(F.when(prev, F.col("spend"))), F.lit(0)).cast("double").alias("spend_previous"),
-        F.countDistinct(F.when(cur, F.col("invitee_email"))).alias("leads_current"),
-        F.countDistinct(F.when(prev, F.col("invitee_email"))).alias("leads_previous"),
+        count_where(cur & F.col("invitee_email").isNotNull()).alias("leads_current"),
+        count_where(prev & F.col("invitee_email").isNotNull()).alias("leads_previous"),
     )
     out = out.withColumns(
         {
