@@ -73,14 +73,15 @@ def dedup_redeliveries(envelopes: DataFrame, delay: str = DEDUP_DELAY) -> DataFr
     )
 
 
-def write_bronze_batch(batch: DataFrame, bronze_dir: str, dead_letter_dir: str) -> None:
-    """One micro-batch of T2: decode, flatten, write good rows to bronze partitioned
-    ``channel=/date=`` (S14) and bad rows to the dead-letter folder (T3). The decoded batch is
-    persisted, so base64 and JSON are decoded once for both outputs."""
-    if batch.isEmpty():  # no-data batches (watermark advances) have nothing to write
-        return
-    tagged = tag_decode_errors(batch).persist()
+def write_bronze_batch(tagged: DataFrame, bronze_dir: str, dead_letter_dir: str) -> None:
+    """One micro-batch of T2 (rows already decoded and tagged): flatten good rows and write
+    them to bronze partitioned ``channel=/date=`` (S14); bad rows go to the dead-letter folder
+    (T3). The batch is persisted, so it is decoded once for both outputs."""
+    # Persisted before any action: every row is decoded (and counted by the observation) once.
+    tagged = tagged.persist()
     try:
+        if tagged.isEmpty():  # no-data batches (watermark advances) have nothing to write
+            return
         good = flatten_booking(tagged.filter(F.col("error").isNull()))
         out = good.withColumns(
             {"channel": F.col("marketing_channel"), "date": F.coalesce(F.col("booking_date"), F.lit("unknown"))}
@@ -120,8 +121,15 @@ def start_bronze_writer(
     installed: ``value`` cast to string as ``data``, ``offset``/``sequenceNumber`` as
     ``sequence_number``, ``key`` as ``partition_key``, ``timestamp`` as ``arrival_ts``)."""
     env = dedup_redeliveries(envelopes)
+    # Processed and failed counts of every micro-batch, reported in the query's
+    # progress (``observedMetrics["bronze_batch"]``) without a second job.
+    tagged = tag_decode_errors(env).observe(
+        "bronze_batch",
+        F.count(F.when(F.col("error").isNull(), F.lit(1))).alias("processed"),
+        F.count(F.when(F.col("error").isNotNull(), F.lit(1))).alias("failed"),
+    )
     return _start(
-        env.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        tagged.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
             lambda df, _id: write_bronze_batch(df, bronze_dir, dead_letter_dir)
         ),
         trigger,

@@ -61,6 +61,9 @@ def test_redelivery_dedup_and_dead_letters(spark, tmp_dir):
     n_dead = dead.count() if dead is not None else 0
     assert bronze.count() + n_dead == env.count()
     assert bronze.select("event_id").distinct().count() == bronze.count()
+    # per-batch counters from the query progress (S21): they add up to the decoded records
+    seen = [p["observedMetrics"]["bronze_batch"] for p in q.recentProgress if "bronze_batch" in p.get("observedMetrics", {})]
+    assert sum(m["processed"] for m in seen) == bronze.count() and sum(m["failed"] for m in seen) == n_dead
 
 
 def test_daily_counts_drop_rows_beyond_watermark(spark, tmp_dir):
