@@ -73,10 +73,14 @@ def dedup_redeliveries(envelopes: DataFrame, delay: str = DEDUP_DELAY) -> DataFr
     )
 
 
-def write_bronze_batch(tagged: DataFrame, bronze_dir: str, dead_letter_dir: str) -> None:
+def write_bronze_batch(tagged: DataFrame, bronze_dir: str, dead_letter_dir: str, batch_id: int = 0) -> None:
     """One micro-batch of T2 (rows already decoded and tagged): flatten good rows and write
     them to bronze partitioned ``channel=/date=`` (S14); bad rows go to the dead-letter folder
-    (T3). The batch is persisted, so it is decoded once for both outputs."""
+    (T3). The batch is persisted, so it is decoded once for both outputs.
+
+    Each batch writes under its own ``batch=<id>`` folders with dynamic partition overwrite:
+    a batch replayed after a failure (same offsets, same state, so the same rows) rewrites
+    exactly its own folders, so the output is exactly-once."""
     # Persisted before any action: every row is decoded (and counted by the observation) once.
     tagged = tagged.persist()
     try:
@@ -84,10 +88,21 @@ def write_bronze_batch(tagged: DataFrame, bronze_dir: str, dead_letter_dir: str)
             return
         good = flatten_booking(tagged.filter(F.col("error").isNull()))
         out = good.withColumns(
-            {"channel": F.col("marketing_channel"), "date": F.coalesce(F.col("booking_date"), F.lit("unknown"))}
+            {
+                "channel": F.col("marketing_channel"),
+                "date": F.coalesce(F.col("booking_date"), F.lit("unknown")),
+                "batch": F.lit(batch_id),
+            }
+        )
+        (
+            out.hint("rebalance", "channel", "date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("channel", "date", "batch")
+            .json(bronze_dir)
         )
-        out.hint("rebalance", "channel", "date").write.mode("append").partitionBy("channel", "date").json(bronze_dir)
-        tagged.filter(F.col("error").isNotNull()).drop("_msg").write.mode("append").json(dead_letter_dir)
+        bad = tagged.filter(F.col("error").isNotNull()).drop("_msg").withColumn("batch", F.lit(batch_id))
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(dead_letter_dir)
     finally:
         tagged.unpersist()
 
@@ -130,7 +145,7 @@ def start_bronze_writer(
     )
     return _start(
         tagged.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-            lambda df, _id: write_bronze_batch(df, bronze_dir, dead_letter_dir)
+            lambda df, batch_id: write_bronze_batch(df, bronze_dir, dead_letter_dir, batch_id)
         ),
         trigger,
     )

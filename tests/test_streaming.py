@@ -100,3 +100,17 @@ def test_unwrap_body_shapes(spark):
                                   "body string, event string")
     rows = sorted((r[0], r[1]) for r in unwrap_body(mixed).select("event", "payload.uri").collect())
     assert rows == [("invitee.canceled", None), ("invitee.created", "u3")]
+
+
+def test_replayed_bronze_batch_is_written_once(spark, tmp_dir):
+    """A micro-batch written twice (a replay after a failure) leaves one copy of its rows."""
+    from pyspark.sql import functions as F
+    from slotflow.operators.projections import tag_decode_errors
+    from slotflow.plans.registry import _envelopes
+
+    env = tag_decode_errors(_envelopes(spark, SF_SMALL).drop("event_id"))
+    J.write_bronze_batch(env, f"{tmp_dir}/bronze", f"{tmp_dir}/dead", batch_id=7)
+    J.write_bronze_batch(env, f"{tmp_dir}/bronze", f"{tmp_dir}/dead", batch_id=7)
+    J.write_bronze_batch(env.limit(0), f"{tmp_dir}/bronze", f"{tmp_dir}/dead", batch_id=8)
+    bronze = spark.read.schema(schemas.BRONZE_BOOKING).option("recursiveFileLookup", "true").json(f"{tmp_dir}/bronze")
+    assert bronze.count() == env.filter(F.col("error").isNull()).count() > 0
