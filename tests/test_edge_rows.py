@@ -107,3 +107,25 @@ def test_heatmap_fills_zero(spark):
     t = spark.createDataFrame([(9, 2, "fb", 3), (9, 1, "yt", 1), (10, 4, "fb", 2)], "booking_hour int, booking_day_of_week int, marketing_channel string, bookings_count long")
     h = {r["booking_hour"]: r for r in A.booking_heatmap(t).collect()}
     assert h[9]["Monday"] == 3 and h[9]["Sunday"] == 1 and h[9]["Tuesday"] == 0 and h[10]["Wednesday"] == 2
+
+
+def test_flatten_defaults_channel_and_safe_id(spark):
+    """A message without a channel gets 'direct'; the event id is
+    the sequence number with ':' -> '-'; an empty membership list gives null hosts; a bad
+    base64 payload is isolated."""
+    import base64
+    import json
+
+    from slotflow.plans.webhooks import decode_to_bronze
+
+    msg = {"webhook_event": "invitee.created", "invitee_data": {"uri": "u1", "questions_and_answers": [
+        {"question": "Your PHONE?", "answer": None}, {"question": "phone again", "answer": "2"}]},
+        "scheduled_event_data": {"start_time": "2024-03-01T08:15:00Z", "event_memberships": []}}
+    rows = [(base64.b64encode(json.dumps(msg).encode()).decode(), "49:1:2", "k", 1.0), ("***", "49:9", "k", 2.0)]
+    env = spark.createDataFrame(rows, "data string, sequence_number string, partition_key string, arrival_ts double")
+    good, bad = decode_to_bronze(env, clock=False)
+    r = good.collect()
+    assert len(r) == 1 and r[0]["marketing_channel"] == "direct" and r[0]["event_id"] == "event-49-1-2"
+    assert r[0]["invitee_phone"] == ""  # first phone question, its answer missing
+    assert r[0]["host_email"] is None and r[0]["booking_hour"] == 8 and r[0]["booking_day_of_week"] == "Friday"
+    assert [x["error"] for x in bad.collect()] == ["invalid base64"]
