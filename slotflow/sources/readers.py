@@ -60,9 +60,11 @@ def read_bronze_spend(spark: SparkSession, path: str, multiline: bool = True) ->
     return docs.unionByName(bare)
 
 
-def read_silver(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """S3: a silver table (Parquet, partitioned). ``columns`` prunes the scan."""
-    df = spark.read.parquet(path)
+def read_silver(spark: SparkSession, path: str, columns: list[str] | None = None, merge_schema: bool = True) -> DataFrame:
+    """A silver table (Parquet, partitioned). ``columns`` prunes the scan. Schema
+    merging (a parallel read of file footers) is on, so columns added by later upserts are
+    seen even though older files lack them."""
+    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
     return df.select(*columns) if columns else df
 
 

@@ -93,10 +93,13 @@ def upsert_table(
 
     Only partitions the source touches are rewritten: the partitions of the source rows, and
     the partitions holding old versions of the source keys (a booking whose date changed
-    moves). Those partitions are read (dynamic partition pruning on the touched list),
-    merged with J4, staged in the checkpoint folder (a path being read cannot be overwritten)
-    and written back with dynamic partition overwrite. Touched partitions left without rows
-    are removed. Returns counts for the run log.
+    moves). Those partitions are read (a static partition filter built from the touched
+    list), merged with J4, staged in the checkpoint folder (a path being read cannot be
+    overwritten) and written back with dynamic partition overwrite. Touched partitions left
+    without rows are removed. Returns counts for the run log.
+
+    Rerun-safe: if the job dies part-way, running it again with the same batch gives the same
+    table (old versions left behind are found again by the key scan and replaced).
 
     ``partitions_follow_keys``: the partition values are a function of the key (spend:
     (date, channel) -> (year, month, channel)), so an old version always lives in the new
@@ -180,7 +183,7 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
 
 def _merged_schema(spark: SparkSession, path: str, src: DataFrame):
     """The table's schema plus columns only the source has (additive evolution)."""
-    current = spark.read.parquet(path).schema
+    current = spark.read.option("mergeSchema", "true").parquet(path).schema
     names = set(current.fieldNames())
     for f in src.schema.fields:
         if f.name not in names:

@@ -161,3 +161,21 @@ def test_hot_partition_is_written_by_several_tasks(spark, tmp_dir):
     assert len(files("hot")) > 2
     assert max(len(files(f"c{i}")) for i in range(1, 40, 3)) <= len(files("hot"))
     assert spark.read.parquet(path).count() == 60000
+
+
+def test_upsert_adds_a_column(spark, tmp_dir):
+    """A batch with a new column evolves the table; older rows read it as null."""
+    from slotflow.sources.readers import read_silver
+
+    path = f"{tmp_dir}/t"
+    base = spark.createDataFrame([("a", 2024, 1, "fb"), ("b", 2024, 2, "yt")],
+                                 "invitee_uri string, booking_year int, booking_month int, marketing_channel string")
+    tables.upsert_table(spark, path, base, ["invitee_uri"], tables.BOOKING_PARTITIONS)
+    upd = spark.createDataFrame([("c", 2024, 1, "fb", "+1")],
+                                "invitee_uri string, booking_year int, booking_month int, marketing_channel string, invitee_phone string")
+    tables.upsert_table(spark, path, upd, ["invitee_uri"], tables.BOOKING_PARTITIONS)
+    rows = {r["invitee_uri"]: r for r in read_silver(spark, path).collect()}
+    assert set(rows) == {"a", "b", "c"} and rows["c"]["invitee_phone"] == "+1" and rows["b"]["invitee_phone"] is None
+    # a later upsert that lacks the column keeps it
+    tables.upsert_table(spark, path, base.limit(1), ["invitee_uri"], tables.BOOKING_PARTITIONS)
+    assert "invitee_phone" in read_silver(spark, path).columns
