@@ -53,6 +53,12 @@ def read_bronze_spend(spark: SparkSession, path: str, multiline: bool = True) ->
         .option("ignoreCorruptFiles", "true")
         .json(path)
     )
+    return spend_records(df)
+
+
+def spend_records(df: DataFrame) -> DataFrame:
+    """Rows of a bronze spend scan (batch or micro-batch) as spend records: the ``records``
+    of ``{records, metadata}`` documents, exploded, plus bare records (P4)."""
     docs = df.filter(F.col("records").isNotNull()).select(F.explode("records").alias("_r")).select("_r.*")
     bare = df.filter(F.col("records").isNull() & F.col("date").isNotNull()).select(
         *[f.name for f in schemas.SPEND_RECORD.fields]

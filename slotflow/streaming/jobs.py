@@ -204,12 +204,8 @@ def spend_to_silver_incremental(
     def upsert(batch: DataFrame, _id: int) -> None:
         if batch.isEmpty():
             return
-        docs = batch.filter(F.col("records").isNotNull()).select(F.explode("records").alias("_r")).select("_r.*")
-        bare = batch.filter(F.col("records").isNull() & F.col("date").isNotNull()).select(
-            *[f.name for f in schemas.SPEND_RECORD.fields]
-        )
         tables.upsert_table(
-            spark, silver_path, clean_spend(docs.unionByName(bare)), ["date", "channel"], tables.SPEND_PARTITIONS,
+            spark, silver_path, clean_spend(readers.spend_records(batch)), ["date", "channel"], tables.SPEND_PARTITIONS,
             partitions_follow_keys=True,
         )
 
