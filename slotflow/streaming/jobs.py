@@ -116,10 +116,11 @@ def bronze_writer(
     trigger: dict | None = None,
     max_files_per_trigger: int = 100,
 ) -> StreamingQuery:
-    """T2 (+T3, T4, T5): booking envelopes -> bronze JSON. Delivery is at-least-once (a
-    micro-batch can be replayed after a failure); replays and upstream redeliveries carry the
-    same sequence number, so the event id is deterministic and T4 plus the silver upsert on
-    invitee_uri make the result idempotent."""
+    """T2 (+T3, T4, T5): booking envelopes -> bronze JSON. A micro-batch replayed after a
+    failure rewrites its own batch folders (exactly-once output; the dedup uses the batch's
+    recorded timestamp, so a replay sees the same rows). Upstream redeliveries carry the same
+    sequence number and are dropped by T4; the event id derived from it is deterministic, and
+    the silver upsert on invitee_uri is idempotent."""
     env = readers.read_booking_stream(spark, envelopes_dir, max_files_per_trigger)
     return start_bronze_writer(env, bronze_dir, dead_letter_dir, checkpoint, trigger)
 
