@@ -47,7 +47,7 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, multiline: bool =
     bookings = clean_bookings(readers.read_bronze_bookings(spark, cfg.bronze_bookings, multiline))
     b = tables.upsert_table(
         spark, cfg.silver_bookings, bookings, ["invitee_uri"], tables.BOOKING_PARTITIONS,
-        latest_first("webhook_received_at", BOOKING_TIE_BREAKS),
+        latest_first("webhook_received_at", BOOKING_TIE_BREAKS), key_index=True,
     )
     spend = clean_spend(readers.read_bronze_spend(spark, cfg.bronze_spend, multiline))
     s = tables.upsert_table(

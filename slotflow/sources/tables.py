@@ -88,6 +88,7 @@ def upsert_table(
     partition_cols: list[str],
     order: list[Column] | None = None,
     partitions_follow_keys: bool = False,
+    key_index: bool = False,
 ) -> dict[str, int]:
     """Keyed upsert into a partitioned Parquet table; creates it when absent.
 
@@ -103,7 +104,16 @@ def upsert_table(
 
     ``partitions_follow_keys``: the partition values are a function of the key (spend:
     (date, channel) -> (year, month, channel)), so an old version always lives in the new
-    row's partition and the scan of the table's keys that finds moved rows is skipped."""
+    row's partition and the scan of the table's keys that finds moved rows is skipped.
+
+    ``key_index``: keep a side table ``<path>_key_index`` of (key, partition) rows, itself
+    partitioned by a hash bucket of the key. Old homes are then looked up in the buckets of
+    the batch's keys only (a static partition filter on at most ``KEY_INDEX_BUCKETS``
+    values) instead of scanning the key column of the whole table: a micro-batch of a few
+    hundred keys reads a few hundred buckets. The index stays a superset of the true homes
+    (new homes are added before the table is written; other homes of the batch's keys are
+    trimmed after it commits), so a job that dies part-way can only cause an extra partition
+    rewrite, never a missed move."""
     from pyspark.sql import Observation
 
     obs = Observation("upsert_source")
@@ -115,17 +125,29 @@ def upsert_table(
     src = stage(src.observe(obs, F.count(F.lit(1)).alias("rows")), "upsert-source")
     if not table_exists(spark, path):
         write_partitioned(src, path, partition_cols)
+        if key_index and not partitions_follow_keys:
+            _write_key_index(spark, src, path, keys, partition_cols, int(obs.get["rows"]))
         drop_staged(src)
         return {"rows": int(obs.get["rows"]), "partitions_rewritten": -1}
 
     target = spark.read.schema(_merged_schema(spark, path, src)).parquet(path)
+    use_index = key_index and not partitions_follow_keys
+    if use_index:
+        index = _find_key_index(spark, path)
+        if index is None:  # once, from the table
+            index = _write_key_index(spark, target, path, keys, partition_cols)
+        index_path, n_buckets = index
     new_homes = src.select(*partition_cols)
     if not partitions_follow_keys:
         # Partitions holding old versions of the batch's keys (a row whose date changed
-        # moves): a scan of the key and partition columns only, semi-joined to the batch keys.
-        old_homes = target.select(*keys, *partition_cols).join(src.select(*keys), keys, "left_semi")
+        # moves), semi-joined to the batch keys: from the key index's touched buckets, or
+        # from a scan of the table's key and partition columns.
+        homes = _index_rows_for(spark, index_path, n_buckets, src, keys) if use_index else target.select(*keys, *partition_cols)
+        old_homes = homes.join(src.select(*keys), keys, "left_semi")
         new_homes = new_homes.unionByName(old_homes.select(*partition_cols))
     touched = stage(new_homes.distinct(), "upsert-touched")
+    if use_index:  # before the table write: the index never misses a home
+        _add_index_entries(spark, index_path, n_buckets, src, keys, partition_cols)
     old = _rows_in_partitions(target, touched, partition_cols)
     merged = stage(merge_upsert(old, src, keys), "upsert-merged")
     (
@@ -140,12 +162,80 @@ def upsert_table(
     emptied = touched.join(merged.select(*partition_cols).distinct(), _null_safe_on(touched, merged, partition_cols), "left_anti")
     for row in emptied.collect():
         _delete_partition(spark, path, partition_cols, row)
+    if use_index:  # after the table write commits: each batch key has exactly its new home
+        _trim_index_entries(spark, index_path, n_buckets, src, keys, partition_cols)
     result = {"rows": int(obs.get["rows"]), "partitions_rewritten": touched.count()}
     for staged in (merged, touched, src):
         drop_staged(staged)
     return result
 
 
+# Key index sizing: about KEY_INDEX_ROWS_PER_BUCKET keys per bucket, a power of two, at most
+# KEY_INDEX_MAX_BUCKETS folders. The count is fixed when the index is built and recorded in
+# its folder name (<table>_key_index/buckets=<n>), since every key's bucket depends on it.
+KEY_INDEX_ROWS_PER_BUCKET = 10_000_000
+KEY_INDEX_MAX_BUCKETS = 16_384
+
+
+def _bucket_count(rows: int) -> int:
+    n = 1
+    while n < KEY_INDEX_MAX_BUCKETS and n * KEY_INDEX_ROWS_PER_BUCKET < rows:
+        n *= 2
+    return n
+
+
+def _key_bucket(keys: list[str], n_buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
+
+
+def _index_rows(df: DataFrame, keys: list[str], partition_cols: list[str], n_buckets: int) -> DataFrame:
+    """(key, partition values, ``home``, ``key_bucket``); ``home`` encodes the partition
+    values as text, never null (a partition value can be null), so it can be part of a key."""
+    home = F.to_json(F.struct(*[F.col(c) for c in partition_cols]))
+    return df.select(*keys, *partition_cols).withColumns({"home": home, "key_bucket": _key_bucket(keys, n_buckets)})
+
+
+def _find_key_index(spark: SparkSession, path: str) -> tuple[str, int] | None:
+    root = f"{path.rstrip('/')}_key_index"
+    if not path_exists(spark, root):
+        return None
+    fs, p = _fs_path(spark, root)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("buckets=") and table_exists(spark, f"{root}/{name}"):
+            return f"{root}/{name}", int(name.split("=", 1)[1])
+    return None
+
+
+def _write_key_index(
+    spark: SparkSession, table: DataFrame, path: str, keys: list[str], partition_cols: list[str], rows: int | None = None
+) -> tuple[str, int]:
+    n = _bucket_count(rows if rows is not None else table.count())
+    index_path = f"{path.rstrip('/')}_key_index/buckets={n}"
+    write_partitioned(_index_rows(table, keys, partition_cols, n).distinct(), index_path, ["key_bucket"])
+    return index_path, n
+
+
+def _index_rows_for(spark: SparkSession, index_path: str, n_buckets: int, src: DataFrame, keys: list[str]) -> DataFrame:
+    """Index rows in the buckets of the batch's keys (at most n_buckets values)."""
+    buckets = [r[0] for r in src.select(_key_bucket(keys, n_buckets)).distinct().collect()]
+    return spark.read.option("mergeSchema", "true").parquet(index_path).filter(F.col("key_bucket").isin(buckets))
+
+
+def _add_index_entries(
+    spark: SparkSession, index_path: str, n_buckets: int, src: DataFrame, keys: list[str], partition_cols: list[str]
+) -> None:
+    entries = _index_rows(src, keys, partition_cols, n_buckets).distinct()
+    upsert_table(spark, index_path, entries, keys + ["home"], ["key_bucket"], partitions_follow_keys=True)
+
+
+def _trim_index_entries(
+    spark: SparkSession, index_path: str, n_buckets: int, src: DataFrame, keys: list[str], partition_cols: list[str]
+) -> None:
+    entries = _index_rows(src, keys, partition_cols, n_buckets).distinct()
+    upsert_table(spark, index_path, entries, keys, ["key_bucket"], partitions_follow_keys=True)
+
+
 # Up to this many touched partitions, the list becomes a static partition filter on the
 # scan (the list is partition metadata, one row per folder, never data rows).
 MAX_STATIC_PARTITION_FILTER = 2000

@@ -178,7 +178,7 @@ def bronze_to_silver_incremental(
             return
         tables.upsert_table(
             spark, silver_path, clean_bookings(batch), ["invitee_uri"], tables.BOOKING_PARTITIONS,
-            latest_first("webhook_received_at", BOOKING_TIE_BREAKS),
+            latest_first("webhook_received_at", BOOKING_TIE_BREAKS), key_index=True,
         )
 
     return _start(bronze.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert), trigger or {"availableNow": True})
