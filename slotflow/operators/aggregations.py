@@ -259,8 +259,10 @@ def nest_spend(s: DataFrame, max_records_per_document: int = 100_000, fields: li
     The per-key counts are a partial aggregate; joining them back lets AQE broadcast them when
     they are small at runtime, and split a hot key's partition when they are not."""
     fields = fields or [f for f in SPEND_RECORD_FIELDS if f in s.columns]
-    counts = s.groupBy("date", "channel").agg(F.count(F.lit(1)).alias("_n"))
-    with_n = s.join(counts, ["date", "channel"], "inner")
+    counts = s.groupBy(F.col("date").alias("_d"), F.col("channel").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    # Null-safe keys: a record without a date or channel still lands in a document.
+    on = s["date"].eqNullSafe(counts["_d"]) & s["channel"].eqNullSafe(counts["_c"])
+    with_n = s.join(counts, on, "inner").drop("_d", "_c")
     n_chunks = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("_n") / F.lit(max_records_per_document)))
     chunk = F.pmod(F.xxhash64(*[F.col(f) for f in fields]), n_chunks)
     return with_n.withColumn("chunk", chunk).groupBy("date", "channel", "chunk").agg(

@@ -129,3 +129,15 @@ def test_flatten_defaults_channel_and_safe_id(spark):
     assert r[0]["invitee_phone"] == ""  # first phone question, its answer missing
     assert r[0]["host_email"] is None and r[0]["booking_hour"] == 8 and r[0]["booking_day_of_week"] == "Friday"
     assert [x["error"] for x in bad.collect()] == ["invalid base64"]
+
+
+def test_nest_spend_keeps_null_keys_and_bounds_documents(spark):
+    """Rows with a null date or channel are kept; a key with more rows than the document
+    bound is split into several documents of bounded size, none lost."""
+    rows = [(None, "fb", 1.0), ("2024-01-01", None, 2.0)] + [("2024-01-02", "hot", float(i)) for i in range(1000)]
+    s = spark.createDataFrame(rows, "date string, channel string, spend double")
+    docs = A.nest_spend(s, max_records_per_document=100).collect()
+    assert sum(d["record_count"] for d in docs) == len(rows)
+    hot = [d for d in docs if d["channel"] == "hot"]
+    assert len(hot) >= 8 and max(d["record_count"] for d in hot) <= 200
+    assert any(d["date"] is None for d in docs) and any(d["channel"] is None for d in docs)
