@@ -9,15 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 MONEY_SUM_TYPE = "decimal(38,6)"
 
 
-def has_column(df: DataFrame, name: str) -> bool:
-    """True if ``name`` (dotted for nested fields) resolves in ``df``'s schema."""
-    dtype: T.DataType = df.schema
-    for part in name.split("."):
-        if not isinstance(dtype, T.StructType) or part not in dtype.fieldNames():
-            return False
-        dtype = dtype[part].dataType
-    return True
-
 
 def column_type(df: DataFrame, name: str) -> T.DataType | None:
     dtype: T.DataType = df.schema
@@ -79,10 +70,6 @@ def money_sum(c: Column | str) -> Column:
     return F.sum(c.cast(MONEY_SUM_TYPE))
 
 
-def as_double(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c.cast("double")
-
 
 def fill_zero(df: DataFrame, columns: list[str]) -> DataFrame:
     """replace nulls by 0 in the given columns."""

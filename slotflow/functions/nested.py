@@ -36,10 +36,6 @@ def parse_json(text: Column, schema: T.StructType) -> Column:
     return F.from_json(text, schema, options)
 
 
-def to_json_text(c: Column) -> Column:
-    """F21."""
-    return F.to_json(c)
-
 
 def decode_base64_text(data: Column) -> Column:
     """base64 text to UTF-8 text; invalid base64 gives null instead of failing the job."""

@@ -243,10 +243,6 @@ def batch_outcome(df: DataFrame, error_col: str = "error") -> DataFrame:
     )
 
 
-def share_columns(df: DataFrame) -> DataFrame:
-    """Helper for A8/W8 consumers: percentage of channel from a total column."""
-    return df.withColumn("percentage_of_channel", percentage(F.col("bookings_count"), F.col("total_channel_bookings")))
-
 
 SPEND_RECORD_FIELDS = ["date", "channel", "spend", "ingested_at", "source_file", "ingestion_date"]
 

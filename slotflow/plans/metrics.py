@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from slotflow.functions.columns import safe_divide
+from slotflow.functions.columns import fill_zero, safe_divide
 from slotflow.operators import aggregations as A
 from slotflow.operators.joins import join_channel_totals, join_spend_bookings
 from slotflow.operators.projections import with_metric_metadata
@@ -34,7 +34,7 @@ def daily_bookings_by_source(bookings: DataFrame, clock: bool = True) -> DataFra
 def cost_per_booking(bookings: DataFrame, spend: DataFrame, clock: bool = True) -> DataFrame:
     """X5 (metric 1.2): A3 + A4 -> J1 full outer -> zeros -> CPB -> W1-W3 running totals."""
     joined = join_spend_bookings(A.spend_by_date_channel(spend), A.bookings_by_date_channel(bookings))
-    joined = joined.fillna(0, subset=["total_bookings", "total_spend"])
+    joined = fill_zero(joined, ["total_bookings", "total_spend"])
     # Running sums use the exact DECIMAL spend; doubles appear only in the output columns.
     m = cumulative_cpb(joined)
     m = m.withColumn("total_spend", F.col("total_spend").cast("double"))

@@ -156,10 +156,6 @@ SELECT host_email, host_name, avg(meetings) AS avg_meetings_per_week, CAST(sum(m
 FROM w GROUP BY host_email, host_name"""
 
 
-def attribution_sql(bookings: str, spend: str) -> str:
-    """Channel attribution as a sub-select (for roll-ups over it)."""
-    return "(" + with_ctes(O_BOOKINGS, O_SPEND) + channel_attribution_sql(bookings, spend) + ")"
-
 
 # Adapter N: webhook documents from events, the allow-list and the poison rows.
 N_MSGS = """

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from slotflow.functions.columns import count_where, percentage, safe_divide
+from slotflow.functions.columns import count_where, fill_zero, percentage, safe_divide
 from slotflow.operators import aggregations as A
 from slotflow.operators.joins import join_channel_totals, join_spend_bookings
 from slotflow.operators.projections import with_metric_metadata
@@ -99,7 +99,7 @@ def spend_daily(spend: DataFrame) -> DataFrame:
 
 def cost_per_booking(r: BookingRollups, daily_spend: DataFrame, clock: bool = True) -> DataFrame:
     joined = join_spend_bookings(daily_spend, _daily(r, "date", "channel", "total_bookings"))
-    joined = joined.fillna(0, subset=["total_bookings", "total_spend"])
+    joined = fill_zero(joined, ["total_bookings", "total_spend"])
     m = cumulative_cpb(joined)
     m = m.withColumn("total_spend", F.col("total_spend").cast("double"))
     m = m.withColumn("cost_per_booking", safe_divide(F.col("total_spend"), F.col("total_bookings")))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -69,8 +68,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{base}/slotflow-stage/{name}-{uuid.uuid4().hex}"
-
-
-def local_dir(prefix: str = "slotflow-") -> str:
-    """A fresh local folder (tests only)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR"))

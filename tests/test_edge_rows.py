@@ -141,3 +141,19 @@ def test_nest_spend_keeps_null_keys_and_bounds_documents(spark):
     hot = [d for d in docs if d["channel"] == "hot"]
     assert len(hot) >= 8 and max(d["record_count"] for d in hot) <= 200
     assert any(d["date"] is None for d in docs) and any(d["channel"] is None for d in docs)
+
+
+def test_default_channel_sort_and_sql(spark):
+    """P13 default channel, O1 recent-first sort, S22 SQL over a registered gold view."""
+    from slotflow.operators.ordering import sort_recent_first
+    from slotflow.operators.projections import default_channel
+    from slotflow.plans.readmodels import register_gold_views, run_sql
+
+    df = spark.createDataFrame([(D(2024, 1, 1), None, 1), (D(2024, 1, 2), "fb", 2), (D(2024, 1, 2), "ad", 3)],
+                               "date date, marketing_channel string, n int")
+    fixed = default_channel(df)
+    assert sorted(r["marketing_channel"] for r in fixed.collect()) == ["ad", "direct", "fb"]
+    ordered = [(r["date"].day, r["marketing_channel"]) for r in sort_recent_first(fixed, "date", "marketing_channel").collect()]
+    assert ordered == [(2, "ad"), (2, "fb"), (1, "direct")]
+    register_gold_views({"slotflow_edge_view": fixed})
+    assert run_sql(spark, "SELECT sum(n) AS s FROM slotflow_edge_view WHERE marketing_channel <> 'direct'").first()["s"] == 5
