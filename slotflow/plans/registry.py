@@ -652,16 +652,28 @@ def q_stream_bronze_bookings(spark, sf_dir):
 SELECT CAST(ts AS DATE) AS date, marketing_channel AS channel, count(*) AS total_bookings
 FROM n_bronze WHERE _eid % 97 <> 0 GROUP BY ALL""")
 def q_stream_daily_counts(spark, sf_dir):
-    """Live bookings per (day, channel) from the bronze stream, update mode into a keyed
-    table; the table read back."""
+    """Live bookings per (day, channel) over a stream of bronze files, update mode into a
+    keyed table; the table read back. (The bronze files come from the batch decode; the
+    streamed decode has its own query, ``stream_bronze_bookings``.)"""
     from slotflow.streaming import jobs as J
 
-    bronze = _t2_bronze_dir(spark, sf_dir)
+    bronze = _bronze_files(spark, sf_dir, scratch_path(spark, "t7-bronze"))
     base = scratch_path(spark, "t7")
     J.run_to_end(J.live_daily_counts(spark, bronze, f"{base}/counts", f"{base}/ckpt", trigger={"availableNow": True}))
     return spark.read.parquet(f"{base}/counts").select("date", "channel", "total_bookings")
 
 
+def _bronze_files(spark, sf_dir, path):
+    """Bronze booking files (JSON lines, partitioned channel=/date=) from the batch decode
+    of the staged booking stream."""
+    from slotflow.plans.webhooks import decode_to_bronze
+
+    good, _bad = decode_to_bronze(_envelopes(spark, sf_dir))
+    good.withColumns({"channel": F.col("marketing_channel"), "date": F.coalesce("booking_date", F.lit("unknown"))}) \
+        .write.partitionBy("channel", "date").json(path)
+    return path
+
+
 def _job_config(spark, name):
     from slotflow.config import PipelineConfig
 
@@ -676,13 +688,10 @@ def q_bronze_to_silver_job(spark, sf_dir):
     -> silver tables (S4-S8, upsert path; a second run is checked for idempotence in the
     tests) -> silver bookings read back (S3)."""
     from slotflow.plans.batch_jobs import bronze_to_silver
-    from slotflow.plans.webhooks import decode_to_bronze
     from slotflow.sources import tables as TB
 
     cfg = _job_config(spark, "x3")
-    good, _bad = decode_to_bronze(_envelopes(spark, sf_dir))
-    good.withColumns({"channel": F.col("marketing_channel"), "date": F.coalesce("booking_date", F.lit("unknown"))}) \
-        .write.partitionBy("channel", "date").json(cfg.bronze_bookings)
+    _bronze_files(spark, sf_dir, cfg.bronze_bookings)
     TB.write_bronze_spend(A.nest_spend(AD.events_spend(spark, sf_dir)), cfg.bronze_spend, "2024-01-31")
     bronze_to_silver(spark, cfg, multiline=False)
     return spark.read.parquet(cfg.silver_bookings).select(*_SILVER_NO_CLOCK)
