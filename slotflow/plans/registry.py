@@ -735,3 +735,11 @@ def q_stream_webhook_intake(spark, sf_dir):
     back = msgs.select("key", parse_json(F.col("value"), schemas.ENRICHED).alias("m"))
     return back.select("key", F.col("m.invitee_data.uri").alias("invitee_uri"), F.col("m.event_type_url").alias("event_type_url"),
                        F.col("m.webhook_event").alias("webhook_event"))
+
+
+@register("meeting_load_nested", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE, Q.N_SILVER) + """
+, n_meet AS (SELECT host_email, host_name, scheduled_event_start_time AS start_time FROM n_silver)""" + Q.meeting_load_sql("n_meet"))
+def q_meeting_load_nested(spark, sf_dir):
+    """X9 / A9 on hosts taken from the webhooks (first event membership, F19) through bronze
+    and silver: meetings per host per ISO week, then per-host load."""
+    return M.employee_meeting_load(clean_bookings(_bronze_n(spark, sf_dir)), clock=False)

@@ -71,7 +71,7 @@ MAP = {
     "A6": ("operators.aggregations.channel_bookings (approx opt-in)", "channel_attribution"),
     "A7": ("operators.aggregations.channel_spend", "channel_attribution"),
     "A8": ("operators.aggregations.booking_time_slots", "booking_time_analysis"),
-    "A9": ("operators.aggregations.weekly_meetings / employee_meeting_load", "employee_meeting_load"),
+    "A9": ("operators.aggregations.weekly_meetings / employee_meeting_load", "employee_meeting_load, meeting_load_nested"),
     "A10": ("operators.aggregations.weekly_trend", "weekly_trend"),
     "A11": ("operators.aggregations.kpi_summary (fixed-point mean)", "kpi_summary"),
     "A12": ("operators.aggregations.kpi_period_delta", "kpi_period_delta"),
@@ -141,7 +141,7 @@ MAP = {
     "X6": ("plans.metrics.bookings_trend; rollups.bookings_trend", "bookings_trend"),
     "X7": ("plans.metrics.channel_attribution; rollups.channel_attribution", "channel_attribution"),
     "X8": ("plans.metrics.booking_time_analysis; rollups.booking_time_analysis", "booking_time_analysis"),
-    "X9": ("plans.metrics.employee_meeting_load; rollups.employee_meeting_load", "employee_meeting_load"),
+    "X9": ("plans.metrics.employee_meeting_load; rollups.employee_meeting_load", "employee_meeting_load, meeting_load_nested"),
     "X10": ("plans.batch_jobs.silver_to_gold (shared roll-ups, concurrent writes)", "silver_to_gold_job; tests/test_rollups.py"),
     "X11": ("plans.batch_jobs.ingest_spend", "test_ingest_spend_and_run_log, test_ingest_spend_uses_file_index"),
 }
