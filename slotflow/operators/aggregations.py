@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from slotflow.functions.columns import count_where, money_sum, percentage, safe_divide
 from slotflow.functions.timeparts import week_start
+from slotflow.operators.projections import last_n_days
 
 # Weekday names, 1 = Sunday (Spark's dayofweek numbering).
 WEEKDAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
@@ -133,6 +134,10 @@ def kpi_period_delta(b: DataFrame, s: DataFrame, as_of: str, days: int) -> DataF
             .when((c > prev_start) & (c <= cur_start), F.lit("previous"))
         )
 
+    # Both periods together are the last 2 x days: a literal range (and, on partitioned silver,
+    # a year/month partition filter) before the rows are tagged with their period.
+    b = last_n_days(b, "booking_date", 2 * days, as_of)
+    s = last_n_days(s, "date", 2 * days, as_of)
     bp = b.withColumn("_p", period(F.col("booking_date"))).filter(F.col("_p").isNotNull())
     sp = s.withColumn("_p", period(F.col("date"))).filter(F.col("_p").isNotNull())
     # One global aggregate over the union of the inputs (no join between them). Distinct

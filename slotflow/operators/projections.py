@@ -297,13 +297,34 @@ def coerce(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
 
 
-def last_n_days(df: DataFrame, date_col: str, n: int | None, as_of: str) -> DataFrame:
-    """Rows with ``as_of - n < date <= as_of``; ``n`` None keeps all time. The bounds are
-    literals, so a filter on a partition column prunes partitions."""
+def last_n_days(
+    df: DataFrame,
+    date_col: str,
+    n: int | None,
+    as_of: str,
+    year_col: str | None = None,
+    month_col: str | None = None,
+) -> DataFrame:
+    """Rows with ``as_of - n < date <= as_of``; ``n`` None keeps all time.
+
+    The bounds are literals. When the table is partitioned by year and month (silver:
+    ``booking_year``/``booking_month``; detected by name when not given), an equivalent
+    predicate on those columns is added, so the scan reads only the partitions of the
+    covered months."""
     if n is None:
         return df
     end = F.lit(as_of).cast("date")
-    return df.filter((F.col(date_col) > F.date_sub(end, n)) & (F.col(date_col) <= end))
+    out = df.filter((F.col(date_col) > F.date_sub(end, n)) & (F.col(date_col) <= end))
+    year_col = year_col or next((c for c in ("booking_year", "year") if c in df.columns), None)
+    month_col = month_col or next((c for c in ("booking_month", "month") if c in df.columns), None)
+    if year_col and month_col:
+        import datetime as _dt
+
+        last = _dt.date.fromisoformat(as_of)
+        first = last - _dt.timedelta(days=n - 1)
+        ym = F.col(year_col) * F.lit(100) + F.col(month_col)
+        out = out.filter(ym.between(first.year * 100 + first.month, last.year * 100 + last.month))
+    return out
 
 
 def booking_date_parts(df: DataFrame, start_col: str = "scheduled_event_start_time") -> DataFrame:

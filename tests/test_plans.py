@@ -57,3 +57,24 @@ def test_aggregates_combine_before_the_shuffle(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     assert "partial_" in plan or "WindowGroupLimit" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_last_n_days_prunes_silver_partitions(spark, tmp_path):
+    """P21 on a silver table partitioned by year/month: the scan reads the covered months only."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from slotflow.operators.projections import last_n_days
+    from slotflow.sources import tables
+
+    days = [(f"u{i}", dt.date(2023, 11, 1) + dt.timedelta(days=i), "fb") for i in range(120)]
+    df = spark.createDataFrame(days, "invitee_uri string, booking_date date, marketing_channel string")
+    df = df.withColumns({"booking_year": F.year("booking_date"), "booking_month": F.month("booking_date")})
+    path = str(tmp_path / "silver")
+    tables.write_silver_bookings(df, path)
+    recent = last_n_days(spark.read.parquet(path), "booking_date", 7, "2024-01-03")
+    assert sorted(r["booking_date"].isoformat() for r in recent.collect()) == [
+        "2023-12-28", "2023-12-29", "2023-12-30", "2023-12-31", "2024-01-01", "2024-01-02", "2024-01-03"]
+    plan = _plan(recent)
+    assert "PartitionFilters: [" in plan and "booking_year" in plan.split("PartitionFilters: [")[1].split("]")[0]
