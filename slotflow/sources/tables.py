@@ -248,13 +248,24 @@ def _rows_in_partitions(target: DataFrame, touched: DataFrame, partition_cols: l
     values = touched.limit(MAX_STATIC_PARTITION_FILTER + 1).collect()
     if len(values) > MAX_STATIC_PARTITION_FILTER:
         return target.join(touched, _null_safe_on(target, touched, partition_cols), "left_semi")
-    cond = F.lit(False)
+    terms = []
     for row in values:
         one = F.lit(True)
         for c in partition_cols:
             one = one & F.col(c).eqNullSafe(F.lit(row[c]))
-        cond = cond | one
-    return target.filter(cond)
+        terms.append(one)
+    return target.filter(_any(terms))
+
+
+def _any(terms: list[Column]) -> Column:
+    """OR of ``terms`` as a balanced tree (depth log2 n), so a long list does not build an
+    expression thousands of levels deep for the optimizer to recurse through."""
+    if not terms:
+        return F.lit(False)
+    if len(terms) == 1:
+        return terms[0]
+    mid = len(terms) // 2
+    return _any(terms[:mid]) | _any(terms[mid:])
 
 
 def _not_null(keys: list[str]) -> Column:

@@ -216,3 +216,13 @@ def test_key_index_finds_moves_and_survives_a_crash(spark, tmp_dir, monkeypatch)
 def test_key_index_bucket_count_follows_size():
     assert tables._bucket_count(0) == 1 and tables._bucket_count(10_000_000) == 1
     assert tables._bucket_count(10_000_001) == 2 and tables._bucket_count(10**15) == tables.KEY_INDEX_MAX_BUCKETS
+
+
+def test_partition_filter_with_many_touched_partitions(spark, tmp_dir):
+    """The static partition filter stays shallow with the maximum number of terms."""
+    touched = spark.createDataFrame([(2000 + i // 12, 1 + i % 12, "fb") for i in range(tables.MAX_STATIC_PARTITION_FILTER)],
+                                    "booking_year int, booking_month int, marketing_channel string")
+    target = spark.createDataFrame([(2005, 3, "fb", 1), (2500, 1, "fb", 2), (2001, 1, None, 3)],
+                                   "booking_year int, booking_month int, marketing_channel string, v int")
+    got = sorted(r["v"] for r in tables._rows_in_partitions(target, touched, tables.BOOKING_PARTITIONS).collect())
+    assert got == [1]
