@@ -49,6 +49,14 @@ def safe_col(df: DataFrame, name: str, dtype: T.DataType = T.StringType()) -> Co
     return conform(F.col(name), current, dtype)
 
 
+def all_not_null(columns: list[str]) -> Column:
+    """True when every one of ``columns`` is non-null (a row's business key is complete)."""
+    cond = F.lit(True)
+    for c in columns:
+        cond = cond & F.col(c).isNotNull()
+    return cond
+
+
 def safe_divide(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator`` when the denominator is > 0, else null."""
     return F.when(denominator > 0, F.try_divide(numerator, denominator))

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from slotflow import schemas
-from slotflow.functions.columns import column_type, safe_col
+from slotflow.functions.columns import all_not_null, column_type, safe_col
 from slotflow.functions.nested import (
     DEFAULT_CHANNEL,
     TRACKED_EVENT,
@@ -104,10 +104,7 @@ def project_spend(df: DataFrame) -> DataFrame:
 
 def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Drop rows with a null business key."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return df.filter(cond)
+    return df.filter(all_not_null(keys))
 
 
 def valid_spend(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from slotflow.functions.columns import all_not_null
 from slotflow.operators.windows import dedup_latest
 
 
@@ -25,10 +26,7 @@ def merge_upsert(
 
     Additive schema evolution: columns only in the source appear with nulls for old rows,
     columns only in the target stay, with nulls for new rows."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    src = source.filter(cond)
+    src = source.filter(all_not_null(keys))
     # The anti-join needs only the batch's key set, which the dedup does not change: it reads
     # the key columns of the raw batch (duplicates are harmless to an anti-join), so the dedup
     # window runs once, on the union branch.

@@ -8,6 +8,7 @@ import logging
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from slotflow import schemas
+from slotflow.functions.columns import all_not_null
 from slotflow.operators.upsert import merge_upsert
 from slotflow.operators.windows import dedup_latest
 from slotflow.sources.staging import drop_staged, stage
@@ -117,7 +118,7 @@ def upsert_table(
     from pyspark.sql import Observation
 
     obs = Observation("upsert_source")
-    src = source.filter(_not_null(keys))
+    src = source.filter(all_not_null(keys))
     if order:
         src = dedup_latest(src, keys, order)
     # The deduplicated batch is staged once: every later step (touched partitions, merge)
@@ -268,13 +269,6 @@ def _any(terms: list[Column]) -> Column:
     return _any(terms[:mid]) | _any(terms[mid:])
 
 
-def _not_null(keys: list[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond
-
-
 def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     cond = F.lit(True)
     for c in cols:
