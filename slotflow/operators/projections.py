@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from slotflow import schemas
-from slotflow.functions.columns import all_not_null, column_type, safe_col
+from slotflow.functions.columns import all_not_null, column_type, conform, safe_col
 from slotflow.functions.nested import (
     DEFAULT_CHANNEL,
     TRACKED_EVENT,
@@ -65,6 +65,54 @@ def _typed(df: DataFrame, name: str, dtype: T.DataType) -> Column:
     return safe_col(df, name, dtype).alias(name)
 
 
+# Flat bronze field <- field of the nested variant (path under ``payload.payload``).
+NESTED_BOOKING_FIELDS = {
+    "invitee_uri": "uri",
+    "invitee_email": "email",
+    "invitee_name": "name",
+    "invitee_status": "status",
+    "invitee_timezone": "timezone",
+    "invitee_created_at": "created_at",
+    "invitee_updated_at": "updated_at",
+    "invitee_canceled": "canceled",
+    "scheduled_event_name": "scheduled_event.name",
+    "scheduled_event_status": "scheduled_event.status",
+    "scheduled_event_start_time": "scheduled_event.start_time",
+    "scheduled_event_end_time": "scheduled_event.end_time",
+    "event_type_url": "scheduled_event.event_type",
+    "utm_source": "tracking.utm_source",
+    "utm_medium": "tracking.utm_medium",
+    "utm_campaign": "tracking.utm_campaign",
+    "utm_content": "tracking.utm_content",
+    "utm_term": "tracking.utm_term",
+}
+
+
+def unify_booking_shapes(df: DataFrame) -> DataFrame:
+    """Q11: a bronze frame may hold flat records and nested documents (the webhook kept under
+    ``payload.payload``). Each flat field is taken from the record, else from its nested
+    counterpart; the phone answer and the first host come from the nested arrays. Frames
+    without the nested column pass through unchanged."""
+    if column_type(df, "payload.payload") is None:
+        return df
+    inner = "payload.payload"
+    fills = {}
+    for flat, nested in NESTED_BOOKING_FIELDS.items():
+        nested_col = safe_col(df, f"{inner}.{nested}", column_type(df, f"{inner}.{nested}") or S)
+        if flat in df.columns:
+            target = column_type(df, flat)
+            fills[flat] = F.coalesce(F.col(flat), conform(nested_col, column_type(df, f"{inner}.{nested}"), target))
+        else:
+            fills[flat] = nested_col
+    qa = safe_col(df, f"{inner}.questions_and_answers", T.ArrayType(schemas.QA))
+    members = safe_col(df, f"{inner}.scheduled_event.event_memberships", T.ArrayType(schemas.MEMBERSHIP))
+    fills["invitee_phone"] = F.coalesce(safe_col(df, "invitee_phone"), phone_answer(qa))
+    fills["host_email"] = F.coalesce(safe_col(df, "host_email"), first_member_field(members, "user_email"))
+    fills["host_name"] = F.coalesce(safe_col(df, "host_name"), first_member_field(members, "user_name"))
+    fills["webhook_event"] = F.coalesce(safe_col(df, "webhook_event"), safe_col(df, "payload.event"))
+    return df.withColumns(fills)
+
+
 def project_bookings(df: DataFrame) -> DataFrame:
     """Conform any booking frame (flat bronze, partial, typed) to the booking projection."""
     return df.select(*[_typed(df, n, t) for n, t in BOOKING_PROJECTION])

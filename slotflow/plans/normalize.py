@@ -13,6 +13,7 @@ from slotflow.operators.projections import (
     project_spend,
     require_keys,
     sanitize_columns,
+    unify_booking_shapes,
     valid_spend,
 )
 from slotflow.operators.windows import dedup_latest, latest_first
@@ -23,14 +24,14 @@ SPEND_TIE_BREAKS = ["spend", "source_file", "ingestion_date"]
 
 
 def clean_bookings(df: DataFrame) -> DataFrame:
-    """Bronze booking records (flat JSON rows or any frame with a subset of the columns)
-    -> silver bookings.
+    """Bronze booking records (flat JSON rows, nested webhook documents (Q11), or any frame
+    with a subset of the columns) -> silver bookings.
 
     P2 projection with parsed timestamps, P3 names, first/last name (F1/F2), date parts (F3-F8,
     integer year/month), ``event_status`` (= scheduled event status) and ``invitee_canceled``
     (payload flag when present, else invitee status 'canceled'), rows without ``invitee_uri``
     dropped (P7)."""
-    p = sanitize_columns(project_bookings(df))
+    p = sanitize_columns(project_bookings(unify_booking_shapes(df)))
     p = p.withColumns(
         {
             "invitee_first_name": first_name(F.col("invitee_name")),

@@ -149,7 +149,11 @@ BRONZE_BOOKING_FIELDS: list[tuple[str, T.DataType]] = [
     ("booking_hour", I),
     ("booking_day_of_week", S),
 ]
-BRONZE_BOOKING = _struct(*BRONZE_BOOKING_FIELDS)
+# The nested bronze variant: the webhook kept whole under ``payload`` ({event, time,
+# payload: invitee}), next to the top-level channel fields (decision Q11: one normalizer
+# accepts both shapes).
+NESTED_BOOKING = _struct(("event", S), ("time", S), ("payload", INVITEE_PAYLOAD))
+BRONZE_BOOKING = _struct(*BRONZE_BOOKING_FIELDS, ("payload", NESTED_BOOKING))
 
 # Spend rows: the source files (bare arrays) and the bronze documents {records, metadata}.
 SPEND_RECORD = _struct(

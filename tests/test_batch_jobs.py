@@ -226,3 +226,50 @@ def test_partition_filter_with_many_touched_partitions(spark, tmp_dir):
                                    "booking_year int, booking_month int, marketing_channel string, v int")
     got = sorted(r["v"] for r in tables._rows_in_partitions(target, touched, tables.BOOKING_PARTITIONS).collect())
     assert got == [1]
+
+
+def test_bronze_accepts_flat_and_nested_bookings(spark, tmp_dir):
+    """Q11: the nested webhook document (webhook kept under payload.payload, no top-level
+    invitee_uri) and the flat bronze record normalize through one reader and one cleaner.
+    Q10: a spend file filed under another channel's folder keeps its own channel."""
+    from slotflow.plans.normalize import clean_bookings, clean_spend
+    from slotflow.sources.readers import read_bronze_bookings, read_bronze_spend
+
+    root = f"{tmp_dir}/bronze"
+    nested = {
+        "webhook_event": "invitee.created", "webhook_received_at": "2024-02-17T10:30:00Z",
+        "marketing_channel": "search_ads", "event_type_url": "https://example.com/event_types/a",
+        "payload": {"event": "invitee.created", "time": "2024-02-17T10:30:00.000000Z", "payload": {
+            "uri": "https://example.com/invitees/n1", "email": "n1@example.com", "name": "Nia Lopez",
+            "status": "active", "timezone": "America/New_York", "canceled": True, "rescheduled": False,
+            "created_at": "2024-02-17T10:30:00.000000Z", "updated_at": "2024-02-17T11:00:00.000000Z",
+            "questions_and_answers": [{"question": "Phone", "answer": "+1 555 0100"}],
+            "tracking": {"utm_source": "search", "utm_medium": "paid", "utm_campaign": "spring", "utm_content": None},
+            "scheduled_event": {"name": "30 Minute Meeting", "start_time": "2024-02-17T15:00:00.000000Z",
+                                "end_time": "2024-02-17T15:30:00.000000Z", "status": "active",
+                                "event_type": "https://example.com/event_types/a",
+                                "location": {"type": "zoom", "join_url": "https://example.com/j"},
+                                "event_memberships": [{"user": "https://example.com/users/u1"}],
+                                "invitees_counter": {"active": 1, "limit": 1, "total": 1}}}}}
+    flat = {"invitee_uri": "f1", "invitee_email": "f1@example.com", "invitee_name": "Solo", "marketing_channel": "video_ads",
+            "scheduled_event_start_time": "2024-02-18T09:00:00Z", "scheduled_event_status": "active",
+            "host_email": "h@example.com", "host_name": "Host A"}
+    _write_bronze_booking(root, "search_ads", "2024-02-17", "n1", nested)
+    _write_bronze_booking(root, "video_ads", "2024-02-18", "f1", flat)
+    silver = {r["invitee_uri"]: r for r in clean_bookings(read_bronze_bookings(spark, f"{root}/bookings")).collect()}
+    n = silver["https://example.com/invitees/n1"]
+    assert (n["invitee_email"], n["invitee_first_name"], n["invitee_last_name"]) == ("n1@example.com", "Nia", "Lopez")
+    assert n["invitee_canceled"] is True and n["invitee_phone"] == "+1 555 0100" and n["utm_campaign"] == "spring"
+    assert (n["booking_date"], n["booking_hour"], n["marketing_channel"]) == (D(2024, 2, 17), 15, "search_ads")
+    assert n["host_email"] is None and n["scheduled_event_name"] == "30 Minute Meeting" and n["webhook_event"] == "invitee.created"
+    f = silver["f1"]
+    assert f["host_name"] == "Host A" and f["booking_date"] == D(2024, 2, 18) and f["invitee_last_name"] == ""
+    # Q10: the same spend file under two channel folders; each record keeps its own channel
+    for ch in ("search_ads", "video_ads"):
+        d = f"{root}/marketing_spend/channel={ch}/date=2024-02-17"
+        os.makedirs(d, exist_ok=True)
+        with open(f"{d}/spend_data.json", "w") as fh:
+            json.dump([{"channel": "search_ads", "date": "2024-02-17", "spend": 150.0, "impressions": 5000, "clicks": 250},
+                       {"channel": "video_ads", "date": "2024-02-17", "spend": 200.0, "impressions": 8000, "clicks": 400}], fh, indent=2)
+    spend = {r["channel"]: r["spend"] for r in clean_spend(read_bronze_spend(spark, f"{root}/marketing_spend"), clock=False).collect()}
+    assert spend == {"search_ads": 150.0, "video_ads": 200.0}
