@@ -743,3 +743,12 @@ def q_meeting_load_nested(spark, sf_dir):
     """X9 / A9 on hosts taken from the webhooks (first event membership, F19) through bronze
     and silver: meetings per host per ISO week, then per-host load."""
     return M.employee_meeting_load(clean_bookings(_bronze_n(spark, sf_dir)), clock=False)
+
+
+@register("clean_bookings_nested_docs",
+          (Q.with_ctes(Q.N_MSGS, Q.N_BRONZE, Q.N_SILVER) + f"SELECT {Q.SILVER_NO_CLOCK} FROM n_silver").replace(
+              "FROM n_msgs WHERE NOT poison", "FROM n_msgs"))
+def q_clean_bookings_nested_docs(spark, sf_dir):
+    """X1 on the nested bronze document shape (Q11): every tracked webhook of the events
+    table, kept whole under payload.payload, normalized to silver."""
+    return clean_bookings(AD.nested_bronze_documents(spark, sf_dir)).select(*_SILVER_NO_CLOCK)

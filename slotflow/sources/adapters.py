@@ -198,3 +198,23 @@ def enriched_envelopes(enriched: DataFrame) -> DataFrame:
         F.col("marketing_channel").alias("partition_key"),
         F.col("_ts").alias("arrival_ts"),
     )
+
+
+def nested_bronze_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested bronze variant (FIXTURES 1.4): tracked webhooks kept whole under
+    ``payload`` ({event, time, payload}) next to the top-level channel fields."""
+    w = events_webhooks(spark, sf_dir)
+    url = F.col("webhook.payload.scheduled_event.event_type")
+    channels = F.create_map(*[x for k, v in sorted(FIXTURE_EVENT_TYPE_CHANNELS.items()) for x in (F.lit(k), F.lit(v))])
+    tracked = w.filter((F.col("webhook.event") == F.lit("invitee.created")) & url.isin(*FIXTURE_EVENT_TYPE_CHANNELS))
+    return tracked.select(
+        F.col("webhook.event").alias("webhook_event"),
+        F.col("webhook.created_at").alias("webhook_received_at"),
+        F.try_element_at(channels, url).alias("marketing_channel"),
+        url.alias("event_type_url"),
+        F.struct(
+            F.col("webhook.event").alias("event"),
+            F.col("webhook.created_at").alias("time"),
+            F.col("webhook.payload").alias("payload"),
+        ).alias("payload"),
+    )

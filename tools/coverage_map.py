@@ -133,7 +133,7 @@ MAP = {
     "T5": ("read_booking_stream(maxFilesPerTrigger, maxFileAge, latestFirst); DEDUP_DELAY", "stream_bronze_bookings"),
     "T6": ("streaming.jobs.bronze_to_silver_incremental / spend_to_silver_incremental", "test_incremental_silver_only_new_files"),
     "T7": ("streaming.jobs.daily_counts / live_daily_counts", "stream_daily_counts; test_daily_counts_drop_rows_beyond_watermark"),
-    "X1": ("plans.normalize.clean_bookings (+ projections.unify_booking_shapes, Q11)", "clean_bookings, clean_bookings_nested; test_bronze_accepts_flat_and_nested_bookings"),
+    "X1": ("plans.normalize.clean_bookings (+ projections.unify_booking_shapes, Q11)", "clean_bookings, clean_bookings_nested, clean_bookings_nested_docs; test_bronze_accepts_flat_and_nested_bookings"),
     "X2": ("plans.normalize.clean_spend", "clean_spend"),
     "X3": ("plans.batch_jobs.bronze_to_silver / bronze_to_silver_incremental", "bronze_to_silver_job; test_bronze_to_silver_to_gold"),
     "X4": ("plans.metrics.daily_bookings_by_source; rollups.daily_bookings_by_source", "daily_bookings_by_source; tests/test_rollups.py"),
