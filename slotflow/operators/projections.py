@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from slotflow import schemas
-from slotflow.functions.columns import all_not_null, column_type, conform, safe_col
+from slotflow.functions.columns import all_not_null, column_type, safe_col
 from slotflow.functions.nested import (
     DEFAULT_CHANNEL,
     TRACKED_EVENT,
@@ -98,12 +98,10 @@ def unify_booking_shapes(df: DataFrame) -> DataFrame:
     inner = "payload.payload"
     fills = {}
     for flat, nested in NESTED_BOOKING_FIELDS.items():
-        nested_col = safe_col(df, f"{inner}.{nested}", column_type(df, f"{inner}.{nested}") or S)
-        if flat in df.columns:
-            target = column_type(df, flat)
-            fills[flat] = F.coalesce(F.col(flat), conform(nested_col, column_type(df, f"{inner}.{nested}"), target))
-        else:
-            fills[flat] = nested_col
+        path = f"{inner}.{nested}"
+        # the nested value, conformed to the flat column's type (or kept as it is)
+        from_nested = safe_col(df, path, column_type(df, flat) or column_type(df, path) or S)
+        fills[flat] = F.coalesce(F.col(flat), from_nested) if flat in df.columns else from_nested
     qa = safe_col(df, f"{inner}.questions_and_answers", T.ArrayType(schemas.QA))
     members = safe_col(df, f"{inner}.scheduled_event.event_memberships", T.ArrayType(schemas.MEMBERSHIP))
     fills["invitee_phone"] = F.coalesce(safe_col(df, "invitee_phone"), phone_answer(qa))
