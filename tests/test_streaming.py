@@ -25,6 +25,7 @@ def test_webhook_intake_stream_equals_batch(spark, tmp_dir):
     assert uris.exceptAll(batch.select(F.col("invitee_data.uri").alias("u"))).count() == 0
     archive = spark.read.json(f"{tmp_dir}/archive")
     assert archive.count() == reqs.count()  # every request archived, tracked or not
+    assert archive.select("body").exceptAll(reqs.select("body")).count() == 0  # bodies kept verbatim (S15)
     assert {r["event"] for r in archive.select("event").distinct().collect()} == {"invitee.created", "invitee.canceled"}
 
 
