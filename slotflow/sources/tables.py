@@ -313,10 +313,19 @@ def write_gold(df: DataFrame, root: str, name: str) -> str:
 
 
 def register_table(spark: SparkSession, db: str, name: str, path: str, fmt: str = "parquet") -> bool:
-    """Idempotent registration of a table over a location; a failure is a warning."""
+    """Idempotent registration of a table over a location, then partition recovery:
+    a partitioned table registered this way shows no rows until its partition folders are
+    added to the catalog, so each call recovers them (new partitions written since the last
+    run included) and refreshes cached file listings. A failure is a warning."""
     try:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{name}` USING {fmt} LOCATION '{path}'")
+        full = f"`{db}`.`{name}`"
+        try:
+            spark.sql(f"MSCK REPAIR TABLE {full}")
+        except Exception:  # noqa: BLE001 - unpartitioned tables have nothing to recover
+            pass
+        spark.sql(f"REFRESH TABLE {full}")
         return True
     except Exception as e:  # noqa: BLE001 - registration must never fail the job
         log.warning("could not register %s.%s at %s: %s", db, name, path, e)

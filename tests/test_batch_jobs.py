@@ -70,6 +70,9 @@ def test_bronze_to_silver_to_gold(spark, tmp_dir):
     cpb = {(r["date"], r["channel"]): r for r in spark.read.parquet(f"{cfg.gold_metrics}/cost_per_booking").collect()}
     assert cpb[(D(2024, 1, 1), "fb")]["total_spend"] == 30.0 and cpb[(D(2024, 1, 1), "fb")]["total_bookings"] == 0
     assert spark.sql("SHOW TABLES IN slotflow_test").count() >= 6
+    # the silver tables registered over partitioned folders are queryable through the catalog
+    assert spark.table("slotflow_test.bookings_silver").count() == 2
+    assert spark.table("slotflow_test.marketing_spend_silver").filter("channel = 'fb'").count() == 1
     refreshed = tables.refresh_catalog(spark, "slotflow_test", ["cost_per_booking"])
     assert refreshed["cost_per_booking"] == len(cpb)
 

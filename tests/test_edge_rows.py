@@ -157,3 +157,14 @@ def test_default_channel_sort_and_sql(spark):
     assert ordered == [(2, "ad"), (2, "fb"), (1, "direct")]
     register_gold_views({"slotflow_edge_view": fixed})
     assert run_sql(spark, "SELECT sum(n) AS s FROM slotflow_edge_view WHERE marketing_channel <> 'direct'").first()["s"] == 5
+
+
+def test_ensure_parallelism_only_spreads_narrow_inputs(spark):
+    from slotflow.operators.ordering import ensure_parallelism
+
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spark.range(100).coalesce(1)
+    wide = spark.range(0, 100, 1, cores * 2)
+    assert ensure_parallelism(narrow).rdd.getNumPartitions() == cores
+    assert ensure_parallelism(wide) is wide
+    assert sorted(r[0] for r in ensure_parallelism(narrow).collect()) == list(range(100))

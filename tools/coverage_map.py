@@ -26,7 +26,7 @@ MAP = {
     "S9": ("merge_upsert(allow_missing_columns); upsert_table schema merge; read_silver(mergeSchema)", "upsert_bookings; test_upsert_adds_a_column"),
     "S10": ("sources.tables.write_gold", "silver_to_gold_job"),
     "S11": ("sources.tables.register_table", "test_bronze_to_silver_to_gold"),
-    "S12": ("sources.tables.refresh_catalog", "test_bronze_to_silver_to_gold"),
+    "S12": ("sources.tables.register_table (partition recovery on every run) / refresh_catalog", "test_bronze_to_silver_to_gold"),
     "S13": ("sources.readers.read_booking_stream; streaming.jobs.start_bronze_writer", "stream_bronze_bookings"),
     "S14": ("streaming.jobs.write_bronze_batch (channel=/date=/batch=, exactly-once)", "stream_bronze_bookings; test_replayed_bronze_batch_is_written_once"),
     "S15": ("streaming.jobs.webhook_intake (archive sink)", "stream_webhook_intake; test_webhook_intake_stream_equals_batch"),
