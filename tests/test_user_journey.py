@@ -8,7 +8,7 @@ import os
 from pyspark.sql import functions as F
 
 import slotflow
-from slotflow.plans.readmodels import VIEW_SQL
+from slotflow.plans.readmodels import read_model
 from slotflow.sources import adapters as AD
 from slotflow.streaming import jobs as J
 from conftest import SF_SMALL
@@ -55,11 +55,7 @@ def test_end_to_end_through_the_public_api(spark, tmp_dir):
     daily_total = spark.table("journey.daily_bookings_by_source").agg(F.sum("total_bookings")).first()[0]
     assert daily_total == n_tracked
     # a dashboard read model over the catalog's gold table
-    spark.sql("USE journey")
-    try:
-        view = spark.sql(VIEW_SQL["v_channel_attribution"]).collect()
-    finally:
-        spark.sql("USE default")
+    view = read_model(spark, "v_channel_attribution", database="journey").collect()
     assert {r["channel"] for r in view} == {"search_ads", "social_ads", "video_ads"}
     assert sum(r["total_bookings"] for r in view) == n_tracked
     assert abs(sum(r["total_spend"] for r in view) - 66.0) < 1e-9  # two days of 10 + 11 + 12
