@@ -20,7 +20,8 @@ from slotflow.sources import files, readers, tables
 
 log = logging.getLogger(__name__)
 
-# Q5: bookings are deduplicated latest-first before the upsert; every other column breaks ties.
+# Q5: bookings are deduplicated latest-first (by webhook_received_at) before the upsert; these
+# columns then break ties, so the winner is deterministic.
 BOOKING_TIE_BREAKS = [
     "invitee_updated_at", "invitee_created_at", "scheduled_event_start_time", "scheduled_event_status",
     "invitee_status", "marketing_channel", "invitee_email",
