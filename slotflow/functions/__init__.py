@@ -1 +1 @@
-"""slotflow.functions"""
+"""Column functions: null-safe columns and exact sums, names and ids, date parts, nested data."""

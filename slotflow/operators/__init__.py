@@ -1 +1,2 @@
-"""slotflow.operators"""
+"""DataFrame -> DataFrame operators: projections and filters, joins, aggregations, windows,
+keyed upsert, sorts and unions."""

@@ -1 +1 @@
-"""slotflow.streaming"""
+"""Structured Streaming jobs: webhook intake, bronze writer, incremental silver, live counts."""
