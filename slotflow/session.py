@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,13 +52,18 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and must be a shared file system. Only when it
-    is unset (tests, local runs) do we create a local one and register it with the context.
+    A deployment sets it to a shared file system. Where it is unset a local master (tests) gets
+    a folder of its own; on a cluster that is an error, since one machine's disk is no shared
+    folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        path = spark.sparkContext.getCheckpointDir()
+    if not path:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[[^-]*)?$", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {master}")
         path = tempfile.mkdtemp(prefix="slotflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
@@ -65,6 +72,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique sub folder of the checkpoint folder for staged tables (lineage cuts)."""
     base = checkpoint_dir(spark).rstrip("/")
-    import uuid
-
     return f"{base}/slotflow-stage/{name}-{uuid.uuid4().hex}"

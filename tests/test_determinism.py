@@ -3,7 +3,7 @@ and tie-broken ranks give bit-identical output for any shuffle partition count."
 
 import pytest
 
-import __spark_entry__ as E
+from slotflow.plans.registry import QUERIES
 from check_oracle import canon
 
 SF = "/root/testdata/sf0.01"
@@ -18,7 +18,7 @@ def test_same_bits_for_any_partitioning(spark, name):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         spark.conf.set("spark.sql.adaptive.enabled", aqe)
         try:
-            df = E.queries()[name](spark, SF)
+            df = QUERIES[name](spark, SF)
             hashes.add(canon(df.columns, [tuple(r) for r in df.collect()])[2])
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -3,8 +3,8 @@ partial top-1 before the shuffle, CPB reuses the aggregate partitioning."""
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from slotflow.plans.registry import QUERIES
 from slotflow.operators.windows import dedup_latest, latest_first
 from slotflow.sources import adapters as AD
 
@@ -13,14 +13,14 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in E.queries() if not n.endswith("_job") and not n.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.endswith("_job") and not n.startswith("stream_")))
 def test_no_cartesian_or_nested_loop(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_scan_is_pruned_and_filter_pushed(spark):
-    df = E.queries()["daily_bookings_by_source"](spark, SF_SMALL)
+    df = QUERIES["daily_bookings_by_source"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_type), Not(EqualTo(event_type,error))" in plan
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
@@ -41,7 +41,7 @@ def test_cost_per_booking_exchanges(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _plan(E.queries()["cost_per_booking"](spark, SF_SMALL))
+        plan = _plan(QUERIES["cost_per_booking"](spark, SF_SMALL))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -54,7 +54,7 @@ def test_cost_per_booking_exchanges(spark):
 def test_aggregates_combine_before_the_shuffle(spark, name):
     """A hot key (a third of all rows) must be reduced map-side: every aggregation has a
     partial stage (or, for the dedup, a partial group limit) below its exchange."""
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert "partial_" in plan or "WindowGroupLimit" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 

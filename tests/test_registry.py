@@ -2,19 +2,19 @@
 
 import re
 
-import __spark_entry__ as E
+from slotflow.plans.registry import ORACLE, QUERIES
 
 
 def test_names_and_docs():
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         assert re.fullmatch(r"[a-z][a-z0-9_]*", name)
         assert "pipeline" not in name and not re.match(r"op\d+_", name)
         assert fn.__doc__ and fn.__doc__.strip(), name
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
-    for name, sql in E.oracle_sql().items():
+    assert set(QUERIES) == set(ORACLE)
+    for name, sql in ORACLE.items():
         assert "SELECT" in sql.upper(), name
         # whole tables: no row caps in the oracle except the top-k report
         assert (" LIMIT " not in sql.upper()) or name == "latest_sources", name
