@@ -7,11 +7,11 @@ from slotflow.plans.registry import QUERIES
 from check_oracle import canon
 
 SF = "/root/testdata/sf0.01"
-QUERIES = ["cost_per_booking", "channel_attribution", "kpi_summary", "meeting_load_kpis", "overall_cpb",
+NAMES = ["cost_per_booking", "channel_attribution", "kpi_summary", "meeting_load_kpis", "overall_cpb",
            "bookings_trend", "clean_spend", "kpi_period_delta"]
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", NAMES)
 def test_same_bits_for_any_partitioning(spark, name):
     hashes = set()
     for parts, aqe in [("3", "false"), ("17", "false"), ("8", "true")]:
