@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slotflow.session import checkpoint_dir
@@ -52,7 +53,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
     for batch in batches:
         if not batch.num_rows:
             continue
-        _, offsets = text_bytes(batch.column(column))
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
         at = 0
         while at < batch.num_rows:
             end = int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotflow.llm import repeats
+from slotflow.llm import near, repeats
 from slotflow.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,10 @@ def register(name: str, sql: str | None = None):
 def op8(spark, sf_dir):
     """Operator 8: words left after 20-word windows that also start earlier are removed."""
     return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+@register("op10_ngram_jaccard_join")
+def op10(spark, sf_dir):
+    """Operator 10: components of documents whose 3-word shingle sets have a Jaccard similarity of
+    90 percent or more."""
+    return near.near_components(table(spark, sf_dir, "documents"), size=3, percent=90)
