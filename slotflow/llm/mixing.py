@@ -119,7 +119,7 @@ def draw(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with each row as often as the mix takes it. Rows that repeat a doc_id are taken
     as often as the one of them that is taken most."""
     taken = mix(docs, **settings).groupBy(F.col("doc_id").alias("mix_doc")).agg(F.max("copies").alias("mix_copies"))
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("mix_doc")))
+    joined = docs.join(taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("mix_doc")))
     return joined.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(docs.columns)
 
 

@@ -383,4 +383,4 @@ def near_components(docs: DataFrame, size: int = 5, percent: int = 80, max_regio
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without those that a document of smaller doc_id reaches by links."""
     found = near_components(docs, size, percent).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(found.hint("merge"), "doc_id", "left_anti").select(docs.columns)

@@ -200,5 +200,5 @@ def sanitise(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     """``docs`` with its texts cleaned and n_chars, where there, counted anew."""
     found = spans(docs, support).where(F.size("spans") > 0).groupBy(F.col("doc_id").alias("pii_doc"), F.col("key").alias("pii_key")).agg(F.first("spans").alias("pii_spans"))
     on = F.col("doc_id").eqNullSafe(F.col("pii_doc")) & (F.xxhash64("text") == F.col("pii_key"))
-    cleaned = docs.join(found, on, "left").mapInArrow(_sanitise, docs.schema)
+    cleaned = docs.join(found.hint("merge"), on, "left").mapInArrow(_sanitise, docs.schema)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cleaned

@@ -152,7 +152,7 @@ def accept(docs: DataFrame) -> DataFrame:
     """``docs`` without the rejected; a doc_id goes if any of its rows is rejected, rows with a
     null doc_id stay."""
     rejected = judge(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(rejected.hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 _VALUES = "\nUNION ALL\n".join(
