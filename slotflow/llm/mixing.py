@@ -82,8 +82,8 @@ def budgets(leaf_rows: DataFrame, share: int, epochs: int, domains: dict, langua
     usable = leaf.withColumn("cap", F.when(F.col("weight") > 0, F.col("cap")).otherwise(F.lit(0)))
     langs = usable.groupBy("domain", "lang").agg(F.sum("cap").alias("cap")).withColumn("weight", _weight("lang", languages))
     tops = langs.where("weight > 0").groupBy("domain").agg(F.sum("cap").alias("cap")).withColumn("weight", _weight("domain", domains))
-    total = leaf.agg(F.expr(f"{share} * sum(tokens) div 100").alias("budget")).withColumn("one", F.lit(1))
-    tops = share_out(tops.withColumn("one", F.lit(1)).join(total, "one"), [], "domain")
+    total = leaf.agg(F.expr(f"{share} * sum(tokens) div 100")).first()[0] or 0
+    tops = share_out(tops.withColumn("budget", F.lit(total).cast("long")), [], "domain")
     langs = share_out(langs.join(tops.select("domain", F.col("alloc").alias("budget")), "domain"), ["domain"], "lang")
     out = share_out(leaf.join(langs.select("domain", "lang", F.col("alloc").alias("budget")), ["domain", "lang"]), ["domain", "lang"], "source")
     return stage(out.select(*LEAF, "tokens", "alloc"), "budgets")
