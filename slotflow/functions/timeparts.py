@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, functions as F
 
 
@@ -54,10 +52,9 @@ def week_start(c: Column) -> Column:
     return F.to_date(F.date_trunc("week", c))
 
 
-def execution_date(as_of: str | _dt.date | None = None) -> Column:
-    """the run's default date, the day before ``as_of`` (today when None)."""
-    base = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
-    return F.date_sub(base, 1)
+def execution_date(day: Column) -> Column:
+    """a run's default date, the day before ``day``."""
+    return F.date_sub(day, 1)
 
 
 def format_day(c: Column) -> Column:

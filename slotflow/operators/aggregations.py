@@ -98,25 +98,18 @@ def weekly_trend(daily: DataFrame) -> DataFrame:
     )
 
 
-# Fixed-point resolution of means of derived doubles (cost per booking): each value is cut to
-# whole micro-units with one multiply and a floor, then summed exactly as DECIMAL, so the mean
-# does not depend on partitioning or summation order.
-MICRO = 1_000_000
-
-
-def fixed_point_mean(c: str, scale: int = MICRO) -> Column:
-    """Mean of a double column at ``1/scale`` resolution (truncated), order-independent."""
-    units = F.floor(F.col(c) * F.lit(float(scale))).cast("decimal(38,0)")
-    return F.sum(units).cast("double") / F.lit(float(scale)) / F.count(c)
+#: Decimals of means in the dashboard's KPIs: the mean itself is exact to the last bits, which
+#: depend on the order of summation; results are rounded once, at output.
+MEAN_DECIMALS = 6
 
 
 def kpi_summary(attr: DataFrame) -> DataFrame:
     """One row over the channel attribution table: total bookings, total spend, mean
-    cost per booking over channels that have one (micro-unit resolution), total leads."""
+    cost per booking over channels that have one, total leads."""
     return attr.agg(
         F.sum("total_bookings").alias("total_bookings"),
         money_sum("total_spend").cast("double").alias("total_spend"),
-        fixed_point_mean("cost_per_booking").alias("avg_cost_per_booking"),
+        F.round(F.avg("cost_per_booking"), MEAN_DECIMALS).alias("avg_cost_per_booking"),
         F.sum("unique_leads").alias("unique_leads"),
     )
 
@@ -210,19 +203,12 @@ def dow_bookings(t: DataFrame) -> DataFrame:
     return agg.withColumn("day_name", F.try_element_at(names, F.col("booking_day_of_week")))
 
 
-# Fixed-point scale for means of per-host averages: each average is an exact integer of
-# 1e-9 units, so the sum (and the mean) does not depend on how rows are partitioned.
-MEAN_SCALE = 1_000_000_000
-
-
 def meeting_load_kpis(m: DataFrame) -> DataFrame:
-    """Total meetings, busiest week of any host, mean of the hosts' weekly averages
-    (fixed-point, 1e-9 resolution, identical however the hosts are partitioned)."""
-    per_host = F.expr(f"(total_meetings * {MEAN_SCALE}) div weeks_active").cast("decimal(38,0)")
+    """Total meetings, busiest week of any host, mean of the hosts' weekly averages."""
     return m.agg(
         F.sum("total_meetings").alias("total_meetings"),
         F.max("max_meetings_in_week").alias("max_meetings_in_week"),
-        (F.sum(per_host).cast("double") / F.lit(float(MEAN_SCALE)) / F.count(F.lit(1))).alias("avg_meetings_per_week"),
+        F.round(F.avg("avg_meetings_per_week"), MEAN_DECIMALS).alias("avg_meetings_per_week"),
     )
 
 
@@ -249,24 +235,10 @@ def batch_outcome(df: DataFrame, error_col: str = "error") -> DataFrame:
 
 
 
-SPEND_RECORD_FIELDS = ["date", "channel", "spend", "ingested_at", "source_file", "ingestion_date"]
-
-
-def nest_spend(s: DataFrame, max_records_per_document: int = 100_000, fields: list[str] | None = None) -> DataFrame:
-    """Group spend rows into ``{records, record_count}`` documents per (date, channel).
-
-    A key with more than ``max_records_per_document`` rows is split over several documents
-    (``chunk``), each a hash slice of the key's rows, so no single array grows with the data.
-    The per-key counts are a partial aggregate; joining them back lets AQE broadcast them when
-    they are small at runtime, and split a hot key's partition when they are not."""
-    fields = fields or [f for f in SPEND_RECORD_FIELDS if f in s.columns]
-    counts = s.groupBy(F.col("date").alias("_d"), F.col("channel").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
-    # Null-safe keys: a record without a date or channel still lands in a document.
-    on = s["date"].eqNullSafe(counts["_d"]) & s["channel"].eqNullSafe(counts["_c"])
-    with_n = s.join(counts, on, "inner").drop("_d", "_c")
-    n_chunks = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("_n") / F.lit(max_records_per_document)))
-    chunk = F.pmod(F.xxhash64(*[F.col(f) for f in fields]), n_chunks)
-    return with_n.withColumn("chunk", chunk).groupBy("date", "channel", "chunk").agg(
-        F.collect_list(F.struct(*[F.col(f) for f in fields])).alias("records"),
-        F.count(F.lit(1)).alias("record_count"),
-    )
+def nest_spend(s: DataFrame, record: Column | None = None) -> DataFrame:
+    """Spend rows as ``{records, record_count}`` documents, one per (date, channel) and
+    source file: a document is never larger than the part of one file that it comes from.
+    ``record`` is what the array holds (default: all columns). Null keys have documents too."""
+    keys = [c for c in ("date", "channel", "source_file") if c in s.columns]
+    record = F.struct(*s.columns) if record is None else record
+    return s.groupBy(*keys).agg(F.collect_list(record).alias("records"), F.count(F.lit(1)).alias("record_count"))

@@ -22,8 +22,10 @@ from slotflow.functions.timeparts import (
     day_of,
     hour_of,
     month_of,
+    now,
     parse_timestamp,
     to_day,
+    today,
     year_of,
 )
 
@@ -174,12 +176,14 @@ def default_channel(df: DataFrame, column: str = "marketing_channel") -> DataFra
 
 
 def unwrap_body(df: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """A request holds the webhook as JSON text in ``body``, as an object in ``body``
-    (already parsed into the top-level fields), or is the webhook itself. Output: event,
+    """A request holds the webhook as JSON text in ``body``, as an object in ``body``, or is
+    the webhook itself (its fields at the top). Output: event,
     created_at, payload, plus ``raw`` (the body text kept for the audit archive)."""
     # The parsed body is materialized once as a column and referenced by name below; embedding
     # the from_json expression in each consumer would make Catalyst evaluate it per reference.
     if "body" in df.columns:
+        if not isinstance(df.schema["body"].dataType, T.StringType):  # an object: its text says the same
+            df = df.withColumn("body", F.to_json("body"))
         df = df.withColumn("_parsed", parse_json(F.col("body"), schemas.WEBHOOK))
     else:
         df = df.withColumn("_parsed", F.lit(None).cast(schemas.WEBHOOK))
@@ -320,7 +324,7 @@ def flatten_booking(df: DataFrame, msg_col: str = "_msg", clock: bool = True) ->
 def with_metric_metadata(df: DataFrame, name: str, clock: bool = True) -> DataFrame:
     """``metric_name`` literal and (when ``clock``) ``calculated_at``."""
     df = df.withColumn("metric_name", F.lit(name))
-    return df.withColumn("calculated_at", F.current_timestamp()) if clock else df
+    return df.withColumn("calculated_at", now()) if clock else df
 
 
 def with_ingest_metadata(df: DataFrame, source_file: Column | None = None) -> DataFrame:
@@ -328,9 +332,9 @@ def with_ingest_metadata(df: DataFrame, source_file: Column | None = None) -> Da
     src = source_file if source_file is not None else F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     return df.withColumns(
         {
-            "ingested_at": F.current_timestamp(),
+            "ingested_at": now(),
             "source_file": src,
-            "ingestion_date": F.current_date(),
+            "ingestion_date": today(),
         }
     )
 

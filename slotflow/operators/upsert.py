@@ -2,7 +2,8 @@
 
 ``merge_upsert`` is the pure relational form (target anti-join source, union the deduplicated
 source). ``slotflow.sources.tables.upsert_table`` applies it to a partitioned table on disk,
-rewriting only the partitions the source touches.
+rewriting only the partitions the source touches; it uses ``merge_versions``, which lets the
+newest of all versions win, old and new.
 """
 
 from __future__ import annotations
@@ -34,3 +35,18 @@ def merge_upsert(
     if order:
         src = dedup_latest(src, keys, order)
     return keep.unionByName(src, allowMissingColumns=allow_missing_columns)
+
+
+def merge_versions(old: DataFrame, source: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """J4 with versions: per key, the first by ``order`` of the old rows and the source's row (of
+    ties the source's). Without ``order`` the source's row wins. Old rows of other keys stay. The
+    source is unique on ``keys``; columns on one side only are null on the other."""
+    if not order:
+        return merge_upsert(old, source, keys)
+    touched = source.select(*keys)
+    stay = old.join(touched, keys, "left_anti")
+    mine = source.withColumn("_new", F.lit(1))
+    theirs = old.join(touched, keys, "left_semi").withColumn("_new", F.lit(0))
+    versions = mine.unionByName(theirs, allowMissingColumns=True)
+    newest = dedup_latest(versions, keys, [*order, F.col("_new").desc()]).drop("_new")
+    return stay.unionByName(newest, allowMissingColumns=True)

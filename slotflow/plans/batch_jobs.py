@@ -6,17 +6,19 @@ import datetime as dt
 import logging
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from slotflow import schemas
 from slotflow.config import PipelineConfig
 from slotflow.operators import aggregations as A
 from slotflow.operators.ordering import latest_sources
 from slotflow.operators.projections import with_ingest_metadata
 from slotflow.operators.windows import latest_first
-from slotflow.plans.normalize import clean_bookings, clean_spend
+from slotflow.plans.metrics import GOLD_METRICS
+from slotflow.plans.normalize import SPEND_TIE_BREAKS, clean_bookings, clean_spend
 from slotflow.session import configure
 from slotflow.sources import files, readers, tables
+from slotflow.sources.staging import drop_staged, stage
 
 log = logging.getLogger(__name__)
 
@@ -26,12 +28,18 @@ BOOKING_TIE_BREAKS = [
     "invitee_updated_at", "invitee_created_at", "scheduled_event_start_time", "scheduled_event_status",
     "invitee_status", "marketing_channel", "invitee_email",
 ]
-# Columns the gold metrics read from silver bookings (column pruning at the scan).
-GOLD_BOOKING_COLUMNS = [
-    "invitee_uri", "invitee_email", "marketing_channel", "event_status", "invitee_canceled",
-    "booking_date", "booking_day_of_week", "booking_hour", "host_email", "host_name", "scheduled_event_start_time",
-]
-GOLD_SPEND_COLUMNS = ["date", "channel", "spend"]
+# Columns the gold metrics read from silver (column pruning at the scan).
+GOLD_BOOKING_COLUMNS = {
+    "invitee_uri": "string", "invitee_email": "string", "marketing_channel": "string", "event_status": "string",
+    "invitee_canceled": "boolean", "booking_date": "date", "booking_day_of_week": "int", "booking_hour": "int",
+    "host_email": "string", "host_name": "string", "scheduled_event_start_time": "timestamp",
+}
+GOLD_SPEND_COLUMNS = {"date": "date", "channel": "string", "spend": "double"}
+
+
+def spend_versions() -> list[Column]:
+    """Newest ingestion wins, among old and new spend of a (date, channel)."""
+    return latest_first("ingested_at", SPEND_TIE_BREAKS)
 
 
 def with_metrics(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -43,20 +51,23 @@ def with_metrics(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, multiline: bool = True) -> dict[str, int]:
     """Bronze JSON -> clean (X1, X2) -> keyed upserts into partitioned silver tables
     (S4-S9) -> catalog registration (S11). ``multiline``: one pretty-printed object per file
-    (the webhook writer's layout) or JSON lines (the streaming writer's)."""
+    (the webhook writer's layout) or JSON lines (the streaming writer's). Returns the rows of
+    either table and the number of documents that did not parse."""
     configure(spark)
-    bookings = clean_bookings(readers.read_bronze_bookings(spark, cfg.bronze_bookings, multiline))
+    corrupt = F.count(schemas.CORRUPT).alias("corrupt")
+    bad_b, bad_s = Observation("bad_bookings"), Observation("bad_spend")
+    bookings = clean_bookings(readers.read_bronze_bookings(spark, cfg.bronze_bookings, multiline).observe(bad_b, corrupt))
     b = tables.upsert_table(
         spark, cfg.silver_bookings, bookings, ["invitee_uri"], tables.BOOKING_PARTITIONS,
-        latest_first("webhook_received_at", BOOKING_TIE_BREAKS), key_index=True,
+        latest_first("webhook_received_at", BOOKING_TIE_BREAKS),
     )
-    spend = clean_spend(readers.read_bronze_spend(spark, cfg.bronze_spend, multiline))
+    spend = clean_spend(readers.read_bronze_spend(spark, cfg.bronze_spend, multiline).observe(bad_s, corrupt))
     s = tables.upsert_table(
-        spark, cfg.silver_spend, spend, ["date", "channel"], tables.SPEND_PARTITIONS, partitions_follow_keys=True
+        spark, cfg.silver_spend, spend, ["date", "channel"], tables.SPEND_PARTITIONS, spend_versions(), partitions_follow_keys=True
     )
     tables.register_table(spark, cfg.database, "bookings_silver", cfg.silver_bookings)
     tables.register_table(spark, cfg.database, "marketing_spend_silver", cfg.silver_spend)
-    return {"bookings": b["rows"], "spend": s["rows"]}
+    return {"bookings": b["rows"], "spend": s["rows"], "unreadable": int(bad_b.get["corrupt"]) + int(bad_s.get["corrupt"])}
 
 
 def bronze_to_silver_incremental(spark: SparkSession, cfg: PipelineConfig, multiline: bool = True) -> None:
@@ -80,21 +91,17 @@ def bronze_to_silver_incremental(spark: SparkSession, cfg: PipelineConfig, multi
 def silver_to_gold(
     spark: SparkSession, cfg: PipelineConfig, metrics: list[str] | None = None, errors: list[str] | None = None
 ) -> dict[str, int]:
-    """Every gold metric from shared roll-ups of silver (``slotflow.plans.rollups``):
-    three pruned, partially aggregated scans of silver bookings and one of silver spend
-    instead of one scan per metric. The roll-ups reused by several metrics are persisted for
-    the duration of the job. A metric that fails is logged and recorded as 0 rows; the others
-    still run (as in the reference)."""
-    from slotflow.plans.rollups import GOLD_FROM_ROLLUPS, booking_rollups, spend_daily
-
+    """The gold metrics, each a pruned scan of silver reduced before its shuffle; nothing is
+    kept in executors' caches. The metrics are submitted together, so Spark runs them side by
+    side. A metric that fails is logged and recorded as 0 rows; the others still run. Silver
+    tables without rows, or not there yet, give metrics without rows."""
     configure(spark)
-    rollups = booking_rollups(readers.read_silver(spark, cfg.silver_bookings, GOLD_BOOKING_COLUMNS)).persist()
-    daily_spend = spend_daily(readers.read_silver(spark, cfg.silver_spend, GOLD_SPEND_COLUMNS)).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+
     def build(name: str) -> tuple[str, int, str | None]:
         try:
-            df, obs = with_metrics(GOLD_FROM_ROLLUPS[name](rollups, daily_spend), name)
+            bookings = readers.read_silver(spark, cfg.silver_bookings, GOLD_BOOKING_COLUMNS)
+            spend = readers.read_silver(spark, cfg.silver_spend, GOLD_SPEND_COLUMNS)
+            df, obs = with_metrics(GOLD_METRICS[name](bookings, spend), name)
             path = tables.write_gold(df, cfg.gold_metrics, name)
             tables.register_table(spark, cfg.database, name, path)
             return name, int(obs.get["rows"]), None
@@ -102,20 +109,14 @@ def silver_to_gold(
             log.error("metric %s failed: %s", name, e)
             return name, 0, f"{name}: {e}"
 
-    names = metrics or list(GOLD_FROM_ROLLUPS)
+    names = metrics or list(GOLD_METRICS)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{cfg.database}`")  # once, before the concurrent registrations
     out: dict[str, int] = {}
-    try:
-        # The metrics are small jobs over the persisted roll-ups: submitted together, Spark
-        # runs them side by side instead of paying each one's scheduling latency in turn.
-        with ThreadPoolExecutor(max_workers=len(names)) as pool:
-            for name, rows, error in pool.map(build, names):
-                out[name] = rows
-                if error and errors is not None:
-                    errors.append(error)
-    finally:
-        rollups.unpersist()
-        daily_spend.unpersist()
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        for name, rows, error in pool.map(build, names):
+            out[name] = rows
+            if error and errors is not None:
+                errors.append(error)
     return out
 
 
@@ -125,14 +126,18 @@ def ingest_spend(
     cfg: PipelineConfig,
     as_of: str | None = None,
     lookback_days: int = 30,
+    execution_date: str | None = None,
 ) -> dict[str, object]:
     """X11: pick the newest ``lookback_days`` spend files named by the source's index file
-    (else by a listing of the folder; O4, with the date fallback O5), read them in
-    one scan (S17, missing/corrupt files skipped), stamp ingest metadata (P17), nest per
-    (date, channel) (A17), write bronze documents (S18), record the run (S20)."""
+    (else by a listing of the folder; O4, with the date fallback O5), read them in one scan
+    (S17), stamp ingest metadata (P17), nest per (date, channel) and file (A17), write bronze
+    documents (S18) with every field of the source, and record the run (S20). Files and records
+    that do not parse (S19) go to the dead-letter table of the execution date and are counted.
+    ``execution_date`` (for a backfill) defaults to the day before ``as_of`` (F11). A run can be
+    repeated: it rewrites its own documents."""
     configure(spark)
     today = dt.date.fromisoformat(as_of) if as_of else dt.datetime.now(dt.timezone.utc).date()
-    execution_date = (today - dt.timedelta(days=1)).isoformat()  # F11
+    execution_date = execution_date or (today - dt.timedelta(days=1)).isoformat()
     try:
         index = f"{source_dir.rstrip('/')}/{files.INDEX_FILE}"
         if tables.path_exists(spark, index):
@@ -143,12 +148,28 @@ def ingest_spend(
         dates = [r["file_date"].isoformat() for r in latest_sources(listed, lookback_days).collect() if r["file_date"]]
         if not dates:
             dates = readers.lookback_dates(execution_date, lookback_days)
-        records, obs = with_metrics(with_ingest_metadata(readers.read_spend_files(spark, source_dir, dates)), "spend_records")
-        nested = A.nest_spend(records)
-        tables.write_bronze_spend(nested, cfg.bronze_spend, execution_date)
-        n = int(obs.get["rows"]) if obs.get else 0
-        tables.record_run(spark, cfg.run_log, "spend_ingestion", execution_date, n, len(dates))
-        return {"execution_date": execution_date, "records_processed": n, "files_processed": len(dates)}
+        rows = stage(readers.read_spend_files(spark, source_dir, dates), "spend-source")
+        counts = rows.agg(F.count_if(F.col("error").isNull()).alias("good"), F.count("error").alias("bad")).first()
+        stamped = with_ingest_metadata(readers.spend_fields(rows), F.col("source_file"))
+        added = {
+            "ingested_at": F.date_format("ingested_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+            "source_file": F.col("source_file"),
+            "ingestion_date": F.lit(execution_date),
+        }
+        own = F.map_filter("fields", lambda k, _: ~k.isin(list(added)))
+        stamps = F.create_map(*[x for k, v in added.items() for x in (F.lit(k), v.cast("variant"))])
+        if counts["good"]:
+            nested = A.nest_spend(stamped, F.map_concat(own, stamps))
+            tables.write_bronze_spend(nested, cfg.bronze_spend, execution_date)
+        tables.replace_partition(
+            spark, rows.where("error IS NOT NULL"), cfg.spend_dead_letters, "execution_date", execution_date, "json"
+        )
+        drop_staged(rows)
+        tables.record_run(spark, cfg.run_log, "spend_ingestion", execution_date, counts["good"], len(dates))
+        return {
+            "execution_date": execution_date, "records_processed": counts["good"], "records_failed": counts["bad"],
+            "files_processed": len(dates),
+        }
     except Exception as e:
         tables.record_run(spark, cfg.run_log, "spend_ingestion", execution_date, 0, 0, "failed", str(e))
         raise

@@ -21,14 +21,14 @@ e_bookings AS (
          CAST(month(ts) AS INTEGER) AS booking_month,
          CAST(dayofweek(ts) + 1 AS INTEGER) AS booking_day_of_week,
          CAST(hour(ts) AS INTEGER) AS booking_hour
-  FROM events WHERE event_type <> 'error')"""
+  FROM events)"""
 
 E_SPEND = """
 e_spend AS (
-  SELECT CAST(ts AS DATE) AS date, event_type AS channel, value AS spend, ts AS ingested_at,
+  SELECT CAST(ts AS DATE) AS date, CASE WHEN event_type = 'view' THEN 'display' ELSE event_type END AS channel, value AS spend, ts AS ingested_at,
          'spend_data_' || strftime(CAST(ts AS DATE), '%Y-%m-%d') || '.json' AS source_file,
          CAST(ts AS DATE) AS ingestion_date
-  FROM events WHERE event_type <> 'view')"""
+  FROM events)"""
 
 O_BOOKINGS = """
 o_bookings AS (
@@ -209,6 +209,13 @@ n_bronze AS (
     ts, user_id, event_id AS _eid
   FROM n_msgs WHERE NOT poison)"""
 
+# The same for every event, tracked or not (nested bronze documents).
+N_MSGS_ALL = N_MSGS.split("\n  WHERE")[0] + ")"
+N_BRONZE_ALL = N_BRONZE.replace("FROM n_msgs WHERE NOT poison", "FROM n_msgs").replace(
+    "'invitee.created' AS webhook_event",
+    "CASE WHEN event_id % 4 = 0 THEN 'invitee.canceled' ELSE 'invitee.created' END AS webhook_event",
+)
+
 N_SILVER = """
 n_silver AS (
   SELECT webhook_event, marketing_channel, event_type_url, invitee_uri, invitee_email, invitee_name,

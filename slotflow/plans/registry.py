@@ -174,8 +174,7 @@ def q_weekly_trend(spark, sf_dir):
 @register("kpi_summary", _wrap(ATTR_O, """
 SELECT CAST(sum(total_bookings) AS BIGINT) AS total_bookings,
        CAST(sum(CAST(total_spend AS DECIMAL(38,6))) AS DOUBLE) AS total_spend,
-       CAST(sum(CAST(floor(cost_per_booking * CAST(1000000 AS DOUBLE)) AS DECIMAL(38,0))) AS DOUBLE)
-         / CAST(1000000 AS DOUBLE) / count(cost_per_booking) AS avg_cost_per_booking,
+       round(avg(cost_per_booking), 6) AS avg_cost_per_booking,
        CAST(sum(unique_leads) AS BIGINT) AS unique_leads
 FROM {gold}"""))
 def q_kpi_summary(spark, sf_dir):
@@ -252,8 +251,7 @@ def q_dow_bookings(spark, sf_dir):
 
 @register("meeting_load_kpis", _wrap(LOAD_O, """SELECT CAST(sum(total_meetings) AS BIGINT) AS total_meetings,
   max(max_meetings_in_week) AS max_meetings_in_week,
-  CAST(sum(CAST((total_meetings * 1000000000) // weeks_active AS DECIMAL(38,0))) AS DOUBLE) / CAST(1000000000 AS DOUBLE)
-    / count(*) AS avg_meetings_per_week FROM {gold}"""))
+  round(avg(avg_meetings_per_week), 6) AS avg_meetings_per_week FROM {gold}"""))
 def q_meeting_load_kpis(spark, sf_dir):
     """A18."""
     return R.meeting_load_kpis(M.employee_meeting_load(meetings_o(spark, sf_dir), clock=False))
@@ -274,7 +272,8 @@ def q_distinct_sources(spark, sf_dir):
     return A.distinct_sources(silver_e(spark, sf_dir))
 
 
-_COUNT_TABLES = ["events", "orders", "lineitem", "customer", "supplier", "part"]
+_COUNT_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+                 "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 @register("row_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _COUNT_TABLES))
@@ -354,14 +353,15 @@ def q_clean_bookings(spark, sf_dir):
 
 
 @register("nest_spend", _full("""
-SELECT date, channel, CAST(0 AS BIGINT) AS chunk, count(*) AS record_count, CAST(count(*) AS INTEGER) AS n_records,
+SELECT date, channel, source_file, count(*) AS record_count, CAST(count(*) AS INTEGER) AS n_records,
   min(spend) AS min_spend, max(spend) AS max_spend
-FROM o_spend GROUP BY date, channel""", Q.O_SPEND))
+FROM o_spend GROUP BY date, channel, source_file""", Q.O_SPEND))
 def q_nest_spend(spark, sf_dir):
-    """Spend documents per (date, channel); record arrays summarized for comparison."""
+    """Spend documents per (date, channel) and source file; record arrays summarized for
+    comparison."""
     docs = A.nest_spend(AD.lineitem_spend(spark, sf_dir))
     return docs.select(
-        "date", "channel", "chunk", "record_count", F.size("records").alias("n_records"),
+        "date", "channel", "source_file", "record_count", F.size("records").alias("n_records"),
         F.array_min(F.transform("records", lambda r: r["spend"])).alias("min_spend"),
         F.array_max(F.transform("records", lambda r: r["spend"])).alias("max_spend"),
     )
@@ -390,12 +390,9 @@ _SILVER_NO_CLOCK = [c.strip() for c in Q.SILVER_NO_CLOCK.split(",")]
 
 
 def _envelopes(spark, sf_dir):
-    """T1 output as it would sit on the booking stream: staged in the checkpoint folder,
-    so the decode job (T2) reads records, as it does in production."""
-    from slotflow.sources.staging import stage
-
+    """T1 output as it sits on the booking stream."""
     enriched = WH.process_webhooks(AD.events_requests(spark, sf_dir), AD.FIXTURE_EVENT_TYPE_CHANNELS, keep=["event_id", "_ts"])
-    return stage(AD.enriched_envelopes(enriched), "booking-stream")
+    return AD.enriched_envelopes(enriched)
 
 
 def _bronze_n(spark, sf_dir):
@@ -487,20 +484,19 @@ def q_date_parts(spark, sf_dir):
         TP.day_of(ts).alias("dom"), TP.day_of_week(ts).alias("dow"), TP.day_name(ts).alias("day_name"),
         TP.hour_of(ts).alias("hour"), TP.iso_week(ts).alias("iso_week"), TP.week_start(ts).alias("week_start"),
         TP.format_day(ts).alias("ymd"), TP.format_day_path(ts).alias("ymd_path"),
-        F.date_sub(day, 1).alias("execution_date"),
+        TP.execution_date(day).alias("execution_date"),
         F.substring(TP.format_day(ts), 1, 4).alias("year_text"), F.substring(TP.format_day(ts), 6, 2).alias("month_text"),
     )
 
 
-@register("parse_timestamps", Q.with_ctes(Q.N_MSGS) + """
+@register("parse_timestamps", """
 SELECT event_id, CASE WHEN event_id % 97 = 0 THEN NULL ELSE ts END AS start_time,
-  CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(hour(ts) AS INTEGER) END AS start_hour FROM n_msgs""")
+  CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(hour(ts) AS INTEGER) END AS start_hour FROM events""")
 def q_parse_timestamps(spark, sf_dir):
     """ISO-8601 'Z' text to timestamps, malformed values to null (no job failure)."""
     from slotflow.functions.timeparts import parse_timestamp
 
     w = AD.events_webhooks(spark, sf_dir)
-    w = w.filter((F.col("webhook.event") == "invitee.created") & F.col("webhook.payload.scheduled_event.event_type").isin(*AD.FIXTURE_EVENT_TYPE_CHANNELS))
     start = parse_timestamp(F.col("webhook.payload.scheduled_event.start_time"))
     return w.select("event_id", start.alias("start_time"), F.hour(start).alias("start_hour"))
 
@@ -649,17 +645,24 @@ def q_stream_bronze_bookings(spark, sf_dir):
 
 
 @register("stream_daily_counts", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE) + """
-SELECT CAST(ts AS DATE) AS date, marketing_channel AS channel, count(*) AS total_bookings
-FROM n_bronze WHERE _eid % 97 <> 0 GROUP BY ALL""")
+SELECT CASE WHEN _eid % 89 = 0 THEN DATE '2031-05-05' ELSE CAST(ts AS DATE) END AS date, marketing_channel AS channel,
+  count(invitee_uri) AS total_bookings
+FROM n_bronze WHERE _eid % 89 = 0 OR _eid % 97 <> 0 GROUP BY ALL""")
 def q_stream_daily_counts(spark, sf_dir):
-    """Live bookings per (day, channel) over a stream of bronze files, update mode into a
-    keyed table; the table read back. (The bronze files come from the batch decode; the
-    streamed decode has its own query, ``stream_bronze_bookings``.)"""
+    """Live bookings per (day, channel) over four micro-batches of bronze files: three slices
+    of the events with interleaved days and some appointments years ahead, then the second slice
+    delivered again. The counts equal the batch count (A3)."""
+    from slotflow.plans.webhooks import decode_to_bronze
     from slotflow.streaming import jobs as J
 
-    bronze = _bronze_files(spark, sf_dir, scratch_path(spark, "t7-bronze"))
     base = scratch_path(spark, "t7")
-    J.run_to_end(J.live_daily_counts(spark, bronze, f"{base}/counts", f"{base}/ckpt", trigger={"availableNow": True}))
+    good, _bad = decode_to_bronze(_envelopes(spark, sf_dir))
+    eid = F.substring("kinesis_sequence_number", -20, 20).cast("long")
+    start = F.when(eid % 89 == 0, "2031-05-05T10:00:00Z").otherwise(F.col("scheduled_event_start_time"))
+    good = good.withColumn("scheduled_event_start_time", start)
+    for part in (0, 1, 2, 1):
+        good.where(eid % 3 == part).coalesce(1).write.mode("append").json(f"{base}/bronze")
+    J.run_to_end(J.live_daily_counts(spark, f"{base}/bronze", f"{base}/counts", f"{base}/ckpt", {"availableNow": True}, max_files_per_trigger=1))
     return spark.read.parquet(f"{base}/counts").select("date", "channel", "total_bookings")
 
 
@@ -669,7 +672,8 @@ def _bronze_files(spark, sf_dir, path):
     from slotflow.plans.webhooks import decode_to_bronze
 
     good, _bad = decode_to_bronze(_envelopes(spark, sf_dir))
-    good.withColumns({"channel": F.col("marketing_channel"), "date": F.coalesce("booking_date", F.lit("unknown"))}) \
+    arrival = F.col("kinesis_arrival_timestamp").cast("timestamp").cast("date").cast("string")
+    good.withColumns({"channel": F.col("marketing_channel"), "date": arrival}) \
         .write.partitionBy("channel", "date").json(path)
     return path
 
@@ -681,12 +685,7 @@ def _job_config(spark, name):
     return PipelineConfig(f"{base}/bronze", f"{base}/silver", f"{base}/gold", "slotflow_check", AD.FIXTURE_EVENT_TYPE_CHANNELS)
 
 
-@register("bronze_to_silver_job", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE, Q.N_SILVER) + f"SELECT {Q.SILVER_NO_CLOCK} FROM n_silver")
-def q_bronze_to_silver_job(spark, sf_dir):
-    """X3 end to end: bronze booking JSON (written by T2) and bronze spend documents (S18, one
-    per day and channel from the events adapter)
-    -> silver tables (S4-S8, upsert path; a second run is checked for idempotence in the
-    tests) -> silver bookings read back (S3)."""
+def _bronze_to_silver(spark, sf_dir):
     from slotflow.plans.batch_jobs import bronze_to_silver
     from slotflow.sources import tables as TB
 
@@ -694,19 +693,34 @@ def q_bronze_to_silver_job(spark, sf_dir):
     _bronze_files(spark, sf_dir, cfg.bronze_bookings)
     TB.write_bronze_spend(A.nest_spend(AD.events_spend(spark, sf_dir)), cfg.bronze_spend, "2024-01-31")
     bronze_to_silver(spark, cfg, multiline=False)
-    return spark.read.parquet(cfg.silver_bookings).select(*_SILVER_NO_CLOCK)
+    return cfg
 
 
-@register("silver_to_gold_job", CPB_O)
-def q_silver_to_gold_job(spark, sf_dir):
-    """X10 end to end: silver tables written partitioned (S4, S5) -> all gold metrics in one
-    job (one pruned scan of each silver table, S21 counters) -> gold table read back (S10)."""
-    from slotflow.plans.normalize import clean_spend
+@register("bronze_to_silver_job", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE, Q.N_SILVER) + f"SELECT {Q.SILVER_NO_CLOCK} FROM n_silver")
+def q_bronze_to_silver_job(spark, sf_dir):
+    """X3 end to end: bronze booking JSON (S14 layout) and bronze spend documents
+    -> silver tables (S4-S8) -> silver bookings read back (S3)."""
+    return spark.read.parquet(_bronze_to_silver(spark, sf_dir).silver_bookings).select(*_SILVER_NO_CLOCK)
+
+
+@register("bronze_to_silver_spend", _full("""
+SELECT date, channel, spend, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day, source_file
+FROM (SELECT *, row_number() OVER (PARTITION BY date, channel ORDER BY ingested_at DESC NULLS LAST, spend DESC NULLS LAST) AS rn
+      FROM e_spend WHERE spend >= 0) WHERE rn = 1""", Q.E_SPEND))
+def q_bronze_to_silver_spend(spark, sf_dir):
+    """X3, spend side: the documents of every event, one row per (date, channel) in silver."""
+    silver = spark.read.parquet(_bronze_to_silver(spark, sf_dir).silver_spend)
+    return silver.select("date", "channel", "spend", "year", "month", "day", "source_file")
+
+
+def _silver_to_gold(spark, sf_dir, metric):
     from slotflow.plans.batch_jobs import silver_to_gold
     from slotflow.sources import tables as TB
 
     cfg = _job_config(spark, "x10")
-    TB.write_silver_bookings(silver_o(spark, sf_dir), cfg.silver_bookings)
+    load = metric == "employee_meeting_load"
+    bookings = meetings_o(spark, sf_dir) if load else silver_o(spark, sf_dir)
+    TB.write_silver_bookings(bookings, cfg.silver_bookings)
     # silver spend as loaded by an append-only loader: every record kept (no dedup here)
     spend = AD.lineitem_spend(spark, sf_dir).withColumns({"year": F.year("date"), "month": F.month("date")})
     TB.write_silver_spend(spend, cfg.silver_spend)
@@ -714,7 +728,180 @@ def q_silver_to_gold_job(spark, sf_dir):
     silver_to_gold(spark, cfg, errors=errors)
     if errors:
         raise RuntimeError(f"gold metrics failed: {errors}")
-    return spark.read.parquet(f"{cfg.gold_metrics}/cost_per_booking").drop("calculated_at")
+    return spark.read.parquet(f"{cfg.gold_metrics}/{metric}").drop("calculated_at")
+
+
+def _register_gold(metric: str, sql: str) -> None:
+    def query(spark, sf_dir):
+        return _silver_to_gold(spark, sf_dir, metric)
+
+    query.__name__ = f"q_silver_to_gold_{metric}"
+    query.__doc__ = f"X10 end to end: silver written partitioned (S4, S5), the job run (S21), gold {metric} read back (S10)."
+    register(f"silver_to_gold_{metric}", sql)(query)
+
+
+for _metric, _sql in (
+    ("daily_bookings_by_source", _full(Q.daily_bookings_sql("o_bookings"), Q.O_BOOKINGS)),
+    ("cost_per_booking", CPB_O),
+    ("bookings_trend", _full(Q.bookings_trend_sql("o_bookings"), Q.O_BOOKINGS)),
+    ("channel_attribution", ATTR_O),
+    ("booking_time_analysis", _full(Q.booking_time_sql("o_bookings"), Q.O_BOOKINGS)),
+    ("employee_meeting_load", LOAD_O),
+):
+    _register_gold(_metric, _sql)
+
+
+@register("silver_to_gold_job", CPB_O)
+def q_silver_to_gold_job(spark, sf_dir):
+    """X10 end to end, cost per booking."""
+    return _silver_to_gold(spark, sf_dir, "cost_per_booking")
+
+
+# ------------------------------------------------------------------ spend ingestion (X11)
+_SOURCE_SQL = """
+WITH el AS (
+  SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS date, o_orderpriority AS channel, l_extendedprice * l_discount AS spend,
+    l_quantity, l_returnflag, 'spend_data_' || strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') || '.json' AS source_file,
+    strftime(CAST(l_shipdate AS DATE), '%m-%d') = '12-31' AS broken
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+"""
+INGEST_DATE = "2024-02-01"
+
+
+def _ingest(spark, sf_dir):
+    from slotflow.plans.batch_jobs import ingest_spend
+
+    cfg = _job_config(spark, "x11")
+    source = scratch_path(spark, "spend-source")
+    AD.spend_source_files(spark, sf_dir).repartition("file").write.partitionBy("file").text(source)
+    for _ in range(2):  # a repeated run changes nothing
+        ingest_spend(spark, source, cfg, lookback_days=100_000, execution_date=INGEST_DATE)
+    return cfg
+
+
+@register("ingest_spend_job", _SOURCE_SQL + f"""
+SELECT date, channel, spend, CAST(l_quantity AS DOUBLE) AS impressions, CAST(l_linenumber AS BIGINT) AS clicks, l_returnflag AS flag, source_file,
+  '{INGEST_DATE}' AS ingestion_date
+FROM el WHERE NOT broken AND l_orderkey % 97 <> 0""")
+def q_ingest_spend_job(spark, sf_dir):
+    """Every daily file ingested twice into bronze documents; the
+    records read back, with fields that no schema of the library names."""
+    docs = spark.read.option("recursiveFileLookup", "true").schema("records array<map<string,variant>>").json(_ingest(spark, sf_dir).bronze_spend)
+    rec = docs.select(F.explode("records").alias("r"))
+    get = lambda k, t: F.element_at("r", k).cast("string").cast(t).alias(k)
+    flag = F.variant_get(F.element_at("r", "flags"), "$.l_returnflag", "string").alias("flag")
+    return rec.select(get("date", "date"), get("channel", "string"), get("spend", "double"), get("impressions", "double"),
+                      get("clicks", "long"), flag, get("source_file", "string"), get("ingestion_date", "string"))
+
+
+@register("spend_dead_letters", _SOURCE_SQL + """
+SELECT DISTINCT source_file, 'not a JSON array' AS error, CAST(NULL AS BIGINT) AS element, 1 AS n FROM el WHERE broken
+UNION ALL SELECT source_file, 'not a JSON object', l_orderkey, CAST(count(*) AS INTEGER) FROM el WHERE NOT broken AND l_orderkey % 97 = 0 GROUP BY ALL""")
+def q_spend_dead_letters(spark, sf_dir):
+    """Files and records that do not parse, kept with their text."""
+    dead = spark.read.schema("source_file string, body string, error string").option("recursiveFileLookup", "true").json(_ingest(spark, sf_dir).spend_dead_letters)
+    element = F.when(F.col("error") == "not a JSON object", F.col("body").cast("long"))
+    return dead.groupBy("source_file", "error", element.alias("element")).agg(F.count("*").cast("int").alias("n"))
+
+
+# ------------------------------------------------------------------ upserts on disk
+@register("upsert_bookings_table", Q.with_ctes(Q.O_BOOKINGS) + """
+, versions AS (
+  SELECT invitee_uri, booking_date, marketing_channel, CAST(NULL AS VARCHAR) AS note, 0 AS batch, start_time AS version FROM o_bookings
+  UNION ALL
+  SELECT CAST(l_orderkey AS VARCHAR), CAST(l_shipdate AS DATE), CASE WHEN l_linenumber = 1 THEN 'moved' ELSE 'other' END,
+    'line ' || l_linenumber, 1, CASE WHEN l_orderkey % 5 = 0 THEN TIMESTAMP '1970-01-01' ELSE l_shipdate END
+  FROM lineitem)
+SELECT invitee_uri, booking_date, marketing_channel, note, CAST(year(booking_date) AS INTEGER) AS booking_year,
+  CAST(month(booking_date) AS INTEGER) AS booking_month
+FROM (SELECT *, row_number() OVER (PARTITION BY invitee_uri ORDER BY version DESC NULLS LAST, note DESC NULLS LAST) AS rn FROM versions) WHERE rn = 1""")
+def q_upsert_bookings_table(spark, sf_dir):
+    """S6 / S8 / S9 on disk: orders, then their line items as a second batch: bookings move to
+    other partitions, gain a column, and a fifth of the batch is an older version that loses."""
+    from slotflow.sources import readers as RD, tables as TB
+
+    path = scratch_path(spark, "upsert-bookings")
+    parts = lambda df: df.withColumns({"booking_year": F.year("booking_date"), "booking_month": F.month("booking_date")})
+    first = silver_o(spark, sf_dir).select("invitee_uri", "booking_date", "marketing_channel", F.col("scheduled_event_start_time").cast("timestamp").alias("version"))
+    li = AD.read_table(spark, sf_dir, "lineitem")
+    version = F.when(F.col("l_orderkey") % 5 == 0, F.lit("1970-01-01").cast("timestamp")).otherwise(F.col("l_shipdate").cast("timestamp"))
+    second = li.select(
+        F.col("l_orderkey").cast("string").alias("invitee_uri"), F.to_date("l_shipdate").alias("booking_date"),
+        F.when(F.col("l_linenumber") == 1, "moved").otherwise("other").alias("marketing_channel"),
+        F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("note"), version.alias("version"),
+    )
+    TB.upsert_table(spark, path, parts(first), ["invitee_uri"], TB.BOOKING_PARTITIONS, latest_first("version", []))
+    TB.upsert_table(spark, path, parts(second), ["invitee_uri"], TB.BOOKING_PARTITIONS, latest_first("version", ["note"]))
+    return RD.read_silver(spark, path).drop("version")
+
+
+@register("upsert_spend_table", Q.with_ctes(Q.O_SPEND) + """
+, versions AS (
+  SELECT date, channel, spend, ingested_at, CAST(NULL AS BIGINT) AS orderkey FROM o_spend
+  UNION ALL
+  SELECT CAST(o_orderdate AS DATE), o_orderpriority, o_totalprice * 0.01,
+    CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '1970-01-01' ELSE o_orderdate + INTERVAL 1 DAY END, o_orderkey FROM orders)
+SELECT date, channel, spend, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, orderkey
+FROM (SELECT *, row_number() OVER (PARTITION BY date, channel ORDER BY ingested_at DESC NULLS LAST, spend DESC NULLS LAST, orderkey DESC NULLS LAST) AS rn FROM versions) WHERE rn = 1""")
+def q_upsert_spend_table(spark, sf_dir):
+    """S7 on disk: spend of line items, then a batch from orders with newer and older versions and
+    a new column."""
+    from slotflow.sources import readers as RD, tables as TB
+
+    path = scratch_path(spark, "upsert-spend")
+    parts = lambda df: df.withColumns({"year": F.year("date"), "month": F.month("date")})
+    o = AD.read_table(spark, sf_dir, "orders")
+    late = F.when(F.col("o_orderkey") % 3 == 0, F.lit("1970-01-01").cast("timestamp")).otherwise((F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).cast("timestamp"))
+    batch = o.select(F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("channel"),
+                     (F.col("o_totalprice") * F.lit(0.01)).alias("spend"), late.alias("ingested_at"), F.col("o_orderkey").cast("long").alias("orderkey"))
+    first = AD.lineitem_spend(spark, sf_dir).select("date", "channel", "spend", "ingested_at")
+    keys, cols = ["date", "channel"], TB.SPEND_PARTITIONS
+    TB.upsert_table(spark, path, parts(first), keys, cols, latest_first("ingested_at", ["spend"]), partitions_follow_keys=True)
+    TB.upsert_table(spark, path, parts(batch), keys, cols, latest_first("ingested_at", ["spend", "orderkey"]), partitions_follow_keys=True)
+    return RD.read_silver(spark, path).drop("ingested_at")
+
+
+# ------------------------------------------------------------------ request shapes, archive, default channel
+@register("unwrap_body_shapes", """
+SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'invitee.canceled' ELSE 'invitee.created' END AS event, 'inv-' || event_id AS uri,
+  event_type AS event_type_url FROM events""")
+def q_unwrap_body_shapes(spark, sf_dir):
+    """The webhook as JSON text, as an object, or as the request itself, a third each."""
+    from slotflow.operators.projections import unwrap_body
+
+    w = AD.events_webhooks(spark, sf_dir)
+    text = w.where("event_id % 3 = 0").select("event_id", F.to_json("webhook").alias("body"))
+    whole = w.where("event_id % 3 = 1").select("event_id", F.col("webhook").alias("body"))
+    direct = w.where("event_id % 3 = 2").select("event_id", "webhook.*")
+    shape = lambda df: unwrap_body(df, ["event_id"]).select("event_id", "event", F.col("payload.uri").alias("uri"), F.col("payload.scheduled_event.event_type").alias("event_type_url"))
+    return shape(text).unionByName(shape(whole)).unionByName(shape(direct))
+
+
+@register("webhook_archive", Q.with_ctes(Q.N_MSGS) + """
+SELECT 'invitee.created' AS event, 'inv-' || CAST(event_id AS VARCHAR) AS uri, event_type AS event_type_url FROM n_msgs""")
+def q_webhook_archive(spark, sf_dir):
+    """The streamed audit archive (tracked webhooks only) read back from its files."""
+    from slotflow.streaming import jobs as J
+
+    base = scratch_path(spark, "s15")
+    AD.events_requests(spark, sf_dir).select("body").write.text(f"{base}/requests")
+    J.run_to_end(J.webhook_intake(spark, f"{base}/requests", f"{base}/messages", f"{base}/archive", f"{base}/ckpt",
+                                  AD.FIXTURE_EVENT_TYPE_CHANNELS, trigger={"availableNow": True}))
+    archive = spark.read.schema("event string, received_date string, body string").json(f"{base}/archive")
+    return archive.select("event", F.get_json_object("body", "$.payload.uri").alias("uri"),
+                          F.get_json_object("body", "$.payload.scheduled_event.event_type").alias("event_type_url"))
+
+
+@register("default_channel", """
+SELECT event_id, CASE event_type WHEN 'purchase' THEN 'search_ads' WHEN 'signup' THEN 'social_ads' WHEN 'view' THEN 'video_ads'
+  ELSE 'direct' END AS marketing_channel FROM events""")
+def q_default_channel(spark, sf_dir):
+    """Events whose type has no channel get the default one."""
+    from slotflow.functions.nested import lookup_channel
+    from slotflow.operators.projections import default_channel
+
+    ev = AD.read_table(spark, sf_dir, "events")
+    return default_channel(ev.select("event_id", lookup_channel(F.col("event_type"), AD.FIXTURE_EVENT_TYPE_CHANNELS).alias("marketing_channel")))
 
 
 @register("stream_webhook_intake", Q.with_ctes(Q.N_MSGS) + """
@@ -746,9 +933,8 @@ def q_meeting_load_nested(spark, sf_dir):
 
 
 @register("clean_bookings_nested_docs",
-          (Q.with_ctes(Q.N_MSGS, Q.N_BRONZE, Q.N_SILVER) + f"SELECT {Q.SILVER_NO_CLOCK} FROM n_silver").replace(
-              "FROM n_msgs WHERE NOT poison", "FROM n_msgs"))
+          Q.with_ctes(Q.N_MSGS_ALL, Q.N_BRONZE_ALL, Q.N_SILVER) + f"SELECT {Q.SILVER_NO_CLOCK} FROM n_silver")
 def q_clean_bookings_nested_docs(spark, sf_dir):
-    """X1 on the nested bronze document shape (Q11): every tracked webhook of the events
-    table, kept whole under payload.payload, normalized to silver."""
+    """X1 on the nested bronze document shape (Q11): every webhook of the events table, kept
+    whole under payload.payload, normalized to silver."""
     return clean_bookings(AD.nested_bronze_documents(spark, sf_dir)).select(*_SILVER_NO_CLOCK)

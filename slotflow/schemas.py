@@ -154,14 +154,16 @@ BRONZE_BOOKING_FIELDS: list[tuple[str, T.DataType]] = [
 # accepts both shapes).
 NESTED_BOOKING = _struct(("event", S), ("time", S), ("payload", INVITEE_PAYLOAD))
 BRONZE_BOOKING = _struct(*BRONZE_BOOKING_FIELDS, ("payload", NESTED_BOOKING))
+CORRUPT = "_corrupt_record"
 
 # Spend rows: the source files (bare arrays) and the bronze documents {records, metadata}.
 SPEND_RECORD = _struct(
+    # Numbers are read as text and cast later: a quoted one must not void its document.
     ("date", S),
     ("channel", S),
-    ("spend", DBL),
-    ("impressions", L),
-    ("clicks", L),
+    ("spend", S),
+    ("impressions", S),
+    ("clicks", S),
     ("ingested_at", S),
     ("source_file", S),
     ("ingestion_date", S),

@@ -4,7 +4,8 @@ Each adapter is a projection (plus, for spend and meetings, one equi-join) over
 so its size grows with the table. The same derivations are written as SQL CTEs in
 ``slotflow.plans.oracle`` for the DuckDB cross-check.
 
-E: ``events`` -> bookings (channel = event_type, 'error' rows excluded) and spend ('view' excluded).
+E: ``events`` -> bookings (channel = event_type) and spend (channel = event_type, but 'display' for
+   'view': each side has a channel that the other lacks).
 O: ``orders`` -> bookings; ``lineitem`` x ``orders`` -> spend; ``lineitem`` x ``supplier`` -> meetings.
 N: ``events`` -> nested webhook documents / stream envelopes (JSON text, base64).
 """
@@ -31,8 +32,8 @@ def _canceled(event_id: Column) -> Column:
 
 # ---------------------------------------------------------------- adapter E (events)
 def events_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze-shaped booking rows, one per non-'error' event."""
-    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") != F.lit("error"))
+    """Bronze-shaped booking rows, one per event."""
+    ev = read_table(spark, sf_dir, "events")
     status = F.when(_canceled(F.col("event_id")), F.lit("canceled")).otherwise(F.lit("active"))
     return ev.select(
         F.lit("invitee.created").alias("webhook_event"),
@@ -47,12 +48,12 @@ def events_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spend records, one per non-'view' event: date, channel, spend = value, ingested_at = ts."""
-    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") != F.lit("view"))
+    """Spend records, one per event: date, channel, spend = value, ingested_at = ts."""
+    ev = read_table(spark, sf_dir, "events")
     day = F.to_date("ts")
     return ev.select(
         day.alias("date"),
-        F.col("event_type").alias("channel"),
+        F.when(F.col("event_type") == "view", "display").otherwise(F.col("event_type")).alias("channel"),
         F.col("value").alias("spend"),
         F.col("ts").cast("timestamp").alias("ingested_at"),
         F.concat(F.lit("spend_data_"), F.date_format(day, "yyyy-MM-dd"), F.lit(".json")).alias("source_file"),
@@ -116,6 +117,26 @@ def lineitem_meetings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spend_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily spend source files as (file, value): one JSON array per ship date, an element per line
+    item with fields that no metric reads. The spend of third lines is quoted, elements of orders
+    divisible by 97 are bare numbers, and files of the last day of a year lack their closing
+    bracket."""
+    li = read_table(spark, sf_dir, "lineitem")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    j = ensure_parallelism(li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner"))
+    day = F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd")
+    spend = F.col("l_extendedprice") * F.col("l_discount")
+    rest = [day.alias("date"), F.col("o_orderpriority").alias("channel"), F.col("l_quantity").alias("impressions"),
+            F.col("l_linenumber").alias("clicks"), F.struct("l_returnflag", "l_linestatus").alias("flags")]
+    record = F.when(F.col("l_linenumber") == 3, F.to_json(F.struct(spend.cast("string").alias("spend"), *rest))).otherwise(
+        F.to_json(F.struct(spend.alias("spend"), *rest)))
+    element = F.when(F.col("l_orderkey") % 97 == 0, F.col("l_orderkey").cast("string")).otherwise(record)
+    files = j.select(day.alias("day"), element.alias("element")).groupBy("day").agg(F.array_join(F.collect_list("element"), ",").alias("items"))
+    end = F.when(F.col("day").endswith("-12-31"), F.lit("")).otherwise(F.lit("]"))
+    return files.select(F.concat(F.lit("spend_data_"), "day", F.lit(".json")).alias("file"), F.concat(F.lit("["), "items", end).alias("value"))
+
+
 # ---------------------------------------------------------------- adapter N (nested webhooks)
 def _iso(c: Column) -> Column:
     return F.date_format(c, ISO_MICROS_Z)
@@ -201,13 +222,12 @@ def enriched_envelopes(enriched: DataFrame) -> DataFrame:
 
 
 def nested_bronze_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nested bronze variant (FIXTURES 1.4): tracked webhooks kept whole under
-    ``payload`` ({event, time, payload}) next to the top-level channel fields."""
+    """The nested bronze variant (FIXTURES 1.4): every webhook kept whole under ``payload``
+    ({event, time, payload}) next to the top-level channel fields (no channel if untracked)."""
     w = events_webhooks(spark, sf_dir)
     url = F.col("webhook.payload.scheduled_event.event_type")
     channels = F.create_map(*[x for k, v in sorted(FIXTURE_EVENT_TYPE_CHANNELS.items()) for x in (F.lit(k), F.lit(v))])
-    tracked = w.filter((F.col("webhook.event") == F.lit("invitee.created")) & url.isin(*FIXTURE_EVENT_TYPE_CHANNELS))
-    return tracked.select(
+    return w.select(
         F.col("webhook.event").alias("webhook_event"),
         F.col("webhook.created_at").alias("webhook_received_at"),
         F.try_element_at(channels, url).alias("marketing_channel"),

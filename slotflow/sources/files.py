@@ -28,8 +28,17 @@ def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataF
 
 
 def list_source_dates(spark: SparkSession, directory: str) -> DataFrame:
-    """P18 over a real directory."""
-    return source_dates(list_files(spark, directory, "*.json"))
+    """P18 over a real directory; a file may be a folder of parts."""
+    paths = spark.createDataFrame([(x,) for x in _entries(spark, directory)], "file_name string")
+    name = F.regexp_extract("file_name", r"(spend_data_[^/=]*\.json)$", 1)
+    return source_dates(paths.select(name.alias("file_name")).where("file_name <> ''").distinct())
+
+
+def _entries(spark: SparkSession, directory: str) -> list[str]:
+    """Names directly under a folder (one listing: metadata)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
 
 
 def read_file_index(spark: SparkSession, index_path: str) -> DataFrame:
@@ -42,7 +51,7 @@ def read_file_index(spark: SparkSession, index_path: str) -> DataFrame:
         spark.read.schema(schema)
         .option("multiLine", "true")
         .option("ignoreMissingFiles", "true")
-        .option("mode", "DROPMALFORMED")
+        .option("mode", "PERMISSIVE")  # an index that does not parse has null files
         .json(index_path)
     )
     return idx.select(F.explode("files").alias("file_name"))

@@ -4,109 +4,114 @@ so a scan is one distributed pass and types never depend on which files happen t
 from __future__ import annotations
 
 import datetime as dt
+import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from slotflow import schemas
+from slotflow.sources.tables import _fs_path, path_exists, read_schema, table_exists
 
-# Bronze layout: <root>/bookings/channel=<c>/date=<yyyy-MM-dd>/*.json and
-# <root>/marketing_spend/channel=<c>/date=<yyyy-MM-dd>/*.json. The partition values are read
-# into columns named channel_part / date_part so they never shadow fields of the records
+NO_AGE_LIMIT = "36500d"
+
+# Bronze layout: <root>/bookings/channel=<c>/date=<yyyy-MM-dd>/... and
+# <root>/marketing_spend/channel=<c>/date=<yyyy-MM-dd>/source_file=<name>/... . Partition values
+# are columns named channel_part / date_part, so they never shadow fields of the records
 # (decision Q10).
 BOOKINGS_DIR = "bookings"
 SPEND_DIR = "marketing_spend"
-
-
-def _partition_values(df: DataFrame) -> DataFrame:
-    path = F.col("_metadata.file_path")
-    return df.withColumns(
-        {
-            "channel_part": F.regexp_extract(path, r"/channel=([^/]+)/", 1),
-            "date_part": F.regexp_extract(path, r"/date=([^/]+)/", 1),
-        }
-    )
+BAD_ARRAY, BAD_OBJECT = "not a JSON array", "not a JSON object"
 
 
 def read_bronze_bookings(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Bronze booking JSON under ``path`` (recursively), one object per file
-    (``multiline``) or one per line. Missing or corrupt files are skipped (S19)."""
-    df = (
-        spark.read.schema(schemas.BRONZE_BOOKING)
-        .option("multiLine", multiline)
-        .option("recursiveFileLookup", "true")
-        .option("ignoreMissingFiles", "true")
-        .option("ignoreCorruptFiles", "true")
-        .option("mode", "PERMISSIVE")
-        .json(path)
-    )
-    return _partition_values(df)
+    """Bronze booking JSON under ``path``, one object per file (``multiline``) or one per
+    line. The folders' channel and date are partition columns, so a filter on ``date_part``
+    prunes them. A document that does not parse is a row with its text in ``_corrupt_record``."""
+    fields = [*schemas.BRONZE_BOOKING.fields, T.StructField(schemas.CORRUPT, T.StringType()),
+              T.StructField("channel", T.StringType()), T.StructField("date", T.StringType())]
+    if not path_exists(spark, path):  # nothing has arrived yet (S19)
+        df = spark.createDataFrame([], T.StructType(fields))
+    else:
+        df = (
+            spark.read.schema(T.StructType(fields))
+            .option("multiLine", multiline)
+            .option("basePath", path)
+            .option("ignoreMissingFiles", "true")
+            .json(path)
+        )
+    names = [f.name for f in schemas.BRONZE_BOOKING.fields]
+    return df.select(*names, schemas.CORRUPT, F.col("channel").alias("channel_part"), F.col("date").alias("date_part"))
 
 
 def read_bronze_spend(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Bronze spend JSON, either ``{records: [...], metadata}`` documents or bare records.
-    The schema covers both shapes; the normalizer flattens ``records`` where present."""
+    """Bronze spend JSON, either ``{records: [...], metadata}`` documents or bare records,
+    as spend records. A document that does not parse is a row with only ``_corrupt_record``."""
+    fields = [*schemas.BRONZE_SPEND.fields, T.StructField(schemas.CORRUPT, T.StringType())]
+    if not path_exists(spark, path):
+        return spend_records(spark.createDataFrame([], T.StructType(fields)))
     df = (
-        spark.read.schema(schemas.BRONZE_SPEND)
+        spark.read.schema(T.StructType(fields))
         .option("multiLine", multiline)
         .option("recursiveFileLookup", "true")
         .option("ignoreMissingFiles", "true")
-        .option("ignoreCorruptFiles", "true")
         .json(path)
     )
     return spend_records(df)
 
 
 def spend_records(df: DataFrame) -> DataFrame:
-    """Rows of a bronze spend scan (batch or micro-batch) as spend records: the ``records``
-    of ``{records, metadata}`` documents, exploded, plus bare records (P4)."""
-    docs = df.filter(F.col("records").isNotNull()).select(F.explode("records").alias("_r")).select("_r.*")
-    bare = df.filter(F.col("records").isNull() & F.col("date").isNotNull()).select(
-        *[f.name for f in schemas.SPEND_RECORD.fields]
-    )
-    return docs.unionByName(bare)
-
-
-def read_silver(spark: SparkSession, path: str, columns: list[str] | None = None, merge_schema: bool = True) -> DataFrame:
-    """A silver table (Parquet, partitioned). ``columns`` prunes the scan. Schema
-    merging (a parallel read of file footers) is on, so columns added by later upserts are
-    seen even though older files lack them."""
-    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    """Rows of a bronze spend scan (batch or micro-batch) as spend records: the ``records`` of
+    ``{records, metadata}`` documents, and bare records as they are (P4), in one pass."""
+    bare = F.array(F.struct(*[F.col(f.name) for f in schemas.SPEND_RECORD.fields]))
+    if schemas.CORRUPT not in df.columns:
+        return df.select(F.explode(F.coalesce("records", bare)).alias("_r")).select("_r.*")
+    return df.select(F.explode(F.coalesce("records", bare)).alias("_r"), schemas.CORRUPT).select("_r.*", schemas.CORRUPT)
+
+
+def read_silver(spark: SparkSession, path: str, columns: dict[str, str] | None = None) -> DataFrame:
+    """A silver table (Parquet, partitioned) with its kept schema, so no file footers are
+    read to find columns added by later upserts. ``columns`` (name -> type) prunes the scan; a
+    table without data, or not there yet, gives no rows of those types."""
+    if columns and not table_exists(spark, path):
+        return spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in columns.items()))
+    df = spark.read.schema(read_schema(spark, path)).parquet(path)
     return df.select(*columns) if columns else df
 
 
-def read_spend_files(
-    spark: SparkSession,
-    source_dir: str,
-    dates: list[str] | None = None,
-) -> DataFrame:
-    """Daily source files ``spend_data_<date>.json`` (bare JSON arrays) in one
-    distributed scan. Files of the requested dates that do not exist are skipped; a corrupt
-    file is skipped, the rest are read. Each row gets its source file name (P17)."""
-    base = source_dir.rstrip("/")
-    if dates:
-        # A bounded list (the lookback window): named files that do not exist are skipped here,
-        # since a missing input path fails the scan (``ignoreMissingFiles`` only covers files
-        # that vanish after listing).
-        paths = [p for p in (f"{base}/spend_data_{d}.json" for d in dates) if _exists(spark, p)]
-        if not paths:
-            return spark.createDataFrame([], schemas.SPEND_RECORD).withColumn("source_file", F.lit(None).cast("string"))
-    else:
-        paths = [f"{base}/spend_data_*.json"]
-    df = (
-        spark.read.schema(schemas.SPEND_RECORD)
-        .option("multiLine", "true")
-        .option("ignoreMissingFiles", "true")
-        .option("ignoreCorruptFiles", "true")
-        .option("mode", "DROPMALFORMED")
-        .json(paths)
-    )
-    return df.withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+def spend_file_paths(spark: SparkSession, source_dir: str, dates: list[str] | None = None) -> list[str]:
+    """Files (or folders of parts) named ``spend_data_<date>.json`` directly under the source
+    folder, of the given dates if any: one listing. A date without a file is skipped (S19)."""
+    fs, p = _fs_path(spark, source_dir)
+    if not fs.exists(p):
+        return []
+    named = [(st.getPath(), re.search(r"spend_data_(\d{4}-\d{2}-\d{2})\.json$", st.getPath().getName())) for st in fs.listStatus(p)]
+    wanted = set(dates) if dates else None
+    return sorted(path.toString() for path, m in named if m and (wanted is None or m[1] in wanted))
+
+
+def read_spend_files(spark: SparkSession, source_dir: str, dates: list[str] | None = None) -> DataFrame:
+    """Daily source files (JSON arrays) as (source_file, body, error): a row for each
+    element of an array with its JSON text, whole and untyped; a file that is no array is one
+    row with its text and an error, and so is an element that is no object. A bad file or record
+    never takes others with it."""
+    paths = spend_file_paths(spark, source_dir, dates)
+    if not paths:
+        return spark.createDataFrame([], "source_file string, body string, error string")
+    files = spark.read.text(paths, wholetext=True)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"(spend_data_\d{4}-\d{2}-\d{2}\.json)(/[^/]*)?$", 1)
+    read = files.select(name.alias("source_file"), "value", F.from_json("value", "array<string>").alias("items"))
+    element = F.explode(F.coalesce("items", F.array("value")))
+    rows = read.select("source_file", element.alias("body"), F.col("items").isNull().alias("whole"))
+    error = F.when(F.col("whole"), BAD_ARRAY).when(F.from_json("body", "map<string,variant>").isNull(), BAD_OBJECT)
+    return rows.select("source_file", "body", error.alias("error"))
+
+
+def spend_fields(rows: DataFrame) -> DataFrame:
+    """Readable elements of ``read_spend_files`` with ``fields``: every field of the source, with
+    its own type, as a map of variants; date and channel as text beside it."""
+    fields = F.from_json("body", "map<string,variant>")
+    good = rows.where(F.col("error").isNull()).select("source_file", fields.alias("fields"))
+    text = lambda k: F.try_element_at("fields", F.lit(k)).cast("string").alias(k)
+    return good.select("source_file", text("date"), text("channel"), "fields")
 
 
 def lookback_dates(as_of: str | dt.date, days: int = 30) -> list[str]:
@@ -116,15 +121,25 @@ def lookback_dates(as_of: str | dt.date, days: int = 30) -> list[str]:
     return [(end - dt.timedelta(days=i)).isoformat() for i in range(days)]
 
 
-def read_booking_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 100, latest_first: bool = False, max_file_age: str = "24h") -> DataFrame:
-    """Booking envelopes arriving as JSON files (one record per line). Each
-    micro-batch takes at most ``max_files_per_trigger`` files; files older than
-    ``max_file_age`` (the stream's retention) are ignored; ``latest_first`` starts from the
-    newest files."""
-    return (
+def read_booking_stream(
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int = 100,
+    latest_first: bool = False,
+    max_file_age: str | None = None,
+    start_after: str | None = None,
+) -> DataFrame:
+    """Booking envelopes arriving as JSON files (one record per line), at most
+    ``max_files_per_trigger`` in a micro-batch. Every file is read, whatever its modification
+    time, unless ``max_file_age`` is given; ``start_after`` (a timestamp) leaves out files last
+    modified before it, which starts a stream at its latest records."""
+    stream = (
         spark.readStream.schema(schemas.STREAM_RECORD)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .option("latestFirst", latest_first)
-        .option("maxFileAge", max_file_age)
+        .option("maxFileAge", max_file_age or NO_AGE_LIMIT)
         .json(path)
     )
+    if start_after is None:
+        return stream
+    return stream.where(F.col("_metadata.file_modification_time") >= F.lit(start_after).cast("timestamp"))

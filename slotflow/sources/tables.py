@@ -3,13 +3,14 @@
 
 from __future__ import annotations
 
+import json
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from slotflow import schemas
 from slotflow.functions.columns import all_not_null
-from slotflow.operators.upsert import merge_upsert
+from slotflow.operators.upsert import merge_versions
 from slotflow.operators.windows import dedup_latest
 from slotflow.sources.staging import drop_staged, stage
 
@@ -18,6 +19,7 @@ log = logging.getLogger(__name__)
 BOOKING_PARTITIONS = ["booking_year", "booking_month", "marketing_channel"]
 SPEND_PARTITIONS = ["year", "month", "channel"]
 MAX_RECORDS_PER_FILE = 2_000_000
+SCHEMA_FILE = "_table_schema"
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -74,11 +76,13 @@ def write_partitioned(
 def write_silver_bookings(df: DataFrame, path: str) -> None:
     """S4."""
     write_partitioned(df, path, BOOKING_PARTITIONS)
+    write_schema(df.sparkSession, path, df.schema)
 
 
 def write_silver_spend(df: DataFrame, path: str) -> None:
     """S5."""
     write_partitioned(df, path, SPEND_PARTITIONS)
+    write_schema(df.sparkSession, path, df.schema)
 
 
 def upsert_table(
@@ -89,68 +93,51 @@ def upsert_table(
     partition_cols: list[str],
     order: list[Column] | None = None,
     partitions_follow_keys: bool = False,
-    key_index: bool = False,
 ) -> dict[str, int]:
     """Keyed upsert into a partitioned Parquet table; creates it when absent.
 
-    Only partitions the source touches are rewritten: the partitions of the source rows, and
-    the partitions holding old versions of the source keys (a booking whose date changed
-    moves). Those partitions are read (a static partition filter built from the touched
-    list), merged with J4, staged in the checkpoint folder (a path being read cannot be
-    overwritten) and written back with dynamic partition overwrite. Touched partitions left
-    without rows are removed. Returns counts for the run log.
+    ``order`` picks the winner among all versions of a key, those in the table and those in the
+    batch alike, so that an older version that arrives late does not replace a newer one; of
+    versions that tie, the batch's wins. Without it the batch (unique by key) wins.
 
-    Rerun-safe: if the job dies part-way, running it again with the same batch gives the same
-    table (old versions left behind are found again by the key scan and replaced).
-
-    ``partitions_follow_keys``: the partition values are a function of the key (spend:
-    (date, channel) -> (year, month, channel)), so an old version always lives in the new
-    row's partition and the scan of the table's keys that finds moved rows is skipped.
-
-    ``key_index``: keep a side table ``<path>_key_index`` of (key, partition) rows, itself
-    partitioned by a hash bucket of the key. Old homes are then looked up in the buckets of
-    the batch's keys only (a static partition filter on at most ``KEY_INDEX_BUCKETS``
-    values) instead of scanning the key column of the whole table: a micro-batch of a few
-    hundred keys reads a few hundred buckets. The index stays a superset of the true homes
-    (new homes are added before the table is written; other homes of the batch's keys are
-    trimmed after it commits), so a job that dies part-way can only cause an extra partition
-    rewrite, never a missed move."""
-    from pyspark.sql import Observation
+    Only partitions the batch touches are rewritten: those of its rows, and those that hold old
+    versions of its keys (found by a scan of the table's key and partition columns, joined to the
+    batch's keys). They are read by their folders, merged, staged in the checkpoint folder (a path
+    being read cannot be overwritten) and written back with dynamic partition overwrite; touched
+    partitions left without rows are removed. The lists of touched partitions are partition
+    metadata, which a scan of them holds on the driver anyway.
+
+    ``partitions_follow_keys``: the partition values are a function of the key (spend: (date,
+    channel) -> (year, month, channel)), so old versions live in the batch's partitions and the
+    scan for moved rows is skipped.
 
+    Rerun-safe: if the job dies part-way, running it again with the same batch gives the same
+    table. The table's schema is kept in ``<path>/_table_schema`` (no footers are read); columns
+    that only the batch has are added to it. Returns counts for the run log."""
     obs = Observation("upsert_source")
     src = source.filter(all_not_null(keys))
     if order:
         src = dedup_latest(src, keys, order)
-    # The deduplicated batch is staged once: every later step (touched partitions, merge)
-    # reads it instead of recomputing the batch's plan, and the lineage is cut.
     src = stage(src.observe(obs, F.count(F.lit(1)).alias("rows")), "upsert-source")
+    rows = int(obs.get["rows"])
     if not table_exists(spark, path):
         write_partitioned(src, path, partition_cols)
-        if key_index and not partitions_follow_keys:
-            _write_key_index(spark, src, path, keys, partition_cols, int(obs.get["rows"]))
+        write_schema(spark, path, src.schema)
         drop_staged(src)
-        return {"rows": int(obs.get["rows"]), "partitions_rewritten": -1}
-
-    target = spark.read.schema(_merged_schema(spark, path, src)).parquet(path)
-    use_index = key_index and not partitions_follow_keys
-    if use_index:
-        index = _find_key_index(spark, path)
-        if index is None:  # once, from the table
-            index = _write_key_index(spark, target, path, keys, partition_cols)
-        index_path, n_buckets = index
-    new_homes = src.select(*partition_cols)
+        return {"rows": rows, "partitions_rewritten": -1}
+
+    schema = _with_new_columns(read_schema(spark, path), src)
+    homes = src.select(*partition_cols)
     if not partitions_follow_keys:
-        # Partitions holding old versions of the batch's keys (a row whose date changed
-        # moves), semi-joined to the batch keys: from the key index's touched buckets, or
-        # from a scan of the table's key and partition columns.
-        homes = _index_rows_for(spark, index_path, n_buckets, src, keys) if use_index else target.select(*keys, *partition_cols)
-        old_homes = homes.join(src.select(*keys), keys, "left_semi")
-        new_homes = new_homes.unionByName(old_homes.select(*partition_cols))
-    touched = stage(new_homes.distinct(), "upsert-touched")
-    if use_index:  # before the table write: the index never misses a home
-        _add_index_entries(spark, index_path, n_buckets, src, keys, partition_cols)
-    old = _rows_in_partitions(target, touched, partition_cols)
-    merged = stage(merge_upsert(old, src, keys), "upsert-merged")
+        table = spark.read.schema(schema).parquet(path)
+        old = table.select(*keys, *partition_cols).join(src.select(*keys), keys, "left_semi")
+        homes = homes.unionByName(old.select(*partition_cols))
+    touched = homes.distinct().collect()
+    folders = [_partition_folder(spark, path, partition_cols, row) for row in touched]
+    there = [f for f in folders if path_exists(spark, f)]
+    old = spark.read.schema(schema).option("basePath", path).parquet(*there) if there else spark.createDataFrame([], schema)
+    merged = stage(merge_versions(old, src, keys, order), "upsert-merged")
+    write_schema(spark, path, schema)
     (
         spread(merged, partition_cols)
         .write.mode("overwrite")
@@ -159,145 +146,51 @@ def upsert_table(
         .partitionBy(*partition_cols)
         .parquet(path)
     )
-    # Partitions whose rows all moved elsewhere: a bounded list (one row per partition).
-    emptied = touched.join(merged.select(*partition_cols).distinct(), _null_safe_on(touched, merged, partition_cols), "left_anti")
-    for row in emptied.collect():
-        _delete_partition(spark, path, partition_cols, row)
-    if use_index:  # after the table write commits: each batch key has exactly its new home
-        _trim_index_entries(spark, index_path, n_buckets, src, keys, partition_cols)
-    result = {"rows": int(obs.get["rows"]), "partitions_rewritten": touched.count()}
-    for staged in (merged, touched, src):
+    filled = {_partition_folder(spark, path, partition_cols, r) for r in merged.select(*partition_cols).distinct().collect()}
+    for folder in set(there) - filled:
+        fs, p = _fs_path(spark, folder)
+        fs.delete(p, True)
+    for staged in (merged, src):
         drop_staged(staged)
-    return result
-
-
-# Key index sizing: about KEY_INDEX_ROWS_PER_BUCKET keys per bucket, a power of two, at most
-# KEY_INDEX_MAX_BUCKETS folders. The count is fixed when the index is built and recorded in
-# its folder name (<table>_key_index/buckets=<n>), since every key's bucket depends on it.
-KEY_INDEX_ROWS_PER_BUCKET = 10_000_000
-KEY_INDEX_MAX_BUCKETS = 16_384
-
-
-def _bucket_count(rows: int) -> int:
-    n = 1
-    while n < KEY_INDEX_MAX_BUCKETS and n * KEY_INDEX_ROWS_PER_BUCKET < rows:
-        n *= 2
-    return n
+    return {"rows": rows, "partitions_rewritten": len(touched)}
 
 
-def _key_bucket(keys: list[str], n_buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
-
-
-def _index_rows(df: DataFrame, keys: list[str], partition_cols: list[str], n_buckets: int) -> DataFrame:
-    """(key, partition values, ``home``, ``key_bucket``); ``home`` encodes the partition
-    values as text, never null (a partition value can be null), so it can be part of a key."""
-    home = F.to_json(F.struct(*[F.col(c) for c in partition_cols]))
-    return df.select(*keys, *partition_cols).withColumns({"home": home, "key_bucket": _key_bucket(keys, n_buckets)})
-
-
-def _find_key_index(spark: SparkSession, path: str) -> tuple[str, int] | None:
-    root = f"{path.rstrip('/')}_key_index"
-    if not path_exists(spark, root):
-        return None
-    fs, p = _fs_path(spark, root)
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("buckets=") and table_exists(spark, f"{root}/{name}"):
-            return f"{root}/{name}", int(name.split("=", 1)[1])
-    return None
-
+def _partition_folder(spark: SparkSession, path: str, partition_cols: list[str], row) -> str:
+    """The folder of a partition, with Spark's own escaping of its values."""
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join([path.rstrip("/"), *[name(c, None if row[c] is None else str(row[c])) for c in partition_cols]])
 
-def _write_key_index(
-    spark: SparkSession, table: DataFrame, path: str, keys: list[str], partition_cols: list[str], rows: int | None = None
-) -> tuple[str, int]:
-    n = _bucket_count(rows if rows is not None else table.count())
-    index_path = f"{path.rstrip('/')}_key_index/buckets={n}"
-    write_partitioned(_index_rows(table, keys, partition_cols, n).distinct(), index_path, ["key_bucket"])
-    return index_path, n
 
-
-def _index_rows_for(spark: SparkSession, index_path: str, n_buckets: int, src: DataFrame, keys: list[str]) -> DataFrame:
-    """Index rows in the buckets of the batch's keys (at most n_buckets values)."""
-    buckets = [r[0] for r in src.select(_key_bucket(keys, n_buckets)).distinct().collect()]
-    return spark.read.option("mergeSchema", "true").parquet(index_path).filter(F.col("key_bucket").isin(buckets))
+def write_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keeps a table's schema next to its data (a folder that scans ignore)."""
+    fs, p = _fs_path(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(schema.json().encode()))
+    finally:
+        out.close()
 
 
-def _add_index_entries(
-    spark: SparkSession, index_path: str, n_buckets: int, src: DataFrame, keys: list[str], partition_cols: list[str]
-) -> None:
-    entries = _index_rows(src, keys, partition_cols, n_buckets).distinct()
-    upsert_table(spark, index_path, entries, keys + ["home"], ["key_bucket"], partitions_follow_keys=True)
+def read_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The kept schema; of a table written by other means, the one Spark infers from a footer."""
+    fs, p = _fs_path(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if not fs.exists(p):
+        return spark.read.parquet(path).schema
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return T.StructType.fromJson(json.loads(text))
 
 
-def _trim_index_entries(
-    spark: SparkSession, index_path: str, n_buckets: int, src: DataFrame, keys: list[str], partition_cols: list[str]
-) -> None:
-    entries = _index_rows(src, keys, partition_cols, n_buckets).distinct()
-    upsert_table(spark, index_path, entries, keys, ["key_bucket"], partitions_follow_keys=True)
-
-
-# Up to this many touched partitions, the list becomes a static partition filter on the
-# scan (the list is partition metadata, one row per folder, never data rows).
-MAX_STATIC_PARTITION_FILTER = 2000
-
-
-def _rows_in_partitions(target: DataFrame, touched: DataFrame, partition_cols: list[str]) -> DataFrame:
-    """Rows of ``target`` inside the ``touched`` partitions. A bounded list is pushed to the
-    scan as a partition filter, so untouched folders are never listed or read; a longer list
-    falls back to a semi-join on the partition columns (correct, without pruning)."""
-    values = touched.limit(MAX_STATIC_PARTITION_FILTER + 1).collect()
-    if len(values) > MAX_STATIC_PARTITION_FILTER:
-        return target.join(touched, _null_safe_on(target, touched, partition_cols), "left_semi")
-    terms = []
-    for row in values:
-        one = F.lit(True)
-        for c in partition_cols:
-            one = one & F.col(c).eqNullSafe(F.lit(row[c]))
-        terms.append(one)
-    return target.filter(_any(terms))
-
-
-def _any(terms: list[Column]) -> Column:
-    """OR of ``terms`` as a balanced tree (depth log2 n), so a long list does not build an
-    expression thousands of levels deep for the optimizer to recurse through."""
-    if not terms:
-        return F.lit(False)
-    if len(terms) == 1:
-        return terms[0]
-    mid = len(terms) // 2
-    return _any(terms[:mid]) | _any(terms[mid:])
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
-
-
-def _merged_schema(spark: SparkSession, path: str, src: DataFrame):
-    """The table's schema plus columns only the source has (additive evolution)."""
-    current = spark.read.option("mergeSchema", "true").parquet(path).schema
-    names = set(current.fieldNames())
-    for f in src.schema.fields:
-        if f.name not in names:
-            current = current.add(f)
-    # partition columns take the source's types (not the types inferred from folder names)
-    src_types = {f.name: f.dataType for f in src.schema.fields}
-    from pyspark.sql import types as T
-
-    return T.StructType([T.StructField(f.name, src_types.get(f.name, f.dataType), True) for f in current.fields])
-
-
-def _delete_partition(spark: SparkSession, path: str, partition_cols: list[str], row) -> None:
-    parts = []
-    for c in partition_cols:
-        v = row[c]
-        parts.append(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}")
-    fs, p = _fs_path(spark, path.rstrip("/") + "/" + "/".join(parts))
-    if fs.exists(p):
-        fs.delete(p, True)
+def _with_new_columns(schema: T.StructType, src: DataFrame) -> T.StructType:
+    """The table's schema plus columns only the batch has; shared ones take the batch's type
+    (partition columns: not the type inferred from folder names)."""
+    types = {f.name: f.dataType for f in src.schema.fields}
+    known = [T.StructField(f.name, types.get(f.name, f.dataType), True) for f in schema.fields]
+    new = [T.StructField(n, t, True) for n, t in types.items() if n not in schema.fieldNames()]
+    return T.StructType(known + new)
 
 
 def write_gold(df: DataFrame, root: str, name: str) -> str:
@@ -313,18 +206,21 @@ def write_gold(df: DataFrame, root: str, name: str) -> str:
 
 
 def register_table(spark: SparkSession, db: str, name: str, path: str, fmt: str = "parquet") -> bool:
-    """Idempotent registration of a table over a location, then partition recovery:
-    a partitioned table registered this way shows no rows until its partition folders are
-    added to the catalog, so each call recovers them (new partitions written since the last
-    run included) and refreshes cached file listings. A failure is a warning."""
+    """Idempotent registration of a table over a location. A table whose columns differ
+    from its files (a column added by an upsert) is registered anew; partitions written since
+    the last run are recovered. A failure is a warning."""
+    full = f"`{db}`.`{name}`"
     try:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{name}` USING {fmt} LOCATION '{path}'")
-        full = f"`{db}`.`{name}`"
-        try:
+        schema = read_schema(spark, path) if fmt == "parquet" else spark.read.format(fmt).load(path).schema
+        if spark.catalog.tableExists(f"{db}.{name}") and set(spark.table(full).columns) != set(schema.fieldNames()):
+            spark.sql(f"DROP TABLE {full}")  # external: the files stay
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        partitions = _partition_columns(spark, path)
+        by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partitions)})" if partitions else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING {fmt}{by} LOCATION '{path}'")
+        if partitions:
             spark.sql(f"MSCK REPAIR TABLE {full}")
-        except Exception:  # noqa: BLE001 - unpartitioned tables have nothing to recover
-            pass
         spark.sql(f"REFRESH TABLE {full}")
         return True
     except Exception as e:  # noqa: BLE001 - registration must never fail the job
@@ -332,42 +228,56 @@ def register_table(spark: SparkSession, db: str, name: str, path: str, fmt: str
         return False
 
 
-def refresh_catalog(spark: SparkSession, db: str, tables: list[str]) -> dict[str, int]:
-    """Pick up new partitions / files of registered tables, report their row counts."""
-    out = {}
-    for t in tables:
-        full = f"`{db}`.`{t}`"
-        try:
-            spark.sql(f"MSCK REPAIR TABLE {full}")
-        except Exception:  # noqa: BLE001 - unpartitioned tables and catalogs without partition tracking
-            pass
-        spark.sql(f"REFRESH TABLE {full}")
-        out[t] = spark.table(full).count()
-    return out
+def _partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of a table's partition levels, from its folders (one per level is looked at)."""
+    fs, p = _fs_path(spark, path)
+    names = []
+    while p is not None:
+        below = [st.getPath() for st in fs.listStatus(p) if st.isDirectory() and "=" in st.getPath().getName()]
+        p = below[0] if below else None
+        if p is not None:
+            names.append(p.getName().split("=", 1)[0])
+    return names
+
+
+def discover_tables(spark: SparkSession, db: str, root: str, fmt: str = "parquet") -> dict[str, bool]:
+    """Registers every table found directly under ``root`` (or brings its columns and
+    partitions up to date); hidden folders are left out. Returns {name: registered}."""
+    fs, p = _fs_path(spark, root)
+    if not fs.exists(p):
+        return {}
+    found = [st.getPath() for st in fs.listStatus(p) if st.isDirectory()]
+    names = {f.getName(): f.toString() for f in found if not f.getName().startswith(("_", ".")) and "=" not in f.getName()}
+    return {n: register_table(spark, db, n, path, fmt) for n, path in sorted(names.items()) if fmt != "parquet" or table_exists(spark, path)}
 
 
 def write_bronze_spend(nested: DataFrame, path: str, ingestion_date: str) -> None:
-    """One ``{records, metadata}`` JSON document per (date, channel) chunk, partitioned
-    ``channel=/date=`` (input: ``nest_spend`` output)."""
+    """One ``{records, metadata}`` JSON document per (date, channel) and source file,
+    partitioned ``channel=/date=/source_file=`` (input: ``nest_spend`` output). Writing a file
+    again replaces its documents, so a run can be repeated."""
     docs = nested.select(
-        F.col("records"),
+        "records",
         F.struct(
             F.lit(ingestion_date).alias("ingestion_date"),
-            F.col("record_count"),
+            "record_count",
             F.col("channel"),
-            F.date_format("date", "yyyy-MM-dd").alias("date"),
+            F.col("date").cast("string").alias("date"),
+            "source_file",
         ).alias("metadata"),
-        F.col("channel").alias("channel_p"),
-        F.date_format("date", "yyyy-MM-dd").alias("date_p"),
-    )
-    (
-        docs.hint("rebalance", "channel_p", "date_p")
-        .withColumnRenamed("channel_p", "channel")
-        .withColumnRenamed("date_p", "date")
-        .write.mode("append")
-        .partitionBy("channel", "date")
-        .json(path)
+        "channel",
+        F.col("date").cast("string").alias("date"),
+        "source_file",
     )
+    by = ["channel", "date", "source_file"]
+    docs.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).json(path)
+
+
+def replace_partition(spark: SparkSession, df: DataFrame, path: str, column: str, value: str, fmt: str) -> None:
+    """Makes ``df`` the whole content of one partition (an empty one is removed)."""
+    fs, p = _fs_path(spark, f"{path.rstrip('/')}/{column}={value}")
+    fs.delete(p, True)
+    if not df.isEmpty():
+        df.withColumn(column, F.lit(value)).write.mode("append").partitionBy(column).format(fmt).save(path)
 
 
 def record_run(

@@ -8,14 +8,18 @@ checkpoint folder, so a restarted or retried job resumes where it stopped.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from slotflow import schemas
-from slotflow.operators.projections import flatten_booking, tag_decode_errors, unwrap_body
+from slotflow.operators.joins import attribute_channel
+from slotflow.operators.projections import filter_event, flatten_booking, tag_decode_errors, unwrap_body
 from slotflow.plans.normalize import clean_bookings
 from slotflow.plans.webhooks import enriched_to_message, process_webhooks
 from slotflow.sources import readers, tables
+from slotflow.sources.staging import drop_staged, stage
 
 PROCESSING_WINDOW = {"processingTime": "10 seconds"}
 DEDUP_DELAY = "24 hours"  # the stream's retention: a redelivery can arrive up to a day late
@@ -26,6 +30,15 @@ def _start(writer, trigger: dict | None):
 
 
 # ---------------------------------------------------------------- T1, S15, S16
+def webhook_archive(requests: DataFrame, event_type_channels: dict[str, str]) -> DataFrame:
+    """The verbatim bodies of tracked webhooks (event kind and event type on the allow-list),
+    by event kind and day. Other requests are not kept, so their text names no folders."""
+    tracked = filter_event(unwrap_body(requests)).withColumn("event_type_url", F.col("payload.scheduled_event.event_type"))
+    return attribute_channel(tracked, event_type_channels).select(
+        "event", F.date_format(F.current_timestamp(), "yyyy-MM-dd").alias("received_date"), F.col("raw").alias("body")
+    )
+
+
 def webhook_intake(
     spark: SparkSession,
     requests_dir: str,
@@ -36,21 +49,16 @@ def webhook_intake(
     trigger: dict | None = None,
 ) -> list[StreamingQuery]:
     """Request bodies (one JSON text per line) -> enriched, keyed messages (S16), plus the
-    raw audit archive partitioned by event kind and day (S15). Both sinks are file sinks with
-    their own checkpoints: exactly-once output."""
+    audit archive (S15). Both sinks are file sinks with their own checkpoints: exactly-once
+    output."""
     raw = spark.readStream.option("maxFilesPerTrigger", 100).text(requests_dir).withColumnRenamed("value", "body")
     messages = enriched_to_message(process_webhooks(raw, event_type_channels))
     q1 = _start(
         messages.writeStream.format("json").option("path", messages_dir).option("checkpointLocation", f"{checkpoint}/messages"),
         trigger,
     )
-    archive = unwrap_body(raw).select(
-        F.coalesce(F.col("event"), F.lit("unknown")).alias("event"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd").alias("received_date"),
-        F.col("raw").alias("body"),
-    )
     q2 = _start(
-        archive.writeStream.format("json")
+        webhook_archive(raw, event_type_channels).writeStream.format("json")
         .partitionBy("event", "received_date")
         .option("path", archive_dir)
         .option("checkpointLocation", f"{checkpoint}/archive"),
@@ -75,8 +83,9 @@ def dedup_redeliveries(envelopes: DataFrame, delay: str = DEDUP_DELAY) -> DataFr
 
 def write_bronze_batch(tagged: DataFrame, bronze_dir: str, dead_letter_dir: str, batch_id: int = 0) -> None:
     """One micro-batch of T2 (rows already decoded and tagged): flatten good rows and write
-    them to bronze partitioned ``channel=/date=`` (S14); bad rows go to the dead-letter folder
-    (T3). The batch is persisted, so it is decoded once for both outputs.
+    them to bronze partitioned ``channel=/date=`` (S14), the date being that of arrival: a batch
+    fills one or two days' folders, however far apart its appointments lie. Bad rows go to the
+    dead-letter folder (T3). The batch is persisted, so it is decoded once for both outputs.
 
     Each batch writes under its own ``batch=<id>`` folders with dynamic partition overwrite:
     a batch replayed after a failure (same offsets, same state, so the same rows) rewrites
@@ -90,7 +99,7 @@ def write_bronze_batch(tagged: DataFrame, bronze_dir: str, dead_letter_dir: str,
         out = good.withColumns(
             {
                 "channel": F.col("marketing_channel"),
-                "date": F.coalesce(F.col("booking_date"), F.lit("unknown")),
+                "date": F.coalesce(F.col("kinesis_arrival_timestamp").cast("timestamp").cast("date").cast("string"), F.lit("unknown")),
                 "batch": F.lit(batch_id),
             }
         )
@@ -107,6 +116,36 @@ def write_bronze_batch(tagged: DataFrame, bronze_dir: str, dead_letter_dir: str,
         tagged.unpersist()
 
 
+def compact_bronze(spark: SparkSession, bronze_dir: str, date: str) -> int:
+    """S14 upkeep: rewrites a past day's micro-batch folders as one folder per channel
+    (``batch=-1``), then removes the others. Returns the number of folders removed. A job that
+    dies in between leaves rows twice, which the silver upsert and the live counts count once."""
+    fs, root = tables._fs_path(spark, bronze_dir)
+    removed = 0
+    for status in fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"channel=*/date={date}")) or []:
+        day = status.getPath()
+        old = [st.getPath() for st in fs.listStatus(day) if st.getPath().getName().startswith("batch=") and st.getPath().getName() != "batch=-1"]
+        if not old:
+            continue
+        parts = [st.getPath().toString() for st in fs.listStatus(day) if st.getPath().getName().startswith("batch=")]
+        rows = stage(spark.read.schema(schemas.BRONZE_BOOKING).json(parts), "compact")
+        rows.hint("rebalance").write.mode("overwrite").json(f"{day.toString()}/batch=-1")
+        drop_staged(rows)
+        for path in old:
+            fs.delete(path, True)
+        removed += len(old)
+    return removed
+
+
+def _first_start(spark: SparkSession, checkpoint: str) -> str:
+    """The time of a stream's first start, kept next to its checkpoint."""
+    fs, p = tables._fs_path(spark, f"{checkpoint.rstrip('/')}_started")
+    if not fs.exists(p):
+        now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        spark.range(1).select(F.lit(now).alias("value")).write.mode("overwrite").text(p.toString())
+    return spark.read.text(p.toString()).first()[0]
+
+
 def bronze_writer(
     spark: SparkSession,
     envelopes_dir: str,
@@ -115,13 +154,16 @@ def bronze_writer(
     checkpoint: str,
     trigger: dict | None = None,
     max_files_per_trigger: int = 100,
+    start: str = "earliest",
 ) -> StreamingQuery:
     """T2 (+T3, T4, T5): booking envelopes -> bronze JSON. A micro-batch replayed after a
     failure rewrites its own batch folders (exactly-once output; the dedup uses the batch's
     recorded timestamp, so a replay sees the same rows). Upstream redeliveries carry the same
     sequence number and are dropped by T4; the event id derived from it is deterministic, and
-    the silver upsert on invitee_uri is idempotent."""
-    env = readers.read_booking_stream(spark, envelopes_dir, max_files_per_trigger)
+    the silver upsert on invitee_uri is idempotent. ``start`` is "earliest" (every file there
+    is) or "latest" (files from the stream's first start on, T5)."""
+    after = _first_start(spark, checkpoint) if start == "latest" else None
+    env = readers.read_booking_stream(spark, envelopes_dir, max_files_per_trigger, start_after=after)
     return start_bronze_writer(env, bronze_dir, dead_letter_dir, checkpoint, trigger)
 
 
@@ -162,7 +204,8 @@ def bronze_to_silver_incremental(
     multiline: bool = False,
 ) -> StreamingQuery:
     """Only new bronze files are processed (the stream's checkpoint is the bookmark);
-    each micro-batch is cleaned (X1) and upserted (S6), which is idempotent."""
+    each micro-batch is cleaned (X1) and upserted (S6): the newest version of a booking stays,
+    whichever file brings it first, as in a full rescan."""
     from slotflow.operators.windows import latest_first
     from slotflow.plans.batch_jobs import BOOKING_TIE_BREAKS
 
@@ -178,7 +221,7 @@ def bronze_to_silver_incremental(
             return
         tables.upsert_table(
             spark, silver_path, clean_bookings(batch), ["invitee_uri"], tables.BOOKING_PARTITIONS,
-            latest_first("webhook_received_at", BOOKING_TIE_BREAKS), key_index=True,
+            latest_first("webhook_received_at", BOOKING_TIE_BREAKS),
         )
 
     return _start(bronze.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert), trigger or {"availableNow": True})
@@ -193,6 +236,7 @@ def spend_to_silver_incremental(
     multiline: bool = True,
 ) -> StreamingQuery:
     """T6 for spend: new bronze spend documents -> X2 -> upsert on (date, channel)."""
+    from slotflow.plans.batch_jobs import spend_versions
     from slotflow.plans.normalize import clean_spend
 
     bronze = (
@@ -207,29 +251,32 @@ def spend_to_silver_incremental(
             return
         tables.upsert_table(
             spark, silver_path, clean_spend(readers.spend_records(batch)), ["date", "channel"], tables.SPEND_PARTITIONS,
-            partitions_follow_keys=True,
+            spend_versions(), partitions_follow_keys=True,
         )
 
     return _start(bronze.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert), trigger or {"availableNow": True})
 
 
 # ---------------------------------------------------------------- T7
-def daily_counts(bronze: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
-    """Bookings per (day, channel) over a stream of bronze records; state is bounded by a
-    ``delay`` watermark on the event start time (later rows still reach gold in the batch)."""
-    start = F.col("scheduled_event_start_time").try_cast("timestamp")
-    return (
-        bronze.withColumn("_start", start)
-        .filter(F.col("_start").isNotNull())
-        .withWatermark("_start", delay)
-        .groupBy(F.window("_start", "1 day"), F.col("marketing_channel"))
-        .agg(F.count(F.lit(1)).alias("total_bookings"))
-        .select(
-            F.to_date(F.col("window.start")).alias("date"),
-            F.col("marketing_channel").alias("channel"),
-            "total_bookings",
-        )
-    )
+def count_batch(spark: SparkSession, batch: DataFrame, batch_id: int, counts_path: str) -> None:
+    """One micro-batch of T7: its bookings (day, channel, id) are appended under their day, and
+    the cells of the touched days are counted anew over distinct ids. Nothing depends on the order
+    of arrival, and a record or a batch delivered again changes nothing."""
+    day = F.col("scheduled_event_start_time").try_cast("timestamp").cast("date")
+    rows = batch.select(
+        day.cast("string").alias("day"), F.col("marketing_channel").alias("channel"),
+        F.coalesce("event_id", "invitee_uri").alias("id"),
+    ).where("day IS NOT NULL AND id IS NOT NULL").distinct()
+    rows = stage(rows.withColumn("batch", F.lit(batch_id)), "live-ids")
+    days = [r["day"] for r in rows.select("day").distinct().collect()]  # calendar days
+    if days:
+        ids = f"{counts_path.rstrip('/')}_ids"
+        rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(ids)
+        seen = spark.read.schema("channel string, id string, day string, batch long").parquet(ids).where(F.col("day").isin(days))
+        cells = seen.groupBy("day", "channel").agg(F.countDistinct("id").alias("total_bookings"))
+        counts = cells.select(F.col("day").cast("date").alias("date"), "channel", "total_bookings", F.year("day").alias("year"))
+        tables.upsert_table(spark, counts_path, counts, ["date", "channel"], ["year"], partitions_follow_keys=True)
+    drop_staged(rows)
 
 
 def live_daily_counts(
@@ -238,22 +285,22 @@ def live_daily_counts(
     counts_path: str,
     checkpoint: str,
     trigger: dict | None = None,
+    max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
-    """T7 sink: update mode into a keyed table (date, channel): each micro-batch upserts the
-    changed counts, so the table always holds the current count per key."""
-    bronze = spark.readStream.schema(schemas.BRONZE_BOOKING).option("recursiveFileLookup", "true").json(bronze_dir)
-    counts = daily_counts(bronze)
-
-    def upsert(batch: DataFrame, _id: int) -> None:
-        if batch.isEmpty():
-            return
-        tables.upsert_table(
-            spark, counts_path, batch.withColumn("year", F.year("date")), ["date", "channel"], ["year"],
-            partitions_follow_keys=True,
-        )
-
+    """Bookings per (day, channel) over a stream of bronze records, in a keyed table that
+    always equals the batch count (A3) of what has arrived. There is no watermark: appointments
+    lie in any order and any distance ahead."""
+    bronze = (
+        spark.readStream.schema(schemas.BRONZE_BOOKING)
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("maxFileAge", readers.NO_AGE_LIMIT)
+        .json(bronze_dir)
+    )
     return _start(
-        counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(upsert),
+        bronze.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+            lambda df, batch_id: count_batch(spark, df, batch_id, counts_path)
+        ),
         trigger,
     )
 

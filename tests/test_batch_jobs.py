@@ -58,7 +58,7 @@ def test_bronze_to_silver_to_gold(spark, tmp_dir):
     with open(f"{cfg.bronze_spend}/channel=fb/date=2024-01-01/broken.json", "w") as f:
         f.write("{not json")
     counts = bronze_to_silver(spark, cfg)
-    assert counts == {"bookings": 2, "spend": 1}
+    assert counts == {"bookings": 2, "spend": 1, "unreadable": 1}
     silver = {r["invitee_uri"]: r for r in spark.read.parquet(cfg.silver_bookings).collect()}
     assert silver["u1"]["booking_date"] == D(2024, 1, 2)
     assert silver["u2"]["marketing_channel"] == "yt"
@@ -73,8 +73,15 @@ def test_bronze_to_silver_to_gold(spark, tmp_dir):
     # the silver tables registered over partitioned folders are queryable through the catalog
     assert spark.table("slotflow_test.bookings_silver").count() == 2
     assert spark.table("slotflow_test.marketing_spend_silver").filter("channel = 'fb'").count() == 1
-    refreshed = tables.refresh_catalog(spark, "slotflow_test", ["cost_per_booking"])
-    assert refreshed["cost_per_booking"] == len(cpb)
+    # Tables are found under a root; a column added to one shows up on the next run
+    assert tables.discover_tables(spark, "slotflow_found", cfg.silver_root) == {"bookings_silver": True, "marketing_spend_silver": True}
+    found = spark.table("slotflow_found.bookings_silver")
+    assert found.count() == 2 and "note" not in found.columns
+    moved = spark.read.parquet(cfg.silver_bookings).where("invitee_uri = 'u2'").withColumn("note", F.lit("x"))
+    tables.upsert_table(spark, cfg.silver_bookings, moved, ["invitee_uri"], tables.BOOKING_PARTITIONS)
+    assert tables.discover_tables(spark, "slotflow_found", cfg.silver_root)["bookings_silver"]
+    notes = {r["invitee_uri"]: r["note"] for r in spark.table("slotflow_found.bookings_silver").collect()}
+    assert notes == {"u1": None, "u2": "x"}
 
 
 def test_ingest_spend_and_run_log(spark, tmp_dir):
@@ -87,16 +94,38 @@ def test_ingest_spend_and_run_log(spark, tmp_dir):
         f.write("[{broken")
     with open(f"{src}/file_index.txt", "w") as f:
         f.write("not a spend file")
+    with open(f"{src}/spend_data_2023-12-31.json", "w") as f:
+        f.write('[{"channel": "fb", "date": "2023-12-31", "spend": "2.5", "impressions": "many", "extra": {"a": [1]}}, 7]')
     cfg = PipelineConfig(f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/gold", "slotflow_test2")
-    res = ingest_spend(spark, src, cfg, as_of="2024-01-04")
-    assert res["execution_date"] == "2024-01-03" and res["files_processed"] == 3
-    assert res["records_processed"] == 3
-    docs = spark.read.json(cfg.bronze_spend)
-    assert docs.filter(F.col("channel") == "fb").count() == 2
+    for _ in range(2):  # a repeated run rewrites its own documents
+        res = ingest_spend(spark, src, cfg, as_of="2024-01-04")
+        assert res == {"execution_date": "2024-01-03", "files_processed": 4, "records_processed": 4, "records_failed": 2}
+        docs = spark.read.option("recursiveFileLookup", "true").json(cfg.bronze_spend)
+        assert docs.count() == 4  # one per date, channel and file
+        records = {(r["date"], r["channel"]): r for r in docs.select(F.explode("records").alias("r")).select("r.*").collect()}
+    # fields that nothing uses are kept with their values; a quoted spend is a spend
+    assert records[("2024-01-01", "yt")]["clicks"] == "3" or records[("2024-01-01", "yt")]["clicks"] == 3
+    assert records[("2023-12-31", "fb")]["extra"]["a"] == [1] and records[("2023-12-31", "fb")]["impressions"] == "many"
+    bronze_to_silver(spark, cfg)
+    silver = {(str(r["date"]), r["channel"]): r["spend"] for r in spark.read.parquet(cfg.silver_spend).collect()}
+    assert silver == {("2024-01-01", "fb"): 10.0, ("2024-01-01", "yt"): 5.0, ("2024-01-02", "fb"): 7.5, ("2023-12-31", "fb"): 2.5}
+    dead = spark.read.json(cfg.spend_dead_letters).collect()
+    assert sorted((r["source_file"], r["error"], r["body"]) for r in dead) == [
+        ("spend_data_2023-12-31.json", "not a JSON object", "7"), ("spend_data_2024-01-03.json", "not a JSON array", "[{broken")]
     runs = tables.read_runs(spark, cfg.run_log).collect()
-    assert len(runs) == 1 and runs[0]["status"] == "completed" and runs[0]["records_processed"] == 3
-    ingest_spend(spark, src, cfg, as_of="2024-01-04")  # same key: last write wins, still one row
-    assert tables.read_runs(spark, cfg.run_log).count() == 1
+    assert len(runs) == 1 and runs[0]["status"] == "completed" and runs[0]["records_processed"] == 4
+
+
+def test_ingest_spend_without_files_and_backfill_date(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/src")
+    cfg = PipelineConfig(f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/gold", "slotflow_test5")
+    res = ingest_spend(spark, f"{tmp_dir}/src", cfg, execution_date="2023-05-05")
+    assert (res["execution_date"], res["records_processed"], res["records_failed"]) == ("2023-05-05", 0, 0)
+    assert tables.read_runs(spark, cfg.run_log).first()["status"] == "completed"
+    # nothing in silver: every metric is there, without rows
+    errors = []
+    out = silver_to_gold(spark, cfg, errors=errors)
+    assert not errors and set(out.values()) == {0} and len(out) == 6
 
 
 def test_config_requires_every_location():
@@ -184,51 +213,41 @@ def test_upsert_adds_a_column(spark, tmp_dir):
     assert "invitee_phone" in read_silver(spark, path).columns
 
 
-def test_key_index_finds_moves_and_survives_a_crash(spark, tmp_dir, monkeypatch):
-    """key_index: moved keys are found through the index (including null partition values);
-    a crash between the two index steps leaves extra entries, never a missed move."""
+def test_upsert_after_other_writes_and_null_partitions(spark, tmp_dir):
+    """Moved keys are found wherever they are, also after the table was written by other means;
+    null partition values and values that need escaping are partitions like any other."""
+    from slotflow.operators.windows import latest_first
     from slotflow.sources.readers import read_silver
 
     path = f"{tmp_dir}/t"
-    monkeypatch.setattr(tables, "KEY_INDEX_ROWS_PER_BUCKET", 10**9)  # one bucket; sizing is tested below
     sch = "invitee_uri string, booking_year int, booking_month int, marketing_channel string, v int"
-    up = lambda rows: tables.upsert_table(spark, path, spark.createDataFrame(rows, sch), ["invitee_uri"],
-                                          tables.BOOKING_PARTITIONS, key_index=True)
+    frame = lambda rows: spark.createDataFrame(rows, sch)
+    up = lambda rows: tables.upsert_table(spark, path, frame(rows), ["invitee_uri"], tables.BOOKING_PARTITIONS, latest_first("v", []))
     up([(f"u{i}", 2024, 1 + i % 12, "fb", 0) for i in range(50)] + [("n", None, None, "fb", 0)])
-    assert spark.read.parquet(f"{path}_key_index/buckets=1").count() == 51
-    up([("u1", 2025, 6, "yt", 1), ("n", 2024, 3, "fb", 1)])  # both move, one out of a null partition
+    up([("u1", 2025, 6, "a/b: c", 1), ("n", 2024, 3, "fb", 1)])
     rows = {r["invitee_uri"]: r for r in read_silver(spark, path).collect()}
-    assert len(rows) == 51 and read_silver(spark, path).count() == 51
-    assert (rows["u1"]["booking_year"], rows["u1"]["v"]) == (2025, 1) and rows["n"]["booking_month"] == 3
-    idx = spark.read.parquet(f"{path}_key_index/buckets=1").filter("invitee_uri in ('u1', 'n')").collect()
-    assert sorted((r["invitee_uri"], r["booking_year"]) for r in idx) == [("n", 2024), ("u1", 2025)]
-    # crash after the index add step: the index holds both homes; the next move still finds the row
-    orig = tables._trim_index_entries
-    tables._trim_index_entries = lambda *a, **k: (_ for _ in ()).throw(RuntimeError("crash"))
-    try:
-        with __import__("pytest").raises(RuntimeError):
-            up([("u2", 2026, 1, "tt", 2)])
-    finally:
-        tables._trim_index_entries = orig
-    up([("u2", 2027, 2, "tt", 3)])
-    rows = [r for r in read_silver(spark, path).collect() if r["invitee_uri"] == "u2"]
-    assert len(rows) == 1 and rows[0]["booking_year"] == 2027
-    assert read_silver(spark, path).count() == 51
-
-
-def test_key_index_bucket_count_follows_size():
-    assert tables._bucket_count(0) == 1 and tables._bucket_count(10_000_000) == 1
-    assert tables._bucket_count(10_000_001) == 2 and tables._bucket_count(10**15) == tables.KEY_INDEX_MAX_BUCKETS
-
-
-def test_partition_filter_with_many_touched_partitions(spark, tmp_dir):
-    """The static partition filter stays shallow with the maximum number of terms."""
-    touched = spark.createDataFrame([(2000 + i // 12, 1 + i % 12, "fb") for i in range(tables.MAX_STATIC_PARTITION_FILTER)],
-                                    "booking_year int, booking_month int, marketing_channel string")
-    target = spark.createDataFrame([(2005, 3, "fb", 1), (2500, 1, "fb", 2), (2001, 1, None, 3)],
-                                   "booking_year int, booking_month int, marketing_channel string, v int")
-    got = sorted(r["v"] for r in tables._rows_in_partitions(target, touched, tables.BOOKING_PARTITIONS).collect())
-    assert got == [1]
+    assert len(rows) == 51 == read_silver(spark, path).count()
+    assert (rows["u1"]["marketing_channel"], rows["u1"]["v"]) == ("a/b: c", 1) and rows["n"]["booking_month"] == 3
+    # an older version arrives late and loses; a newer one wins
+    up([("u1", 2026, 1, "fb", 0), ("u2", 2026, 1, "fb", 5)])
+    rows = {r["invitee_uri"]: r for r in read_silver(spark, path).collect()}
+    assert rows["u1"]["booking_year"] == 2025 and rows["u2"]["booking_year"] == 2026 and len(rows) == 51
+    # a full rewrite, then a move
+    tables.write_silver_bookings(frame([("k1", 2024, 1, "fb", 1), ("k2", 2024, 2, "fb", 1)]), path)
+    up([("k2", 2024, 3, "fb", 2)])
+    assert sorted((r["invitee_uri"], r["booking_month"]) for r in read_silver(spark, path).collect()) == [("k1", 1), ("k2", 3)]
+
+
+def test_bronze_dates_prune_folders(spark, tmp_dir):
+    """A range of dates reads only those folders' files."""
+    from slotflow.sources.readers import read_bronze_bookings
+
+    for k, date in enumerate(["2024-01-01", "2024-01-02", "2024-02-01"]):
+        _write_bronze_booking(f"{tmp_dir}/bronze", "fb", date, f"e{k}", {"invitee_uri": f"u{k}", "marketing_channel": "own"})
+    df = read_bronze_bookings(spark, f"{tmp_dir}/bronze/bookings").where("date_part >= '2024-01-02' AND date_part < '2024-02-01'")
+    assert [(r["invitee_uri"], r["marketing_channel"], r["channel_part"]) for r in df.collect()] == [("u1", "own", "fb")]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
 
 
 def test_bronze_accepts_flat_and_nested_bookings(spark, tmp_dir):

@@ -131,16 +131,16 @@ def test_flatten_defaults_channel_and_safe_id(spark):
     assert [x["error"] for x in bad.collect()] == ["invalid base64"]
 
 
-def test_nest_spend_keeps_null_keys_and_bounds_documents(spark):
-    """Rows with a null date or channel are kept; a key with more rows than the document
-    bound is split into several documents of bounded size, none lost."""
-    rows = [(None, "fb", 1.0), ("2024-01-01", None, 2.0)] + [("2024-01-02", "hot", float(i)) for i in range(1000)]
-    s = spark.createDataFrame(rows, "date string, channel string, spend double")
-    docs = A.nest_spend(s, max_records_per_document=100).collect()
-    assert sum(d["record_count"] for d in docs) == len(rows)
-    hot = [d for d in docs if d["channel"] == "hot"]
-    assert len(hot) >= 8 and max(d["record_count"] for d in hot) <= 200
+def test_nest_spend_keeps_null_keys_and_every_column(spark):
+    """Rows with a null date or channel are kept, with all columns; a document never holds
+    rows of two files."""
+    rows = [(None, "fb", 1.0, "a", "x"), ("2024-01-01", None, 2.0, "a", "y")] + [("2024-01-02", "hot", 1.0, f"f{i % 4}", "same") for i in range(1000)]
+    s = spark.createDataFrame(rows, "date string, channel string, spend double, source_file string, extra string")
+    docs = A.nest_spend(s).collect()
+    assert sum(d["record_count"] for d in docs) == len(rows) == sum(len(d["records"]) for d in docs)
+    assert sorted(d["record_count"] for d in docs if d["channel"] == "hot") == [250] * 4
     assert any(d["date"] is None for d in docs) and any(d["channel"] is None for d in docs)
+    assert {r["extra"] for d in docs for r in d["records"]} == {"x", "y", "same"}
 
 
 def test_default_channel_sort_and_sql(spark):
