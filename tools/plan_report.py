@@ -43,7 +43,7 @@ def summarize(plan: str) -> dict:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     from slotflow.session import build_session
-    import __spark_entry__ as E
+    from slotflow.plans.registry import QUERIES
 
     spark = build_session("slotflow-plans")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -59,7 +59,7 @@ def main(argv):
         "| query | shuffles | joins | windows (group limits) | partial agg | scans: columns read / pushed filters |",
         "|---|---|---|---|---|---|",
     ]
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         s = summarize(fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
         scans = "<br>".join(f"{t}: {len(c)} cols ({', '.join(c[:6])}{'…' if len(c) > 6 else ''}) / {p or '—'}" for t, c, p in s["scans"]) or "staged data"
         out.append(
