@@ -13,7 +13,11 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.endswith("_job") and not n.startswith("stream_")))
+# queries that run jobs or streams over files while they are built: their plans are reads of files
+JOBS = ("bronze_to_silver", "silver_to_gold", "ingest_spend", "spend_dead", "stream_", "webhook_archive", "upsert_bookings_table", "upsert_spend_table")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(JOBS) or n == "stream_messages"))
 def test_no_cartesian_or_nested_loop(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -2,6 +2,8 @@
 
 import re
 
+from conftest import ROOT
+
 from slotflow.plans.registry import ORACLE, QUERIES
 
 
@@ -18,3 +20,16 @@ def test_every_query_has_oracle_sql():
         assert "SELECT" in sql.upper(), name
         # whole tables: no row caps in the oracle except the top-k report
         assert (" LIMIT " not in sql.upper()) or name == "latest_sources", name
+
+
+def test_entry_works_without_the_corpus_operators():
+    """The optional subpackage may be absent; other import errors are not hidden."""
+    import subprocess
+    import sys
+
+    code = "import sys; sys.path.insert(0, '.'); sys.modules[{!r}] = None\nimport __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    for gone in ("slotflow.llm", "corpus_pipeline"):
+        out = subprocess.run([sys.executable, "-c", code.format(gone)], capture_output=True, text=True, cwd=ROOT)
+        assert out.stdout.split() == [str(len(QUERIES)), str(len(ORACLE))], out.stderr
+    out = subprocess.run([sys.executable, "-c", code.format("slotflow.schemas")], capture_output=True, text=True, cwd=ROOT)
+    assert out.returncode != 0
