@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from slotflow.llm.common import stage
+from slotflow.llm.hashing import spread
 
 DIMS = 8
 STOP = 0.98
@@ -36,7 +37,7 @@ SAMPLE = 20_000
 CELL_ROWS = 20_000
 MAX_CELLS = 8192
 LEAF_ROWS = 32
-QUERY_BLOCK = 512
+QUERY_BLOCK = 4096
 _SEED = 5
 
 
@@ -105,16 +106,22 @@ class Tree:
             axis, half = int(np.argmax(spread)), len(rows) // 2
             order = np.argpartition(points[rows, axis], half)
             todo += [rows[order[:half]], rows[order[half:]]]
-        self.leaves = leaves
+        self.rows = np.concatenate(leaves)
+        self.sizes = np.array([len(r) for r in leaves])
+        self.begin = np.cumsum(self.sizes) - self.sizes
         self.low = np.array([points[r].min(0) for r in leaves])
         self.high = np.array([points[r].max(0) for r in leaves])
 
     def outward(self, point: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
-        """(squared distance of the leaf's box, its rows), nearest first."""
+        """(least squared distance, rows) of the leaves, nearest first, in growing steps."""
         gap = np.maximum(np.maximum(self.low - point, point - self.high), 0)
         distance = (gap * gap).sum(1)
-        for k in np.argsort(distance, kind="stable"):
-            yield float(distance[k]), self.leaves[k]
+        order, at, step = np.argsort(distance, kind="stable"), 0, 4
+        while at < len(order):
+            some = order[at : at + step]
+            row, within = spread(self.sizes[some])
+            yield float(distance[some[0]]), self.rows[self.begin[some][row] + within]
+            at, step = at + step, step * 2
 
 
 def search(tree: Tree, ids, vectors, norms, query_id, query, point, best, k: int, ratio: float) -> list[tuple[float, int]]:
@@ -128,7 +135,8 @@ def search(tree: Tree, ids, vectors, norms, query_id, query, point, best, k: int
             rows = rows[(gap * gap).sum(1) <= ratio * max(2 - 2 * best[0][0], 0) + 1e-12]
         rows = rows[ids[rows] != query_id]
         scores = (vectors[rows] * query).sum(1) / (norms[rows] * norm)
-        for score, vec_id in zip(scores.tolist(), ids[rows].tolist()):
+        first = np.lexsort((ids[rows], -scores))[:k]  # no others can be among the k nearest
+        for score, vec_id in zip(scores[first].tolist(), ids[rows[first]].tolist()):
             entry = (score, -vec_id)
             if len(best) < k:
                 heapq.heappush(best, entry)
@@ -227,9 +235,10 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, dims: int = DIMS, stop: fl
     limits = [f(F.col("point")[d]) for f in (F.min, F.max) for d in range(dims)]
     boxes = [(r[0], list(r[1 : dims + 1]), list(r[dims + 1 :])) for r in index.groupBy("cell").agg(*limits).collect()]
     ratio = chi_square_quantile(stop, dims)
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-n // (n_cells * QUERY_BLOCK))))).cast("long")
+    n_queries = queries.count()
 
-    def searched(asked: DataFrame) -> DataFrame:
+    def searched(asked: DataFrame, per_cell: int) -> DataFrame:
+        block = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-per_cell // QUERY_BLOCK)))).cast("long")
         asked = stage(asked.withColumn("block", block), "asked")
         wanted = asked.select("cell", F.col("block").alias("to")).distinct()
         offered = index.join(wanted, "cell").select("vec_id", "embedding", "point", F.col("cell").alias("cell"), F.col("to").alias("block"))
@@ -238,10 +247,10 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, dims: int = DIMS, stop: fl
         return offered.cogroup(asked.groupBy("cell", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
 
     none = F.array().cast("array<struct<vec_id:bigint,score:double>>")
-    first = stage(searched(queries.withColumn("best", none)), "first")
+    first = stage(searched(queries.withColumn("best", none), n_queries // n_cells), "first")
     best = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.collect_list(F.struct(F.col("vec_id"), "score")).alias("best"))
     known = queries.join(best, "vec_id", "left").withColumn("best", F.coalesce("best", none))
-    found = first.unionByName(searched(_other_cells(known, boxes, dims, k, ratio))) if len(boxes) > 1 else first
+    found = first.unionByName(searched(_other_cells(known, boxes, dims, k, ratio), n_queries)) if len(boxes) > 1 else first
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
