@@ -9,7 +9,12 @@ The Jaccard distance is a metric, and a link needs a distance of at most e = 1 -
    different sets are over e apart (at most u shingles, 9 at 90 percent), each distinct set is a
    pivot and its region holds that set alone: both documents meet there. Parts of exactly u
    shingles lie on the border (a set with u + 1 may be within e) and go down as well.
-   Meeting documents form candidate components ("regions"), found by star contraction.
+   Meeting documents form candidate components ("regions"), found by star contraction. Where u is
+   small (below ``SURE`` shingles; 4 at 80 percent), texts that share no more than a passage meet
+   too, and would chain into one component. There each meeting is first checked in another
+   space: a set is folded to counts of ``next power of 2 of n / 4`` hash classes. The weighted
+   Jaccard distance of the counts is never larger than the distance of the sets, so that sets
+   over e apart in the folded space need no edge, and nothing that links is lost.
 2. Regions join exactly, each within a task: a pivot is compared with all sets whose size and
    distances to earlier pivots allow a distance of 2e (triangle inequality). Sets within e are
    its ball and linked; those within 2e of it are compared with the ball's members in their
@@ -37,6 +42,7 @@ from slotflow.llm.graph import components
 from slotflow.llm.hashing import chain, find_words, hash_words, mix
 
 MAX_REGION = 2000
+SURE = 8
 PIVOTS = 16
 _BLOCK = pa.schema([("bucket", pa.int64()), ("block", pa.binary())])
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -124,13 +130,13 @@ def _edges(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return lead, pairs[:, 0], pairs[:, 1]
 
 
-def _scan(batches: Iterator[pa.RecordBatch], size: int, percent: int, n_buckets: int) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], size: int, percent: int, n_buckets: int, reduce: bool = True) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         ids = part.column("doc_id").to_numpy(zero_copy_only=False)
         row, key = regions_of(*shingle_sets(*text_bytes(part.column("text")), size), percent)
         if not len(row):
             continue
-        lead, a, b = _edges(key, ids[row])
+        lead, a, b = _edges(key, ids[row]) if reduce else (np.arange(len(key)), (), ())
         buckets, blocks = [], []
         if len(a):
             buckets.append(-1 - int(a[0]) % n_buckets)
@@ -170,6 +176,135 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from done()
 
 
+# ------------------------------------------------------------------ meetings checked by folded sets
+def fold_set(value: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles by hash class. A class holds four on average at most, so a byte
+    is ample."""
+    classes = 16
+    while classes < len(value) / 4:
+        classes *= 2
+    return np.bincount((value & np.uint64(classes - 1)).astype(np.int64), minlength=classes).astype(np.uint8)
+
+
+def _half(rows: np.ndarray) -> np.ndarray:
+    """Counts in half as many classes."""
+    return rows[:, : rows.shape[1] // 2] + rows[:, rows.shape[1] // 2 :]
+
+
+def check_meeting(n: np.ndarray, folded: list[np.ndarray], percent: int) -> np.ndarray:
+    """For the sets of one meeting, the smallest index that each reaches by pairs that are near
+    enough in the folded space. Pairs that a path joins already are not compared."""
+    label = np.arange(len(n))
+    width = np.array([len(f) for f in folded])
+    table = {int(w): np.stack([f for f in folded if len(f) == w]).astype(np.int32) for w in np.unique(width)}
+    place = np.zeros(len(n), np.int64)
+    for w in table:
+        place[width == w] = np.arange((width == w).sum())
+    halves = {w: _half(t) for w, t in table.items()}
+    for i in range(len(n) - 1):
+        other = np.arange(i + 1, len(n))
+        other = other[(label[other] != label[i]) & (100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i]))]
+        own = table[int(width[i])][place[i]]
+        for w, rows, mine in ((width[i], table, own), (2 * width[i], halves, own), (width[i] // 2, table, _half(own[None])[0])):
+            some = other[width[other] == w]
+            if not len(some):
+                continue
+            common = np.minimum(rows[int(w)][place[some]], mine).sum(1)
+            near = some[(100 + percent) * common >= percent * (n[some] + n[i])]
+            if len(near):
+                joined = np.unique(np.append(label[near], label[i]))
+                label[np.isin(label, joined)] = joined[0]
+    return label
+
+
+def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(meeting, members) of the regions of each bucket that several documents share; regions of
+    the same documents are one meeting."""
+    bucket, blocks = None, []
+
+    def done():
+        if not blocks:
+            return
+        halves = [np.frombuffer(b, "<u8") for b in blocks]
+        key = np.concatenate([h[: len(h) // 2] for h in halves])
+        doc = np.concatenate([np.cumsum(h[len(h) // 2 :].view("<i8")) for h in halves])
+        order = np.lexsort((doc, key))
+        key, doc = key[order], doc[order]
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
+        key, doc = key[new], doc[new]
+        head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        count = np.diff(np.concatenate((head, [len(key)])))
+        meeting = mix(np.add.reduceat(mix(doc.astype(np.uint64)), head) + count.astype(np.uint64))
+        some = np.flatnonzero(count > 1)
+        meeting, which = np.unique(meeting[some], return_index=True)
+        members = [doc[head[k] : head[k] + count[k]].astype("<i8").tobytes() for k in some[which]]
+        yield pa.RecordBatch.from_arrays([pa.array(meeting.view(np.int64)), pa.array(members, pa.binary())], ["meeting", "members"])
+
+    for batch in batches:
+        for k, block in zip(batch.column("bucket").to_pylist(), batch.column("block").to_pylist()):
+            if k != bucket:
+                yield from done()
+                bucket, blocks = k, []
+            blocks.append(block)
+    yield from done()
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        docs = [np.frombuffer(m, "<i8") for m in batch.column("members").to_pylist()]
+        if docs:
+            meeting = np.repeat(batch.column("meeting").to_numpy(), [len(d) for d in docs])
+            yield pa.RecordBatch.from_arrays([pa.array(meeting), pa.array(np.concatenate(docs))], ["meeting", "doc_id"])
+
+
+def _folds(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        row, value = shingle_sets(*text_bytes(part.column("text")), size)
+        own = np.split(value, np.searchsorted(row, np.arange(1, part.num_rows)))
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(v) for v in own]), pa.array([fold_set(v).tobytes() for v in own], pa.binary())], ["doc_id", "n", "folded"])
+
+
+def _check(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Edges of the meetings of a partition, which is sorted by meeting and doc_id."""
+    meeting, ids, n, folded, a, b = None, [], [], [], [], []
+
+    def done():
+        if len(ids) > 1:
+            doc, label = np.array(ids), check_meeting(np.array(n), folded, percent)
+            joined = label != np.arange(len(doc))
+            a.extend(doc[joined].tolist())
+            b.extend(doc[label[joined]].tolist())
+
+    for batch in batches:
+        for m, doc, size, counts in zip(*(batch.column(c).to_pylist() for c in ("meeting", "doc_id", "n", "folded"))):
+            if m != meeting:
+                done()
+                meeting, ids, n, folded = m, [], [], []
+            ids.append(doc)
+            n.append(size)
+            folded.append(np.frombuffer(counts, np.uint8))
+        pairs = list(dict.fromkeys(zip(a, b)))
+        a, b = [], []
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=_EDGE)
+    done()
+    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_EDGE)
+
+
+def checked_edges(docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b) like ``candidate_edges``, between representatives (``doc_id``) only, and only along
+    pairs that are near enough in the folded space."""
+    width = shuffle_width(docs.sparkSession)
+    n_buckets = 4 * width
+    docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    blocks = docs.mapInArrow(lambda it: _scan(it, size, percent, n_buckets, False), "bucket long, block binary")
+    groups = blocks.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(_group, "meeting long, members binary")
+    meetings = stage(groups.dropDuplicates(["meeting"]), "meetings")
+    members = meetings.mapInArrow(_members, "meeting long, doc_id long").join(reps, "doc_id", "left_semi")
+    folds = stage(docs.mapInArrow(lambda it: _folds(it, size), "doc_id long, n long, folded binary").where("n > 0"), "folds")
+    placed = members.join(folds, "doc_id").repartition(width, "meeting").sortWithinPartitions("meeting", "doc_id")
+    return placed.select("meeting", "doc_id", "n", "folded").mapInArrow(lambda it: _check(it, percent), "a long, b long")
+
+
 def candidate_edges(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b): links from documents to the smallest document of a region that they share.
     Documents that are linked are joined by a path of these."""
@@ -365,7 +500,10 @@ def near_components(docs: DataFrame, size: int = 5, percent: int = 80, max_regio
     sets = stage(set_digests(docs, size), "sets")
     same = ["n_shingles", "d1", "d2"]
     classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    regions = components(candidate_edges(docs, size, percent))
+    if smallest_difference(percent) >= SURE:
+        regions = components(candidate_edges(docs, size, percent))
+    else:
+        regions = components(checked_edges(docs, classes.select(F.col("rep").alias("doc_id")), size, percent))
     members = regions.join(classes.select(F.col("rep").alias("node")), "node", "left_semi")
     counts = members.groupBy("root").agg(F.count("*").alias("n_region")).where("n_region > 1")
     members = stage(members.join(counts, "root").select(F.col("node").alias("doc_id"), F.col("root").alias("region"), "n_region"), "members")

@@ -106,3 +106,33 @@ def test_keep_first_keeps_columns(spark):
     got = near.keep_first(df)
     assert got.columns == df.columns
     assert sorted((r.doc_id or 0) for r in got.collect()) == [0, 1, 3]
+
+
+def test_folded_sets_bound_the_similarity():
+    """The folded similarity is never below that of the sets, also across fold widths."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 2**63, rng.integers(1, 400), dtype=np.uint64))
+        keep = a[rng.random(len(a)) < rng.choice([0.5, 0.8, 0.9, 1.0])]
+        b = np.unique(np.concatenate((keep, rng.integers(0, 2**63, rng.integers(0, 90), dtype=np.uint64))))
+        if not len(b):
+            continue
+        common = len(np.intersect1d(a, b))
+        similar = 100 * common >= 60 * (len(a) + len(b) - common)
+        label = near.check_meeting(np.array([len(a), len(b)]), [near.fold_set(a), near.fold_set(b)], 60)
+        assert not similar or label.tolist() == [0, 0]
+
+
+def test_documents_that_share_a_passage_are_not_chained(spark):
+    """At 80 percent such documents meet, but need no edges."""
+    rng = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"{rng.randrange(10**9)}" for _ in range(rng.randint(60, 200))) + " " + passage) for i in range(80)]
+    rows += [(100, rows[0][1] + " x"), (101, rows[5][1] + " y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    reps = df.select("doc_id")
+    edges = {(r.a, r.b) for r in near.checked_edges(df, reps, 5, 80).distinct().collect()}
+    assert edges == {(100, 0), (101, 5)}
+    assert dict(run(spark, rows, 5, 80)) == brute(rows, 5, 80)
