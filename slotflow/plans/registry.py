@@ -774,8 +774,7 @@ def _ingest(spark, sf_dir):
     cfg = _job_config(spark, "x11")
     source = scratch_path(spark, "spend-source")
     AD.spend_source_files(spark, sf_dir).repartition("file").write.partitionBy("file").text(source)
-    for _ in range(2):  # a repeated run changes nothing
-        ingest_spend(spark, source, cfg, lookback_days=100_000, execution_date=INGEST_DATE)
+    ingest_spend(spark, source, cfg, lookback_days=100_000, execution_date=INGEST_DATE)
     return cfg
 
 
@@ -784,8 +783,8 @@ SELECT date, channel, spend, CAST(l_quantity AS DOUBLE) AS impressions, CAST(l_l
   '{INGEST_DATE}' AS ingestion_date
 FROM el WHERE NOT broken AND l_orderkey % 97 <> 0""")
 def q_ingest_spend_job(spark, sf_dir):
-    """Every daily file ingested twice into bronze documents; the
-    records read back, with fields that no schema of the library names."""
+    """Every daily file ingested into bronze documents; the records
+    read back, with fields that no schema of the library names."""
     docs = spark.read.option("recursiveFileLookup", "true").schema("records array<map<string,variant>>").json(_ingest(spark, sf_dir).bronze_spend)
     rec = docs.select(F.explode("records").alias("r"))
     get = lambda k, t: F.element_at("r", k).cast("string").cast(t).alias(k)
