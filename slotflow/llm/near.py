@@ -507,7 +507,7 @@ def near_components(docs: DataFrame, size: int = 5, percent: int = 80, max_regio
     members = regions.join(classes.select(F.col("rep").alias("node")), "node", "left_semi")
     counts = members.groupBy("root").agg(F.count("*").alias("n_region")).where("n_region > 1")
     members = stage(members.join(counts, "root").select(F.col("node").alias("doc_id"), F.col("root").alias("region"), "n_region"), "members")
-    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").join(members, "doc_id")
+    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").join(members.hint("merge"), "doc_id")
     small = texts.where(F.col("n_region") <= max_region).repartition(width, "region").sortWithinPartitions("region", "doc_id")
     links = small.select("region", "doc_id", "text").mapInArrow(lambda it: _join(it, size, percent), "a long, b long")
     if members.where(F.col("n_region") > max_region).limit(1).count():
