@@ -760,9 +760,8 @@ def q_silver_to_gold_job(spark, sf_dir):
 # ------------------------------------------------------------------ spend ingestion (X11)
 _SOURCE_SQL = """
 WITH el AS (
-  SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS date, o_orderpriority AS channel, l_extendedprice * l_discount AS spend,
-    l_quantity, l_returnflag, 'spend_data_' || strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') || '.json' AS source_file,
-    strftime(CAST(l_shipdate AS DATE), '%m-%d') = '12-31' AS broken
+  SELECT l_orderkey, l_linenumber, CAST(date_trunc('month', l_shipdate) AS DATE) AS date, o_orderpriority AS channel, l_extendedprice * l_discount AS spend,
+    l_quantity, l_returnflag, 'spend_data_' || strftime(l_shipdate, '%Y-%m') || '-01.json' AS source_file, month(l_shipdate) = 12 AS broken
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 """
 INGEST_DATE = "2024-02-01"
@@ -783,7 +782,7 @@ SELECT date, channel, spend, CAST(l_quantity AS DOUBLE) AS impressions, CAST(l_l
   '{INGEST_DATE}' AS ingestion_date
 FROM el WHERE NOT broken AND l_orderkey % 97 <> 0""")
 def q_ingest_spend_job(spark, sf_dir):
-    """Every daily file ingested into bronze documents; the records
+    """Every file ingested into bronze documents; the records
     read back, with fields that no schema of the library names."""
     docs = spark.read.option("recursiveFileLookup", "true").schema("records array<map<string,variant>>").json(_ingest(spark, sf_dir).bronze_spend)
     rec = docs.select(F.explode("records").alias("r"))

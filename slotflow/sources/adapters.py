@@ -118,14 +118,13 @@ def lineitem_meetings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spend_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily spend source files as (file, value): one JSON array per ship date, an element per line
-    item with fields that no metric reads. The spend of third lines is quoted, elements of orders
-    divisible by 97 are bare numbers, and files of the last day of a year lack their closing
-    bracket."""
+    """Spend source files as (file, value): one JSON array dated the first of each ship month, an
+    element per line item with fields that no metric reads. The spend of third lines is quoted, elements of orders
+    divisible by 97 are bare numbers, and files of Decembers lack their closing bracket."""
     li = read_table(spark, sf_dir, "lineitem")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     j = ensure_parallelism(li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner"))
-    day = F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd")
+    day = F.date_format(F.trunc("l_shipdate", "month"), "yyyy-MM-dd")
     spend = F.col("l_extendedprice") * F.col("l_discount")
     rest = [day.alias("date"), F.col("o_orderpriority").alias("channel"), F.col("l_quantity").alias("impressions"),
             F.col("l_linenumber").alias("clicks"), F.struct("l_returnflag", "l_linestatus").alias("flags")]
@@ -133,7 +132,7 @@ def spend_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct(spend.alias("spend"), *rest)))
     element = F.when(F.col("l_orderkey") % 97 == 0, F.col("l_orderkey").cast("string")).otherwise(record)
     files = j.select(day.alias("day"), element.alias("element")).groupBy("day").agg(F.array_join(F.collect_list("element"), ",").alias("items"))
-    end = F.when(F.col("day").endswith("-12-31"), F.lit("")).otherwise(F.lit("]"))
+    end = F.when(F.col("day").endswith("-12-01"), F.lit("")).otherwise(F.lit("]"))
     return files.select(F.concat(F.lit("spend_data_"), "day", F.lit(".json")).alias("file"), F.concat(F.lit("["), "items", end).alias("value"))
 
 
