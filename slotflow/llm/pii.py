@@ -127,13 +127,14 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
 def disclosing_terms(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT) -> DataFrame:
     """(kind, term, disclosure, action) of the terms that reach a threshold."""
-    n = scanned.agg(F.count("*").alias("n"))
-    kinds = scanned.select("row_id", F.explode(F.array_distinct(F.col("base.kind"))).alias("kind")).groupBy("kind").agg(F.count("*").alias("n_c"))
+    has = lambda kind: F.count_if(F.array_contains(F.col("base.kind"), kind)).alias(kind)
+    totals = scanned.agg(F.count("*").alias("n"), *map(has, KINDS)).first()  # one row of counts
+    n = F.lit(totals["n"])
+    n_c = F.element_at(F.create_map(*[x for k in KINDS for x in (F.lit(k), F.lit(totals[k]))]), F.col("kind"))
     near = scanned.select("row_id", F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x.kind.alias("kind"), x.term.alias("term"))))).alias("x"))
     pairs = near.groupBy("x.kind", "x.term").agg(F.count("*").alias("n_tc")).where(F.col("n_tc") >= support)
-    total = kinds.withColumn("one", F.lit(1)).join(n.withColumn("one", F.lit(1)), "one").drop("one")
-    counted = pairs.join(term_counts(docs), "term").join(total, "kind").where("n_c < n")
-    share = F.log2(F.col("n_tc") * F.col("n") / (F.col("n_t") * F.col("n_c"))) / F.log2(F.col("n") / F.col("n_c"))
+    counted = pairs.join(term_counts(docs), "term").withColumn("n_c", n_c).where(F.col("n_c") < n)
+    share = F.log2(F.col("n_tc") * n / (F.col("n_t") * F.col("n_c"))) / F.log2(n / F.col("n_c"))
     told = counted.withColumn("disclosure", share).where(F.col("disclosure") >= GENERALISE)
     return told.select("kind", "term", "disclosure", F.when(F.col("disclosure") >= REMOVE, "removed").otherwise("generalised").alias("action"))
 
