@@ -713,7 +713,7 @@ def q_bronze_to_silver_spend(spark, sf_dir):
     return silver.select("date", "channel", "spend", "year", "month", "day", "source_file")
 
 
-def _silver_to_gold(spark, sf_dir, metric):
+def _silver_to_gold(spark, sf_dir, metric, whole=False):
     from slotflow.plans.batch_jobs import silver_to_gold
     from slotflow.sources import tables as TB
 
@@ -725,7 +725,7 @@ def _silver_to_gold(spark, sf_dir, metric):
     spend = AD.lineitem_spend(spark, sf_dir).withColumns({"year": F.year("date"), "month": F.month("date")})
     TB.write_silver_spend(spend, cfg.silver_spend)
     errors: list[str] = []
-    silver_to_gold(spark, cfg, errors=errors)
+    silver_to_gold(spark, cfg, None if whole else [metric], errors)
     if errors:
         raise RuntimeError(f"gold metrics failed: {errors}")
     return spark.read.parquet(f"{cfg.gold_metrics}/{metric}").drop("calculated_at")
@@ -753,8 +753,8 @@ for _metric, _sql in (
 
 @register("silver_to_gold_job", CPB_O)
 def q_silver_to_gold_job(spark, sf_dir):
-    """X10 end to end, cost per booking."""
-    return _silver_to_gold(spark, sf_dir, "cost_per_booking")
+    """X10 end to end: all six metrics in one job, cost per booking read back."""
+    return _silver_to_gold(spark, sf_dir, "cost_per_booking", whole=True)
 
 
 # ------------------------------------------------------------------ spend ingestion (X11)
