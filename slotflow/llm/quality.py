@@ -122,19 +122,18 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
 def thresholds(sketch: DataFrame) -> DataFrame:
     """(lang, source, fences): of the source, or of the smallest merged sketch that is large enough."""
     names = [f"{m}_high" for m in MEASURES] + [f"{m}_low" for m, x in MEASURES.items() if x[4]]
-    named = lambda frame, p: frame.select(*[c for c in frame.columns if c in ("lang", "source", "all")], *[F.col(c).alias(f"{p}_{c}") for c in ["n_docs", *names]])
-    sketch = sketch.withColumn("all", F.lit(1))
-    whole = named(fences(sketch, ["all"]), "c")
-    by_lang = named(fences(sketch, ["lang", "all"]), "b")
-    joined = named(fences(sketch, ["lang", "source"]), "a").join(by_lang, "lang").join(whole, "all")
-    pick = lambda c: F.when(F.col("a_n_docs") >= MIN_DOCS, F.col(f"a_{c}")).when(F.col("b_n_docs") >= MIN_DOCS, F.col(f"b_{c}")).otherwise(F.col(f"c_{c}")).alias(c)
+    named = lambda frame, p: frame.select(*[c for c in frame.columns if c in ("lang", "source")], *[F.col(c).alias(f"{p}_{c}") for c in ["n_docs", *names]])
+    whole = fences(sketch, []).first()  # one row: the corpus's fences
+    by_lang = named(fences(sketch, ["lang"]), "b")
+    joined = named(fences(sketch, ["lang", "source"]), "a").join(by_lang, "lang")
+    pick = lambda c: F.when(F.col("a_n_docs") >= MIN_DOCS, F.col(f"a_{c}")).when(F.col("b_n_docs") >= MIN_DOCS, F.col(f"b_{c}")).otherwise(_long(whole[c])).alias(c)
     return joined.select("lang", "source", *[pick(c) for c in names])
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """The measures of every row with ``base_failed`` and the verdict ``kept``."""
     measures = stage(measure(docs), "measures")
-    limits = thresholds(stage(sketches(measures), "sketch"))
+    limits = stage(thresholds(stage(sketches(measures), "sketch")), "fences")
     limits = limits.select(F.col("lang").alias("f_lang"), F.col("source").alias("f_source"), *[c for c in limits.columns if c not in ("lang", "source")])
     on = (F.coalesce("lang", F.lit("")) == F.col("f_lang")) & (F.coalesce("source", F.lit("")) == F.col("f_source"))
     joined = measures.join(limits, on, "left")
