@@ -134,7 +134,9 @@ def search(tree: Tree, ids, vectors, norms, query_id, query, point, best, k: int
             gap = tree.points[rows] - point
             rows = rows[(gap * gap).sum(1) <= ratio * max(2 - 2 * best[0][0], 0) + 1e-12]
         rows = rows[ids[rows] != query_id]
-        scores = (vectors[rows] * query).sum(1) / (norms[rows] * norm)
+        scores = np.einsum("ij,j->i", vectors[rows], query) / (norms[rows] * norm)
+        least = best[0][0] if len(best) == k else (np.partition(scores, -k)[-k] if len(scores) > k else -2.0)
+        rows, scores = rows[scores >= least], scores[scores >= least]
         first = np.lexsort((ids[rows], -scores))[:k]  # no others can be among the k nearest
         for score, vec_id in zip(scores[first].tolist(), ids[rows[first]].tolist()):
             entry = (score, -vec_id)
