@@ -1,15 +1,17 @@
 """Personal data: patterns, and terms that reveal it by their co-occurrence in the corpus.
 
-The patterns find four kinds of entities. Terms within ``REACH`` words of an entity are its
-context. For a term t and a kind c the corpus gives, in documents, n(t), n(c), n(t, c) and N,
-and with them the share of the kind's information that the term discloses:
+The patterns find four kinds of entities. Every term that overlaps no entity stands clear; in
+documents, over the whole corpus, n(t) hold the term t clear, n(c) an entity of kind c, n(t, c)
+both, wherever they stand, and N is all. They give the share of the kind's information that the
+term discloses:
 
     log2(n(t, c) N / (n(t) n(c))) / log2(N / n(c))      (PMI(t; c) / IC(c), 1 at most)
 
-A term that at least ``SUPPORT`` documents have in a context of c is generalised (to a mark
-naming the kind) where that share reaches ``GENERALISE``, and removed where it reaches
-``REMOVE``. All counts cover all documents. Counting is a word count: distinct terms of each
-document, summed before the shuffle.
+A term that at least ``SUPPORT`` documents have together with c is generalised (to a mark naming
+the kind) where that share reaches ``GENERALISE``, and removed where it reaches ``REMOVE``: at
+all its clear places in all documents, those without an entity too. Counting is a word count:
+distinct terms of each document, summed in each task before the shuffle. Places are joined to the
+terms; a bitmap of fixed size leaves out most places of other terms before that join.
 
 A term is a run of ASCII digits and letters and of characters beyond ASCII, A-Z as a-z. Null
 text is empty. Repeated rows each get their result; rows with a null doc_id too.
@@ -19,6 +21,8 @@ from __future__ import annotations
 
 import bisect
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,7 +30,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from slotflow.llm.common import slices, stage
 
-REACH = 3
 SUPPORT = 20
 GENERALISE, REMOVE = 0.8, 0.95
 # Fixed values of the result's contract: the kinds in their order.
@@ -40,12 +43,14 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
-_SPLIT = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-_NEAR = pa.list_(pa.struct([("kind", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+_PLACE = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 _SPAN_SQL = "array<struct<kind:string,start:bigint,end:bigint>>"
-_NEAR_SQL = "array<struct<kind:string,term:string,start:bigint,end:bigint>>"
+_PLACE_SQL = "array<struct<term:string,start:bigint,end:bigint>>"
+_COUNTS = ["n", *(f"n_{k}" for k in KINDS)]
+# slices of texts that a task counts before it gives out its sums, and bits of the bitmap
+HELD = 8
+BITS = 1 << 23
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -82,71 +87,96 @@ def find(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def context(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(kind, term, start, end) of the terms near each entity that overlap none."""
-    terms = [(m.start(), m.end(), m.group()) for m in _TERM.finditer(text.translate(_LOWER))]
+def clear(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, str]]:
+    """(start, end, term) of the terms that overlap none of the sorted spans."""
     begins, reach, open_ = [s for s, _, _ in spans], [], 0
     for _, _, e in spans:
         reach.append(open_ := max(open_, e))
-    clear = []
-    for s, e, t in terms:
-        k = bisect.bisect_left(begins, e)
-        if not k or reach[k - 1] <= s:
-            clear.append((s, e, t))
-    starts = [s for s, _, _ in clear]
-    out = set()
-    for s, kind, e in spans:
-        for a, b in ((bisect.bisect_left(starts, s) - REACH, bisect.bisect_left(starts, s)), (bisect.bisect_left(starts, e), bisect.bisect_left(starts, e) + REACH)):
-            out.update((KINDS[kind], t, x, y) for x, y, t in clear[max(a, 0) : b])
-    return sorted(out, key=lambda r: (r[2], r[0]))
-
-
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
-        spans, near = [], []
-        for text in part.column("text").to_pylist():
-            own = find(text or "")
-            spans.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in own])
-            near.append([dict(zip(("kind", "term", "start", "end"), c)) for c in context(text, own)] if own else [])
-        yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), pa.array(spans, _SPAN), pa.array(near, _NEAR)], ["doc_id", "key", "base", "near"])
+    for m in _TERM.finditer(_lower(text)):
+        k = bisect.bisect_left(begins, m.end())
+        if not k or reach[k - 1] <= m.start():
+            yield m.start(), m.end(), m.group()
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """(row_id, doc_id, key, base, near) of every row; key is a hash of the text."""
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
-    found = keyed.mapInArrow(_scan, f"doc_id long, key long, base {_SPAN_SQL}, near {_NEAR_SQL}")
-    return stage(found.withColumn("row_id", F.monotonically_increasing_id()), "pii")
+def _lower(text: str) -> str:
+    """A-Z as a-z, nothing else."""
+    return text.encode().lower().decode()
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(term, n_t): the documents that hold each term."""
-    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    terms = docs.select(F.explode(F.array_distinct(F.split(lower, _SPLIT))).alias("term"))
-    return terms.where("term <> ''").groupBy("term").agg(F.count("*").alias("n_t"))
+def _distinct(text: str, spans: list[tuple[int, int, int]]) -> set[str]:
+    return {t for _, _, t in clear(text, spans)} if spans else set(_TERM.findall(_lower(text)))
+
+
+def _summed(counts: list[Counter]) -> pa.RecordBatch:
+    terms = list(counts[0])
+    return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in counts)], ["term", *_COUNTS])
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = [Counter() for _ in _COUNTS]
+    for k, part in enumerate(slices(batches), 1):
+        for text in part.column("text").to_pylist():
+            own = find(text or "")
+            terms = _distinct(text or "", own)
+            terms.add("")
+            for c in [0, *{kind + 1 for _, kind, _ in own}]:
+                counts[c].update(terms)
+        if k % HELD == 0:
+            yield _summed(counts)
+            counts = [Counter() for _ in _COUNTS]
+    yield _summed(counts)
 
 
-def disclosing_terms(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """(kind, term, disclosure, action) of the terms that reach a threshold."""
-    has = lambda kind: F.count_if(F.array_contains(F.col("base.kind"), kind)).alias(kind)
-    totals = scanned.agg(F.count("*").alias("n"), *map(has, KINDS)).first()  # one row of counts
-    n = F.lit(totals["n"])
-    n_c = F.element_at(F.create_map(*[x for k in KINDS for x in (F.lit(k), F.lit(totals[k]))]), F.col("kind"))
-    near = scanned.select("row_id", F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x.kind.alias("kind"), x.term.alias("term"))))).alias("x"))
-    pairs = near.groupBy("x.kind", "x.term").agg(F.count("*").alias("n_tc")).where(F.col("n_tc") >= support)
-    counted = pairs.join(term_counts(docs), "term").withColumn("n_c", n_c).where(F.col("n_c") < n)
+def scan(docs: DataFrame) -> DataFrame:
+    """(term, n, n_<kind>): the documents that hold each term clear, all and those with an entity
+    of the kind; the empty term stands for every document. Terms without any kind are left out."""
+    counts = docs.select("text").mapInArrow(_count, "term string, " + ", ".join(f"{c} long" for c in _COUNTS))
+    summed = counts.groupBy("term").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    return stage(summed.where((F.col("term") == "") | (F.greatest(*_COUNTS[1:]) > 0)), "pii-counts")
+
+
+def disclosing_terms(docs: DataFrame, scanned: DataFrame | None = None, support: int = SUPPORT) -> DataFrame:
+    """(kind, term, disclosure, action) of the terms that reach a threshold; ``scanned`` is the
+    scan of ``docs``, if there is one."""
+    scanned = scan(docs) if scanned is None else scanned
+    totals = scanned.where("term = ''").first()  # one row of counts; none if there are no documents
+    n = F.lit(totals["n"] if totals else 0)
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"n_{k}").alias("n_tc"), F.lit(totals[f"n_{k}"] if totals else 0).alias("n_c")) for k in KINDS])
+    pairs = scanned.where("term <> ''").select("term", F.col("n").alias("n_t"), F.explode(kinds).alias("x")).select("term", "n_t", "x.*")
+    counted = pairs.where((F.col("n_tc") >= support) & (F.col("n_tc") > 0) & (F.col("n_c") < n))
     share = F.log2(F.col("n_tc") * n / (F.col("n_t") * F.col("n_c"))) / F.log2(n / F.col("n_c"))
     told = counted.withColumn("disclosure", share).where(F.col("disclosure") >= GENERALISE)
     return told.select("kind", "term", "disclosure", F.when(F.col("disclosure") >= REMOVE, "removed").otherwise("generalised").alias("action"))
 
 
-def added_spans(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """(row_id, more): the spans of disclosing terms, one for each place; their kind is
-    term-<kind> (generalised) or cut-<kind> (removed), of several kinds the first in order."""
-    terms = disclosing_terms(docs, scanned, support)
-    near = scanned.select("row_id", F.explode("near").alias("x")).select("row_id", "x.*")
-    name = F.concat(F.when(F.col("action") == "removed", "cut-").otherwise("term-"), "kind")
-    hits = near.join(terms, ["kind", "term"]).groupBy("row_id", "start", "end").agg(F.min(name).alias("kind"))
-    return hits.groupBy("row_id").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
+def _bitmap(terms: DataFrame) -> bytes:
+    """Bits set at the terms' hashes: BITS bits for any number of terms."""
+    bit = F.crc32(F.col("term").cast("binary")) % BITS + 1
+    parts = terms.groupBy(F.bitmap_bucket_number(bit).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
+    width, out = 4096, bytearray(BITS // 8 if parts else 0)
+    for r in parts:
+        out[(r["at"] - 1) * width : r["at"] * width] = r["bits"]
+    return bytes(out)
+
+
+def _locate(batches: Iterator[pa.RecordBatch], bits: bytes) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        spans, places = [], []
+        for text in part.column("text").to_pylist():
+            own = find(text or "")
+            spans.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in own])
+            may = {t for t in _distinct(text or "", own) if bits[(h := zlib.crc32(t.encode()) % BITS) >> 3] >> (h & 7) & 1} if bits else ()
+            places.append([{"term": t, "start": s, "end": e} for s, e, t in clear(text, own) if t in may] if may else [])
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), pa.array(spans, _SPAN), pa.array(places, _PLACE)], ["doc_id", "key", "base", "places"])
+
+
+def locate(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(row_id, doc_id, key, base, places) of every row; key is a hash of the text, and places
+    holds each clear place of each of the terms (and may hold some of others)."""
+    bits = _bitmap(terms)
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    found = keyed.mapInArrow(lambda it: _locate(it, bits), f"doc_id long, key long, base {_SPAN_SQL}, places {_PLACE_SQL}")
+    return stage(found.withColumn("row_id", F.monotonically_increasing_id()), "pii")
 
 
 def _written(spans) -> F.Column:
@@ -161,11 +191,18 @@ def _ordered(spans) -> F.Column:
 
 
 def spans(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """(doc_id, key, base, spans) of every row: the pattern spans, and those with the added."""
-    scanned = scan(docs)
-    joined = scanned.join(added_spans(docs, scanned, support), "row_id", "left")
-    both = F.concat("base", F.coalesce("more", F.array().cast(_SPAN_SQL)))
-    return joined.select("doc_id", "key", "base", _ordered(both).alias("spans"))
+    """(doc_id, key, base, spans) of every row: the pattern spans, and those with the added: one
+    for each clear place of a disclosing term, of kind term-<kind> (generalised) or cut-<kind>
+    (removed), of several kinds the first in order."""
+    name = F.concat(F.when(F.col("action") == "removed", "cut-").otherwise("term-"), "kind")
+    terms = stage(disclosing_terms(docs, support=support).groupBy("term").agg(F.min(name).alias("kind")), "pii-terms")
+    rows = locate(docs, terms)
+    held = rows.select("row_id", F.explode(F.array_distinct("places.term")).alias("term"))
+    own = held.join(terms, "term").groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("own"))
+    joined = rows.join(own, "row_id", "left")
+    placed = F.transform("places", lambda p: F.struct(F.try_element_at("own", p.term).alias("kind"), p.start.alias("start"), p.end.alias("end")))
+    more = F.coalesce(F.filter(F.when(F.col("own").isNotNull(), placed), lambda p: p.kind.isNotNull()), F.array().cast(_SPAN_SQL))
+    return joined.select("doc_id", "key", "base", _ordered(F.concat("base", more)).alias("spans"))
 
 
 def report(docs: DataFrame, support: int = SUPPORT) -> DataFrame:

@@ -1,6 +1,7 @@
 """Personal data against the contract's patterns, tried as they are written."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -89,3 +90,44 @@ def test_sanitise(spark):
 def test_overlapping_spans():
     spans = [{"kind": "ip", "start": 2, "end": 6}, {"kind": "card", "start": 2, "end": 9}, {"kind": "phone", "start": 8, "end": 12}]
     assert pii.clean_text("ab1234567890cd", spans) == "ab[CARD]cd"
+
+
+def far(spark):
+    """"badge" stands seven words from the phone, in documents where the pattern misses the number,
+    and beside an e-mail; "ward" is never within three words of an entity."""
+    rows = [(i, f"badge one two three four five six +1 555 010 {2000 + i} one two three four ward") for i in range(60)]
+    rows += [(i, "Badge, call five five five; ward") for i in range(60, 70)] + [(70, "write badge a@b.co now")]
+    rows += [(i, "one two three four five six call now write") for i in range(71, 2000)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_terms_go_at_all_their_places(spark):
+    df = far(spark)
+    told = {(r.kind, r.term): r for r in pii.disclosing_terms(df, pii.scan(df)).collect()}
+    assert set(told) == {("phone", "badge"), ("phone", "ward")}
+    want = math.log2(60 * 2000 / (71 * 60)) / math.log2(2000 / 60)
+    assert abs(told["phone", "badge"].disclosure - want) < 1e-12
+    got = {r.doc_id: r.text for r in pii.sanitise(df.repartition(3)).collect()}
+    assert len(got) == 2000 and not [t for t in got.values() if "badge" in t.lower() or "ward" in t]
+    assert got[0] == " one two three four five six [PHONE] one two three four " and got[65] == ", call five five five; "
+    assert got[70] == "write  [EMAIL] now" and got[100] == "one two three four five six call now write"
+
+
+def test_terms_inside_entities_neither_count_nor_go(spark):
+    rows = [(i, f"word{i} {i}@desk.example.com") for i in range(60)] + [(60, "the desk example")] + [(i, "the rest") for i in range(61, 400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert pii.disclosing_terms(df).collect() == []
+    assert {r.doc_id: r.text for r in pii.sanitise(df).collect()}[60] == "the desk example"
+
+
+def test_terms_joined_without_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, f"one{i % 30} x y z u v w a{i}@b.co") for i in range(900)] + [(i, f"x y z u v w end{i} one{i % 30}") for i in range(900, 940)] + [(i, "x y z u v w") for i in range(940, 30000)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        told = {r.term for r in pii.disclosing_terms(df).collect()}
+        assert told == {f"one{k}" for k in range(30)}
+        assert not [r for r in pii.sanitise(df).collect() if "one" in r.text]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
