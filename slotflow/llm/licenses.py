@@ -2,8 +2,10 @@
 
 Text is reduced to words (A-Z lower-cased; ASCII other than digits and letters separates), each
 after one space. A rule is a regular expression over that form with a label, a keyword and a
-priority. Rules are the families of ``FAMILIES`` in the wordings of ``WORDINGS``: several
-hundred. A document is looked at if it holds any keyword, and a rule runs if its own is there.
+priority. Rules are the families of ``FAMILIES`` in the wordings of ``WORDINGS``, the identifiers
+and short forms of ``SHORT`` in those wordings that speak of licensing (alone they are common
+words) or beside one another ("MIT OR Apache-2.0"), and ``BODIES``, the licences' own words:
+several hundred. A document is looked at if it holds any keyword, and a rule runs if its own is there.
 A detection is an interval of words; one that lies inside another of the same or a higher
 priority is suppressed (a title inside a notice, a short name inside a long one). What is left
 gives the labels and, as the score, the weight of the strongest wording (0 if nothing is left).
@@ -33,6 +35,17 @@ FAMILIES = [
     ("gpl-2.0", "gnu", "gnu (?:general public licen[cs]e|gpl) (?:version |v ?)?2(?: 0)?"),
     ("gpl-3.0", "gnu", "gnu (?:general public licen[cs]e|gpl) (?:version |v ?)?3(?: 0)?"),
     ("gpl", "gnu", "gnu (?:general public licen[cs]e|gpl)"),
+    ("agpl-3.0", "agplv3", "(?:gnu )?agplv3(?: 0)?"),
+    ("agpl-3.0", "agpl", "(?:gnu )?agpl (?:version |v ?)3(?: 0)?"),
+    ("lgpl-2.1", "lgplv2", "(?:gnu )?lgplv2 1"),
+    ("lgpl-2.1", "lgpl", "(?:gnu )?lgpl (?:version |v ?)2 1"),
+    ("lgpl-3.0", "lgplv3", "(?:gnu )?lgplv3(?: 0)?"),
+    ("lgpl-3.0", "lgpl", "(?:gnu )?lgpl (?:version |v ?)3(?: 0)?"),
+    ("lgpl", "lgpl", "gnu lgpl"),
+    ("gpl-2.0", "gplv2", "(?:gnu )?gplv2(?: 0)?"),
+    ("gpl-2.0", "gpl", "gpl (?:version |v ?)2(?: 0)?"),
+    ("gpl-3.0", "gplv3", "(?:gnu )?gplv3(?: 0)?"),
+    ("gpl-3.0", "gpl", "gpl (?:version |v ?)3(?: 0)?"),
     ("gfdl", "gnu", "gnu free documentation licen[cs]e"),
     ("mit", "mit", "mit licen[cs]e"),
     ("x11", "x11", "x11 licen[cs]e"),
@@ -77,10 +90,75 @@ WORDINGS = [
     (1, 0.6, "{name} (?:or later|or newer|only|compatible)"),
     (0, 0.5, "{name}"),
 ]
+#: as FAMILIES; identifiers and short forms
+SHORT = [
+    ("apache-2.0", "apache", "apache (?:version |v ?)?2(?: 0|(?! [0-9]))"),
+    ("apache-1.1", "apache", "apache (?:version |v ?)?1 1"),
+    ("agpl-3.0", "agpl", "agpl(?: 3(?: 0)?)?"),
+    ("lgpl-2.1", "lgpl", "lgpl 2 1"),
+    ("lgpl-3.0", "lgpl", "lgpl 3(?: 0)?"),
+    ("lgpl", "lgpl", "lgpl"),
+    ("gpl-2.0", "gpl", "gpl 2(?: 0)?"),
+    ("gpl-3.0", "gpl", "gpl 3(?: 0)?"),
+    ("gpl", "gpl", "gpl"),
+    ("gfdl", "gfdl", "(?:gnu )?gfdl(?: 1 [1-3])?"),
+    ("mit", "mit", "mit"),
+    ("x11", "x11", "x11"),
+    ("isc", "isc", "isc"),
+    ("mpl-2.0", "mpl", "mpl (?:version |v ?)?2(?: 0)?"),
+    ("mpl-2.0", "mplv2", "mplv2(?: 0)?"),
+    ("mpl-1.1", "mpl", "mpl (?:version |v ?)?1 1"),
+    ("mpl", "mpl", "mpl"),
+    ("epl-2.0", "epl", "epl (?:version |v ?)?2(?: 0)?"),
+    ("cddl-1.0", "cddl", "cddl(?: 1 0)?"),
+    ("zlib", "zlib", "zlib"),
+    ("boost-1.0", "bsl", "bsl 1 0"),
+    ("artistic-2.0", "artistic", "artistic 2(?: 0)?"),
+    ("psf-2.0", "psf", "psf(?: 2 0)?"),
+    ("psf-2.0", "python", "python 2 0"),
+    ("ofl-1.1", "ofl", "(?:sil )?ofl(?: 1 1)?"),
+    ("odbl", "odbl", "odbl(?: 1 0)?"),
+    ("eupl", "eupl", "eupl(?: 1 [0-2])?"),
+    ("postgresql", "postgresql", "postgresql"),
+]
+# SPDX expressions: an identifier joined to another; overlaps what names the first, so both stay
+_ID = "|".join([name for _, _, name in SHORT] + ["bsd [23] clause", "cc0 1 0", "unlicense", "only", "or later"])
+JOINED = (2, 0.9, f"(?:{_ID}) (?:or|and) {{name}}")
+SHORT_WORDINGS = [*WORDINGS[:4], JOINED]
+_BSD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
+)
+_BSD_CONDITIONS = (
+    _BSD + " (?:[0-9a-z] )?redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"
+    " (?:and )?(?:[0-9a-z] )?redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"
+    " in the documentation and or other materials provided with the distribution"
+)
+_AS_PUBLISHED = "general public licen[cs]e as published by the free software foundation (?:either )?version"
+#: label, keyword, words of the licence or of its notice; those without any contain their name
+BODIES = [
+    ("mit", "hereby", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("x11", "consortium", "except as contained in this notice the name of the x consortium shall not be used in advertising"),
+    ("isc", "hereby", "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd-2-clause", "redistribution", _BSD_CONDITIONS + " this software is provided by"),
+    ("bsd-3-clause", "redistribution", _BSD_CONDITIONS + " (?:[0-9a-z] )?neither the name of (?:[^ ]+ ){1,16}?may be used to endorse or promote products derived from this software"),
+    ("bsd", "redistribution", _BSD),
+    ("zlib", "altered", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("boost-1.0", "hereby", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("postgresql", "hereby", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("cc0", "deed", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("wtfpl", "fuck", "do what the fuck you want to public licen[cs]e"),
+    ("agpl-3.0", "affero", f"gnu affero {_AS_PUBLISHED} 3"),
+    ("lgpl-2.1", "lesser", f"gnu lesser {_AS_PUBLISHED} 2 1"),
+    ("lgpl-3.0", "lesser", f"gnu lesser {_AS_PUBLISHED} 3"),
+    ("gpl-2.0", "gnu", f"gnu {_AS_PUBLISHED} 2"),
+    ("gpl-3.0", "gnu", f"gnu {_AS_PUBLISHED} 3"),
+]
 RULES = [
     (label, keyword, priority, weight, " " + wording.format(name=f"(?:{name})") + "(?= )")
-    for label, keyword, name in FAMILIES
-    for priority, weight, wording in WORDINGS
+    for families, wordings in ((FAMILIES, [*WORDINGS, JOINED]), (SHORT, SHORT_WORDINGS), (BODIES, [(3, 1.0, "{name}")]))
+    for label, keyword, name in families
+    for priority, weight, wording in wordings
 ]
 PRIORITIES = sorted({p for p, _, _ in WORDINGS})
 
@@ -102,12 +180,17 @@ def normal_form(docs: DataFrame) -> DataFrame:
 def _scan(docs: DataFrame) -> DataFrame:
     keywords = sorted({k for _, k, _, _, _ in RULES} | {p.split()[0] for p, _ in BASE})
     rows = normal_form(docs).withColumn("gate", F.col("form").rlike(" (?:" + "|".join(keywords) + ")(?= )"))
-    rules = F.array(*[F.struct(F.lit(k).alias("rule"), F.lit(f" {r[1]} ").alias("keyword"), F.lit(r[4]).alias("pattern")) for k, r in enumerate(RULES)])
+    by_keyword = {k: [(n, r[4]) for n, r in enumerate(RULES) if r[1] == k] for k in sorted({r[1] for r in RULES})}
+    groups = F.array(*[
+        F.struct(F.lit(f" {k} ").alias("keyword"), F.array(*[F.struct(F.lit(n).alias("rule"), F.lit(p).alias("pattern")) for n, p in rules]).alias("rules"))
+        for k, rules in by_keyword.items()
+    ])
     places = lambda r: F.zip_with(
         F.split("form", r.pattern, -1), F.regexp_extract_all("form", r.pattern, F.lit(0)),
         lambda gap, hit: F.struct(_words_in(gap).alias("gap"), _words_in(hit).alias("n")),
     )
-    gated = F.transform(F.filter(rules, lambda r: F.contains("form", r.keyword)), lambda r: F.struct(r.rule.alias("rule"), places(r).alias("places")))
+    rules = F.flatten(F.transform(F.filter(groups, lambda g: F.contains("form", g.keyword)), lambda g: g.rules))
+    gated = F.transform(rules, lambda r: F.struct(r.rule.alias("rule"), places(r).alias("places")))
     hits = F.filter(gated, lambda x: F.size(x.places) > 1)
     out = rows.withColumn("hits", F.when(F.col("gate"), hits))
     for phrase, label in BASE:

@@ -72,3 +72,35 @@ def test_many_detections_in_one_text(spark):
     text = "x mit license " * 3000
     row = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert (row.n_base, row.first_word, row.last_word, len(row.spans.split(","))) == (3000, 1, 8998, 3000)
+
+
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal"
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+ 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+ 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+ documentation and/or other materials provided with the distribution.
+ """
+AS_IS = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS"
+NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software"
+SPDX = {
+    "MIT": "mit", "Apache-2.0": "apache-2.0", "Apache-1.1": "apache-1.1", "GPL-2.0-only": "gpl-2.0", "GPL-3.0-or-later": "gpl-3.0", "LGPL-2.1-only": "lgpl-2.1",
+    "LGPL-3.0": "lgpl-3.0", "AGPL-3.0-only": "agpl-3.0", "MPL-2.0": "mpl-2.0", "MPL-1.1": "mpl-1.1", "EPL-2.0": "epl-2.0", "ISC": "isc", "Zlib": "zlib", "X11": "x11",
+    "OFL-1.1": "ofl-1.1", "BSD-2-Clause": "bsd-2-clause", "BSD-3-Clause": "bsd-3-clause", "CC-BY-SA-4.0": "cc-by,cc-by-sa", "CC0-1.0": "cc0", "Unlicense": "unlicense", "WTFPL": "wtfpl",
+    "BSL-1.0": "boost-1.0", "Artistic-2.0": "artistic-2.0", "PSF-2.0": "psf-2.0", "Python-2.0": "psf-2.0", "EUPL-1.2": "eupl", "ODbL-1.0": "odbl", "CDDL-1.0": "cddl-1.0",
+    "GFDL-1.3": "gfdl", "PostgreSQL": "postgresql", "MIT OR Apache-2.0": "apache-2.0,mit", "(GPL-2.0-or-later AND ISC)": "gpl-2.0,isc", "Apache-2.0 OR BSD-3-Clause": "apache-2.0,bsd-3-clause",
+}
+LITERAL = {
+    "Licensed under GPLv3.": ("gpl-3.0", 0.9), "the GNU GPLv3": ("gpl-3.0", 0.5), "licensed under the LGPLv2.1": ("lgpl-2.1", 0.9), "released under AGPLv3": ("agpl-3.0", 0.9),
+    "Licensed under MIT": ("mit", 0.9), "distributed under Apache 2.0": ("apache-2.0", 0.9), "GPL v2 or later": ("gpl-2.0", 0.6),
+    MIT: ("mit", 1.0), BSD + AS_IS: ("bsd-2-clause", 1.0), BSD + NAMES + ". " + AS_IS: ("bsd-3-clause", 1.0), BSD[:160]: ("bsd", 1.0),
+    "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License": ("gpl,gpl-3.0", 1.0),
+    "Er kam mit dem Rad; she went to MIT and the Apache 2.4 server ran zlib on X11": ("", 0.0), "GPL": ("", 0.0),
+}
+
+
+def test_literal_labels(spark):
+    # "cc by" is a base phrase, too
+    want = {f"// SPDX-License-Identifier: {k}\nint x;": (v, 1.0) for k, v in SPDX.items()} | LITERAL
+    got = licenses.scan(spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")).collect()
+    texts = list(want)
+    assert {texts[r.doc_id]: (r.labels, r.score) for r in got} == want
