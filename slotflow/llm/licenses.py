@@ -23,7 +23,7 @@ from slotflow.llm.common import stage
 # Fixed values of the result's contract: phrase and label.
 BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
 
-#: label, keyword that must be present, expression for the name
+#: label, keyword, expression for the name; the keyword is a whole word of all that it matches
 FAMILIES = [
     ("apache-2.0", "apache", "apache (?:software )?licen[cs]e (?:version |v ?)?2(?: 0)?"),
     ("apache-1.1", "apache", "apache (?:software )?licen[cs]e (?:version |v ?)?1 1"),
@@ -50,7 +50,8 @@ FAMILIES = [
     ("mit", "mit", "mit licen[cs]e"),
     ("x11", "x11", "x11 licen[cs]e"),
     ("isc", "isc", "isc licen[cs]e"),
-    ("bsd-2-clause", "bsd", "(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd)(?: licen[cs]e)?"),
+    ("bsd-2-clause", "bsd", "(?:simplified bsd|bsd 2 clause|2 clause bsd)(?: licen[cs]e)?"),
+    ("bsd-2-clause", "freebsd", "freebsd(?: licen[cs]e)?"),
     ("bsd-3-clause", "bsd", "(?:new bsd|modified bsd|bsd 3 clause|3 clause bsd)(?: licen[cs]e)?"),
     ("bsd", "bsd", "bsd(?: style)? licen[cs]e"),
     ("mpl-2.0", "mozilla", "mozilla public licen[cs]e (?:version |v ?)?2(?: 0)?"),

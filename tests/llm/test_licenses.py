@@ -2,6 +2,7 @@
 
 import random
 import re
+from re import _parser
 
 from slotflow.llm import licenses
 
@@ -104,3 +105,41 @@ def test_literal_labels(spark):
     got = licenses.scan(spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")).collect()
     texts = list(want)
     assert {texts[r.doc_id]: (r.labels, r.score) for r in got} == want
+
+
+def sample(tree, rng):
+    """A string that a parsed expression matches."""
+    out = ""
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "NOT_LITERAL":
+            out += "q"
+        elif op == "IN":
+            kind, value = rng.choice(arg)
+            out += chr(value if str(kind) == "LITERAL" else rng.randint(*value))
+        elif op == "BRANCH":
+            out += sample(rng.choice(arg[1]), rng)
+        elif op == "SUBPATTERN":
+            out += sample(arg[-1], rng)
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += "".join(sample(arg[2], rng) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 3))))
+        else:
+            assert op in ("ASSERT", "ASSERT_NOT"), op
+    return out
+
+
+def test_keywords_are_in_all_that_their_rules_match(spark):
+    rng, texts = random.Random(9), ["Released under the FreeBSD License", "FreeBSD licence", "see the FreeBSD License"]
+    for label, keyword, _, _, pattern in licenses.RULES:
+        tree = _parser.parse(pattern)
+        found = [sample(tree, rng) for _ in range(40)]
+        assert all(f" {keyword} " in f"{x} " for x in found), (label, keyword, pattern)
+        texts += found[:1]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    labels = {r.doc_id: set(r.labels.split(",")) for r in got}
+    assert [labels[k] for k in range(3)] == [{"bsd-2-clause"}] * 3
+    for k, text in enumerate(texts):  # without any gate
+        form = "".join(f" {w}" for w in words_of(text)) + " "
+        assert (labels[k] != {""}) == any(re.search(r[4], form) for r in licenses.RULES) and labels[k] != {""}, text
