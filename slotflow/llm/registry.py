@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from slotflow.llm import ann, chat, licenses, mixing, near, pieces, pii, quality, repeats, tokens
+from slotflow.llm import ann, chat, infill, licenses, mixing, near, pieces, pii, quality, repeats, resampling, shards, tokens
 from slotflow.llm.common import prepare, table
 from slotflow.session import scratch_path
 
@@ -96,6 +96,25 @@ def op10(spark, sf_dir):
     return near.near_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+@register("op11_importance_resampling", resampling.ORACLE_SQL)
+def op11(spark, sf_dir):
+    """Operator 11: a tenth of the documents, drawn to resemble the benchmark texts."""
+    return resampling.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op12_token_shards")
+def op12(spark, sf_dir):
+    """Operator 12: token ids written as indexed binary shards, and read back through the index."""
+    folder = scratch_path(spark, "token-shards")
+    return shards.report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
+
+
+@register("op13_fill_in_middle", infill.ORACLE_SQL)
+def op13(spark, sf_dir):
+    """Operator 13: every document as prefix, suffix and middle, and restored from that."""
+    return infill.report(table(spark, sf_dir, "documents"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     """The corpus pipeline: quality, near copies, personal data, mixing, piece encoding."""
