@@ -28,6 +28,10 @@ class PipelineConfig:
     def bronze_spend(self) -> str:
         return f"{self.bronze_root.rstrip('/')}/marketing_spend"
 
+    @property
+    def bookmarks(self) -> str:
+        return f"{self.silver_root.rstrip('/')}/_bookmarks"
+
     @property
     def spend_dead_letters(self) -> str:
         return f"{self.bronze_root.rstrip('/')}/spend_dead_letters"

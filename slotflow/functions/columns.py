@@ -9,6 +9,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 MONEY_SUM_TYPE = "decimal(38,6)"
 
 
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with ``value`` as a column that is computed once for each row, whatever reads it. The
+    optimizer copies the expressions of a projection into their readers (a JSON parse once for
+    each field that is read); it cannot do so through a generator, here over an array of one."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c != name]
+    return df.select(*kept, F.explode_outer(F.array(value)).alias(name))
+
 
 def column_type(df: DataFrame, name: str) -> T.DataType | None:
     dtype: T.DataType = df.schema

@@ -43,10 +43,8 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread rows over the cluster's cores before CPU-heavy row work (JSON, base64) when the
-    input has fewer partitions than ``defaultParallelism`` (a few large files, or one row
-    group). At scale the input already has more splits than cores and this is a no-op."""
+    """Spread the rows of a table over the cluster's cores before CPU-heavy row work (JSON,
+    base64) when it has fewer files than cores; at scale this is a no-op. Only the file listing
+    is looked at: nothing runs."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)

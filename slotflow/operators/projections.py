@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from slotflow import schemas
-from slotflow.functions.columns import all_not_null, column_type, safe_col
+from slotflow.functions.columns import all_not_null, column_type, compute_once, safe_col
 from slotflow.functions.nested import (
     DEFAULT_CHANNEL,
     TRACKED_EVENT,
@@ -179,12 +179,10 @@ def unwrap_body(df: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFr
     """A request holds the webhook as JSON text in ``body``, as an object in ``body``, or is
     the webhook itself (its fields at the top). Output: event,
     created_at, payload, plus ``raw`` (the body text kept for the audit archive)."""
-    # The parsed body is materialized once as a column and referenced by name below; embedding
-    # the from_json expression in each consumer would make Catalyst evaluate it per reference.
     if "body" in df.columns:
         if not isinstance(df.schema["body"].dataType, T.StringType):  # an object: its text says the same
             df = df.withColumn("body", F.to_json("body"))
-        df = df.withColumn("_parsed", parse_json(F.col("body"), schemas.WEBHOOK))
+        df = compute_once(df, "_parsed", parse_json(F.col("body"), schemas.WEBHOOK))
     else:
         df = df.withColumn("_parsed", F.lit(None).cast(schemas.WEBHOOK))
     parsed = F.col("_parsed")
@@ -207,9 +205,8 @@ def unwrap_body(df: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFr
 def tag_decode_errors(df: DataFrame, data_col: str = "data") -> DataFrame:
     """P15 without the split: every row gets ``_msg`` (the parsed message) and ``error``
     (null when the row decoded)."""
-    # Each step is its own column so the base64 decode and the JSON parse run once per row.
-    tagged = df.withColumn("_text", decode_base64_text(F.col(data_col)))
-    tagged = tagged.withColumn("_msg", parse_json(F.col("_text"), schemas.ENRICHED))
+    tagged = compute_once(df, "_text", decode_base64_text(F.col(data_col)))
+    tagged = compute_once(tagged, "_msg", parse_json(F.col("_text"), schemas.ENRICHED))
     error = (
         F.when(F.col(data_col).isNull(), F.lit("missing data"))
         .when(F.col("_text").isNull(), F.lit("invalid base64"))
@@ -275,7 +272,7 @@ def flatten_booking(df: DataFrame, msg_col: str = "_msg", clock: bool = True) ->
     m = F.col(msg_col)
     inv, se, tr = m["invitee_data"], m["scheduled_event_data"], m["tracking_data"]
     start_text = se["start_time"]
-    df = df.withColumn("_start", parse_timestamp(start_text))
+    df = compute_once(df, "_start", parse_timestamp(start_text))
     start = F.col("_start")
     return df.select(
         safe_event_id(F.col("sequence_number")).alias("event_id"),

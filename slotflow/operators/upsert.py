@@ -37,6 +37,21 @@ def merge_upsert(
     return keep.unionByName(src, allowMissingColumns=allow_missing_columns)
 
 
+FILTER_SLOTS = 1 << 20
+
+
+def held_keys(table: DataFrame, source: DataFrame, keys: list[str], n_source: int, slots: int = FILTER_SLOTS) -> DataFrame:
+    """Rows of ``table`` whose keys are in ``source``. Keys are hashed to ``slots``; the slots of the
+    source's ``n_source`` keys (a broadcast of at most ``slots`` numbers, whatever the batch) pass a
+    row of the table right above its scan, so that little of a large table is shuffled to the exact
+    join. A batch that fills most slots would hold nothing back and is joined directly."""
+    if 2 * n_source <= slots:
+        slot = F.pmod(F.xxhash64(*keys), F.lit(slots))
+        used = source.select(slot.alias("_slot")).distinct()
+        table = table.withColumn("_slot", slot).join(F.broadcast(used), "_slot", "left_semi").drop("_slot")
+    return table.join(source.select(*keys), keys, "left_semi")
+
+
 def merge_versions(old: DataFrame, source: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """J4 with versions: per key, the first by ``order`` of the old rows and the source's row (of
     ties the source's). Without ``order`` the source's row wins. Old rows of other keys stay. The

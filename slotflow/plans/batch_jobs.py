@@ -18,6 +18,7 @@ from slotflow.plans.metrics import GOLD_METRICS
 from slotflow.plans.normalize import SPEND_TIE_BREAKS, clean_bookings, clean_spend
 from slotflow.session import configure
 from slotflow.sources import files, readers, tables
+from slotflow.sources.bookmarks import Bookmark
 from slotflow.sources.staging import drop_staged, stage
 
 log = logging.getLogger(__name__)
@@ -48,26 +49,42 @@ def with_metrics(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, multiline: bool = True) -> dict[str, int]:
+def with_corrupt(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """Counter of the documents of a bronze scan that did not parse."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(schemas.CORRUPT).alias("corrupt")), obs
+
+
+def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, multiline: bool = True, bookmark: bool = True) -> dict[str, int]:
     """Bronze JSON -> clean (X1, X2) -> keyed upserts into partitioned silver tables
     (S4-S9) -> catalog registration (S11). ``multiline``: one pretty-printed object per file
-    (the webhook writer's layout) or JSON lines (the streaming writer's). Returns the rows of
-    either table and the number of documents that did not parse."""
+    (the webhook writer's layout) or JSON lines (the streaming writer's). With ``bookmark`` only
+    dates whose folders changed since the last run are read (S23); the bookmark is kept after the
+    upserts, so a run that dies is repeated. Returns the rows of either table, the number of
+    documents that did not parse and of booking dates read."""
     configure(spark)
-    corrupt = F.count(schemas.CORRUPT).alias("corrupt")
-    bad_b, bad_s = Observation("bad_bookings"), Observation("bad_spend")
-    bookings = clean_bookings(readers.read_bronze_bookings(spark, cfg.bronze_bookings, multiline).observe(bad_b, corrupt))
-    b = tables.upsert_table(
-        spark, cfg.silver_bookings, bookings, ["invitee_uri"], tables.BOOKING_PARTITIONS,
-        latest_first("webhook_received_at", BOOKING_TIE_BREAKS),
-    )
-    spend = clean_spend(readers.read_bronze_spend(spark, cfg.bronze_spend, multiline).observe(bad_s, corrupt))
-    s = tables.upsert_table(
-        spark, cfg.silver_spend, spend, ["date", "channel"], tables.SPEND_PARTITIONS, spend_versions(), partitions_follow_keys=True
-    )
-    tables.register_table(spark, cfg.database, "bookings_silver", cfg.silver_bookings)
-    tables.register_table(spark, cfg.database, "marketing_spend_silver", cfg.silver_spend)
-    return {"bookings": b["rows"], "spend": s["rows"], "unreadable": int(bad_b.get["corrupt"]) + int(bad_s.get["corrupt"])}
+    marks = [Bookmark(spark, cfg.bookmarks, n, p) for n, p in (("bookings", cfg.bronze_bookings), ("spend", cfg.bronze_spend))] if bookmark else []
+    booking_dates, spend_dates = (m.dates for m in marks) if marks else (None, None)
+    b = s = c = d = 0
+    if booking_dates != []:
+        read, bad = with_corrupt(readers.read_bronze_bookings(spark, cfg.bronze_bookings, multiline, booking_dates), "bad_bookings")
+        b = tables.upsert_table(
+            spark, cfg.silver_bookings, clean_bookings(read), ["invitee_uri"], tables.BOOKING_PARTITIONS,
+            latest_first("webhook_received_at", BOOKING_TIE_BREAKS),
+        )["rows"]
+        c = int(bad.get["corrupt"])
+    if spend_dates != []:
+        read, bad = with_corrupt(readers.read_bronze_spend(spark, cfg.bronze_spend, multiline, spend_dates), "bad_spend")
+        s = tables.upsert_table(
+            spark, cfg.silver_spend, clean_spend(read), ["date", "channel"], tables.SPEND_PARTITIONS, spend_versions(), partitions_follow_keys=True
+        )["rows"]
+        d = int(bad.get["corrupt"])
+    for mark in marks:
+        mark.keep()
+    for name, path in (("bookings_silver", cfg.silver_bookings), ("marketing_spend_silver", cfg.silver_spend)):
+        if tables.table_exists(spark, path):
+            tables.register_table(spark, cfg.database, name, path)
+    return {"bookings": b, "spend": s, "unreadable": c + d, "dates": -1 if booking_dates is None else len(booking_dates)}
 
 
 def bronze_to_silver_incremental(spark: SparkSession, cfg: PipelineConfig, multiline: bool = True) -> None:
@@ -162,7 +179,7 @@ def ingest_spend(
             nested = A.nest_spend(stamped, F.map_concat(own, stamps))
             tables.write_bronze_spend(nested, cfg.bronze_spend, execution_date)
         tables.replace_partition(
-            spark, rows.where("error IS NOT NULL"), cfg.spend_dead_letters, "execution_date", execution_date, "json"
+            spark, rows.where("error IS NOT NULL").drop("fields"), cfg.spend_dead_letters, "execution_date", execution_date, "json"
         )
         drop_staged(rows)
         tables.record_run(spark, cfg.run_log, "spend_ingestion", execution_date, counts["good"], len(dates))

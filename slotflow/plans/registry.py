@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from slotflow import schemas as SC
 from slotflow.operators import aggregations as A
@@ -384,6 +384,7 @@ def q_union_spend(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ webhooks and stream records (adapter N)
+BOOKMARK_DAY = "2024-01-16"  # splits the events' days over two runs
 
 _BRONZE_NO_CLOCK = [c.strip() for c in Q.BRONZE_COLUMNS.split(",")]
 _SILVER_NO_CLOCK = [c.strip() for c in Q.SILVER_NO_CLOCK.split(",")]
@@ -760,9 +761,9 @@ def q_silver_to_gold_job(spark, sf_dir):
 # ------------------------------------------------------------------ spend ingestion (X11)
 _SOURCE_SQL = """
 WITH el AS (
-  SELECT l_orderkey, l_linenumber, CAST(date_trunc('month', l_shipdate) AS DATE) AS date, o_orderpriority AS channel, l_extendedprice * l_discount AS spend,
-    l_quantity, l_returnflag, 'spend_data_' || strftime(l_shipdate, '%Y-%m') || '-01.json' AS source_file, month(l_shipdate) = 12 AS broken
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+  SELECT event_id, user_id, props, CAST(ts AS DATE) AS date, event_type AS channel, value AS spend,
+    'spend_data_' || strftime(ts, '%Y-%m-%d') || '.json' AS source_file, day(ts) = 13 AS broken
+  FROM events)
 """
 INGEST_DATE = "2024-02-01"
 
@@ -772,31 +773,33 @@ def _ingest(spark, sf_dir):
 
     cfg = _job_config(spark, "x11")
     source = scratch_path(spark, "spend-source")
-    AD.spend_source_files(spark, sf_dir).repartition("file").write.partitionBy("file").text(source)
+    AD.spend_source_files(spark, sf_dir).write.partitionBy("file", "part").text(source)
     ingest_spend(spark, source, cfg, lookback_days=100_000, execution_date=INGEST_DATE)
     return cfg
 
 
 @register("ingest_spend_job", _SOURCE_SQL + f"""
-SELECT date, channel, spend, CAST(l_quantity AS DOUBLE) AS impressions, CAST(l_linenumber AS BIGINT) AS clicks, l_returnflag AS flag, source_file,
+SELECT date, channel, spend, CAST(user_id AS BIGINT) AS impressions, CAST(event_id % 5 AS BIGINT) AS clicks, channel AS kind, props, source_file,
   '{INGEST_DATE}' AS ingestion_date
-FROM el WHERE NOT broken AND l_orderkey % 97 <> 0""")
+FROM el WHERE NOT broken AND event_id % 97 <> 0""")
 def q_ingest_spend_job(spark, sf_dir):
     """Every file ingested into bronze documents; the records
     read back, with fields that no schema of the library names."""
     docs = spark.read.option("recursiveFileLookup", "true").schema("records array<map<string,variant>>").json(_ingest(spark, sf_dir).bronze_spend)
     rec = docs.select(F.explode("records").alias("r"))
     get = lambda k, t: F.element_at("r", k).cast("string").cast(t).alias(k)
-    flag = F.variant_get(F.element_at("r", "flags"), "$.l_returnflag", "string").alias("flag")
-    return rec.select(get("date", "date"), get("channel", "string"), get("spend", "double"), get("impressions", "double"),
-                      get("clicks", "long"), flag, get("source_file", "string"), get("ingestion_date", "string"))
+    flag = lambda k: F.try_variant_get(F.element_at("r", "flags"), f"$.{k}", "string")
+    return rec.select(get("date", "date"), get("channel", "string"), get("spend", "double"), get("impressions", "long"),
+                      get("clicks", "long"), flag("event_type").alias("kind"), flag("props").alias("props"), get("source_file", "string"), get("ingestion_date", "string"))
 
 
-@register("spend_dead_letters", _SOURCE_SQL + """
-SELECT DISTINCT source_file, 'not a JSON array' AS error, CAST(NULL AS BIGINT) AS element, 1 AS n FROM el WHERE broken
-UNION ALL SELECT source_file, 'not a JSON object', l_orderkey, CAST(count(*) AS INTEGER) FROM el WHERE NOT broken AND l_orderkey % 97 = 0 GROUP BY ALL""")
+@register("spend_dead_letters", _SOURCE_SQL + f"""
+SELECT source_file, 'not a JSON array' AS error, CAST(NULL AS BIGINT) AS element,
+  CAST(count(*) FILTER (WHERE event_id % 97 <> 0) + ceil(count(*) / {AD.PART_RECORDS}.0) AS INTEGER) AS n FROM el WHERE broken GROUP BY ALL
+UNION ALL SELECT source_file, 'not a JSON object', event_id, CAST(count(*) AS INTEGER) FROM el WHERE NOT broken AND event_id % 97 = 0 GROUP BY ALL""")
 def q_spend_dead_letters(spark, sf_dir):
-    """Files and records that do not parse, kept with their text."""
+    """Files and records that do not parse, kept with their text: of a broken file a part for
+    each object in it and one for what follows the last, in a day of several files one each."""
     dead = spark.read.schema("source_file string, body string, error string").option("recursiveFileLookup", "true").json(_ingest(spark, sf_dir).spend_dead_letters)
     element = F.when(F.col("error") == "not a JSON object", F.col("body").cast("long"))
     return dead.groupBy("source_file", "error", element.alias("element")).agg(F.count("*").cast("int").alias("n"))
@@ -916,12 +919,132 @@ def q_stream_webhook_intake(spark, sf_dir):
     AD.events_requests(spark, sf_dir).select("body").write.text(f"{base}/requests")
     J.run_to_end(J.webhook_intake(spark, f"{base}/requests", f"{base}/messages", f"{base}/archive", f"{base}/ckpt",
                                   AD.FIXTURE_EVENT_TYPE_CHANNELS, trigger={"availableNow": True}))
-    msgs = spark.read.schema("key string, value string").json(f"{base}/messages")
+    msgs = J.read_messages(spark, f"{base}/messages")
     back = msgs.select("key", parse_json(F.col("value"), schemas.ENRICHED).alias("m"))
     return back.select("key", F.col("m.invitee_data.uri").alias("invitee_uri"), F.col("m.event_type_url").alias("event_type_url"),
                        F.col("m.webhook_event").alias("webhook_event"))
 
 
+@register("message_order", Q.with_ctes(Q.N_MSGS) + """
+SELECT channel AS key, event_id, CAST(row_number() OVER (PARTITION BY channel ORDER BY event_id) AS INTEGER) AS place FROM n_msgs""")
+def q_message_order(spark, sf_dir):
+    """Three request files that arrive one after the other, each a micro-batch; the messages
+    read back, with their place within their channel by the sequence they carry."""
+    from slotflow.functions.nested import parse_json
+    from slotflow.streaming import jobs as J
+
+    base = scratch_path(spark, "s16")
+    requests = AD.events_requests(spark, sf_dir)
+    bounds = requests.agg(F.percentile_approx("event_id", [0.33, 0.66], 1000)).first()[0] or [0, 0]
+    for part in range(3):
+        low, high = ([None, *bounds][part], [*bounds, None][part])
+        own = requests.where((F.lit(low is None) | (F.col("event_id") > F.lit(low))) & (F.lit(high is None) | (F.col("event_id") <= F.lit(high))))
+        own.coalesce(1).sortWithinPartitions("event_id").select("body").write.mode("append").text(f"{base}/requests")
+        J.run_to_end(J.webhook_intake(spark, f"{base}/requests", f"{base}/messages", f"{base}/archive", f"{base}/ckpt",
+                                      AD.FIXTURE_EVENT_TYPE_CHANNELS, trigger={"availableNow": True}, max_files_per_trigger=1))
+    msgs = J.read_messages(spark, f"{base}/messages").select("key", "sequence", parse_json(F.col("value"), SC.ENRICHED)["invitee_data"]["uri"].alias("uri"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy("sequence"))
+    return msgs.select("key", F.regexp_extract("uri", "([0-9]+)$", 1).cast("long").alias("event_id"), place.alias("place"))
+
+
+@register("bronze_bookmark_runs", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE) + f"""
+, b AS (SELECT invitee_uri, CAST(ts AS DATE) AS day, CASE WHEN CAST(ts AS DATE) < DATE '{BOOKMARK_DAY}' THEN 1 ELSE 2 END AS run FROM n_bronze)
+SELECT run, CAST(count(DISTINCT day) AS INTEGER) AS dates, CAST(count(DISTINCT invitee_uri) AS BIGINT) AS bookings,
+  CAST((SELECT count(DISTINCT invitee_uri) FROM b AS every WHERE every.run <= b.run) AS BIGINT) AS in_silver FROM b GROUP BY run
+UNION ALL SELECT 3, 0, 0, (SELECT count(DISTINCT invitee_uri) FROM b)""")
+def q_bronze_bookmark_runs(spark, sf_dir):
+    """Three runs over a growing bronze: the days before a date, then the others,
+    then nothing new. Each run reads only dates that changed since the last."""
+    from slotflow.plans.batch_jobs import bronze_to_silver
+
+    cfg = _job_config(spark, "s23")
+    good = _bronze_n(spark, sf_dir).withColumn("day", F.col("kinesis_arrival_timestamp").cast("timestamp").cast("date"))
+    out = []
+    for run, part in ((1, F.col("day") < BOOKMARK_DAY), (2, F.col("day") >= BOOKMARK_DAY), (3, None)):
+        if part is not None:
+            own = good.where(part).withColumns({"channel": F.col("marketing_channel"), "date": F.col("day").cast("string")}).drop("day")
+            own.hint("rebalance", "channel", "date").write.mode("append").partitionBy("channel", "date").json(cfg.bronze_bookings)
+        done = bronze_to_silver(spark, cfg, multiline=False)
+        out.append((run, done["dates"], done["bookings"], spark.read.parquet(cfg.silver_bookings).count()))
+    return spark.createDataFrame(out, "run int, dates int, bookings long, in_silver long")
+
+
+@register("batch_counters", Q.with_ctes(Q.N_MSGS) + """
+SELECT count(*) FILTER (WHERE NOT poison) AS processed, count(*) FILTER (WHERE poison) AS failed FROM n_msgs""")
+def q_batch_counters(spark, sf_dir):
+    """The counts that the booking stream's micro-batches observed, kept as a table by a
+    listener; over all batches they equal A21."""
+    from slotflow.streaming import counters as CT, jobs as J
+
+    base = scratch_path(spark, "s21")
+    _envelopes(spark, sf_dir).drop("event_id").repartition(4).write.json(f"{base}/in")
+    listener = CT.Counters(spark, f"{base}/counters")
+    spark.streams.addListener(listener)
+    try:
+        query = J.bronze_writer(spark, f"{base}/in", f"{base}/bronze", f"{base}/dead", f"{base}/ckpt", {"availableNow": True}, max_files_per_trigger=2)
+        J.run_to_end(query)
+        listener.wait(query)
+    finally:
+        spark.streams.removeListener(listener)
+    kept = CT.read_counters(spark, f"{base}/counters").where("metric = 'bronze_batch'")
+    total = lambda name: F.coalesce(F.sum(F.when(F.col("name") == name, F.col("value"))), F.lit(0)).alias(name)
+    return kept.agg(total("processed"), total("failed"))
+
+
+@register("stream_from_latest", Q.with_ctes(Q.N_MSGS) + """
+SELECT 'shard-0:' || lpad(CAST(event_id AS VARCHAR), 20, '0') AS sequence_number FROM n_msgs WHERE NOT poison AND event_id % 2 = 1""")
+def q_stream_from_latest(spark, sf_dir):
+    """T5: a stream that starts at the latest record: files there before its first start are left
+    out unread, files that come later are read."""
+    from slotflow.streaming import jobs as J
+
+    base = scratch_path(spark, "t5")
+    env = _envelopes(spark, sf_dir)
+    for part in (0, 1):
+        env.where(F.col("event_id") % 2 == part).drop("event_id").write.mode("append").json(f"{base}/in")
+        J.run_to_end(J.bronze_writer(spark, f"{base}/in", f"{base}/bronze", f"{base}/dead", f"{base}/ckpt", {"availableNow": True}, start="latest"))
+    return _read_bronze(spark, f"{base}/bronze").select(F.col("kinesis_sequence_number").alias("sequence_number"))
+
+
+@register("discovered_tables", Q.with_ctes(Q.O_BOOKINGS) + """
+SELECT booking_year, marketing_channel, count(*) AS bookings, count(*) FILTER (WHERE booking_year % 2 = 1) AS with_note,
+  'booking_date,booking_year,invitee_uri,marketing_channel,note' AS columns FROM o_bookings GROUP BY booking_year, marketing_channel""")
+def q_discovered_tables(spark, sf_dir):
+    """A folder of Parquet partitions of which some have a column more, found and registered:
+    its columns over all partitions, and its partitions read through the catalog."""
+    from slotflow.sources import tables as TB
+
+    base = scratch_path(spark, "s12")
+    rows = silver_o(spark, sf_dir).select("invitee_uri", "booking_date", "booking_year", "marketing_channel")
+    for odd, part in ((0, rows), (1, rows.withColumn("note", F.concat(F.lit("n"), "invitee_uri")))):
+        part.where(F.col("booking_year") % 2 == odd).hint("rebalance", "booking_year", "marketing_channel") \
+            .write.mode("append").partitionBy("booking_year", "marketing_channel").parquet(f"{base}/found")
+    db = "slotflow_found_" + base.rsplit("-", 1)[-1]
+    if not TB.discover_tables(spark, db, base).get("found"):
+        raise RuntimeError("the table was not registered")
+    table = spark.table(f"`{db}`.found")
+    return table.groupBy("booking_year", "marketing_channel").agg(
+        F.count("*").alias("bookings"), F.count("note").alias("with_note"), F.lit(",".join(sorted(table.columns))).alias("columns"))
+
+
+@register("compacted_bronze", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE) + """
+SELECT strftime(ts, '%Y-%m-%d') AS date, marketing_channel AS channel, count(invitee_uri) AS total_bookings FROM n_bronze GROUP BY ALL""")
+def q_compacted_bronze(spark, sf_dir):
+    """Bronze days in micro-batch folders, compacted, with a batch that comes after that
+    and a compaction that died before it had removed what it replaced: every row counts once."""
+    from slotflow.sources import readers as RD
+    from slotflow.streaming import jobs as J
+
+    bronze, dead = (scratch_path(spark, f"s14-{n}") for n in ("bronze", "dead"))
+    env = tag_decode_errors(_envelopes(spark, sf_dir))
+    for batch in range(4):
+        J.write_bronze_batch(env.where(F.col("event_id") % 4 == batch).drop("event_id"), bronze, dead, batch)
+        if batch in (1, 2):  # in batch 2 the days are compacted, but nothing is removed
+            J.compact_bronze(spark, bronze, "*", remove=batch == 1)
+    return RD.read_bronze_bookings(spark, bronze, multiline=False).groupBy(F.col("date_part").alias("date"), F.col("channel_part").alias("channel")).agg(
+        F.count("invitee_uri").alias("total_bookings"))
+
+
 @register("meeting_load_nested", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE, Q.N_SILVER) + """
 , n_meet AS (SELECT host_email, host_name, scheduled_event_start_time AS start_time FROM n_silver)""" + Q.meeting_load_sql("n_meet"))
 def q_meeting_load_nested(spark, sf_dir):

@@ -15,12 +15,17 @@ PIPELINE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Listings of thousands of folders (days x channels) go in so many tasks, not one for each.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     # Streaming state (redelivery dedup: a day of keys; live counts) lives in RocksDB on the
     # executors' local disks with changelog checkpoints, not on the JVM heap.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Defaults of Spark that answer for settings nobody made.
+UNSET = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": "10000"}
+
 
 def build_session(app_name: str = "slotflow", cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the benchmark (a cluster passes its own session in)."""
@@ -44,7 +49,7 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in PIPELINE_DEFAULTS.items():
         if key == "spark.sql.session.timeZone":
             spark.conf.set(key, value)
-        elif spark.conf.get(key, None) is None:
+        elif spark.conf.get(key, None) is None or (key in UNSET and spark.conf.get(key) == UNSET[key]):
             spark.conf.set(key, value)
     return spark
 

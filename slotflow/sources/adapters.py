@@ -12,13 +12,14 @@ N: ``events`` -> nested webhook documents / stream envelopes (JSON text, base64)
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from slotflow.functions.nested import encode_base64_text
 from slotflow.operators.ordering import ensure_parallelism
 
 # Fixture values of adapter N: the event types on the allow-list and their channels.
 FIXTURE_EVENT_TYPE_CHANNELS = {"purchase": "search_ads", "signup": "social_ads", "view": "video_ads"}
+PART_RECORDS = 1000  # elements of a spend source file; a day has as many files as it needs
 ISO_MICROS_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -118,22 +119,27 @@ def lineitem_meetings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spend_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spend source files as (file, value): one JSON array dated the first of each ship month, an
-    element per line item with fields that no metric reads. The spend of third lines is quoted, elements of orders
-    divisible by 97 are bare numbers, and files of Decembers lack their closing bracket."""
-    li = read_table(spark, sf_dir, "lineitem")
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    j = ensure_parallelism(li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner"))
-    day = F.date_format(F.trunc("l_shipdate", "month"), "yyyy-MM-dd")
-    spend = F.col("l_extendedprice") * F.col("l_discount")
-    rest = [day.alias("date"), F.col("o_orderpriority").alias("channel"), F.col("l_quantity").alias("impressions"),
-            F.col("l_linenumber").alias("clicks"), F.struct("l_returnflag", "l_linestatus").alias("flags")]
-    record = F.when(F.col("l_linenumber") == 3, F.to_json(F.struct(spend.cast("string").alias("spend"), *rest))).otherwise(
-        F.to_json(F.struct(spend.alias("spend"), *rest)))
-    element = F.when(F.col("l_orderkey") % 97 == 0, F.col("l_orderkey").cast("string")).otherwise(record)
-    files = j.select(day.alias("day"), element.alias("element")).groupBy("day").agg(F.array_join(F.collect_list("element"), ",").alias("items"))
-    end = F.when(F.col("day").endswith("-12-01"), F.lit("")).otherwise(F.lit("]"))
-    return files.select(F.concat(F.lit("spend_data_"), "day", F.lit(".json")).alias("file"), F.concat(F.lit("["), "items", end).alias("value"))
+    """Spend source files as lines (file, part, value), in order: for each day of the events JSON
+    arrays of at most ``PART_RECORDS`` elements, one per event, with fields that no metric reads. The
+    spend of a seventh of the events is quoted, elements of events divisible by 97 are bare numbers,
+    and the files of each month's 13th lack their closing bracket. No file is ever one value."""
+    ev = read_table(spark, sf_dir, "events")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    rest = [day.alias("date"), F.col("event_type").alias("channel"), F.col("user_id").alias("impressions"),
+            (F.col("event_id") % 5).alias("clicks"), F.struct("event_type", "props").alias("flags")]
+    record = F.when(F.col("event_id") % 7 == 3, F.to_json(F.struct(F.col("value").cast("string").alias("spend"), *rest))).otherwise(
+        F.to_json(F.struct(F.col("value").alias("spend"), *rest)))
+    element = F.when(F.col("event_id") % 97 == 0, F.col("event_id").cast("string")).otherwise(record)
+    in_day = Window.partitionBy("day").orderBy("event_id")
+    lines = ev.select(day.alias("day"), "event_id", element.alias("element")).withColumns(
+        {"at": F.row_number().over(in_day) - 1, "more": F.lead("day").over(in_day).isNotNull()})
+    first, last = F.col("at") % PART_RECORDS == 0, ~F.col("more") | (F.col("at") % PART_RECORDS == PART_RECORDS - 1)
+    end = F.when(last & ~F.col("day").endswith("-13"), "]").otherwise("")
+    lines = lines.withColumns({
+        "file": F.concat(F.lit("spend_data_"), "day", F.lit(".json")), "part": F.floor(F.col("at") / PART_RECORDS).cast("int"),
+        "value": F.concat(F.when(first, "[").otherwise(","), "element", end),
+    })
+    return lines.sortWithinPartitions("file", "part", "at").select("file", "part", "value")
 
 
 # ---------------------------------------------------------------- adapter N (nested webhooks)

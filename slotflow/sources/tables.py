@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from slotflow import schemas
 from slotflow.functions.columns import all_not_null
-from slotflow.operators.upsert import merge_versions
+from slotflow.operators.upsert import held_keys, merge_versions
 from slotflow.operators.windows import dedup_latest
 from slotflow.sources.staging import drop_staged, stage
 
@@ -101,11 +101,12 @@ def upsert_table(
     versions that tie, the batch's wins. Without it the batch (unique by key) wins.
 
     Only partitions the batch touches are rewritten: those of its rows, and those that hold old
-    versions of its keys (found by a scan of the table's key and partition columns, joined to the
-    batch's keys). They are read by their folders, merged, staged in the checkpoint folder (a path
-    being read cannot be overwritten) and written back with dynamic partition overwrite; touched
-    partitions left without rows are removed. The lists of touched partitions are partition
-    metadata, which a scan of them holds on the driver anyway.
+    versions of its keys (found by a scan of the table's key and partition columns, which a Bloom
+    filter of the batch's keys thins before it is joined to them). They are read by their folders,
+    merged, staged in the checkpoint folder (a path being read cannot be overwritten) and written
+    back with dynamic partition overwrite; touched partitions left without rows are removed. The
+    lists of touched partitions are partition metadata, which a scan of them holds on the driver
+    anyway; which of their folders exist is looked up in one listing.
 
     ``partitions_follow_keys``: the partition values are a function of the key (spend: (date,
     channel) -> (year, month, channel)), so old versions live in the batch's partitions and the
@@ -130,11 +131,12 @@ def upsert_table(
     homes = src.select(*partition_cols)
     if not partitions_follow_keys:
         table = spark.read.schema(schema).parquet(path)
-        old = table.select(*keys, *partition_cols).join(src.select(*keys), keys, "left_semi")
+        old = held_keys(table.select(*keys, *partition_cols), src, keys, rows)
         homes = homes.unionByName(old.select(*partition_cols))
     touched = homes.distinct().collect()
-    folders = [_partition_folder(spark, path, partition_cols, row) for row in touched]
-    there = [f for f in folders if path_exists(spark, f)]
+    folders = [_partition_folder(spark, partition_cols, row) for row in touched]
+    listed = _partition_folders(spark, path, partition_cols)
+    there = [f"{path.rstrip('/')}/{f}" for f in folders if f in listed]
     old = spark.read.schema(schema).option("basePath", path).parquet(*there) if there else spark.createDataFrame([], schema)
     merged = stage(merge_versions(old, src, keys, order), "upsert-merged")
     write_schema(spark, path, schema)
@@ -146,8 +148,8 @@ def upsert_table(
         .partitionBy(*partition_cols)
         .parquet(path)
     )
-    filled = {_partition_folder(spark, path, partition_cols, r) for r in merged.select(*partition_cols).distinct().collect()}
-    for folder in set(there) - filled:
+    filled = {_partition_folder(spark, partition_cols, r) for r in merged.select(*partition_cols).distinct().collect()}
+    for folder in set(there) - {f"{path.rstrip('/')}/{f}" for f in filled}:
         fs, p = _fs_path(spark, folder)
         fs.delete(p, True)
     for staged in (merged, src):
@@ -155,10 +157,17 @@ def upsert_table(
     return {"rows": rows, "partitions_rewritten": len(touched)}
 
 
-def _partition_folder(spark: SparkSession, path: str, partition_cols: list[str], row) -> str:
-    """The folder of a partition, with Spark's own escaping of its values."""
+def _partition_folder(spark: SparkSession, partition_cols: list[str], row) -> str:
+    """The folder of a partition within its table, with Spark's own escaping of its values."""
     name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    return "/".join([path.rstrip("/"), *[name(c, None if row[c] is None else str(row[c])) for c in partition_cols]])
+    return "/".join(name(c, None if row[c] is None else str(row[c])) for c in partition_cols)
+
+
+def _partition_folders(spark: SparkSession, path: str, partition_cols: list[str]) -> set[str]:
+    """All partition folders of a table, relative to it, from one listing."""
+    fs, p = _fs_path(spark, path)
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "/".join(f"{c}=*" for c in partition_cols))) or []
+    return {"/".join(st.getPath().toString().split("/")[-len(partition_cols):]) for st in found}
 
 
 def write_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -206,19 +215,20 @@ def write_gold(df: DataFrame, root: str, name: str) -> str:
 
 
 def register_table(spark: SparkSession, db: str, name: str, path: str, fmt: str = "parquet") -> bool:
-    """Idempotent registration of a table over a location. A table whose columns differ
-    from its files (a column added by an upsert) is registered anew; partitions written since
+    """Idempotent registration of a table over a location. Columns that its files gained
+    (by an upsert) are added to the table, which is never gone meanwhile; partitions written since
     the last run are recovered. A failure is a warning."""
     full = f"`{db}`.`{name}`"
     try:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-        schema = read_schema(spark, path) if fmt == "parquet" else spark.read.format(fmt).load(path).schema
-        if spark.catalog.tableExists(f"{db}.{name}") and set(spark.table(full).columns) != set(schema.fieldNames()):
-            spark.sql(f"DROP TABLE {full}")  # external: the files stay
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        schema = found_schema(spark, path, fmt)
         partitions = _partition_columns(spark, path)
+        columns = lambda names: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name in names)
         by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partitions)})" if partitions else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING {fmt}{by} LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({columns(schema.fieldNames())}) USING {fmt}{by} LOCATION '{path}'")
+        new = [n for n in schema.fieldNames() if n not in spark.table(full).columns]
+        if new:
+            spark.sql(f"ALTER TABLE {full} ADD COLUMNS ({columns(new)})")
         if partitions:
             spark.sql(f"MSCK REPAIR TABLE {full}")
         spark.sql(f"REFRESH TABLE {full}")
@@ -228,16 +238,21 @@ def register_table(spark: SparkSession, db: str, name: str, path: str, fmt: str
         return False
 
 
+def found_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> T.StructType:
+    """The schema of a table's files: the kept one, else the union over all partitions, whose
+    footers (or JSON documents) Spark reads in a job."""
+    if fmt != "parquet":
+        return spark.read.format(fmt).load(path).schema
+    if path_exists(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}"):
+        return read_schema(spark, path)
+    return spark.read.option("mergeSchema", "true").parquet(path).schema
+
+
 def _partition_columns(spark: SparkSession, path: str) -> list[str]:
-    """Names of a table's partition levels, from its folders (one per level is looked at)."""
-    fs, p = _fs_path(spark, path)
-    names = []
-    while p is not None:
-        below = [st.getPath() for st in fs.listStatus(p) if st.isDirectory() and "=" in st.getPath().getName()]
-        p = below[0] if below else None
-        if p is not None:
-            names.append(p.getName().split("=", 1)[0])
-    return names
+    """Names of a table's partition levels, as Spark finds them over all its folders (folders that
+    disagree are an error); files are listed, not read."""
+    own = {"path", "modificationTime", "length", "content"}
+    return [c for c in spark.read.format("binaryFile").load(path).columns if c not in own]
 
 
 def discover_tables(spark: SparkSession, db: str, root: str, fmt: str = "parquet") -> dict[str, bool]:

@@ -8,9 +8,7 @@ checkpoint folder, so a restarted or retried job resumes where it stopped.
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from slotflow import schemas
@@ -39,6 +37,28 @@ def webhook_archive(requests: DataFrame, event_type_channels: dict[str, str]) ->
     )
 
 
+def write_messages(requests: DataFrame, messages_dir: str, event_type_channels: dict[str, str], batch_id: int) -> None:
+    """S16, one micro-batch: keyed messages with their ``sequence`` (batch, arrival of the request's
+    file, its name, place in it), written range-split and sorted by (key, sequence): the files of a
+    batch, in the order of their names, hold each channel's messages in the order in which they
+    came, and a channel with a third of all messages is written by several tasks. A batch that runs
+    again rewrites its own folder."""
+    order = F.struct(F.lit(batch_id).cast("long").alias("batch"), "arrived", "file", "block", F.monotonically_increasing_id().alias("place"))
+    placed = requests.select("body", order.alias("sequence"))
+    messages = enriched_to_message(process_webhooks(placed, event_type_channels, keep=["sequence"]), keep=["sequence"])
+    messages = stage(messages, "messages")  # the range split looks at the rows twice
+    width = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = messages.repartitionByRange(width, "key", "sequence").sortWithinPartitions("key", "sequence")
+    ordered.write.mode("overwrite").json(f"{messages_dir.rstrip('/')}/batch={batch_id}")
+    drop_staged(messages)
+
+
+def read_messages(spark: SparkSession, messages_dir: str) -> DataFrame:
+    """S16 read back: (key, sequence, value); within a key, ``sequence`` is the order of arrival."""
+    schema = "key string, sequence struct<batch:long,arrived:timestamp,file:string,block:long,place:long>, value string"
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(messages_dir)
+
+
 def webhook_intake(
     spark: SparkSession,
     requests_dir: str,
@@ -47,18 +67,24 @@ def webhook_intake(
     checkpoint: str,
     event_type_channels: dict[str, str],
     trigger: dict | None = None,
+    max_files_per_trigger: int = 100,
 ) -> list[StreamingQuery]:
-    """Request bodies (one JSON text per line) -> enriched, keyed messages (S16), plus the
-    audit archive (S15). Both sinks are file sinks with their own checkpoints: exactly-once
-    output."""
-    raw = spark.readStream.option("maxFilesPerTrigger", 100).text(requests_dir).withColumnRenamed("value", "body")
-    messages = enriched_to_message(process_webhooks(raw, event_type_channels))
+    """Request bodies (one JSON text per line) -> enriched, keyed messages in the order of each
+    key (S16), plus the audit archive (S15). Both outputs are exactly-once, each with its own
+    checkpoint."""
+    text = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(requests_dir)
+    raw = text.select(
+        F.col("value").alias("body"), F.col("_metadata.file_modification_time").alias("arrived"),
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+    )
     q1 = _start(
-        messages.writeStream.format("json").option("path", messages_dir).option("checkpointLocation", f"{checkpoint}/messages"),
+        raw.writeStream.option("checkpointLocation", f"{checkpoint}/messages").foreachBatch(
+            lambda df, batch_id: write_messages(df, messages_dir, event_type_channels, batch_id)
+        ),
         trigger,
     )
     q2 = _start(
-        webhook_archive(raw, event_type_channels).writeStream.format("json")
+        webhook_archive(raw.select("body"), event_type_channels).writeStream.format("json")
         .partitionBy("event", "received_date")
         .option("path", archive_dir)
         .option("checkpointLocation", f"{checkpoint}/archive"),
@@ -116,34 +142,60 @@ def write_bronze_batch(tagged: DataFrame, bronze_dir: str, dead_letter_dir: str,
         tagged.unpersist()
 
 
-def compact_bronze(spark: SparkSession, bronze_dir: str, date: str) -> int:
-    """S14 upkeep: rewrites a past day's micro-batch folders as one folder per channel
-    (``batch=-1``), then removes the others. Returns the number of folders removed. A job that
-    dies in between leaves rows twice, which the silver upsert and the live counts count once."""
+def compact_bronze(spark: SparkSession, bronze_dir: str, date: str, remove: bool = True) -> int:
+    """S14 upkeep: rewrites a past day's (or each day's that matches a pattern) micro-batch folders
+    as one folder for each channel, the day's next generation (``batch=upto-<n>``: all rows of
+    batches up to n), in one job, then removes the folders they replace. Returns the number of
+    folders removed. A generation counts once it has its ``_SUCCESS``, and
+    ``readers.read_bronze_bookings`` reads the highest that counts and the batches behind it: a job
+    that dies anywhere leaves every row readable exactly once, and the next run finishes its work.
+    Without ``remove`` what is replaced stays for a later run."""
     fs, root = tables._fs_path(spark, bronze_dir)
-    removed = 0
-    for status in fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"channel=*/date={date}")) or []:
-        day = status.getPath()
-        old = [st.getPath() for st in fs.listStatus(day) if st.getPath().getName().startswith("batch=") and st.getPath().getName() != "batch=-1"]
-        if not old:
-            continue
-        parts = [st.getPath().toString() for st in fs.listStatus(day) if st.getPath().getName().startswith("batch=")]
-        rows = stage(spark.read.schema(schemas.BRONZE_BOOKING).json(parts), "compact")
-        rows.hint("rebalance").write.mode("overwrite").json(f"{day.toString()}/batch=-1")
-        drop_staged(rows)
-        for path in old:
-            fs.delete(path, True)
-        removed += len(old)
-    return removed
-
-
-def _first_start(spark: SparkSession, checkpoint: str) -> str:
-    """The time of a stream's first start, kept next to its checkpoint."""
-    fs, p = tables._fs_path(spark, f"{checkpoint.rstrip('/')}_started")
-    if not fs.exists(p):
-        now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        spark.range(1).select(F.lit(now).alias("value")).write.mode("overwrite").text(p.toString())
-    return spark.read.text(p.toString()).first()[0]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    plain = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    done = readers.complete_generations(spark, bronze_dir)
+    days: dict[tuple[str, str, str], list[str]] = {}
+    for st in fs.globStatus(path(root, f"channel=*/date={date}/batch=*")) or []:
+        day, _, name = st.getPath().toString().rpartition("/batch=")
+        channel, on = (plain(part.split("=", 1)[1]) for part in day.split("/")[-2:])
+        days.setdefault((channel, on, day), []).append(name)
+    number = lambda name: int(name.removeprefix(readers.GENERATION))
+    parts, targets, stale = [], [], []
+    for (channel, on, day), names in days.items():
+        upto = done.get((channel, on))
+        fresh = [n for n in names if not n.startswith(readers.GENERATION) and (upto is None or int(n) > upto)]
+        if fresh:
+            kept = fresh + ([f"{readers.GENERATION}{upto}"] if upto is not None else [])
+            parts += [f"{day}/batch={n}" for n in kept]
+            upto = max(map(number, fresh))
+            targets.append((channel, on, f"{readers.GENERATION}{upto}", day))
+        stale += [f"{day}/batch={n}" for n in names if upto is not None and n != f"{readers.GENERATION}{upto}"]
+    if targets:
+        keys = [T.StructField(n, T.StringType()) for n in ("channel", "date", "batch")]
+        rows = spark.read.schema(T.StructType([*schemas.BRONZE_BOOKING.fields, *keys])).option("basePath", bronze_dir).json(parts).drop("batch")
+        names = spark.createDataFrame([t[:3] for t in targets], "channel string, date string, batch string")
+        (
+            rows.join(names, ["channel", "date"]).hint("rebalance", "channel", "date", "batch")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("channel", "date", "batch").json(bronze_dir)
+        )
+        for _, _, name, day in targets:
+            fs.create(path(f"{day}/batch={name}/_SUCCESS"), True).close()
+    for folder in stale if remove else ():
+        fs.delete(path(folder), True)
+    return len(stale) if remove else 0
+
+
+def _skip_backlog(env: DataFrame, checkpoint: str) -> None:
+    """T5: at the first start, enters the files there are into the stream's log without reading
+    them: a run to the end of the same query behind a condition on the files' own times that no
+    file meets, so that its scan lists no file."""
+    spark = env.sparkSession
+    marker = f"{checkpoint.rstrip('/')}_latest"
+    if not tables.path_exists(spark, marker):
+        none = F.col("_metadata.file_modification_time") < F.lit("1900-01-01").cast("timestamp")
+        run_to_end(_decoded(env.where(none), checkpoint, lambda df, batch_id: df.foreach(lambda row: None), {"availableNow": True}))
+        fs, p = tables._fs_path(spark, marker)
+        fs.mkdirs(p)
 
 
 def bronze_writer(
@@ -161,9 +213,11 @@ def bronze_writer(
     recorded timestamp, so a replay sees the same rows). Upstream redeliveries carry the same
     sequence number and are dropped by T4; the event id derived from it is deterministic, and
     the silver upsert on invitee_uri is idempotent. ``start`` is "earliest" (every file there
-    is) or "latest" (files from the stream's first start on, T5)."""
-    after = _first_start(spark, checkpoint) if start == "latest" else None
-    env = readers.read_booking_stream(spark, envelopes_dir, max_files_per_trigger, start_after=after)
+    is) or "latest" (files that come after the stream's first start; the others are listed, not
+    read, T5)."""
+    if start == "latest":
+        _skip_backlog(readers.read_booking_stream(spark, envelopes_dir, None), checkpoint)
+    env = readers.read_booking_stream(spark, envelopes_dir, max_files_per_trigger)
     return start_bronze_writer(env, bronze_dir, dead_letter_dir, checkpoint, trigger)
 
 
@@ -178,20 +232,19 @@ def start_bronze_writer(
     partition_key, arrival_ts`` (for example a Kafka or Kinesis stream where the connector is
     installed: ``value`` cast to string as ``data``, ``offset``/``sequenceNumber`` as
     ``sequence_number``, ``key`` as ``partition_key``, ``timestamp`` as ``arrival_ts``)."""
-    env = dedup_redeliveries(envelopes)
+    return _decoded(envelopes, checkpoint, lambda df, batch_id: write_bronze_batch(df, bronze_dir, dead_letter_dir, batch_id), trigger)
+
+
+def _decoded(envelopes: DataFrame, checkpoint: str, write, trigger: dict | None) -> StreamingQuery:
+    """The stream of T2: redeliveries dropped, envelopes decoded, each batch given to ``write``."""
     # Processed and failed counts of every micro-batch, reported in the query's
     # progress (``observedMetrics["bronze_batch"]``) without a second job.
-    tagged = tag_decode_errors(env).observe(
+    tagged = tag_decode_errors(dedup_redeliveries(envelopes)).observe(
         "bronze_batch",
         F.count(F.when(F.col("error").isNull(), F.lit(1))).alias("processed"),
         F.count(F.when(F.col("error").isNotNull(), F.lit(1))).alias("failed"),
     )
-    return _start(
-        tagged.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-            lambda df, batch_id: write_bronze_batch(df, bronze_dir, dead_letter_dir, batch_id)
-        ),
-        trigger,
-    )
+    return _start(tagged.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), trigger)
 
 
 # ---------------------------------------------------------------- T6, S23
@@ -258,25 +311,29 @@ def spend_to_silver_incremental(
 
 
 # ---------------------------------------------------------------- T7
-def count_batch(spark: SparkSession, batch: DataFrame, batch_id: int, counts_path: str) -> None:
-    """One micro-batch of T7: its bookings (day, channel, id) are appended under their day, and
-    the cells of the touched days are counted anew over distinct ids. Nothing depends on the order
-    of arrival, and a record or a batch delivered again changes nothing."""
+def booking_ids(bronze: DataFrame) -> DataFrame:
+    """(date, channel, id) of bronze records with an appointment and an id."""
     day = F.col("scheduled_event_start_time").try_cast("timestamp").cast("date")
-    rows = batch.select(
-        day.cast("string").alias("day"), F.col("marketing_channel").alias("channel"),
-        F.coalesce("event_id", "invitee_uri").alias("id"),
-    ).where("day IS NOT NULL AND id IS NOT NULL").distinct()
-    rows = stage(rows.withColumn("batch", F.lit(batch_id)), "live-ids")
-    days = [r["day"] for r in rows.select("day").distinct().collect()]  # calendar days
-    if days:
-        ids = f"{counts_path.rstrip('/')}_ids"
-        rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(ids)
-        seen = spark.read.schema("channel string, id string, day string, batch long").parquet(ids).where(F.col("day").isin(days))
-        cells = seen.groupBy("day", "channel").agg(F.countDistinct("id").alias("total_bookings"))
-        counts = cells.select(F.col("day").cast("date").alias("date"), "channel", "total_bookings", F.year("day").alias("year"))
+    ids = bronze.select(day.alias("date"), F.col("marketing_channel").alias("channel"), F.coalesce("event_id", "invitee_uri").alias("id"))
+    return ids.where("date IS NOT NULL AND channel IS NOT NULL AND id IS NOT NULL")
+
+
+def count_batch(spark: SparkSession, new_ids: DataFrame, batch_id: int, counts_path: str) -> None:
+    """One micro-batch of T7: adds its bookings, each one new to the stream's state, to their cells
+    (day, channel). A cell keeps its last batch and its count before that, so that a batch that
+    runs again (same offsets and state, so the same rows) starts from the same count."""
+    added = stage(new_ids.groupBy("date", "channel").agg(F.count("*").alias("added")), "live-added")
+    years = [r["year"] for r in added.select(F.year("date").alias("year")).distinct().collect()]  # calendar years
+    if years:
+        cell = {"date": "date", "channel": "string", "total_bookings": "bigint", "before": "bigint", "batch": "bigint", "year": "int"}
+        base = F.when(F.col("batch") == batch_id, F.col("before")).otherwise(F.col("total_bookings"))
+        old = readers.read_silver(spark, counts_path, cell).where(F.col("year").isin(years)).select("date", "channel", base.alias("base"))
+        before = F.coalesce("base", F.lit(0).cast("long"))
+        counts = added.join(old, ["date", "channel"], "left").select(
+            "date", "channel", (before + F.col("added")).alias("total_bookings"), before.alias("before"),
+            F.lit(batch_id).cast("long").alias("batch"), F.year("date").alias("year"))
         tables.upsert_table(spark, counts_path, counts, ["date", "channel"], ["year"], partitions_follow_keys=True)
-    drop_staged(rows)
+    drop_staged(added)
 
 
 def live_daily_counts(
@@ -288,8 +345,11 @@ def live_daily_counts(
     max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
     """Bookings per (day, channel) over a stream of bronze records, in a keyed table that
-    always equals the batch count (A3) of what has arrived. There is no watermark: appointments
-    lie in any order and any distance ahead."""
+    always equals the batch count (A3) of what has arrived. The bookings counted are the stream's
+    keyed state (RocksDB, partitioned by key, a fixed number of versions kept), the table has a
+    folder a year that each batch rewrites: the number of files does not grow with the batches.
+    There is no watermark: appointments lie in any order and any distance ahead. The table belongs
+    to the checkpoint; a new checkpoint needs a new table."""
     bronze = (
         spark.readStream.schema(schemas.BRONZE_BOOKING)
         .option("recursiveFileLookup", "true")
@@ -297,8 +357,9 @@ def live_daily_counts(
         .option("maxFileAge", readers.NO_AGE_LIMIT)
         .json(bronze_dir)
     )
+    new_ids = booking_ids(bronze).dropDuplicates(["date", "channel", "id"])
     return _start(
-        bronze.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        new_ids.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
             lambda df, batch_id: count_batch(spark, df, batch_id, counts_path)
         ),
         trigger,

@@ -14,7 +14,8 @@ def _plan(df) -> str:
 
 
 # queries that run jobs or streams over files while they are built: their plans are reads of files
-JOBS = ("bronze_to_silver", "silver_to_gold", "ingest_spend", "spend_dead", "stream_", "webhook_archive", "upsert_bookings_table", "upsert_spend_table")
+JOBS = ("bronze_to_silver", "silver_to_gold", "ingest_spend", "spend_dead", "stream_", "webhook_archive", "upsert_bookings_table", "upsert_spend_table",
+        "message_order", "bronze_bookmark", "batch_counters", "discovered_tables", "compacted_bronze")
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(JOBS) or n == "stream_messages"))
@@ -31,6 +32,30 @@ def test_scan_is_pruned_and_filter_pushed(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
 
 
+@pytest.mark.parametrize("name", ["flatten_booking", "clean_bookings_nested", "dead_letters", "meeting_load_nested", "batch_outcome"])
+def test_json_is_parsed_once_per_row(spark, name):
+    """The webhook's text and the message's text: one parse each, however many fields are read."""
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2, plan.count("from_json(")
+    assert len(plan) < 100_000
+
+
+def test_spend_records_do_not_carry_their_file(spark, tmp_path):
+    """Above the splitter nothing is as large as a file: no generator carries an array along, and
+    each record is parsed once."""
+    from slotflow.sources import readers
+
+    (tmp_path / "spend_data_2024-01-01.json").write_text('[{"a": 1}]')
+    rows = readers.read_spend_files(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        if "Generate explode" in line:
+            carried = line.split("), [", 1)[1].split("]")[0]
+            assert not {c.split("#")[0].strip() for c in carried.split(",")} & {"text", "read", "parts", "value"}, line
+    optimized = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("map<string,variant>") or optimized.count("from_json(") <= 2
+
+
 def test_dedup_has_partial_group_limit(spark):
     li = AD.read_table(spark, SF_SMALL, "lineitem")
     df = dedup_latest(li, ["l_orderkey", "l_linenumber"], latest_first("l_shipdate", ["l_partkey"]))
