@@ -16,28 +16,28 @@ sys.path.insert(0, ROOT)
 # ID -> (implementation, checked by)
 MAP = {
     "S1": ("sources.readers.read_bronze_bookings (partition discovery, date pruning)", "bronze_to_silver_job; test_bronze_dates_prune_folders"),
-    "S2": ("sources.readers.read_bronze_spend / spend_records (one pass)", "bronze_to_silver_spend; tests/test_batch_jobs.py"),
+    "S2": ("sources.readers.read_bronze_spend (by date) / spend_records; sources.bookmarks", "bronze_to_silver_spend, bronze_bookmark_runs; test_bookmark_reads_changed_dates_only"),
     "S3": ("sources.readers.read_silver (kept schema, no footers)", "silver_to_gold_cost_per_booking, upsert_bookings_table"),
     "S4": ("sources.tables.write_silver_bookings / write_partitioned (REBALANCE)", "silver_to_gold_job; test_hot_partition_is_written_by_several_tasks"),
     "S5": ("sources.tables.write_silver_spend", "silver_to_gold_job"),
-    "S6": ("operators.upsert.merge_versions; sources.tables.upsert_table", "upsert_bookings_table, upsert_bookings; test_upsert_after_other_writes_and_null_partitions"),
+    "S6": ("operators.upsert.merge_versions / held_keys; sources.tables.upsert_table", "upsert_bookings_table, upsert_bookings; test_upsert_after_other_writes_and_null_partitions, test_key_filter_thins_the_table_above_its_scan"),
     "S7": ("merge_versions; upsert_table(partitions_follow_keys=True)", "upsert_spend_table, upsert_spend"),
     "S8": ("sources.tables.table_exists", "upsert_bookings_table, upsert_spend_table"),
     "S9": ("merge_versions; tables.write_schema / read_schema", "upsert_bookings_table, upsert_spend_table; test_upsert_adds_a_column"),
     "S10": ("sources.tables.write_gold", "silver_to_gold_daily_bookings_by_source, silver_to_gold_cost_per_booking, silver_to_gold_bookings_trend, silver_to_gold_channel_attribution, silver_to_gold_booking_time_analysis, silver_to_gold_employee_meeting_load"),
     "S11": ("sources.tables.register_table", "test_bronze_to_silver_to_gold"),
-    "S12": ("sources.tables.discover_tables / register_table (columns and partitions brought up to date)", "test_bronze_to_silver_to_gold"),
+    "S12": ("sources.tables.discover_tables / register_table / found_schema (columns and partitions over all folders)", "discovered_tables; test_registered_table_gains_columns_in_place"),
     "S13": ("sources.readers.read_booking_stream (no age limit); streaming.jobs.start_bronze_writer", "stream_bronze_bookings; test_files_of_any_age_are_read_and_latest_starts_later"),
-    "S14": ("streaming.jobs.write_bronze_batch (channel=/date= of arrival/batch=) / compact_bronze", "stream_bronze_bookings; test_replayed_bronze_batch_is_written_once, test_compaction_keeps_rows"),
+    "S14": ("streaming.jobs.write_bronze_batch (channel=/date= of arrival/batch=) / compact_bronze (generations); readers.read_bronze_bookings", "stream_bronze_bookings, compacted_bronze; test_compaction_that_dies_leaves_every_row_once"),
     "S15": ("streaming.jobs.webhook_archive (tracked webhooks only)", "webhook_archive"),
-    "S16": ("plans.webhooks.enriched_to_message", "stream_messages, stream_webhook_intake"),
-    "S17": ("sources.readers.read_spend_files / spend_file_paths; plans.batch_jobs.ingest_spend", "ingest_spend_job; test_ingest_spend_and_run_log, test_ingest_spend_uses_file_index"),
+    "S16": ("plans.webhooks.enriched_to_message; streaming.jobs.write_messages / read_messages", "stream_messages, stream_webhook_intake, message_order; test_messages_are_ordered_files"),
+    "S17": ("sources.jsonarrays.array_elements; sources.readers.read_spend_files / spend_file_paths; plans.batch_jobs.ingest_spend", "ingest_spend_job; test_files_against_json_loads, test_memory_is_a_records_not_a_files"),
     "S18": ("sources.tables.write_bronze_spend (every source field, idempotent)", "ingest_spend_job, bronze_to_silver_spend"),
     "S19": ("read_spend_files (files and records apart), dead letters with counts; readers' _corrupt_record", "spend_dead_letters; test_ingest_spend_without_files_and_backfill_date"),
     "S20": ("sources.tables.record_run / read_runs", "test_ingest_spend_and_run_log"),
-    "S21": ("plans.batch_jobs.with_metrics (Observation); upsert Observation; stream observe('bronze_batch')", "test_redelivery_dedup_and_dead_letters, test_bronze_to_silver_to_gold"),
+    "S21": ("streaming.counters.Counters (listener table); plans.batch_jobs.with_metrics (Observation); stream observe('bronze_batch')", "batch_counters; test_counters_count_a_batch_once"),
     "S22": ("plans.readmodels.run_sql / read_model", "v_* queries; test_default_channel_sort_and_sql"),
-    "S23": ("streaming.jobs.bronze_to_silver_incremental; batch_jobs.bronze_to_silver_incremental", "test_incremental_silver_only_new_files, test_incremental_bronze_to_silver_reads_new_files_only"),
+    "S23": ("sources.bookmarks.Bookmark; batch_jobs.bronze_to_silver; streaming.jobs.bronze_to_silver_incremental", "bronze_bookmark_runs; test_bookmark_reads_changed_dates_only, test_incremental_silver_only_new_files"),
     "P1": ("functions.columns.safe_col / conform", "clean_bookings, clean_spend; test_unwrap_body_shapes"),
     "P2": ("operators.projections.project_bookings", "clean_bookings, clean_bookings_nested"),
     "P3": ("operators.projections.sanitize_columns", "sanitize_columns"),
@@ -130,12 +130,12 @@ MAP = {
     "T2": ("streaming.jobs.bronze_writer / start_bronze_writer / write_bronze_batch", "stream_bronze_bookings"),
     "T3": ("decode_payload / tag_decode_errors; dead-letter sink", "dead_letters, batch_outcome, stream_bronze_bookings"),
     "T4": ("streaming.jobs.dedup_redeliveries (processing-time watermark)", "stream_bronze_bookings; test_redelivery_dedup_and_dead_letters"),
-    "T5": ("read_booking_stream(maxFilesPerTrigger, latestFirst, start_after); bronze_writer(start='latest'); DEDUP_DELAY", "stream_bronze_bookings; test_files_of_any_age_are_read_and_latest_starts_later"),
+    "T5": ("read_booking_stream(maxFilesPerTrigger, latestFirst); bronze_writer(start='latest') over _skip_backlog; DEDUP_DELAY", "stream_from_latest, stream_bronze_bookings; test_latest_lists_old_files_and_does_not_read_them"),
     "T6": ("streaming.jobs.bronze_to_silver_incremental / spend_to_silver_incremental (newest version wins)", "test_incremental_silver_only_new_files"),
-    "T7": ("streaming.jobs.count_batch / live_daily_counts (touched days recounted, no watermark)", "stream_daily_counts; test_daily_counts_are_complete"),
+    "T7": ("streaming.jobs.count_batch / live_daily_counts (keyed state, no watermark)", "stream_daily_counts; test_live_counts_leave_few_files, test_daily_counts_are_complete"),
     "X1": ("plans.normalize.clean_bookings (+ projections.unify_booking_shapes, Q11)", "clean_bookings, clean_bookings_nested, clean_bookings_nested_docs; test_bronze_accepts_flat_and_nested_bookings"),
     "X2": ("plans.normalize.clean_spend", "clean_spend"),
-    "X3": ("plans.batch_jobs.bronze_to_silver / bronze_to_silver_incremental", "bronze_to_silver_job, bronze_to_silver_spend; test_bronze_to_silver_to_gold"),
+    "X3": ("plans.batch_jobs.bronze_to_silver (bookmark) / bronze_to_silver_incremental", "bronze_to_silver_job, bronze_to_silver_spend, bronze_bookmark_runs"),
     "X4": ("plans.metrics.daily_bookings_by_source", "daily_bookings_by_source, silver_to_gold_daily_bookings_by_source"),
     "X5": ("plans.metrics.cost_per_booking", "cost_per_booking, silver_to_gold_cost_per_booking"),
     "X6": ("plans.metrics.bookings_trend", "bookings_trend, silver_to_gold_bookings_trend"),
