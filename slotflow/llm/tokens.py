@@ -7,86 +7,25 @@ holds are left out, the rest is encoded and appended to the cache, and the count
 the documents by digest. Encoding a digest twice (a task run again, two jobs at once) does no
 harm: the cache may repeat a row, readers take one.
 
-A byte-level BPE file is encoded with the library that is fastest for it: its vocabulary, in
-merge order, and its pattern define the same tokens. Where the file is not of that plain kind
-the general library is used. Special tokens in a text count as one token each, as the general
-library does by default. Repeated rows each get their result.
+Digests that hold more than a share of all rows (``4 * shuffle partitions`` of them at most, so a
+table that may be broadcast) are joined apart, so that no task gets all copies of one text.
+
+Special tokens in a text count as one token each, as the library does by default. Repeated rows
+each get their result.
 """
 
 from __future__ import annotations
 
 import hashlib
-import json
-import re
-from collections.abc import Callable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotflow.llm.common import slices
+from slotflow.llm.common import shuffle_width, slices, stage
+from slotflow.llm.encoding import encoder
 
 CONTEXT = 1024
-# Fixed value: the pattern that splits texts before byte-level merges.
-_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
-
-def _bytes_by_letter() -> dict[str, int]:
-    """The letter that stands for each byte in byte-level vocabularies: itself if printable,
-    else the next one from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
-def _plain_ranks(spec: dict) -> dict[bytes, int] | None:
-    """Vocabulary as ranks if the file is byte-level BPE in merge order and nothing more."""
-    model, before = spec["model"], spec.get("pre_tokenizer") or {}
-    plain = model.get("type") == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
-    if not plain or spec.get("normalizer") or model.get("dropout") or model.get("ignore_merges"):
-        return None
-    special = {t["content"] for t in spec.get("added_tokens", [])}
-    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or not t.get("special") for t in spec.get("added_tokens", [])):
-        return None
-    letters = _bytes_by_letter()
-    vocab = {w: i for w, i in model["vocab"].items() if w not in special}
-    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-    if any(vocab.get(a + b) != 256 + k for k, (a, b) in enumerate(merges)) or len(vocab) != 256 + len(merges):
-        return None
-    return {bytes(letters[c] for c in word): i for word, i in vocab.items()}
-
-
-@lru_cache(maxsize=2)
-def counter(path: str) -> Callable[[str], int]:
-    """A function that counts the tokens of a text, for the file of a tokenizer."""
-    if path.endswith(".model"):
-        import sentencepiece
-
-        pieces = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda text: len(pieces.encode(text))
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    ranks = _plain_ranks(spec)
-    if ranks is None:
-        import tokenizers
-
-        general = tokenizers.Tokenizer.from_file(path)
-        general.no_truncation()
-        general.no_padding()
-        return lambda text: len(general.encode(text, add_special_tokens=False).ids)
-    import tiktoken
-
-    encode = tiktoken.Encoding("plain", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    special = [t["content"] for t in spec.get("added_tokens", [])]
-    split = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-
-    def count(text: str) -> int:
-        if split is None or not any(s in text for s in special):
-            return len(encode(text))
-        parts = split.split(text)
-        return sum(len(encode(p)) for p in parts) + len(parts) - 1
-
-    return count
 
 
 def version_of(path: str) -> str:
@@ -95,7 +34,7 @@ def version_of(path: str) -> str:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    count = counter(path)
+    count = encoder(path).count
     for part in slices(batches):
         yield pa.RecordBatch.from_arrays([part.column("digest"), pa.array([count(t) for t in part.column("text").to_pylist()], pa.int64())], ["digest", "n_tokens"])
 
@@ -114,14 +53,23 @@ def count_tokens(docs: DataFrame, path: str, cache: str) -> DataFrame:
     spark, version = docs.sparkSession, version_of(path)
     text = F.coalesce("text", F.lit(""))
     known = read_cache(spark, cache).where(F.col("version") == version).select("digest", "n_tokens")
+    rows = stage(docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("digest")), "digests")
     distinct = docs.select(F.sha2(text, 256).alias("digest"), text.alias("text")).groupBy("digest").agg(F.first("text").alias("text"))
     misses = distinct.join(known.select("digest"), "digest", "left_anti")
     counted = misses.mapInArrow(lambda it: _encode(it, path), "digest string, n_tokens long")
     counted.withColumn("version", F.lit(version)).write.mode("append").parquet(cache)
     # listed anew: the frame above keeps the files it saw
     counts = read_cache(spark, cache).where(F.col("version") == version).dropDuplicates(["digest"]).select("digest", "n_tokens")
-    rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("digest"))
-    return rows.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
+    return _join(rows, counts)
+
+
+def _join(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """The counts of all rows, those of frequent digests by broadcast."""
+    share = max(2, rows.count() // (4 * shuffle_width(rows.sparkSession)))
+    hot = rows.groupBy("digest").agg(F.count("*").alias("n")).where(F.col("n") > share).select("digest")
+    marked = rows.join(F.broadcast(hot.join(counts, "digest")), "digest", "left")
+    rest = marked.where("n_tokens IS NULL").drop("n_tokens").join(counts, "digest")
+    return marked.where("n_tokens IS NOT NULL").unionByName(rest).select("doc_id", "n_bytes", "n_tokens")
 
 
 def report(docs: DataFrame, path: str, cache: str) -> DataFrame:

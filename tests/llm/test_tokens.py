@@ -6,7 +6,7 @@ import public_tokenizers
 import sentencepiece
 import tokenizers
 
-from slotflow.llm import tokens
+from slotflow.llm import encoding, tokens
 from slotflow.session import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,20 +23,45 @@ def test_counts_on_odd_texts():
     planes = [(32, 127), (128, 0x24F), (0x300, 0x52F), (0x600, 0x9FF), (0x2000, 0x206F), (0x3040, 0x30FF), (0x4E00, 0x4F00), (0x1F300, 0x1F6FF), (9, 14)]
     for _ in range(1500):
         texts.append("".join(chr(rng.randint(*rng.choice(planes))) for _ in range(rng.randint(1, 80))))
-    count = tokens.counter(PATH)
+    count = encoding.encoder(PATH).count
     assert [count(t) for t in texts] == library(texts)
 
 
-def test_every_code_point_is_split_alike():
-    count = tokens.counter(PATH)
+def test_code_points_of_all_scripts_are_split_alike():
+    count = encoding.encoder(PATH).count
     texts = []
-    for low in range(0, 0x110000, 64):
+    for low in [*range(0, 0x20000, 64), *range(0xE0000, 0xE0200, 64)]:
         points = [chr(c) for c in range(low, low + 64) if not 0xD800 <= c < 0xE000]
         texts.append("".join(f"a{c}b {c}1{c} " for c in points))
     got, want = [count(t) for t in texts], library(texts)
     assert [i for i in range(len(texts)) if got[i] != want[i]] == []
 
 
+def test_long_runs_through_the_query(spark):
+    """10^6 of each white-space character, of a letter and of a digit, as the library counts them."""
+    runs = [c * 1_000_000 for c in " \t\n\r\x0b\x0c\x85\xa0\u2028\u3000"] + ["a" * 1_000_000, "7" * 1_000_000, "ab " * 700_000, " \n" * 600_000 + "x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(runs)], "doc_id long, text string")
+    cache = scratch_path(spark, "cache")
+    tokens.create_cache(spark, cache)
+    got = {r.doc_id: r.n_tokens for r in tokens.report(df, PATH, cache).collect()}
+    assert [got[i] for i in range(len(runs))] == library(runs)
+
+
+def test_frequent_digests(spark):
+    rows = [(i, "the same text" if i % 3 else f"text {i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    cache = scratch_path(spark, "cache")
+    tokens.create_cache(spark, cache)
+    got = {r.doc_id: r.n_tokens for r in tokens.report(df, PATH, cache).collect()}
+    assert got == dict(zip(range(400), library([t for _, t in rows])))
+
+
+def test_special_tokens_between_runs_of_spaces():
+    texts = ["a  <|endoftext|>  b", "  <|endoftext|>", "<|endoftext|>\n\n b   "]
+    count = encoding.encoder(PATH).count
+    assert [count(t) for t in texts] == library(texts)
+
+
 def test_documents_and_cache(spark):
     rows = [(1, "hello world"), (2, "hello world"), (2, "hello world"), (3, None), (4, ""), (5, "other " * 1100), (None, "é")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -65,4 +90,4 @@ def test_general_file(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     t = tokenizers.Tokenizer.from_file(path)
     t.no_truncation()
-    assert [tokens.counter(path)(x) for x in ("Hello World", "")] == [len(t.encode(x, add_special_tokens=False).ids) for x in ("Hello World", "")]
+    assert [encoding.encoder(path).count(x) for x in ("Hello World", "")] == [len(t.encode(x, add_special_tokens=False).ids) for x in ("Hello World", "")]
