@@ -24,7 +24,8 @@ The Jaccard distance is a metric, and a link needs a distance of at most e = 1 -
    component are compared, in blocks, with the sets of other components in their window.
 
 Equal sets count once throughout (one representative moves, found by a 128-bit digest of the
-set). Within a slice of the scan, documents of one region are reduced to links to the smallest,
+set). Within a slice of the scan, and again in each task where regions meet, sets that
+share regions are joined on the spot: each gives one link, to the smallest that it reaches there,
 so that a hot region costs a row for each slice. Null or empty texts have no shingles and link
 with nothing; a null doc_id gets a null component. Repeated rows get equal results.
 """
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from slotflow.llm.common import buckets_of, shuffle_width, slices, stage, text_bytes
-from slotflow.llm.graph import components
+from slotflow.llm.graph import components, smallest_reached
 from slotflow.llm.hashing import chain, find_words, hash_words, mix
 
 MAX_REGION = 2000
@@ -99,15 +100,19 @@ def regions_of(row: np.ndarray, value: np.ndarray, percent: int) -> tuple[np.nda
     return np.concatenate(out_row), np.concatenate(out_key)
 
 
+def digest_of(row: np.ndarray, value: np.ndarray, n_rows: int, salt: int) -> np.ndarray:
+    """A 64-bit digest of each row's set."""
+    n = np.bincount(row, minlength=n_rows)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(value + np.uint64(salt)), dtype=np.uint64)))
+    ends = np.cumsum(n)
+    return (total[ends] - total[ends - n]).view(np.int64)
+
+
 def _digests(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         row, value = shingle_sets(*text_bytes(part.column("text")), size)
         n = np.bincount(row, minlength=part.num_rows)
-        sums = []
-        for salt in (11, 13):
-            total = np.concatenate(([0], np.cumsum(mix(value + np.uint64(salt)), dtype=np.uint64)))
-            ends = np.cumsum(n)
-            sums.append((total[ends] - total[ends - n]).view(np.int64))
+        sums = [digest_of(row, value, part.num_rows, salt) for salt in (11, 13)]
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), pa.array(sums[0]), pa.array(sums[1])], ["doc_id", "n_shingles", "d1", "d2"])
 
 
@@ -117,31 +122,36 @@ def set_digests(docs: DataFrame, size: int) -> DataFrame:
 
 
 # ------------------------------------------------------------------ candidate regions
-def _edges(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Index of the smallest document of each key, and the distinct links (document, smallest)."""
-    order = np.lexsort((doc, key))
-    head = np.concatenate(([True], key[order][1:] != key[order][:-1]))[: len(key)]
-    lead = order[np.flatnonzero(head)]
-    pairs = np.stack((doc[order], doc[lead[np.cumsum(head) - 1]]), 1) if len(key) else np.zeros((0, 2), np.int64)
-    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-    if len(pairs):
-        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-        pairs = pairs[np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(1)))]
-    return lead, pairs[:, 0], pairs[:, 1]
+def _edges(key: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Members that share a key, directly or over others, are one: for each key the smallest member
+    that its members reach, and a link to that from each other member, once."""
+    order = np.lexsort((member, key))
+    key, member = key[order], member[order]
+    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[: len(key)])
+    least = member[head]
+    nodes, root = smallest_reached(member, np.repeat(least, np.diff(np.concatenate((head, [len(key)])))))
+    child = nodes != root
+    return key[head], root[np.searchsorted(nodes, least)], nodes[child], root[child]
 
 
 def _scan(batches: Iterator[pa.RecordBatch], size: int, percent: int, n_buckets: int, reduce: bool = True) -> Iterator[pa.RecordBatch]:
+    """Regions and their members by bucket. ``reduce``: members are digests of sets, so that copies
+    are one, and of a region only the smallest leaves a slice, besides links to it."""
     for part in slices(batches):
-        ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-        row, key = regions_of(*shingle_sets(*text_bytes(part.column("text")), size), percent)
+        sets = shingle_sets(*text_bytes(part.column("text")), size)
+        ids = digest_of(*sets, part.num_rows, 11) if reduce else part.column("doc_id").to_numpy(zero_copy_only=False)
+        row, key = regions_of(*sets, percent)
         if not len(row):
             continue
-        lead, a, b = _edges(key, ids[row]) if reduce else (np.arange(len(key)), (), ())
+        doc = ids[row]
+        if reduce:
+            key, doc, a, b = _edges(key, doc)
+        else:
+            a = b = ()
         buckets, blocks = [], []
         if len(a):
             buckets.append(-1 - int(a[0]) % n_buckets)
             blocks.append(np.stack((a, b), 1).astype("<i8").tobytes())
-        key, doc = key[lead], ids[row[lead]]
         bucket = buckets_of(key, n_buckets)
         order = np.lexsort((doc, bucket))
         cut = np.flatnonzero(np.concatenate(([True], np.diff(bucket[order]) != 0, [True])))
@@ -160,7 +170,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             halves = [np.frombuffer(b, "<u8") for b in blocks]
             key = np.concatenate([h[: len(h) // 2] for h in halves])
             doc = np.concatenate([np.cumsum(h[len(h) // 2 :].view("<i8")) for h in halves])
-            _, a, b = _edges(key, doc)
+            _, _, a, b = _edges(key, doc)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=_EDGE)
 
     for batch in batches:
@@ -306,8 +316,9 @@ def checked_edges(docs: DataFrame, reps: DataFrame, size: int, percent: int) ->
 
 
 def candidate_edges(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): links from documents to the smallest document of a region that they share.
-    Documents that are linked are joined by a path of these."""
+    """(a, b): links from sets (their digests ``d1``) to the smallest set of a region that they
+    share. Sets that are linked are joined by a path of these; two sets of one digest count as one
+    node here, which only makes a region larger."""
     width = shuffle_width(docs.sparkSession)
     n_buckets = 4 * width
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
@@ -499,14 +510,16 @@ def near_components(docs: DataFrame, size: int = 5, percent: int = 80, max_regio
     width = shuffle_width(docs.sparkSession)
     sets = stage(set_digests(docs, size), "sets")
     same = ["n_shingles", "d1", "d2"]
-    classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    classes = stage(classes, "classes")
     if smallest_difference(percent) >= SURE:
-        regions = components(candidate_edges(docs, size, percent))
+        regions = components(candidate_edges(docs, size, percent)).withColumnRenamed("node", "d1").join(classes.select("d1", "rep"), "d1")
     else:
-        regions = components(checked_edges(docs, classes.select(F.col("rep").alias("doc_id")), size, percent))
-    members = regions.join(classes.select(F.col("rep").alias("node")), "node", "left_semi")
-    counts = members.groupBy("root").agg(F.count("*").alias("n_region")).where("n_region > 1")
-    members = stage(members.join(counts, "root").select(F.col("node").alias("doc_id"), F.col("root").alias("region"), "n_region"), "members")
+        reps = classes.select(F.col("rep").alias("doc_id"))
+        regions = components(checked_edges(docs, reps, size, percent)).withColumnRenamed("node", "rep").join(classes.select("rep"), "rep", "left_semi")
+    members = regions.select(F.col("rep").alias("doc_id"), F.col("root").alias("region"))
+    counts = members.groupBy("region").agg(F.count("*").alias("n_region")).where("n_region > 1")
+    members = stage(members.join(counts, "region").select("doc_id", "region", "n_region"), "members")
     texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").join(members.hint("merge"), "doc_id")
     small = texts.where(F.col("n_region") <= max_region).repartition(width, "region").sortWithinPartitions("region", "doc_id")
     links = small.select("region", "doc_id", "text").mapInArrow(lambda it: _join(it, size, percent), "a long, b long")
@@ -514,8 +527,18 @@ def near_components(docs: DataFrame, size: int = 5, percent: int = 80, max_regio
         large = _large_regions(texts.where(F.col("n_region") > max_region), size, percent, max_region)
         links = links.unionByName(components(large).where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = links.select(F.col("a").alias("rep"), F.col("b").alias("linked"))
-    found = sets.join(classes, same, "left").join(links, "rep", "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("linked", "rep", "doc_id").alias("component_id"))
+    found = stage(classes.join(links, "rep", "left").select(*same, "copies", F.coalesce("linked", "rep").alias("component")), "components")
+    return _to_documents(sets, found, same).select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+def _to_documents(sets: DataFrame, found: DataFrame, same: list[str]) -> DataFrame:
+    """``sets`` with the component of their class. Classes with more than a share of all rows (at
+    most ``4 * width`` of them) are broadcast, so that no task gets all copies of a text."""
+    share = max(2, sets.count() // (4 * shuffle_width(sets.sparkSession)))
+    hot = found.where(F.col("copies") > share).select(*same, F.col("component").alias("hot"))
+    marked = sets.join(F.broadcast(hot), same, "left")
+    rest = marked.where("hot IS NULL").drop("hot").join(found.where(F.col("copies") <= share).drop("copies"), same, "left")
+    return marked.where("hot IS NOT NULL").withColumnRenamed("hot", "component").unionByName(rest)
 
 
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

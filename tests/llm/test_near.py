@@ -6,6 +6,7 @@ import re
 import pytest
 
 from slotflow.llm import near
+from slotflow.llm.graph import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -136,3 +137,43 @@ def test_documents_that_share_a_passage_are_not_chained(spark):
     edges = {(r.a, r.b) for r in near.checked_edges(df, reps, 5, 80).distinct().collect()}
     assert edges == {(100, 0), (101, 5)}
     assert dict(run(spark, rows, 5, 80)) == brute(rows, 5, 80)
+
+
+def plain_components(edges):
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = root(a), root(b)
+        parent[max(x, y)] = min(x, y)
+    return {x: root(x) for x in parent}
+
+
+@pytest.mark.parametrize("kind", ["random", "chain", "hub", "wide"])
+def test_components_against_union_find(spark, monkeypatch, kind):
+    """A long chain, a hub that holds most edges, 64-bit ids of either sign; self loops, repeats."""
+    rng = random.Random(kind)
+    edges = {
+        "random": [(rng.randrange(300), rng.randrange(300)) for _ in range(280)],
+        "chain": [(i, i + 1) for i in range(400)],
+        "hub": [(0, i) for i in range(1, 1500)] + [(5000, i) for i in range(1400, 1600)] + [(-3, 0)],
+        "wide": [(rng.randrange(-200, 200) * 2**55, rng.randrange(-200, 200) * 2**55) for _ in range(200)],
+    }[kind] + [(7, 7), (9999, 9999)]
+    df = spark.createDataFrame(edges + edges[:20] + [(None, 4), (4, None)], "a long, b long").repartition(5)
+    got = components(df).collect()
+    assert len({r.node for r in got}) == len(got)
+    assert {r.node: r.root for r in got} == plain_components(edges)
+    assert components(df.limit(0)).collect() == []
+
+
+def test_frequent_sets_and_null_ids(spark):
+    """Two thirds of all rows are copies of two texts; null ids get no component."""
+    rows = [(i, f"{'x' if i % 3 else 'y'} b c d e f g") for i in range(600)] + [(None, "x b c d e f g"), (None, None), (700, ""), (701, None)]
+    got = near.near_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == {i: (1 if i % 3 else 0) for i in range(600)} | {700: 700, 701: 701}
+    assert [r.component_id for r in got if r.doc_id is None] == [None, None] and len(got) == len(rows)
