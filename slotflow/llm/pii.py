@@ -5,11 +5,15 @@ documents, over the whole corpus, n(t) hold the term t clear, n(c) an entity of
 both, wherever they stand, and N is all. They give the share of the kind's information that the
 term discloses:
 
-    log2(n(t, c) N / (n(t) n(c))) / log2(N / n(c))      (PMI(t; c) / IC(c), 1 at most)
-
-A term that at least ``SUPPORT`` documents have together with c is generalised (to a mark naming
-the kind) where that share reaches ``GENERALISE``, and removed where it reaches ``REMOVE``: at
-all its clear places in all documents, those without an entity too. Counting is a word count:
+    log2(p(c | t) N / n(c)) / log2(N / n(c))      (PMI(t; c) / IC(c), 1 at most)
+
+p(c | t) is the lower end of Wilson's interval (``Z`` standard deviations) of (n(t, c) - 1) among
+(n(t) - 1): a document is no evidence against itself, and few documents leave doubt. So there is
+no least count, and a term is judged alike in a small and in a large table. It is generalised (to
+a mark naming the kind) where its share reaches ``GENERALISE``, and removed where it reaches
+``REMOVE``: at all its clear places in all documents, those without an entity too. Where the kind
+is in one document of 6, that takes 10 documents that all have it, of 100 four, of 3000 two.
+Counting is a word count:
 distinct terms of each document, summed in each task before the shuffle. Places are joined to the
 terms; a bitmap of fixed size leaves out most places of other terms before that join.
 
@@ -30,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from slotflow.llm.common import slices, stage
 
-SUPPORT = 20
+Z = 1.96
 GENERALISE, REMOVE = 0.8, 0.95
 # Fixed values of the result's contract: the kinds in their order.
 KINDS = ("email", "ip", "card", "phone")
@@ -135,7 +139,13 @@ def scan(docs: DataFrame) -> DataFrame:
     return stage(summed.where((F.col("term") == "") | (F.greatest(*_COUNTS[1:]) > 0)), "pii-counts")
 
 
-def disclosing_terms(docs: DataFrame, scanned: DataFrame | None = None, support: int = SUPPORT) -> DataFrame:
+def lower_bound(hits: F.Column, tries: F.Column, z: float) -> F.Column:
+    """The lower end of Wilson's interval of a share."""
+    p, spread = hits / tries, z * z / tries
+    return (p + spread / 2 - F.sqrt(spread * (p * (1 - p) + spread / 4))) / (1 + spread)
+
+
+def disclosing_terms(docs: DataFrame, scanned: DataFrame | None = None, z: float = Z) -> DataFrame:
     """(kind, term, disclosure, action) of the terms that reach a threshold; ``scanned`` is the
     scan of ``docs``, if there is one."""
     scanned = scan(docs) if scanned is None else scanned
@@ -143,8 +153,8 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame | None = None, support:
     n = F.lit(totals["n"] if totals else 0)
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"n_{k}").alias("n_tc"), F.lit(totals[f"n_{k}"] if totals else 0).alias("n_c")) for k in KINDS])
     pairs = scanned.where("term <> ''").select("term", F.col("n").alias("n_t"), F.explode(kinds).alias("x")).select("term", "n_t", "x.*")
-    counted = pairs.where((F.col("n_tc") >= support) & (F.col("n_tc") > 0) & (F.col("n_c") < n))
-    share = F.log2(F.col("n_tc") * n / (F.col("n_t") * F.col("n_c"))) / F.log2(n / F.col("n_c"))
+    counted = pairs.where((F.col("n_tc") > 1) & (F.col("n_c") < n))
+    share = F.log2(lower_bound(F.col("n_tc") - 1, F.col("n_t") - 1, z) * n / F.col("n_c")) / F.log2(n / F.col("n_c"))
     told = counted.withColumn("disclosure", share).where(F.col("disclosure") >= GENERALISE)
     return told.select("kind", "term", "disclosure", F.when(F.col("disclosure") >= REMOVE, "removed").otherwise("generalised").alias("action"))
 
@@ -190,12 +200,12 @@ def _ordered(spans) -> F.Column:
     return F.transform(keyed, lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.end.alias("end")))
 
 
-def spans(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
+def spans(docs: DataFrame, z: float = Z) -> DataFrame:
     """(doc_id, key, base, spans) of every row: the pattern spans, and those with the added: one
     for each clear place of a disclosing term, of kind term-<kind> (generalised) or cut-<kind>
     (removed), of several kinds the first in order."""
     name = F.concat(F.when(F.col("action") == "removed", "cut-").otherwise("term-"), "kind")
-    terms = stage(disclosing_terms(docs, support=support).groupBy("term").agg(F.min(name).alias("kind")), "pii-terms")
+    terms = stage(disclosing_terms(docs, z=z).groupBy("term").agg(F.min(name).alias("kind")), "pii-terms")
     rows = locate(docs, terms)
     held = rows.select("row_id", F.explode(F.array_distinct("places.term")).alias("term"))
     own = held.join(terms, "term").groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("own"))
@@ -205,9 +215,9 @@ def spans(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     return joined.select("doc_id", "key", "base", _ordered(F.concat("base", more)).alias("spans"))
 
 
-def report(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
+def report(docs: DataFrame, z: float = Z) -> DataFrame:
     """The contract's columns of every row."""
-    found = spans(docs, support)
+    found = spans(docs, z)
     kinds = found.select("doc_id", "base", "spans", F.col("base.kind").alias("kinds"))
     counts = [(F.size("kinds") - F.size(F.array_remove("kinds", k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return kinds.select("doc_id", *counts, F.sha2(_written("base"), 256).alias("base_sha256"), _written("spans").alias("spans"))
@@ -234,9 +244,9 @@ def _sanitise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else part.column(c) for c in names], names)
 
 
-def sanitise(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
+def sanitise(docs: DataFrame, z: float = Z) -> DataFrame:
     """``docs`` with its texts cleaned and n_chars, where there, counted anew."""
-    found = spans(docs, support).where(F.size("spans") > 0).groupBy(F.col("doc_id").alias("pii_doc"), F.col("key").alias("pii_key")).agg(F.first("spans").alias("pii_spans"))
+    found = spans(docs, z).where(F.size("spans") > 0).groupBy(F.col("doc_id").alias("pii_doc"), F.col("key").alias("pii_key")).agg(F.first("spans").alias("pii_spans"))
     on = F.col("doc_id").eqNullSafe(F.col("pii_doc")) & (F.xxhash64("text") == F.col("pii_key"))
     cleaned = docs.join(found.hint("merge"), on, "left").mapInArrow(_sanitise, docs.schema)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cleaned

@@ -5,6 +5,8 @@ import math
 import random
 import re
 
+import pytest
+
 from slotflow.llm import pii
 
 PATTERNS = {
@@ -74,10 +76,38 @@ def test_report_and_disclosing_terms(spark):
 def test_disclosure_values(spark):
     df = documents(spark)
     told = {(r.kind, r.term): r for r in pii.disclosing_terms(df, pii.scan(df)).collect()}
-    assert list(told) == [("phone", "dial")] and abs(told[("phone", "dial")].disclosure - 1) < 1e-12
+    n, n_c = df.count(), 61
+    assert list(told) == [("phone", "dial")] and abs(told[("phone", "dial")].disclosure - disclosure(61, 61, n_c, n)) < 1e-12
     assert told[("phone", "dial")].action == "removed"
 
 
+def disclosure(n_tc, n_t, n_c, n, z=1.96):
+    m, k = n_t - 1, n_tc - 1
+    p = k / m
+    low = (p + z * z / (2 * m) - z * math.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+    return math.log2(low * n / n_c) / math.log2(n / n_c)
+
+
+@pytest.mark.parametrize("scale", [1, 20])
+def test_a_small_table_is_judged_like_a_large_one(spark, scale):
+    """60 documents, a phone in ten of them, always with one name: the name goes. A name that is in
+    one document only stays, and so does a word that half of its documents have without a phone."""
+    rows = [(i, f"ask martha at +1 555 010 {2000 + i % 900} about plan{i}{' soon' if i % 2 else ''}") for i in range(10 * scale)]
+    rows += [(i, f"the plan{i} is out{' soon' if i % 10 == 0 else ''}") for i in range(10 * scale, 60 * scale)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert not [t for t in got.values() if "martha" in t]
+    assert all(f"plan{i}" in got[i] for i in range(60 * scale)) and sum("soon" in t for t in got.values()) == 10 * scale
+    told = {r.term: r.disclosure for r in pii.disclosing_terms(df).collect()}
+    assert abs(told["martha"] - disclosure(10 * scale, 10 * scale, 10 * scale, 60 * scale)) < 1e-12
+
+
+def test_rare_kinds_need_two_documents(spark):
+    rows = [(0, "call jane or rex +1 555 010 2000"), (1, "jane says +1 555 010 2001")] + [(i, "nothing to call or says here") for i in range(2, 9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.term for r in pii.disclosing_terms(df).collect()} == {"jane"}
+
+
 def test_sanitise(spark):
     df = documents(spark)
     got = {(r.doc_id, r.key): r.text for r in pii.sanitise(df).collect()}
@@ -105,12 +135,12 @@ def test_terms_go_at_all_their_places(spark):
     df = far(spark)
     told = {(r.kind, r.term): r for r in pii.disclosing_terms(df, pii.scan(df)).collect()}
     assert set(told) == {("phone", "badge"), ("phone", "ward")}
-    want = math.log2(60 * 2000 / (71 * 60)) / math.log2(2000 / 60)
+    want = disclosure(60, 71, 60, 2000)
     assert abs(told["phone", "badge"].disclosure - want) < 1e-12
     got = {r.doc_id: r.text for r in pii.sanitise(df.repartition(3)).collect()}
     assert len(got) == 2000 and not [t for t in got.values() if "badge" in t.lower() or "ward" in t]
-    assert got[0] == " one two three four five six [PHONE] one two three four " and got[65] == ", call five five five; "
-    assert got[70] == "write  [EMAIL] now" and got[100] == "one two three four five six call now write"
+    assert got[0] == "[PHONE] one two three four five six [PHONE] one two three four [PHONE]" and got[65] == "[PHONE], call five five five; [PHONE]"
+    assert got[70] == "write [PHONE] [EMAIL] now" and got[100] == "one two three four five six call now write"
 
 
 def test_terms_inside_entities_neither_count_nor_go(spark):

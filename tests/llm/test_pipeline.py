@@ -1,6 +1,7 @@
 """The pipeline against plain versions of its stages."""
 
 import random
+import re
 
 import public_tokenizers
 import sentencepiece
@@ -20,7 +21,7 @@ def corpus():
     for i in range(160):
         words = rng.choices(vocab, k=rng.randint(40, 140))
         if i % 9 == 0:
-            words[3] = f"{rng.choice(vocab)}@mail.example.com"
+            words[3:5] = [f"{rng.choice(vocab)}@mail.example.com", "patient"]  # a term that goes with its kind
         if i % 13 == 0:
             words = [w + "#" for w in words]
         rows.append([i, " ".join(words)])
@@ -49,8 +50,12 @@ def test_stages(spark):
         elif name == "near_copies":
             assert {r.doc_id for r in got} == {c for _, c in brute(list(before.items()), 5, 80).values()} != set(before)
         elif name == "personal_data":
-            want = {d: pii.clean_text(t, [{"kind": pii.KINDS[k], "start": s, "end": e} for s, k, e in pii.find(t)]) for d, t in before.items()}
+            spans = {d: [{"kind": pii.KINDS[k], "start": s, "end": e} for s, k, e in pii.find(t)] for d, t in before.items()}
+            for d, t in before.items():
+                spans[d] += [{"kind": "term-email", "start": m.start(), "end": m.end()} for m in re.finditer(r"\bpatient\b", t)]
+            want = {d: pii.clean_text(t, spans[d]) for d, t in before.items()}
             assert {r.doc_id: r.text for r in got} == want != before and all(r.n_chars == len(r.text) for r in got)
+            assert any("patient" in t for t in before.values()) and not any("patient" in r.text for r in got)
         elif name == "mix":
             assert {r.doc_id: r.text for r in got}.items() <= before.items()
             assert 0 < sum(len(r.text.split()) for r in got) <= 0.8 * sum(len(t.split()) for t in before.values())
