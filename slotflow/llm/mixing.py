@@ -32,6 +32,7 @@ SOURCES: dict[str, int] = {}
 SHARE = 80  # budget: percent of the corpus's tokens
 EPOCHS = 2
 SEED = 17
+SMALL = 100_000
 LEAF = ["domain", "lang", "source"]
 
 
@@ -90,16 +91,18 @@ def budgets(leaf_rows: DataFrame, share: int, epochs: int, domains: dict, langua
 
 
 def select(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
-    """Adds ``copies`` to the rows that some epoch takes."""
+    """Adds ``copies`` to the rows that some epoch takes. Tables with a row a leaf are broadcast up
+    to ``SMALL`` leaves, so that no task gets a leaf's rows; beyond that they are joined by leaf."""
+    side = F.broadcast if plan.count() <= SMALL else lambda df: df
     plan = plan.withColumn("whole", F.expr("alloc div greatest(tokens, 1)")).withColumn("rest", F.expr("alloc % greatest(tokens, 1)"))
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    dealt = rows.join(plan.select(*LEAF, "whole", "rest"), LEAF)
+    dealt = rows.join(side(plan.select(*LEAF, "whole", "rest")), LEAF)
     dealt = dealt.withColumn("at", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), doc).cast("binary")))
     dealt = stage(dealt.withColumn("bucket", F.substring("at", 1, 3)), "dealt")
     sums = dealt.groupBy(*LEAF, "rest", "bucket").agg(F.sum("n_tokens").alias("n"))
     after = sums.withColumn("after", F.sum("n").over(Window.partitionBy(*LEAF).orderBy("bucket")))
     ends = after.where("after > rest").groupBy(*LEAF).agg(F.min(F.struct("bucket", (F.col("after") - F.col("n")).alias("before"))).alias("end"))
-    dealt = dealt.join(ends, LEAF, "left")
+    dealt = dealt.join(side(ends), LEAF, "left")
     inside = dealt.where("rest > 0 AND (end IS NULL OR bucket < end.bucket)").withColumn("extra", F.lit(1))
     order = Window.partitionBy(*LEAF).orderBy("at", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
     edge = dealt.where("rest > 0 AND bucket = end.bucket").withColumn("sum", F.sum("n_tokens").over(order) + F.col("end.before"))
