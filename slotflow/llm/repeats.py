@@ -11,8 +11,9 @@ its anchor, so that equal windows always meet at equal anchors.
 
 Windows are dealt by anchor, in packed blocks: a run of windows with one anchor carries its name
 once, and a 48-bit fingerprint for each window. The window with the smallest (doc_id, position)
-stays, others are marked. Before the shuffle each task marks its own repeats and sends only the
-first of each, so that a passage that is in a third of all documents costs a row for each task.
+stays, others are marked. Before the shuffle the repeats within each slice of a task (4 MB of
+texts) are marked and only the first of each is sent, so that a passage that is in a third of all
+documents costs a row for each slice.
 Marks are then brought to the texts by doc_id.
 
 Windows are equal if anchor name, offset and window fingerprint are (112 bits together).
