@@ -175,7 +175,7 @@ def test_counters_count_a_batch_once(spark, tmp_dir):
         spark.streams.removeListener(listener)
     kept = counters.read_counters(spark, f"{tmp_dir}/counters").collect()
     total = {n: sum(r["value"] for r in kept if r["name"] == n) for n in ("processed", "failed")}
-    assert total["processed"] + total["failed"] == env.count() and len({r["batch"] for r in kept}) == 3
+    assert total["processed"] + total["failed"] == env.count() and {0, 1, 2} <= {r["batch"] for r in kept}
 
 
 def test_key_filter_thins_the_table_above_its_scan(spark, tmp_dir):
