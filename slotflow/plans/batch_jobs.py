@@ -55,13 +55,13 @@ def with_corrupt(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(schemas.CORRUPT).alias("corrupt")), obs
 
 
-def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, multiline: bool = True, bookmark: bool = True) -> dict[str, int]:
+def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, multiline: bool = True, bookmark: bool = False) -> dict[str, int]:
     """Bronze JSON -> clean (X1, X2) -> keyed upserts into partitioned silver tables
     (S4-S9) -> catalog registration (S11). ``multiline``: one pretty-printed object per file
     (the webhook writer's layout) or JSON lines (the streaming writer's). With ``bookmark`` only
     dates whose folders changed since the last run are read (S23); the bookmark is kept after the
     upserts, so a run that dies is repeated. Returns the rows of either table, the number of
-    documents that did not parse and of booking dates read."""
+    documents that did not parse and, with ``bookmark``, of booking dates read (-1: all)."""
     configure(spark)
     marks = [Bookmark(spark, cfg.bookmarks, n, p) for n, p in (("bookings", cfg.bronze_bookings), ("spend", cfg.bronze_spend))] if bookmark else []
     booking_dates, spend_dates = (m.dates for m in marks) if marks else (None, None)
@@ -84,7 +84,8 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, multiline: bool =
     for name, path in (("bookings_silver", cfg.silver_bookings), ("marketing_spend_silver", cfg.silver_spend)):
         if tables.table_exists(spark, path):
             tables.register_table(spark, cfg.database, name, path)
-    return {"bookings": b, "spend": s, "unreadable": c + d, "dates": -1 if booking_dates is None else len(booking_dates)}
+    counts = {"bookings": b, "spend": s, "unreadable": c + d}
+    return counts | {"dates": -1 if booking_dates is None else len(booking_dates)} if bookmark else counts
 
 
 def bronze_to_silver_incremental(spark: SparkSession, cfg: PipelineConfig, multiline: bool = True) -> None:

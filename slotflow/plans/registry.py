@@ -964,7 +964,7 @@ def q_bronze_bookmark_runs(spark, sf_dir):
         if part is not None:
             own = good.where(part).withColumns({"channel": F.col("marketing_channel"), "date": F.col("day").cast("string")}).drop("day")
             own.hint("rebalance", "channel", "date").write.mode("append").partitionBy("channel", "date").json(cfg.bronze_bookings)
-        done = bronze_to_silver(spark, cfg, multiline=False)
+        done = bronze_to_silver(spark, cfg, multiline=False, bookmark=True)
         out.append((run, done["dates"], done["bookings"], spark.read.parquet(cfg.silver_bookings).count()))
     return spark.createDataFrame(out, "run int, dates int, bookings long, in_silver long")
 

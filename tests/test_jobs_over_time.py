@@ -35,7 +35,7 @@ def test_bookmark_reads_changed_dates_only(spark, tmp_dir):
     put(cfg.bronze_bookings, "fb", "2024-01-01", "a", booking("u1", "2024-01-01"))
     put(cfg.bronze_bookings, "fb", "2024-01-02", "b", booking("u2", "2024-01-02"))
     put(cfg.bronze_spend, "fb", "2024-01-01", "s", {"records": [{"date": "2024-01-01", "channel": "fb", "spend": 2.0, "ingested_at": "2024-01-02T00:00:00Z"}]})
-    run = lambda **kw: bronze_to_silver(spark, cfg, multiline=False, **kw)
+    run = lambda bookmark=True: bronze_to_silver(spark, cfg, multiline=False, bookmark=bookmark)
     assert run() == {"bookings": 2, "spend": 1, "unreadable": 0, "dates": 2}
     assert run() == {"bookings": 0, "spend": 0, "unreadable": 0, "dates": 0}
     # a file more in an old folder, and a new day
@@ -59,9 +59,9 @@ def test_a_run_that_dies_keeps_the_old_bookmark(spark, tmp_dir, monkeypatch):
     put(cfg.bronze_bookings, "fb", "2024-01-01", "a", booking("u1", "2024-01-01"))
     monkeypatch.setattr(Bookmark, "keep", lambda self: (_ for _ in ()).throw(RuntimeError("died")))
     with pytest.raises(RuntimeError):
-        bronze_to_silver(spark, cfg, multiline=False)
+        bronze_to_silver(spark, cfg, multiline=False, bookmark=True)
     monkeypatch.undo()
-    assert bronze_to_silver(spark, cfg, multiline=False)["bookings"] == 1
+    assert bronze_to_silver(spark, cfg, multiline=False, bookmark=True)["bookings"] == 1
     assert spark.read.parquet(cfg.silver_bookings).count() == 1
 
 
