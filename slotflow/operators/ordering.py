@@ -44,7 +44,8 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 def ensure_parallelism(df: DataFrame) -> DataFrame:
     """Spread the rows of a table over the cluster's cores before CPU-heavy row work (JSON,
-    base64) when it has fewer files than cores; at scale this is a no-op. Only the file listing
-    is looked at: nothing runs."""
+    base64) when it has fewer files than cores; at scale this is a no-op. Of what comes from files
+    only the listing is looked at, so that nothing runs; other frames tell their partitions."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    n_files = len(df.inputFiles())
+    return df if (n_files or df.rdd.getNumPartitions()) >= cores else df.repartition(cores)
