@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from slotflow.sources.staging import stage
+
+ROWS_A_SPLIT = 100_000  # rows that a task of a range split sorts
 
 def sort_recent_first(df: DataFrame, date_col: str, then: str) -> DataFrame:
     """O1: date descending, then ``then`` ascending."""
@@ -49,3 +52,25 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     n_files = len(df.inputFiles())
     return df if (n_files or df.rdd.getNumPartitions()) >= cores else df.repartition(cores)
+
+
+def splits_for(df: DataFrame, amount: int | None, of_one: int) -> int:
+    """Tasks of a shuffle that gives each ``of_one`` of ``amount`` (rows, bytes): as many as the
+    session's, or more where there is more, so that a task's part does not grow with the input."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(amount or 0) // of_one))
+
+
+def number_in_groups(df: DataFrame, keys: list[str], order: list[str], column: str, rows_a_split: int | None = None) -> DataFrame:
+    """``row_number`` within ``keys`` by ``order`` for groups of any size: a group's rows lie in as
+    many splits of a range sort as they need, and a row's number is its place in its split plus the
+    group's rows in the splits before. ``df`` is read three times (its count, the split's sample,
+    the split); the numbered rows are staged and come ordered by (keys, order) within each split."""
+    ordered = df.repartitionByRange(splits_for(df, df.count(), rows_a_split or ROWS_A_SPLIT), *keys, *order).sortWithinPartitions(*keys, *order)
+    rows = stage(ordered.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    split = F.shiftright("_at", 33)  # the id's upper bits are the split, the others the place in it
+    earlier = Window.partitionBy(*keys).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    groups = rows.groupBy(split.alias("_split"), *keys).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    groups = stage(groups.select("_split", *[F.col(k).alias(f"_key_{k}") for k in keys], (before + 1 - F.col("_first")).alias("_shift")), "numbered-groups")
+    same = (split == F.col("_split")) & reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return rows.join(groups, same).select(*df.columns, (F.col("_at") + F.col("_shift")).alias(column))

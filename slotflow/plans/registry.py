@@ -928,23 +928,28 @@ def q_stream_webhook_intake(spark, sf_dir):
 @register("message_order", Q.with_ctes(Q.N_MSGS) + """
 SELECT channel AS key, event_id, CAST(row_number() OVER (PARTITION BY channel ORDER BY event_id) AS INTEGER) AS place FROM n_msgs""")
 def q_message_order(spark, sf_dir):
-    """Three request files that arrive one after the other, each a micro-batch; the messages
-    read back, with their place within their channel by the sequence they carry."""
+    """Three lots of request files that arrive one after the other, each a micro-batch; the
+    messages read back, with their place within their channel by the sequence they carry."""
     from slotflow.functions.nested import parse_json
+    from slotflow.sources import tables as TB
+    from slotflow.sources.staging import drop_staged, stage
     from slotflow.streaming import jobs as J
 
     base = scratch_path(spark, "s16")
-    requests = AD.events_requests(spark, sf_dir)
+    requests = stage(AD.events_requests(spark, sf_dir).select("event_id", "body"), "requests")
     bounds = requests.agg(F.percentile_approx("event_id", [0.33, 0.66], 1000)).first()[0] or [0, 0]
     for part in range(3):
         low, high = ([None, *bounds][part], [*bounds, None][part])
         own = requests.where((F.lit(low is None) | (F.col("event_id") > F.lit(low))) & (F.lit(high is None) | (F.col("event_id") <= F.lit(high))))
-        own.coalesce(1).sortWithinPartitions("event_id").select("body").write.mode("append").text(f"{base}/requests")
+        files = max(1, -(-own.count() // O.ROWS_A_SPLIT))
+        own.repartitionByRange(files, "event_id").sortWithinPartitions("event_id").select("body").write.mode("overwrite").text(f"{base}/lots/{part}")
+        arrived = TB.hand_over(spark, f"{base}/lots/{part}", f"{base}/requests", f"lot-{part}")
         J.run_to_end(J.webhook_intake(spark, f"{base}/requests", f"{base}/messages", f"{base}/archive", f"{base}/ckpt",
-                                      AD.FIXTURE_EVENT_TYPE_CHANNELS, trigger={"availableNow": True}, max_files_per_trigger=1))
+                                      AD.FIXTURE_EVENT_TYPE_CHANNELS, trigger={"availableNow": True}, max_files_per_trigger=max(1, arrived)))
+    drop_staged(requests)
     msgs = J.read_messages(spark, f"{base}/messages").select("key", "sequence", parse_json(F.col("value"), SC.ENRICHED)["invitee_data"]["uri"].alias("uri"))
-    place = F.row_number().over(Window.partitionBy("key").orderBy("sequence"))
-    return msgs.select("key", F.regexp_extract("uri", "([0-9]+)$", 1).cast("long").alias("event_id"), place.alias("place"))
+    rows = stage(msgs.select("key", "sequence", F.regexp_extract("uri", "([0-9]+)$", 1).cast("long").alias("event_id")), "messages-read")
+    return O.number_in_groups(rows, ["key"], ["sequence"], "place").select("key", "event_id", F.col("place").cast("int").alias("place"))
 
 
 @register("bronze_bookmark_runs", Q.with_ctes(Q.N_MSGS, Q.N_BRONZE) + f"""

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from slotflow import schemas
 from slotflow.operators.joins import attribute_channel
+from slotflow.operators.ordering import splits_for
 from slotflow.operators.projections import filter_event, flatten_booking, tag_decode_errors, unwrap_body
 from slotflow.plans.normalize import clean_bookings
 from slotflow.plans.webhooks import enriched_to_message, process_webhooks
@@ -20,6 +21,7 @@ from slotflow.sources import readers, tables
 from slotflow.sources.staging import drop_staged, stage
 
 PROCESSING_WINDOW = {"processingTime": "10 seconds"}
+BYTES_A_SPLIT = 64 << 20  # of messages that a task sorts
 DEDUP_DELAY = "24 hours"  # the stream's retention: a redelivery can arrive up to a day late
 
 
@@ -41,13 +43,13 @@ def write_messages(requests: DataFrame, messages_dir: str, event_type_channels:
     """S16, one micro-batch: keyed messages with their ``sequence`` (batch, arrival of the request's
     file, its name, place in it), written range-split and sorted by (key, sequence): the files of a
     batch, in the order of their names, hold each channel's messages in the order in which they
-    came, and a channel with a third of all messages is written by several tasks. A batch that runs
-    again rewrites its own folder."""
+    came, and a channel with a third of all messages is written by several tasks, more of them in a
+    larger batch. A batch that runs again rewrites its own folder."""
     order = F.struct(F.lit(batch_id).cast("long").alias("batch"), "arrived", "file", "block", F.monotonically_increasing_id().alias("place"))
     placed = requests.select("body", order.alias("sequence"))
     messages = enriched_to_message(process_webhooks(placed, event_type_channels, keep=["sequence"]), keep=["sequence"])
     messages = stage(messages, "messages")  # the range split looks at the rows twice
-    width = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = splits_for(messages, messages.agg(F.sum(F.octet_length("value"))).first()[0], BYTES_A_SPLIT)
     ordered = messages.repartitionByRange(width, "key", "sequence").sortWithinPartitions("key", "sequence")
     ordered.write.mode("overwrite").json(f"{messages_dir.rstrip('/')}/batch={batch_id}")
     drop_staged(messages)

@@ -205,3 +205,40 @@ def test_registered_table_gains_columns_in_place(spark, tmp_dir):
     assert tables.register_table(spark, "slotflow_cols", "t", f"{tmp_dir}/t")
     assert spark.sql("DESCRIBE EXTENDED slotflow_cols.t").where("col_name = 'Created Time'").first() == created
     assert spark.table("slotflow_cols.t").count() == 5 and spark.table("slotflow_cols.t").where("extra = 'x'").count() == 2
+
+
+def test_message_places_are_numbered_in_splits(spark, monkeypatch):
+    """A lot of requests is several files, a channel's places come from several splits; no task
+    holds a channel or a lot, and the places are those of a plain row number."""
+    from slotflow.operators import ordering
+
+    monkeypatch.setattr(ordering, "ROWS_A_SPLIT", 20)
+    rows = QUERIES["message_order"](spark, SF_SMALL)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange hashpartitioning" not in plan
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").where("event_id % 4 <> 0")
+    channels = {"purchase": "search_ads", "signup": "social_ads", "view": "video_ads"}
+    want = {}
+    for r in sorted(events.where(F.col("event_type").isin(*channels)).collect(), key=lambda r: r["event_id"]):
+        want.setdefault(channels[r["event_type"]], []).append(r["event_id"])
+    got = {}
+    for r in sorted(rows.collect(), key=lambda r: (r["key"], r["place"])):
+        got.setdefault(r["key"], []).append((r["place"], r["event_id"]))
+    assert got == {k: list(enumerate(v, 1)) for k, v in want.items()}
+    folders = [p.split("/s16-")[1].split("/")[0] for p in rows.inputFiles() if "/s16-" in p]
+    assert not folders  # the rows come from the numbered splits
+    files = sorted(rows.inputFiles())
+    assert len([f for f in files if "/numbered-" in f and "/numbered-groups-" not in f]) > 8
+
+
+def test_number_in_groups(spark):
+    """Against row_number: a group over many splits, groups within one, null keys, no rows."""
+    from pyspark.sql import Window
+    from slotflow.operators.ordering import number_in_groups
+
+    df = spark.range(5000).select(F.when(F.col("id") % 50 == 7, None).otherwise(F.when(F.col("id") % 10 < 8, "big").otherwise(F.concat(F.lit("k"), F.col("id") % 37))).alias("k"),
+                                  (F.col("id") * 7919 % 5003).alias("o")).repartition(5)
+    got = number_in_groups(df, ["k"], ["o"], "n", rows_a_split=100)
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("o")).cast("long"))
+    assert got.count() == 5000 and got.exceptAll(want).count() == 0
+    assert number_in_groups(df.where("false"), ["k"], ["o"], "n").count() == 0
