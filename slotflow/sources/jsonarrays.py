@@ -35,7 +35,7 @@ def array_elements(pieces: DataFrame) -> DataFrame:
     before = in_file.rowsBetween(Window.unboundedPreceding, -1)
     all_of = Window.partitionBy("path")
     # Escaped characters are neither quotes nor brackets; no piece ends within an escape.
-    plain = F.regexp_replace("value", r"(?s)\\.", "")
+    plain = F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
     upto = in_file.rowsBetween(Window.unboundedPreceding, 0)
     p = pieces.withColumns({"plain": plain, "quotes": _count(plain, '"'), "last": F.lead("at").over(in_file).isNull(),
                             "closed": F.sum(F.octet_length("value") + 1).over(upto) <= F.col("size")})  # a brace follows
@@ -50,8 +50,8 @@ def array_elements(pieces: DataFrame) -> DataFrame:
     text = F.concat("value", F.when(F.col("closed"), CLOSE).otherwise(""))
     parts = p.groupBy("path", "number").agg(
         F.sort_array(F.collect_list(F.struct("block", "at", text.alias("text")))).alias("parts"),
-        F.max("last").alias("last"), F.min("depth").alias("low"), F.max_by("depth", F.struct("block", "at")).alias("depth"),
-        F.max_by("ends_inside", F.struct("block", "at")).alias("open"),
+        F.max("last").alias("last"), F.min("depth").alias("low"),
+        F.max(F.when(F.col("last"), F.col("depth"))).alias("depth"), F.max(F.when(F.col("last"), F.col("ends_inside"))).alias("open"),
     )
     parts = parts.withColumn("text", F.array_join(F.transform("parts", lambda x: x["text"]), "")).drop("parts")
     # what stands between the root's brackets and commas: the first part opens the array, the others
@@ -60,7 +60,7 @@ def array_elements(pieces: DataFrame) -> DataFrame:
     ends = ~F.col("last") | (F.col("text").rlike(r"\]\s*$") & (F.col("depth") == 0) & ~F.col("open"))
     bare_end = F.col("last") & (F.col("number") > 0) & F.col("text").rlike(r"^\s*\]\s*$")
     inner = F.regexp_replace(F.when(F.col("last"), F.regexp_replace("text", r"\]\s*$", "")).otherwise(F.col("text")), r"^\s*[\[,]", "")
-    blank = (F.col("number") > 0) & (F.trim(F.regexp_replace(inner, r"\s+", " ")) == "")
+    blank = F.col("last") & (F.col("number") > 0) & ~inner.rlike(r"\S")  # the others end with a brace
     read = F.from_json(F.concat(F.lit('{"r":['), inner, F.lit("]}")), "r array<string>, bad string", {"columnNameOfCorruptRecord": "bad", "allowSingleQuotes": "false"})
     parts = parts.select("path", "number", "text", (bare_end & ends).alias("bare_end"), (begins & ends & ~blank & ((F.col("low") >= 1) | F.col("last"))).alias("fits"),
                          F.explode_outer(F.array(F.when(bare_end, F.lit(None)).otherwise(read))).alias("read"))
