@@ -237,8 +237,9 @@ def batch_outcome(df: DataFrame, error_col: str = "error") -> DataFrame:
 
 def nest_spend(s: DataFrame, record: Column | None = None) -> DataFrame:
     """Spend rows as ``{records, record_count}`` documents, one per (date, channel) and
-    source file: a document is never larger than the part of one file that it comes from.
+    source file, and each of its parts if a file has several: a document is never larger than the
+    part of one file that it comes from.
     ``record`` is what the array holds (default: all columns). Null keys have documents too."""
-    keys = [c for c in ("date", "channel", "source_file") if c in s.columns]
+    keys = [c for c in ("date", "channel", "source_file", "part") if c in s.columns]
     record = F.struct(*s.columns) if record is None else record
     return s.groupBy(*keys).agg(F.collect_list(record).alias("records"), F.count(F.lit(1)).alias("record_count"))

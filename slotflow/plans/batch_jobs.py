@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from slotflow import schemas
 from slotflow.config import PipelineConfig
 from slotflow.operators import aggregations as A
-from slotflow.operators.ordering import latest_sources
+from slotflow.operators.ordering import ROWS_A_SPLIT, latest_sources, splits_for
 from slotflow.operators.projections import with_ingest_metadata
 from slotflow.operators.windows import latest_first
 from slotflow.plans.metrics import GOLD_METRICS
@@ -177,10 +177,12 @@ def ingest_spend(
         own = F.map_filter("fields", lambda k, _: ~k.isin(list(added)))
         stamps = F.create_map(*[x for k, v in added.items() for x in (F.lit(k), v.cast("variant"))])
         if counts["good"]:
+            # the records of a part of a file meet in one task; a task gets a bounded number of them
+            stamped = stamped.repartition(splits_for(rows, counts["good"], ROWS_A_SPLIT), "source_file", "part")
             nested = A.nest_spend(stamped, F.map_concat(own, stamps))
             tables.write_bronze_spend(nested, cfg.bronze_spend, execution_date)
         tables.replace_partition(
-            spark, rows.where("error IS NOT NULL").drop("fields"), cfg.spend_dead_letters, "execution_date", execution_date, "json"
+            spark, rows.where("error IS NOT NULL").drop("fields", "part"), cfg.spend_dead_letters, "execution_date", execution_date, "json"
         )
         drop_staged(rows)
         tables.record_run(spark, cfg.run_log, "spend_ingestion", execution_date, counts["good"], len(dates))

@@ -773,7 +773,8 @@ def _ingest(spark, sf_dir):
 
     cfg = _job_config(spark, "x11")
     source = scratch_path(spark, "spend-source")
-    AD.spend_source_files(spark, sf_dir).write.partitionBy("file", "part").text(source)
+    # a part a file: the lines of each follow each other in one task
+    AD.spend_source_files(spark, sf_dir).drop("part").write.option("maxRecordsPerFile", AD.PART_RECORDS).partitionBy("file").text(source)
     ingest_spend(spark, source, cfg, lookback_days=100_000, execution_date=INGEST_DATE)
     return cfg
 

@@ -12,10 +12,10 @@ N: ``events`` -> nested webhook documents / stream envelopes (JSON text, base64)
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from slotflow.functions.nested import encode_base64_text
-from slotflow.operators.ordering import ensure_parallelism
+from slotflow.operators.ordering import ROWS_A_SPLIT, ensure_parallelism, number_in_groups, splits_for
 
 # Fixture values of adapter N: the event types on the allow-list and their channels.
 FIXTURE_EVENT_TYPE_CHANNELS = {"purchase": "search_ads", "signup": "social_ads", "view": "video_ads"}
@@ -119,27 +119,28 @@ def lineitem_meetings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spend_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spend source files as lines (file, part, value), in order: for each day of the events JSON
-    arrays of at most ``PART_RECORDS`` elements, one per event, with fields that no metric reads. The
-    spend of a seventh of the events is quoted, elements of events divisible by 97 are bare numbers,
-    and the files of each month's 13th lack their closing bracket. No file is ever one value."""
-    ev = read_table(spark, sf_dir, "events")
-    day = F.date_format("ts", "yyyy-MM-dd")
-    rest = [day.alias("date"), F.col("event_type").alias("channel"), F.col("user_id").alias("impressions"),
+    """Spend source files as lines (file, part, value), in order, the lines of a part in one task: for
+    each day of the events JSON arrays of at most ``PART_RECORDS`` elements, one per event, with fields
+    that no metric reads. The spend of a seventh of the events is quoted, elements of events divisible
+    by 97 are bare numbers, and the files of each month's 13th lack their closing bracket. No file is
+    ever one value."""
+    ev = read_table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    of_day = ev.groupBy(F.col("day").alias("_day")).agg(F.count("*").alias("in_day"))
+    lines = number_in_groups(ev, ["day"], ["event_id"], "place").join(of_day, F.col("day").eqNullSafe(F.col("_day")))
+    rest = [F.col("day").alias("date"), F.col("event_type").alias("channel"), F.col("user_id").alias("impressions"),
             (F.col("event_id") % 5).alias("clicks"), F.struct("event_type", "props").alias("flags")]
     record = F.when(F.col("event_id") % 7 == 3, F.to_json(F.struct(F.col("value").cast("string").alias("spend"), *rest))).otherwise(
         F.to_json(F.struct(F.col("value").alias("spend"), *rest)))
     element = F.when(F.col("event_id") % 97 == 0, F.col("event_id").cast("string")).otherwise(record)
-    in_day = Window.partitionBy("day").orderBy("event_id")
-    lines = ev.select(day.alias("day"), "event_id", element.alias("element")).withColumns(
-        {"at": F.row_number().over(in_day) - 1, "more": F.lead("day").over(in_day).isNotNull()})
-    first, last = F.col("at") % PART_RECORDS == 0, ~F.col("more") | (F.col("at") % PART_RECORDS == PART_RECORDS - 1)
+    at = F.col("place") - 1
+    first, last = at % PART_RECORDS == 0, (F.col("place") == F.col("in_day")) | (at % PART_RECORDS == PART_RECORDS - 1)
     end = F.when(last & ~F.col("day").endswith("-13"), "]").otherwise("")
-    lines = lines.withColumns({
-        "file": F.concat(F.lit("spend_data_"), "day", F.lit(".json")), "part": F.floor(F.col("at") / PART_RECORDS).cast("int"),
-        "value": F.concat(F.when(first, "[").otherwise(","), "element", end),
-    })
-    return lines.sortWithinPartitions("file", "part", "at").select("file", "part", "value")
+    lines = lines.select(
+        F.concat(F.lit("spend_data_"), F.coalesce("day", F.lit("none")), F.lit(".json")).alias("file"), F.floor(at / PART_RECORDS).cast("int").alias("part"),
+        at.alias("at"), F.concat(F.when(first, "[").otherwise(","), element, end).alias("value"),
+    )
+    tasks = splits_for(lines, ev.count(), ROWS_A_SPLIT)
+    return lines.repartition(tasks, "file", "part").sortWithinPartitions("file", "part", "at").select("file", "part", "value")
 
 
 # ---------------------------------------------------------------- adapter N (nested webhooks)

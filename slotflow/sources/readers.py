@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from slotflow import schemas
 from slotflow.functions.columns import compute_once
+from slotflow.operators.ordering import splits_for
 from slotflow.sources.jsonarrays import array_elements, read_pieces
 from slotflow.sources.tables import _fs_path, path_exists, read_schema, table_exists
 
 NO_AGE_LIMIT = "36500d"
+BYTES_A_SPLIT = 16 << 20  # of source files, in a task that cuts them into records
 
 # Bronze layout: <root>/bookings/channel=<c>/date=<yyyy-MM-dd>/... and
 # <root>/marketing_spend/channel=<c>/date=<yyyy-MM-dd>/source_file=<name>/... . Partition values
@@ -120,29 +122,33 @@ def spend_file_paths(spark: SparkSession, source_dir: str, dates: list[str] | No
 
 
 def read_spend_files(spark: SparkSession, source_dir: str, dates: list[str] | None = None) -> DataFrame:
-    """Daily source files (JSON arrays) as (source_file, body, error, fields): a row for
-    each element of an array, with every field of the source and its own type as a map of variants;
+    """Daily source files (JSON arrays) as (source_file, part, body, error, fields): a
+    row for each element of an array, ``part`` being the path of the file it is in, with every field
+    of the source and its own type as a map of variants;
     a file that is no array gives its text in parts, each with an error, and an element that is no
     object its text with an error. A bad file or record never takes others with it. A record is
-    the largest thing a task holds of a file, and is parsed once."""
-    schema = "source_file string, body string, error string, fields map<string,variant>"
+    the largest thing a task holds of a file, and is parsed once; a task gets
+    a bounded number of bytes (or one file)."""
+    schema = "source_file string, part string, body string, error string, fields map<string,variant>"
     paths = spend_file_paths(spark, source_dir, dates)
     if not paths:
         return spark.createDataFrame([], schema)
-    elements = array_elements(read_pieces(spark, [p for p, _ in paths]))
+    pieces = read_pieces(spark, [p for p, _ in paths])
+    size = sum(_fs_path(spark, p)[0].getContentSummary(_fs_path(spark, p)[1]).getLength() for p, _ in paths)
+    elements = array_elements(pieces.repartition(splits_for(pieces, size, BYTES_A_SPLIT), "path"))
     nothing = spark.createDataFrame([(p, False, "") for p, empty in paths if empty], "path string, whole boolean, element string")
     rows = elements.select("path", "whole", "element").unionByName(nothing)
     parsed = F.when(F.col("whole"), F.from_json("element", "map<string,variant>"))
     rows = compute_once(rows, "fields", parsed)
     error = F.when(~F.col("whole"), BAD_ARRAY).when(F.col("fields").isNull(), BAD_OBJECT)
     name = F.regexp_extract("path", r"(spend_data_\d{4}-\d{2}-\d{2}\.json)(/.*)?$", 1)
-    return rows.select(name.alias("source_file"), F.when(error.isNotNull(), F.coalesce("element", F.lit("null"))).alias("body"), error.alias("error"), "fields")
+    return rows.select(name.alias("source_file"), F.col("path").alias("part"), F.when(error.isNotNull(), F.coalesce("element", F.lit("null"))).alias("body"), error.alias("error"), "fields")
 
 
 def spend_fields(rows: DataFrame) -> DataFrame:
     """Readable elements of ``read_spend_files``: date and channel as text beside the fields."""
     text = lambda k: F.try_element_at("fields", F.lit(k)).cast("string").alias(k)
-    return rows.where(F.col("error").isNull()).select("source_file", text("date"), text("channel"), "fields")
+    return rows.where(F.col("error").isNull()).select("source_file", "part", text("date"), text("channel"), "fields")
 
 
 def lookback_dates(as_of: str | dt.date, days: int = 30) -> list[str]:

@@ -122,3 +122,33 @@ def test_memory_is_a_records_not_a_files(tmp_dir):
         f.write("]")
     done = subprocess.run([sys.executable, "-c", CHILD, ROOT, f"{tmp_dir}/src"], capture_output=True, text=True, timeout=600)
     assert "RESULT 100000 0 95000000" in done.stdout, done.stderr[-3000:]
+
+
+def test_parts_follow_the_input_and_documents_the_parts(spark, tmp_dir, monkeypatch):
+    """Source files of the fixture are parts of PART_RECORDS elements in order; a document holds the
+    records of one part; the tasks that cut files become more with their bytes."""
+    from slotflow.config import PipelineConfig
+    from slotflow.plans.batch_jobs import ingest_spend
+    from slotflow.sources import adapters as AD
+
+    monkeypatch.setattr(AD, "PART_RECORDS", 7)
+    AD.spend_source_files(spark, "/root/testdata/sf0.001").drop("part").write.option("maxRecordsPerFile", 7).partitionBy("file").text(f"{tmp_dir}/src")
+    sizes, ids = {}, {}
+    for folder in sorted(os.listdir(f"{tmp_dir}/src")):
+        for name in os.listdir(f"{tmp_dir}/src/{folder}") if folder.startswith("file=") else ():
+            if name.startswith("part-"):
+                with open(f"{tmp_dir}/src/{folder}/{name}") as f:
+                    lines = f.read().splitlines()
+                assert lines[0].startswith("[") and all(x.startswith(",") for x in lines[1:])
+                assert lines[-1].endswith("]") != folder.endswith("-13.json")
+                sizes.setdefault(folder, []).append(len(lines))
+    assert all(max(v) <= 7 and sum(n < 7 for n in v) <= 1 for v in sizes.values()) and max(map(len, sizes.values())) > 1
+    assert sum(map(sum, sizes.values())) == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    monkeypatch.setattr(readers, "BYTES_A_SPLIT", 2000)
+    plan = readers.read_spend_files(spark, f"{tmp_dir}/src")._jdf.queryExecution().optimizedPlan().toString()
+    assert int(plan.split("RepartitionByExpression [path")[1].split("], ")[1].split("\n")[0].split(",")[0]) > 8
+    cfg = PipelineConfig(f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/gold", "slotflow_parts")
+    ingest_spend(spark, f"{tmp_dir}/src", cfg, lookback_days=1000, execution_date="2024-02-01")
+    docs = spark.read.option("recursiveFileLookup", "true").schema("records array<map<string,variant>>, metadata struct<record_count:long>").json(cfg.bronze_spend)
+    counts = docs.select(F.size("records").alias("n"), "metadata.record_count").collect()
+    assert counts and all(n == m and n <= 7 for n, m in counts)
