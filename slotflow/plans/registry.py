@@ -652,18 +652,24 @@ FROM n_bronze WHERE _eid % 89 = 0 OR _eid % 97 <> 0 GROUP BY ALL""")
 def q_stream_daily_counts(spark, sf_dir):
     """Live bookings per (day, channel) over four micro-batches of bronze files: three slices
     of the events with interleaved days and some appointments years ahead, then the second slice
-    delivered again. The counts equal the batch count (A3)."""
+    delivered again. Each slice is as many files as tasks wrote it. The counts equal the batch
+    count (A3)."""
     from slotflow.plans.webhooks import decode_to_bronze
+    from slotflow.sources import tables as TB
     from slotflow.streaming import jobs as J
 
     base = scratch_path(spark, "t7")
-    good, _bad = decode_to_bronze(_envelopes(spark, sf_dir))
     eid = F.substring("kinesis_sequence_number", -20, 20).cast("long")
     start = F.when(eid % 89 == 0, "2031-05-05T10:00:00Z").otherwise(F.col("scheduled_event_start_time"))
-    good = good.withColumn("scheduled_event_start_time", start)
-    for part in (0, 1, 2, 1):
-        good.where(eid % 3 == part).coalesce(1).write.mode("append").json(f"{base}/bronze")
-    J.run_to_end(J.live_daily_counts(spark, f"{base}/bronze", f"{base}/counts", f"{base}/ckpt", {"availableNow": True}, max_files_per_trigger=1))
+    env, delivered = _envelopes(spark, sf_dir), []
+    for part in (0, 1, 2):
+        good, _bad = decode_to_bronze(env.where(F.col("event_id") % 3 == part))
+        good.withColumn("scheduled_event_start_time", start).write.json(f"{base}/slices/{part}")
+        delivered.append(TB.hand_over(spark, f"{base}/slices/{part}", f"{base}/bronze", f"slice-{part}"))
+    again = spark.read.text([f"{base}/bronze/slice-1-*"]) if delivered[1] else spark.createDataFrame([], "value string")
+    again.coalesce(max(1, delivered[1])).write.text(f"{base}/again")  # as many files: a micro-batch too
+    delivered.append(TB.hand_over(spark, f"{base}/again", f"{base}/bronze", "slice-1-again"))
+    J.run_to_end(J.live_daily_counts(spark, f"{base}/bronze", f"{base}/counts", f"{base}/ckpt", {"availableNow": True}, max_files_per_trigger=max(1, *delivered)))
     return spark.read.parquet(f"{base}/counts").select("date", "channel", "total_bookings")
 
 

@@ -242,3 +242,40 @@ def test_number_in_groups(spark):
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("o")).cast("long"))
     assert got.count() == 5000 and got.exceptAll(want).count() == 0
     assert number_in_groups(df.where("false"), ["k"], ["o"], "n").count() == 0
+
+
+def test_slices_of_live_counts_are_written_by_all_tasks(spark):
+    """No slice of the daily counts' bronze passes one task, and the second is delivered twice."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "9000")  # a file has many splits
+        rows = QUERIES["stream_daily_counts"](spark, SF_SMALL)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    base = rows.inputFiles()[0].removeprefix("file://").split("/counts/")[0]
+    names = [n.rsplit("-", 1)[0] for n in os.listdir(f"{base}/bronze") if n.startswith("slice-")]
+    files = {n: names.count(n) for n in set(names)}
+    assert set(files) == {"slice-0", "slice-1", "slice-2", "slice-1-again"} and min(files.values()) > 1
+    count = lambda n: spark.read.text(f"{base}/bronze/{n}-0*").count()
+    assert count("slice-1") == count("slice-1-again") > 0
+    # four micro-batches, of which the last adds nothing
+    assert spark.read.parquet(f"{base}/counts").agg(F.max("batch")).first()[0] == 2
+
+
+def test_compaction_copies_lines(spark, tmp_dir):
+    """Fields that no schema names and lines that do not parse are in the compacted day as well; a
+    channel that looks like a number keeps its folder."""
+    lines = ['{"invitee_uri": "a", "utm": {"new": [1, 1.50]}}', "{broken", '{"invitee_uri":   "b"}']
+    for batch, own in enumerate((lines[:2], lines[2:])):
+        folder = f"{tmp_dir}/channel=007/date=2024-01-01/batch={batch}"
+        os.makedirs(folder)
+        with open(f"{folder}/x.json", "w") as f:
+            f.write("\n".join(own) + "\n")
+    assert J.compact_bronze(spark, tmp_dir, "*") == 2
+    assert os.listdir(f"{tmp_dir}/channel=007/date=2024-01-01") == ["batch=upto-1"]
+    assert sorted(r[0] for r in spark.read.option("recursiveFileLookup", "true").text(tmp_dir).collect()) == sorted(lines)
+    read = readers.read_bronze_bookings(spark, tmp_dir, multiline=False)
+    assert sorted((r["invitee_uri"] or "", r[schemas.CORRUPT] or "") for r in read.collect()) == [("", "{broken"), ("a", ""), ("b", "")]
