@@ -146,7 +146,7 @@ def write_bronze_batch(tagged: DataFrame, bronze_dir: str, dead_letter_dir: str,
 
 def compact_bronze(spark: SparkSession, bronze_dir: str, date: str, remove: bool = True) -> int:
     """S14 upkeep: rewrites a past day's (or each day's that matches a pattern) micro-batch folders
-    as one folder for each channel, the day's next generation (``batch=upto-<n>``: all rows of
+    as one folder for each channel, its lines unchanged, the day's next generation (``batch=upto-<n>``: all rows of
     batches up to n), in one job, then removes the folders they replace. Returns the number of
     folders removed. A generation counts once it has its ``_SUCCESS``, and
     ``readers.read_bronze_bookings`` reads the highest that counts and the batches behind it: a job
@@ -173,12 +173,13 @@ def compact_bronze(spark: SparkSession, bronze_dir: str, date: str, remove: bool
             targets.append((channel, on, f"{readers.GENERATION}{upto}", day))
         stale += [f"{day}/batch={n}" for n in names if upto is not None and n != f"{readers.GENERATION}{upto}"]
     if targets:
-        keys = [T.StructField(n, T.StringType()) for n in ("channel", "date", "batch")]
-        rows = spark.read.schema(T.StructType([*schemas.BRONZE_BOOKING.fields, *keys])).option("basePath", bronze_dir).json(parts).drop("batch")
+        # lines are copied as they are: not parsed, and none that a reader of today does not know is lost
+        fields = [T.StructField(n, T.StringType()) for n in ("value", "channel", "date", "batch")]
+        rows = spark.read.schema(T.StructType(fields)).option("basePath", bronze_dir).text(parts).drop("batch")
         names = spark.createDataFrame([t[:3] for t in targets], "channel string, date string, batch string")
         (
             rows.join(names, ["channel", "date"]).hint("rebalance", "channel", "date", "batch")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("channel", "date", "batch").json(bronze_dir)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("channel", "date", "batch").text(bronze_dir)
         )
         for _, _, name, day in targets:
             fs.create(path(f"{day}/batch={name}/_SUCCESS"), True).close()
